@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from peopleflow.functions.json_text import field_texts, is_present, null_keys
-from peopleflow.operators.messages import parse_messages
 from peopleflow.schemas import (
     KEY,
     PEOPLE_SCHEMA,
@@ -43,9 +42,8 @@ def merge_fields(
     may come in any order, and an id with very many messages shrinks to one row per task before
     the shuffle. A field never spoken of has no state, which is what makes an id incomplete.
     """
-    where = F.struct(*position)
     latest = {
-        name: F.max(F.when(f.present, F.struct(where.alias("at"), f.value.alias("value"))))
+        name: F.max(F.when(f.present, F.struct(*position, f.value.alias("_value"))))
         for name, f in fields.items()
     }
     merged = (
@@ -55,7 +53,7 @@ def merge_fields(
     )
     if complete_only:
         merged = merged.where(reduce(Column.__and__, [F.col(n).isNotNull() for n in fields]))
-    return merged.select(key, *[F.col(name)["value"].alias(name) for name in fields])
+    return merged.select(key, *[F.col(name)["_value"].alias(name) for name in fields])
 
 
 def field_messages(log: DataFrame, schema: StructType = PEOPLE_SCHEMA, key: str = KEY) -> DataFrame:
@@ -63,14 +61,11 @@ def field_messages(log: DataFrame, schema: StructType = PEOPLE_SCHEMA, key: str
 
     Rows whose text is no JSON object, or carries no usable key, are left out.
     """
-    texts = field_texts("value", schema.names).alias("p")
-    keyed = log.select(*POSITION, texts, null_keys("value").alias("keys"))
-    return keyed.select(
-        *POSITION,
-        F.col("p")[key].try_cast(schema[key].dataType).alias(key),
-        *[F.col("p")[name].alias(f"text_{name}") for name in schema.names if name != key],
-        "keys",
-    ).where(F.col(key).isNotNull())
+    texts = log.select(
+        *POSITION, field_texts("value", schema.names), null_keys("value").alias("keys")
+    )
+    keyed = texts.withColumn(key, F.col(f"text_{key}").try_cast(schema[key].dataType))
+    return keyed.drop(f"text_{key}").where(F.col(key).isNotNull())
 
 
 def schema_fields(schema: StructType = PEOPLE_SCHEMA, key: str = KEY) -> dict[str, Field]:
@@ -107,12 +102,11 @@ def merge_messages(
 def latest_per_topic(log: DataFrame, topic: str, key: str = KEY) -> DataFrame:
     """The last whole message of each id on one topic."""
     schema = topic_schema(topic)
-    parsed = parse_messages(
-        log.where(F.col("topic") == topic), schema, keep=["timestamp", "partition", "offset"]
-    ).where(F.col(key).isNotNull())
-    carried = [name for name in schema.names if name != key]
-    last = F.max(F.struct("timestamp", "partition", "offset", F.struct(*carried).alias("row")))
-    return parsed.groupBy(key).agg(last.alias("last")).select(key, "last.row.*")
+    messages = field_messages(log.where(F.col("topic") == topic), schema, key)
+    texts = [F.col(f"text_{name}").alias(name) for name in schema.names if name != key]
+    last = F.max(F.struct("timestamp", "partition", "offset", F.struct(*texts).alias("row")))
+    rows = messages.groupBy(key).agg(last.alias("last")).select(key, "last.row.*")
+    return typed(rows, schema)
 
 
 def join_topics(log: DataFrame, key: str = KEY) -> DataFrame:

@@ -30,7 +30,7 @@ def first_messages(log: DataFrame, limit: int) -> DataFrame:
     return log.orderBy(*POSITION).limit(limit) if limit > 0 else log
 
 
-def _line(p: Column) -> Column:
+def _line(p: dict[str, Column]) -> Column:
     """The text for one message, by topic; unknown topics and bad text are shown as they are."""
     number = F.concat(F.lit("id="), pad_right(or_text(p["id_persona"], "?"), 6))
     person = F.concat_ws(
@@ -68,7 +68,9 @@ def _line(p: Column) -> Column:
 
 def monitor_lines(log: DataFrame, limit: int = 50) -> DataFrame:
     """(topic, partition, offset, line), the first ``limit`` messages or all for 0."""
-    shown = first_messages(log, limit).withColumn("p", field_texts("value", PEOPLE_COLUMNS))
+    shown = first_messages(log, limit).select(
+        "topic", "partition", "offset", "value", field_texts("value", PEOPLE_COLUMNS)
+    )
     line = F.concat(
         F.lit("["),
         pad_right(F.col("topic"), 9),
@@ -77,7 +79,7 @@ def monitor_lines(log: DataFrame, limit: int = 50) -> DataFrame:
         F.lit("/o"),
         pad_right(F.col("offset").cast("string"), 6),
         F.lit(" "),
-        _line(F.col("p")),
+        _line({name: F.col(f"text_{name}") for name in PEOPLE_COLUMNS}),
     )
     return shown.select("topic", "partition", "offset", line.alias("line"))
 

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from peopleflow.schemas import LOG_SCHEMA, POSITION
+from peopleflow.schemas import LOG_SCHEMA
 
 
 def topic_options(
@@ -52,11 +52,12 @@ def stream_topics(
 
 
 def write_replay(log: DataFrame, path: str, files: int | None = None) -> None:
-    """Store a topic log for replay, in arrival order.
+    """Store a topic log for replay.
 
-    ``files`` asks for that many files, which `stream_replay` can read one per micro-batch.
+    ``files`` asks for that many files, which `stream_replay` can read one per micro-batch;
+    without it the log is written as it is partitioned.
     """
-    log.repartitionByRange(*filter(None, [files]), *POSITION).write.mode("append").parquet(path)
+    (log.repartition(files) if files else log).write.mode("append").parquet(path)
 
 
 def read_replay(spark: SparkSession, path: str) -> DataFrame:

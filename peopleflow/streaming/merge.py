@@ -7,7 +7,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from peopleflow.operators.merge import merge_messages
 from peopleflow.schemas import KEY, PEOPLE_SCHEMA
-from peopleflow.streaming.sinks import last_rows, start_versions
+from peopleflow.streaming.sinks import LARGE_STATE, last_rows, start_versions
 
 
 def start_merge(
@@ -18,7 +18,7 @@ def start_merge(
     The checkpoint holds the read positions and the partial records, so a restart goes on where
     the last run stopped. With ``every=None`` the run drains the topics and ends.
     """
-    return start_versions(merge_messages(log), path, checkpoint, "update", every)
+    return start_versions(merge_messages(log), path, checkpoint, "update", every, LARGE_STATE)
 
 
 def merged_records(spark: SparkSession, path: str) -> DataFrame:

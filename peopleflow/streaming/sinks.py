@@ -9,8 +9,8 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from peopleflow.session import ROCKSDB, session_conf
 
-# State of a keyed aggregation lives in RocksDB, off the JVM heap, and only changes are uploaded.
-STATE_SETTINGS = {
+# For state with a row per id: kept in RocksDB, off the JVM heap, uploading changes only.
+LARGE_STATE = {
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
@@ -28,11 +28,17 @@ def start_console(result: DataFrame, every: str | None = "15 seconds") -> Stream
 
 
 def start_versions(
-    result: DataFrame, path: str, checkpoint: str, mode: str, every: str | None = None
+    result: DataFrame,
+    path: str,
+    checkpoint: str,
+    mode: str,
+    every: str | None = None,
+    settings: dict[str, str] | None = None,
 ) -> StreamingQuery:
     """Write each micro-batch of an aggregation to ``path/batch_id=<n>``.
 
     A repeated micro-batch overwrites its own folder, so a restart leaves no duplicates.
+    ``settings`` are session settings that the query keeps from its start.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -43,7 +49,7 @@ def start_versions(
         .option("checkpointLocation", checkpoint)
         .foreachBatch(write)
     )
-    with session_conf(result.sparkSession, STATE_SETTINGS):
+    with session_conf(result.sparkSession, settings or {}):
         return triggered(writer, every).start()
 
 

@@ -161,10 +161,14 @@ def consume_job(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def monitor_job(spark: SparkSession, args: argparse.Namespace) -> None:
-    """Readable lines for the messages on the topics; 0 shows all."""
-    lines = monitor.monitor_lines(_log(spark, args), args.limit)
-    for row in lines.select("line").toLocalIterator():
-        print(row["line"])
+    """Readable lines for the first messages on the topics, or for all of them into a folder."""
+    lines = monitor.monitor_lines(_log(spark, args), args.limit).select("line")
+    if args.out:
+        lines.write.text(args.out)
+    elif args.limit > 0:
+        show("Messages", lines, args.limit)
+    else:
+        raise SystemExit("--limit 0 needs --out: the lines of a whole log go to files")
 
 
 def parser() -> argparse.ArgumentParser:
@@ -213,7 +217,8 @@ def parser() -> argparse.ArgumentParser:
         ("--checkpoint", {}),
         *out,
     )
-    job("monitor", monitor_job, brokers, replay, ("--limit", {"type": int, "default": 50}))
+    limit = ("--limit", {"type": int, "default": 50, "help": "0: all"})
+    job("monitor", monitor_job, brokers, replay, limit, ("--out", {}))
     return top
 
 

@@ -21,7 +21,7 @@ def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
 
 
 def export_sizes(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
-    """Files, bytes and megabytes per exported format. Lists files, reads none."""
+    """Non-empty files, bytes and megabytes per exported format. Lists files, reads none."""
     listed = [
         spark.read.format("binaryFile")
         .option("pathGlobFilter", "part-*")

@@ -24,9 +24,13 @@ def read_csv(
 ) -> DataFrame:
     """CSV with a header line; ``schema=None`` infers one with an extra pass.
 
-    ``multiline`` allows line breaks inside quoted values, at the price of unsplittable files.
+    A blank field is NULL and a quoted blank the empty string: the null marker is a character no
+    text holds, so the two stay apart. ``multiline`` allows line breaks inside quoted values, at
+    the price of unsplittable files.
     """
-    reader = spark.read.options(header=True, escape='"', multiLine=multiline)
+    reader = spark.read.options(
+        header=True, escape='"', nullValue="\u0000", multiLine=multiline
+    )
     if schema is None:
         return reader.option("inferSchema", True).csv(path)
     return reader.schema(schema).csv(path)

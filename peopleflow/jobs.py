@@ -100,17 +100,17 @@ def timing_job(spark: SparkSession, args: argparse.Namespace) -> None:
     """The heavy aggregations, timed without the read of the schema."""
     people = read_json(spark, args.input)
     groupings = {
-        "estado+ocupacion": ["estado", "ocupacion"],
-        "nivel+genero": ["nivel_estudios", "genero"],
+        "estado_ocupacion": ["estado", "ocupacion"],
+        "nivel_genero": ["nivel_estudios", "genero"],
     }
     with timed(f"{spark.conf.get('spark.master')}"):
         for result in (
-            reports.averages_by(people, groupings["estado+ocupacion"], ["ingreso_mensual", "edad"]),
-            reports.count_by(people, *groupings["nivel+genero"]),
+            reports.averages_by(people, groupings["estado_ocupacion"], ["ingreso_mensual", "edad"]),
+            reports.count_by(people, *groupings["nivel_genero"]),
             reports.row_count(people),
         ):
             result.write.format("noop").mode("overwrite").save()
-    show("Groups", reports.group_cardinalities(people, groupings))
+    show("Groups", reports.group_cardinalities(people, **groupings))
     show("Rows", reports.row_count(people))
 
 

@@ -72,9 +72,9 @@ def first_n_complete(
     cut = stage(nth_completion(completions(messages, key, fields, position), n, position), "cut")
     if not cut.isEmpty():
         lead = position[0]
-        at_cut = cut.select(F.struct(*position)).scalar()
-        messages = messages.where(F.col(lead) <= cut.select(lead).scalar())
-        messages = messages.where(F.struct(*position) <= at_cut)
+        # An aggregate, so that it stays a subquery of its own, which a scan can push down.
+        messages = messages.where(F.col(lead) <= cut.agg(F.max(lead)).scalar())
+        messages = messages.where(F.struct(*position) <= cut.select(F.struct(*position)).scalar())
     return merge_fields(messages, key, fields, position)
 
 

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-from functools import reduce
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -56,13 +55,20 @@ def averages_by(df: DataFrame, keys: Sequence[str], values: Sequence[str]) -> Da
     return df.groupBy(*keys).agg(*averages, F.count("*").alias("n"))
 
 
-def group_cardinalities(df: DataFrame, groupings: Mapping[str, Sequence[str]]) -> DataFrame:
-    """(grouping, n_groups): how many groups each grouping has, counted on the executors."""
-    counts = [
-        df.select(*keys).distinct().agg(F.lit(name).alias("grouping"), F.count("*").alias("n_groups"))
+def group_cardinalities(df: DataFrame, **groupings: Sequence[str]) -> DataFrame:
+    """How many groups each grouping has: one row, one column per grouping, one scan.
+
+    Grouping sets bring all groupings through the same shuffle, reduced to their distinct keys
+    before it; the grouping id tells them apart afterwards, also where keys are NULL.
+    """
+    columns = list(dict.fromkeys(name for keys in groupings.values() for name in keys))
+    sets = list({frozenset(keys): list(keys) for keys in groupings.values()}.values())
+    groups = df.groupingSets(sets, *columns).agg(F.grouping_id().alias("id"))
+    ids = {
+        name: sum(2**i for i, column in enumerate(reversed(columns)) if column not in keys)
         for name, keys in groupings.items()
-    ]
-    return reduce(DataFrame.unionByName, counts)
+    }
+    return groups.agg(*[F.count_if(F.col("id") == i).alias(name) for name, i in ids.items()])
 
 
 def run_sql(spark: SparkSession, text: str, **views: DataFrame) -> DataFrame:

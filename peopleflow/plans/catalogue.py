@@ -194,11 +194,11 @@ def count_two_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def group_cardinalities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    groupings = {
-        "estado+ocupacion": ["estado", "ocupacion"],
-        "nivel+genero": ["nivel_estudios", "genero"],
-    }
-    return reports.group_cardinalities(people(spark, sf_dir), groupings)
+    return reports.group_cardinalities(
+        people(spark, sf_dir),
+        estado_ocupacion=["estado", "ocupacion"],
+        nivel_genero=["nivel_estudios", "genero"],
+    )
 
 
 # Messages --------------------------------------------------------------------------------

@@ -30,7 +30,7 @@ def _envelope(messages: DataFrame, sequence: Column, at: Column) -> DataFrame:
     return messages.select(
         "topic",
         F.pmod(sequence, F.lit(3)).cast("int").alias("partition"),
-        F.floor(sequence / 3).cast("bigint").alias("offset"),
+        F.floor(sequence.cast("decimal(20,0)") / 3).cast("bigint").alias("offset"),
         at.alias("timestamp"),
         "value",
     )

@@ -290,10 +290,10 @@ ORACLES: dict[str, str] = {
     "count_two_keys": _over_people("""
         SELECT nivel_estudios, genero, count(*) AS n FROM p GROUP BY nivel_estudios, genero"""),
     "group_cardinalities": _over_people("""
-        SELECT 'estado+ocupacion' AS "grouping", count(*) AS n_groups
-        FROM (SELECT DISTINCT estado, ocupacion FROM p)
-        UNION ALL
-        SELECT 'nivel+genero', count(*) FROM (SELECT DISTINCT nivel_estudios, genero FROM p)"""),
+        SELECT (SELECT count(*) FROM (SELECT DISTINCT estado, ocupacion FROM p))
+                   AS estado_ocupacion,
+               (SELECT count(*) FROM (SELECT DISTINCT nivel_estudios, genero FROM p))
+                   AS nivel_genero"""),
     "parse_json_messages": "SELECT event_id, (props->>'k')::INT AS k FROM events",
     "parse_person_messages": f"""WITH {_people(CUSTOMERS)}, {_people(SUPPLIERS, "s")}
         SELECT id_persona, nombre, apellido, edad, genero, ciudad, estado FROM p

@@ -62,7 +62,7 @@ def insert_statements(
     """
     numbered = number_rows(df, [key], presorted=presorted)
     line = F.concat(F.lit("    ("), row_values(df), F.lit(")"))
-    batch = F.floor((F.col("row_number") - 1) / rows_per_insert).cast("bigint") + 1
+    batch = F.expr(f"(row_number - 1) div {rows_per_insert} + 1")
     head = f"INSERT INTO {table} ({', '.join(df.columns)}) VALUES\n"
     lines = F.transform(F.array_sort(F.col("rows")), lambda row: row["line"])
     return (
@@ -88,10 +88,10 @@ def sql_statements(
     presorted: bool = False,
 ) -> DataFrame:
     """The whole dump as (batch, n_rows, statement); the CREATE TABLE is batch 0."""
-    spark = df.sparkSession
-    create = spark.createDataFrame(
-        [(0, 0, create_table_text(table, sql_types))],
-        "batch bigint, n_rows bigint, statement string",
+    create = df.sparkSession.range(0, 1, 1, 1).select(
+        F.col("id").alias("batch"),
+        F.lit(0).cast("bigint").alias("n_rows"),
+        F.lit(create_table_text(table, sql_types)).alias("statement"),
     )
     inserts = insert_statements(df, table, key, rows_per_insert, presorted)
     return create.unionByName(inserts)

@@ -166,3 +166,14 @@ def test_merge_shuffles_once_and_parses_once(spark, log, tmp_path):
     assert plan.count("Generate json_tuple") == 1
     assert "from_json" not in plan and "Python" not in plan
     assert "partial_max" in plan
+
+
+def test_cut_is_pushed_into_the_second_scan(spark, log, tmp_path):
+    messages = random_messages(300, 40, 7)
+    log(messages).write.parquet(str(tmp_path / "log"))
+    first = first_n_records(spark.read.parquet(str(tmp_path / "log")), 5, THREE, "id")
+    plan = first._jdf.queryExecution().executedPlan().toString()
+    pushed = [line for line in plan.splitlines() if "value" in line and "PushedFilters" in line]
+    assert "timestamp" in pushed[0].split("DataFilters")[1]
+    formatted = first._sc._jvm.PythonSQLUtils.explainString(first._jdf.queryExecution(), "formatted")
+    assert "LessThanOrEqual(timestamp,ScalarSubquery" in formatted

@@ -42,8 +42,11 @@ def test_null_condition_counts_as_unmet(spark):
 
 
 def test_cardinalities_count_the_null_group(spark):
-    rows = reports.group_cardinalities(table(spark), {"k": ["k"], "kx": ["k", "x"]}).collect()
-    assert {r.grouping: r.n_groups for r in rows} == {"k": 3, "kx": 5}
+    counts = reports.group_cardinalities(table(spark), k=["k"], kx=["k", "x"], x=["x"], k2=["k"])
+    assert counts.first().asDict() == {"k": 3, "kx": 5, "x": 5, "k2": 3}
+    assert plan_of(counts).count("Exchange hashpartitioning") == 1
+    none = reports.group_cardinalities(table(spark).limit(0), k=["k"], kx=["k", "x"])
+    assert none.first().asDict() == {"k": 0, "kx": 0}
 
 
 def test_schema_report(spark):

@@ -1,24 +1,25 @@
-"""Reproducible draws: a value depends on (seed, id) only, never on order or partitioning."""
+"""Reproducible draws: a value depends on (seed, id) only, never on order or partitioning.
 
-from __future__ import annotations
+SQL expression text rather than columns: a list of constants is then one expression to parse,
+not one call per constant.
+"""
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from __future__ import annotations
 
 DRAWS_PER_DIGEST = 4  # an md5 text is 32 hex digits, a draw takes 8 of them
 
 
-def digest(seed: int, number: int, key: Column) -> Column:
+def digest(seed: int, number: int, key: str) -> str:
     """The ``number``-th md5 text of one id."""
-    return F.md5(F.concat(F.lit(f"{seed}|{number}|"), key.cast("string")))
+    return f"md5(concat('{seed}|{number}|', cast({key} AS string)))"
 
 
-def draw(digest_text: Column, slot: int) -> Column:
+def draw(digest_column: str, slot: int) -> str:
     """One of the digest's four unsigned 32-bit numbers."""
-    hex_digits = F.substring(digest_text, 8 * slot + 1, 8)
-    return F.conv(hex_digits, 16, 10).cast("bigint")
+    return f"cast(conv(substring({digest_column}, {8 * slot + 1}, 8), 16, 10) AS bigint)"
 
 
-def choose(values: list[str], number: Column) -> Column:
+def choose(values: list[str], number: str) -> str:
     """The entry of a constant list that a draw falls on."""
-    return F.get(F.array(*[F.lit(v) for v in values]), (number % len(values)).cast("int"))
+    entries = ", ".join("'" + value.replace("'", "\\'") + "'" for value in values)
+    return f"get(array({entries}), cast({number} % {len(values)} AS int))"

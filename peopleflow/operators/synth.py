@@ -3,56 +3,53 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from peopleflow import domains as d
 from peopleflow.functions.picks import DRAWS_PER_DIGEST, choose, digest, draw
 from peopleflow.schemas import KEY, PEOPLE_COLUMNS
 
-# Which draw decides which field; genero is drawn first because nombre depends on it.
+# The draws of a person in order; ciudad decides estado, genero which names nombre is from.
 DRAWN_FIELDS = [
     "genero", "nombre", "apellido", "ciudad", "ocupacion", "nivel_estudios", "edad",
     "ingreso_mensual", "activo", "fecha_registro",
 ]
+_AGES = d.MAX_AGE - d.MIN_AGE + 1
+_CENTS = d.MAX_INCOME_CENTS - d.MIN_INCOME_CENTS + 1
+
+# Each column from the draws r_<field>.
+FIELD_SQL = {
+    "id_persona": KEY,
+    "nombre": f"""CASE WHEN r_genero % 2 = {d.GENDERS.index("F")}
+                  THEN {choose(d.FEMALE_NAMES, "r_nombre")}
+                  ELSE {choose(d.MALE_NAMES, "r_nombre")} END""",
+    "apellido": choose(d.SURNAMES, "r_apellido"),
+    "edad": f"cast({d.MIN_AGE} + r_edad % {_AGES} AS int)",
+    "genero": choose(d.GENDERS, "r_genero"),
+    "ciudad": choose([city for city, _ in d.CITIES], "r_ciudad"),
+    "estado": choose([state for _, state in d.CITIES], "r_ciudad"),
+    "ocupacion": choose(d.OCCUPATIONS, "r_ocupacion"),
+    "nivel_estudios": choose(d.EDUCATION, "r_nivel_estudios"),
+    "ingreso_mensual": f"({d.MIN_INCOME_CENTS} + r_ingreso_mensual % {_CENTS}) / 100D",
+    "activo": "r_activo % 2 = 0",
+    "fecha_registro": f"date_add(DATE '{d.FIRST_DAY}', cast(r_fecha_registro % {d.DAYS} AS int))",
+}
 
 
 def people_of(ids: DataFrame, key: str = KEY, seed: int = 42) -> DataFrame:
     """One person per id, in the partition that holds the id; works on streams too."""
     n_digests = -(-len(DRAWN_FIELDS) // DRAWS_PER_DIGEST)
-    digests = ids.select(
-        F.col(key).cast("bigint").alias(KEY),
-        *[digest(seed, i, F.col(key)).alias(f"d{i}") for i in range(n_digests)],
+    digests = ids.selectExpr(
+        f"cast({key} AS bigint) AS {KEY}",
+        *[f"{digest(seed, i, key)} AS d{i}" for i in range(n_digests)],
     )
-    draws = digests.select(
+    draws = digests.selectExpr(
         KEY,
         *[
-            draw(F.col(f"d{i // DRAWS_PER_DIGEST}"), i % DRAWS_PER_DIGEST).alias(f"r_{field}")
+            f"{draw(f'd{i // DRAWS_PER_DIGEST}', i % DRAWS_PER_DIGEST)} AS r_{field}"
             for i, field in enumerate(DRAWN_FIELDS)
         ],
     )
-    r = {field: F.col(f"r_{field}") for field in DRAWN_FIELDS}
-    ages = d.MAX_AGE - d.MIN_AGE + 1
-    cents = d.MAX_INCOME_CENTS - d.MIN_INCOME_CENTS + 1
-    female = r["genero"] % len(d.GENDERS) == d.GENDERS.index("F")
-    fields = {
-        "id_persona": F.col(KEY),
-        "nombre": F.when(female, choose(d.FEMALE_NAMES, r["nombre"])).otherwise(
-            choose(d.MALE_NAMES, r["nombre"])
-        ),
-        "apellido": choose(d.SURNAMES, r["apellido"]),
-        "edad": (d.MIN_AGE + r["edad"] % ages).cast("int"),
-        "genero": choose(d.GENDERS, r["genero"]),
-        "ciudad": choose([city for city, _ in d.CITIES], r["ciudad"]),
-        "estado": choose([state for _, state in d.CITIES], r["ciudad"]),
-        "ocupacion": choose(d.OCCUPATIONS, r["ocupacion"]),
-        "nivel_estudios": choose(d.EDUCATION, r["nivel_estudios"]),
-        "ingreso_mensual": (d.MIN_INCOME_CENTS + r["ingreso_mensual"] % cents) / 100,
-        "activo": r["activo"] % 2 == 0,
-        "fecha_registro": F.date_add(
-            F.lit(d.FIRST_DAY).cast("date"), (r["fecha_registro"] % d.DAYS).cast("int")
-        ),
-    }
-    return draws.select(*[fields[name].alias(name) for name in PEOPLE_COLUMNS])
+    return draws.selectExpr(*[f"{FIELD_SQL[name]} AS {name}" for name in PEOPLE_COLUMNS])
 
 
 def generate_people(

@@ -14,7 +14,7 @@ from peopleflow.schemas import KEY, topic_schema
 from peopleflow.session import new_path
 from peopleflow.sinks import exports, files, sql_dump
 from peopleflow.sources.files import read_csv, read_json
-from peopleflow.sources.topics import stream_replay, write_replay
+from peopleflow.sources.topics import read_replay, stream_replay, write_replay
 from peopleflow.streaming import generate, live, progress, sinks
 from peopleflow.streaming.merge import merged_records, start_merge
 
@@ -218,8 +218,15 @@ def fanout_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return messages.fanout(people(spark, sf_dir), keep=[KEY])
 
 
+def _stored(spark: SparkSession, log: DataFrame) -> DataFrame:
+    """A log that is read more than once, written first."""
+    path = new_path(spark, "log")
+    write_replay(log, path, by_topic=True)
+    return read_replay(spark, path)
+
+
 def topics_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return merge.join_topics(inputs.whole_message_log(spark, sf_dir))
+    return merge.join_topics(_stored(spark, inputs.whole_message_log(spark, sf_dir)))
 
 
 def merge_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -250,7 +257,8 @@ def completion_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def first_n_people(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return completion.first_n_records(inputs.full_log(spark, sf_dir), FIRST_N_PEOPLE)
+    log = _stored(spark, inputs.full_log(spark, sf_dir))
+    return completion.first_n_records(log, FIRST_N_PEOPLE)
 
 
 def topic_counters(spark: SparkSession, sf_dir: str) -> DataFrame:

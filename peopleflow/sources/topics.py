@@ -51,18 +51,22 @@ def stream_topics(
     return _log_columns(spark.readStream.format("kafka").options(**options).load())
 
 
-def write_replay(log: DataFrame, path: str, files: int | None = None) -> None:
+def write_replay(
+    log: DataFrame, path: str, files: int | None = None, by_topic: bool = False
+) -> None:
     """Store a topic log for replay.
 
     ``files`` asks for that many files, which `stream_replay` can read one per micro-batch;
-    without it the log is written as it is partitioned.
+    without it the log is written as it is partitioned. ``by_topic`` makes a folder per topic, so
+    that reading one topic skips the others.
     """
-    (log.repartition(files) if files else log).write.mode("append").parquet(path)
+    writer = (log.repartition(files) if files else log).write.mode("append")
+    (writer.partitionBy("topic") if by_topic else writer).parquet(path)
 
 
 def read_replay(spark: SparkSession, path: str) -> DataFrame:
     """A stored topic log as one table."""
-    return spark.read.parquet(path)
+    return spark.read.parquet(path).select(*LOG_SCHEMA.names)
 
 
 def stream_replay(

@@ -1,7 +1,7 @@
 """Times the registered queries on one machine and prints one JSON line.
 
-Settings: BENCH_SF_DIR (table folder), BENCH_CPUS (cores), BENCH_RUNS (timed runs per query, the
-median counts), BENCH_QUERIES (comma-separated names; default all).
+Settings: BENCH_SF_DIR (table folder), BENCH_CPUS (cores), BENCH_RUNS (most timed runs per query,
+the median counts; slow queries get fewer), BENCH_QUERIES (comma-separated names; default all).
 """
 
 from __future__ import annotations
@@ -12,10 +12,21 @@ import statistics
 import sys
 import time
 
+from pyspark.sql import SparkSession
+
 from peopleflow.plans.catalogue import QUERIES
 from peopleflow.session import build_session, drop_staged
 
 
+ENOUGH_SECONDS = 2.0
+
+
+def run_once(spark: SparkSession, name: str, folder: str) -> float:
+    start = time.perf_counter()
+    QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
+    return time.perf_counter() - start
+
+
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cores = os.environ.get("BENCH_CPUS", "8")
@@ -31,11 +42,9 @@ def main() -> None:
     seconds = {}
     for name in names:
         taken = []
-        for run in range(runs + 1):  # the first run warms up and is not counted
-            start = time.perf_counter()
-            QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
-            if run or runs == 0:
-                taken.append(time.perf_counter() - start)
+        run_once(spark, name, folder)  # warm up
+        while len(taken) < runs and sum(taken) < ENOUGH_SECONDS:
+            taken.append(run_once(spark, name, folder))
         seconds[name] = round(statistics.median(taken), 4)
         print(f"{name} {seconds[name]}", file=sys.stderr)
     drop_staged(spark)

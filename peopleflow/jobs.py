@@ -118,7 +118,7 @@ def live_job(spark: SparkSession, args: argparse.Namespace) -> None:
     """People per state on the console, as messages arrive."""
     log = _log_stream(spark, args, ["personas"], "latest")
     report = live.live_people_by_state(log, args.drop_malformed)
-    start_console(report, args.every or None).awaitTermination()
+    start_console(live.ranked(report, "estado"), args.every or None).awaitTermination()
 
 
 def generate_job(spark: SparkSession, args: argparse.Namespace) -> None:

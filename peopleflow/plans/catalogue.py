@@ -77,6 +77,13 @@ def export_size_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exports.export_people(people(spark, sf_dir), new_path(spark, "export"))
 
 
+def consume_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merge the topics, export the records, and read the exported JSON back."""
+    folder = new_path(spark, "export")
+    exports.export_people(merge.merge_messages(inputs.full_log(spark, sf_dir)), folder)
+    return read_json(spark, f"{folder}/personas.json")
+
+
 def sql_literal_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sql_dump.literal_rows(people(spark, sf_dir))
 
@@ -299,7 +306,8 @@ def _snapshot(spark: SparkSession, result: DataFrame) -> DataFrame:
 
 def live_count_by_group(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = stream_replay(spark, sf_dir, glob="events.parquet")
-    return _snapshot(spark, live.live_counts(events, "event_type", "value"))
+    counts = live.live_counts(events, "event_type", "value")
+    return _snapshot(spark, live.ranked(counts, "event_type"))
 
 
 def live_count_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -323,6 +331,13 @@ def stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merged_records(spark, path)
 
 
+def stream_input_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    batches = stream_progress(spark, sf_dir).where("input_rows > 0")
+    return batches.agg(
+        F.count("*").alias("batches"), F.sum("input_rows").alias("input_rows")
+    )
+
+
 def stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, checkpoint = new_path(spark, "live"), new_path(spark, "checkpoint")
     log = _replayed(spark, inputs.people_log(spark, sf_dir))
@@ -363,6 +378,7 @@ QUERIES: dict[str, Query] = {
         schema_report,
         preview_rows,
         export_size_report,
+        consume_export,
         sql_literal_rows,
         sql_literal_parts,
         sql_export_batches,
@@ -404,6 +420,7 @@ QUERIES: dict[str, Query] = {
         stream_merge_complete,
         stream_resume,
         stream_progress,
+        stream_input_rows,
         synth_people,
         synth_resume,
         synth_stream,

@@ -242,6 +242,7 @@ ORACLES: dict[str, str] = {
     "scan_csv_documents": "SELECT * FROM documents",
     "schema_report": SCHEMAS,
     "preview_rows": "SELECT * FROM orders ORDER BY o_orderkey LIMIT 5",
+    "consume_export": MERGED,
     "sql_literal_rows": _over_people(f"SELECT id_persona, {SQL_VALUES} AS sql_values FROM p"),
     "sql_literal_parts": f"SELECT p_partkey, {PART_VALUES} AS sql_values FROM part",
     "sql_export_batches": SQL_BATCHES,
@@ -332,6 +333,8 @@ ORACLES: dict[str, str] = {
         SELECT estado, count(*) AS n, {_rounded_average("edad", 1)} AS avg_edad FROM sent GROUP BY estado""",
     "stream_merge_complete": MERGED,
     "stream_resume": MERGED,
+    "stream_input_rows": f"""
+        SELECT {c.REPLAY_FILES}::BIGINT AS batches, 3 * count(*) AS input_rows FROM customer""",
     "synth_people": PEOPLE,
     "synth_resume": PEOPLE,
     "synth_stream": FANOUT,

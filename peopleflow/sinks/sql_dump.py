@@ -6,6 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from peopleflow.functions.sql_text import sql_literal
 from peopleflow.operators.numbering import number_rows
@@ -37,15 +38,14 @@ def create_table_text(table: str, sql_types: Mapping[str, str]) -> str:
     return f"CREATE TABLE IF NOT EXISTS {table} (\n{columns}\n);\n"
 
 
-def row_values(df: DataFrame) -> Column:
+def row_values(schema: StructType) -> Column:
     """All columns of a row as one comma-separated list of SQL literals."""
-    literals = [sql_literal(F.col(field.name), field.dataType) for field in df.schema]
-    return F.concat_ws(", ", *literals)
+    return F.concat_ws(", ", *[sql_literal(F.col(f.name), f.dataType) for f in schema])
 
 
 def literal_rows(df: DataFrame, key: str = KEY) -> DataFrame:
     """(key, SQL value list) per row."""
-    return df.select(key, row_values(df).alias("sql_values"))
+    return df.select(key, row_values(df.schema).alias("sql_values"))
 
 
 def insert_statements(
@@ -58,16 +58,18 @@ def insert_statements(
     """(batch, n_rows, statement), batches counted from 1 in key order, sorted by batch.
 
     A group is one statement, so it never holds more than ``rows_per_insert`` rows. The
-    range shuffle by batch number is also the grouping's partitioning: no second shuffle.
+    range shuffle by batch number is also the grouping's partitioning: no second shuffle. It
+    moves typed columns; the longer text is made after it.
     """
     numbered = number_rows(df, [key], presorted=presorted)
-    line = F.concat(F.lit("    ("), row_values(df), F.lit(")"))
+    line = F.concat(F.lit("    ("), row_values(df.schema), F.lit(")"))
     batch = F.expr(f"(row_number - 1) div {rows_per_insert} + 1")
     head = f"INSERT INTO {table} ({', '.join(df.columns)}) VALUES\n"
     lines = F.transform(F.array_sort(F.col("rows")), lambda row: row["line"])
     return (
-        numbered.select(batch.alias("batch"), "row_number", line.alias("line"))
-        .repartitionByRange("batch")
+        numbered.select(batch.alias("_batch"), "*")
+        .repartitionByRange("_batch")
+        .select(F.col("_batch").alias("batch"), "row_number", line.alias("line"))
         .groupBy("batch")
         .agg(F.collect_list(F.struct("row_number", "line")).alias("rows"))
         .select(

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.errors import AnalysisException
 
 from peopleflow.operators.merge import merge_messages
 from peopleflow.operators.synth import generate_people
@@ -74,8 +75,15 @@ def test_live_report_equals_batch(spark, replay, tmp_path, per_trigger):
     assert rows(snapshot) == rows(live.live_people_by_state(read_replay(spark, replay)))
 
 
+def test_sorted_stream_needs_complete_mode(spark, replay, tmp_path):
+    counts = live.ranked(live.live_people_by_state(stream_replay(spark, replay)), "estado")
+    with pytest.raises(AnalysisException):
+        sinks.start_versions(counts, str(tmp_path / "o"), str(tmp_path / "cp"), "update")
+
+
 def test_console_report_runs(spark, replay):
-    query = sinks.start_console(live.live_people_by_state(stream_replay(spark, replay)), every=None)
+    counts = live.live_people_by_state(stream_replay(spark, replay))
+    query = sinks.start_console(live.ranked(counts, "estado"), every=None)
     query.awaitTermination()
     assert query.exception() is None
 

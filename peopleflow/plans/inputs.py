@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
-from peopleflow.functions.json_text import object_text
 from peopleflow.operators.messages import fanout
 from peopleflow.operators.synth import people_of
 from peopleflow.schemas import KEY, LOG_SCHEMA, TOPIC_FIELDS
@@ -15,81 +14,84 @@ from peopleflow.schemas import KEY, LOG_SCHEMA, TOPIC_FIELDS
 EVENT_TYPES = ["view", "signup", "error", "click", "purchase"]
 
 
+_schemas: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """One of the given tables; its schema is read from the file once per process."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def people(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One generated person per customer."""
-    ids = table(spark, sf_dir, "customer").select((F.col("c_custkey") + 1).alias(KEY))
-    return people_of(ids)
+    return people_of(table(spark, sf_dir, "customer").selectExpr(f"c_custkey + 1 AS {KEY}"))
 
 
-def _envelope(messages: DataFrame, sequence: Column, at: Column) -> DataFrame:
+def _envelope(messages: DataFrame, sequence: str, at: str) -> DataFrame:
     """Give (topic, value) messages the columns of a topic log with three partitions."""
-    return messages.select(
+    return messages.selectExpr(
         "topic",
-        F.pmod(sequence, F.lit(3)).cast("int").alias("partition"),
-        F.floor(sequence.cast("decimal(20,0)") / 3).cast("bigint").alias("offset"),
-        at.alias("timestamp"),
+        f"cast(pmod({sequence}, 3) AS int) AS partition",
+        f"{sequence} div 3 AS offset",
+        f"{at} AS timestamp",
         "value",
     )
 
 
-def _seconds_after(day: str, seconds: Column) -> Column:
-    start = F.lit(f"{day} 00:00:00").cast("timestamp_ntz")
-    return start + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds.cast("decimal(18,6)"))
+def _seconds_after(day: str, seconds: str) -> str:
+    return f"TIMESTAMP_NTZ '{day} 00:00:00' + make_dt_interval(0, 0, 0, {seconds})"
+
+
+def _object(**fields: str) -> str:
+    pairs = ", ".join(f"'{name}', {value}" for name, value in fields.items())
+    return f"to_json(named_struct({pairs}), map('ignoreNullFields', 'false')) AS value"
 
 
 def people_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every person's three messages, sent once."""
     sent = fanout(people(spark, sf_dir), keep=[KEY])
-    return _envelope(sent, F.col(KEY), _seconds_after("1990-01-01", F.col(KEY)))
+    return _envelope(sent, KEY, _seconds_after("1990-01-01", KEY))
 
 
 def activity_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A whole activity message per order of the customer, at the order's date."""
-    sent = table(spark, sf_dir, "orders").select(
-        "o_orderkey",
-        "o_orderdate",
-        F.lit("actividad").alias("topic"),
-        object_text(
-            (F.col("o_custkey") + 1).alias(KEY),
-            (F.col("o_orderstatus") != "F").alias("activo"),
-            F.col("o_orderdate").cast("date").alias("fecha_registro"),
-        ).alias("value"),
+    value = _object(
+        id_persona="o_custkey + 1",
+        activo="o_orderstatus <> 'F'",
+        fecha_registro="cast(o_orderdate AS date)",
     )
-    return _envelope(sent, F.col("o_orderkey"), F.col("o_orderdate"))
+    orders = table(spark, sf_dir, "orders")
+    sent = orders.selectExpr("o_orderkey", "o_orderdate", "'actividad' AS topic", value)
+    return _envelope(sent, "o_orderkey", "o_orderdate")
 
 
 def income_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A partial job message per order: the income alone, an explicit null while pending."""
-    price = F.when(F.col("o_orderstatus") != "P", F.col("o_totalprice"))
-    sent = table(spark, sf_dir, "orders").select(
-        "o_orderkey",
-        "o_orderdate",
-        F.lit("empleos").alias("topic"),
-        object_text(
-            (F.col("o_custkey") + 1).alias(KEY), price.alias("ingreso_mensual")
-        ).alias("value"),
+    value = _object(
+        id_persona="o_custkey + 1",
+        ingreso_mensual="CASE WHEN o_orderstatus <> 'P' THEN o_totalprice END",
     )
-    return _envelope(sent, F.col("o_orderkey"), F.col("o_orderdate"))
+    orders = table(spark, sf_dir, "orders")
+    sent = orders.selectExpr("o_orderkey", "o_orderdate", "'empleos' AS topic", value)
+    return _envelope(sent, "o_orderkey", "o_orderdate")
 
 
 def supplier_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Suppliers under negative ids; they never send activity, so they stay incomplete."""
-    ids = table(spark, sf_dir, "supplier").select((-F.col("s_suppkey") - 1).alias(KEY))
+    ids = table(spark, sf_dir, "supplier").selectExpr(f"-s_suppkey - 1 AS {KEY}")
     topics = {topic: TOPIC_FIELDS[topic] for topic in ("personas", "empleos")}
     sent = fanout(people_of(ids), topics, keep=[KEY])
-    return _envelope(sent, -F.col(KEY), _seconds_after("1989-01-01", -F.col(KEY)))
+    return _envelope(sent, f"(-{KEY})", _seconds_after("1989-01-01", f"-{KEY}"))
 
 
 def noise_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages on the personas topic that are no JSON: the part names."""
-    sent = table(spark, sf_dir, "part").select(
-        "p_partkey", F.lit("personas").alias("topic"), F.col("p_name").alias("value")
-    )
-    return _envelope(sent, F.col("p_partkey"), _seconds_after("1988-01-01", F.col("p_partkey")))
+    parts = table(spark, sf_dir, "part")
+    sent = parts.selectExpr("p_partkey", "'personas' AS topic", "p_name AS value")
+    return _envelope(sent, "p_partkey", _seconds_after("1988-01-01", "p_partkey"))
 
 
 def _union(*logs: DataFrame) -> DataFrame:

@@ -15,8 +15,12 @@ def topic_options(
     starting: str = "earliest",
     ending: str | None = None,
     max_per_trigger: int | None = None,
+    **extra: str,
 ) -> dict[str, str]:
-    """Options of the Kafka source. ``ending`` is for batch reads only."""
+    """Options of the Kafka source. ``ending`` is for batch reads only.
+
+    Further options go through as they are; write ``kafka__security__protocol`` for dotted names.
+    """
     options = {
         "kafka.bootstrap.servers": brokers,
         "subscribe": ",".join(topics),
@@ -26,16 +30,18 @@ def topic_options(
         options["endingOffsets"] = ending
     if max_per_trigger is not None:
         options["maxOffsetsPerTrigger"] = str(max_per_trigger)
-    return options
+    return options | {name.replace("__", "."): value for name, value in extra.items()}
 
 
 def _log_columns(df: DataFrame) -> DataFrame:
     return df.withColumn("value", df["value"].cast("string")).select(*LOG_SCHEMA.names)
 
 
-def read_topics(spark: SparkSession, brokers: str, topics: Sequence[str]) -> DataFrame:
+def read_topics(
+    spark: SparkSession, brokers: str, topics: Sequence[str], **extra: str
+) -> DataFrame:
     """All messages now on the topics. Commits nothing, so other readers are not disturbed."""
-    options = topic_options(brokers, topics, "earliest", "latest")
+    options = topic_options(brokers, topics, "earliest", "latest", **extra)
     return _log_columns(spark.read.format("kafka").options(**options).load())
 
 
@@ -45,9 +51,10 @@ def stream_topics(
     topics: Sequence[str],
     starting: str = "latest",
     max_per_trigger: int | None = None,
+    **extra: str,
 ) -> DataFrame:
     """Messages as they arrive. ``starting`` counts for the first run of a checkpoint only."""
-    options = topic_options(brokers, topics, starting, max_per_trigger=max_per_trigger)
+    options = topic_options(brokers, topics, starting, max_per_trigger=max_per_trigger, **extra)
     return _log_columns(spark.readStream.format("kafka").options(**options).load())
 
 

@@ -116,7 +116,8 @@ def test_kafka_options():
         "startingOffsets": "latest",
         "maxOffsetsPerTrigger": "7",
     }
-    assert topic_options("b", ["x"], ending="latest")["endingOffsets"] == "latest"
+    batch = topic_options("b", ["x"], ending="latest", kafka__security__protocol="SSL")
+    assert batch["endingOffsets"] == "latest" and batch["kafka.security.protocol"] == "SSL"
 
 
 def test_kafka_needs_its_connector(spark):

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -48,6 +48,23 @@ def literal_rows(df: DataFrame, key: str = KEY) -> DataFrame:
     return df.select(key, row_values(df.schema).alias("sql_values"))
 
 
+def _insert_head(table: str, columns: Sequence[str]) -> str:
+    return f"INSERT INTO {table} ({', '.join(columns)}) VALUES\n"
+
+
+def _line(schema: StructType) -> Column:
+    return F.concat(F.lit("    ("), row_values(schema), F.lit(")"))
+
+
+def _by_batch(numbered: DataFrame, rows_per_insert: int) -> DataFrame:
+    """Numbered rows with their ``batch``, whole batches together in key order.
+
+    Typed columns are shuffled; the longer text is made afterwards.
+    """
+    batch = F.expr(f"(row_number - 1) div {rows_per_insert} + 1")
+    return numbered.withColumn("batch", batch).repartitionByRange("batch")
+
+
 def insert_statements(
     df: DataFrame,
     table: str,
@@ -58,24 +75,19 @@ def insert_statements(
     """(batch, n_rows, statement), batches counted from 1 in key order, sorted by batch.
 
     A group is one statement, so it never holds more than ``rows_per_insert`` rows. The
-    range shuffle by batch number is also the grouping's partitioning: no second shuffle. It
-    moves typed columns; the longer text is made after it.
+    range shuffle by batch number is also the grouping's partitioning: no second shuffle.
     """
-    numbered = number_rows(df, [key], presorted=presorted)
-    line = F.concat(F.lit("    ("), row_values(df.schema), F.lit(")"))
-    batch = F.expr(f"(row_number - 1) div {rows_per_insert} + 1")
-    head = f"INSERT INTO {table} ({', '.join(df.columns)}) VALUES\n"
-    lines = F.transform(F.array_sort(F.col("rows")), lambda row: row["line"])
+    lines = F.sort_array("rows").getField("line")  # by row number, the first of the pair
+    statement = F.concat(
+        F.lit(_insert_head(table, df.columns)), F.array_join(lines, ",\n"), F.lit(";\n")
+    )
     return (
-        numbered.select(batch.alias("_batch"), "*")
-        .repartitionByRange("_batch")
-        .select(F.col("_batch").alias("batch"), "row_number", line.alias("line"))
+        _by_batch(number_rows(df, [key], presorted=presorted), rows_per_insert)
+        .select("batch", "row_number", _line(df.schema).alias("line"))
         .groupBy("batch")
         .agg(F.collect_list(F.struct("row_number", "line")).alias("rows"))
         .select(
-            "batch",
-            F.size("rows").cast("bigint").alias("n_rows"),
-            F.concat(F.lit(head), F.array_join(lines, ",\n"), F.lit(";\n")).alias("statement"),
+            "batch", F.size("rows").cast("bigint").alias("n_rows"), statement.alias("statement")
         )
         .sortWithinPartitions("batch")
     )
@@ -99,6 +111,38 @@ def sql_statements(
     return create.unionByName(inserts)
 
 
+def script_lines(
+    df: DataFrame,
+    table: str = "personas",
+    key: str = KEY,
+    sql_types: Mapping[str, str] = PEOPLE_SQL_TYPES,
+    rows_per_insert: int = ROWS_PER_INSERT,
+    presorted: bool = False,
+) -> DataFrame:
+    """The same dump as text rows in script order, one per table row.
+
+    A row knows from its number whether it opens or closes a statement, so nothing is grouped.
+    """
+    numbered = number_rows(df, [key], presorted=presorted)
+    rows = _by_batch(numbered, rows_per_insert).sortWithinPartitions("row_number")
+    total = numbered.agg(F.max("row_number")).scalar()
+    number = F.col("row_number")
+    opens = number % rows_per_insert == F.lit(1 % rows_per_insert)
+    closes = (number % rows_per_insert == 0) | (number == total)
+    text = F.concat(
+        F.when(opens, F.lit(_insert_head(table, df.columns))).otherwise(F.lit("")),
+        _line(df.schema),
+        F.when(closes, F.lit(";\n")).otherwise(F.lit(",")),
+    )
+    create = df.sparkSession.range(0, 1, 1, 1).select(
+        F.lit(create_table_text(table, sql_types)).alias("value")
+    )
+    return create.unionByName(rows.select(text.alias("value")))
+
+
 def write_sql(df: DataFrame, path: str, mode: str = "errorifexists", **options) -> None:
-    """Write the dump as a folder of text files; read in file order it is one script."""
-    sql_statements(df, **options).select("statement").write.mode(mode).text(path)
+    """Write the dump as a folder of text files; read in file order it is one script.
+
+    No statement is split between files.
+    """
+    script_lines(df, **options).write.mode(mode).text(path)

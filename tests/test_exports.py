@@ -105,6 +105,16 @@ def test_script_is_in_key_order(spark, tmp_path):
     assert [int(x.split(",")[0].strip(" (")) for x in lines] == list(range(1, 1101))
 
 
+@pytest.mark.parametrize("rows, per_insert", [(0, 500), (1, 500), (500, 500), (1234, 500), (7, 1), (7, 3)])
+def test_script_is_its_statements(spark, tmp_path, rows, per_insert):
+    people = generate_people(spark, rows)
+    write_sql(people, str(tmp_path / "sql"), rows_per_insert=per_insert)
+    statements = sql_statements(people, rows_per_insert=per_insert).orderBy("batch").collect()
+    assert text_of(tmp_path / "sql") == "".join(s.statement + "\n" for s in statements)
+    for part in (tmp_path / "sql").glob("part-*"):
+        assert not part.read_text() or part.read_text().endswith(";\n\n")
+
+
 def test_statements_are_grouped_without_a_second_shuffle(spark):
     plan = plan_of(insert_statements(generate_people(spark, 10), "t"))
     assert plan.count("Exchange rangepartitioning") == 1

@@ -7,16 +7,29 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from peopleflow.llm.bpe import op1_bpe_round_trip
+from peopleflow.llm.exact_dedup import OP3_SQL, op3_exact_dedup
 from peopleflow.llm.packing import op6_best_fit_packing
+from peopleflow.llm.quality import OP9_SQL, op9_quality_rules
+from peopleflow.llm.secret_scan import op4_secret_scan
 from peopleflow.llm.token_counts import op2_token_counts
+from peopleflow.llm.toxicity import op10_toxicity
+from peopleflow.llm.url_filter import op7_url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_bpe_round_trip,
         op2_token_counts,
+        op3_exact_dedup,
+        op4_secret_scan,
         op6_best_fit_packing,
+        op7_url_filter,
+        op9_quality_rules,
+        op10_toxicity,
     )
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op3_exact_dedup": OP3_SQL,
+    "op9_quality_rules": OP9_SQL,
+}

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -33,6 +36,26 @@ class Memo(dict):
         return value
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give this package to the Python workers of all executors, once for an application."""
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    archive = os.path.join(tempfile.mkdtemp(prefix="code-"), "peopleflow.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for folder, _, names in os.walk(package):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.relpath(path, os.path.dirname(package)))
+    spark.sparkContext.addPyFile(archive)
+    _shipped.add(app)
+
+
 def documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet")
 
@@ -64,6 +87,7 @@ def add_columns(
             columns = list(batch.columns[:-1]) + made
             yield pa.RecordBatch.from_arrays(columns, names=carried + [f.name for f in added])
 
+    ship(df.sparkSession)
     return kept.mapInArrow(run, schema)
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from peopleflow.llm.common import MEMO_ENTRIES, SHORT, add_columns, as_list, documents
+from peopleflow.llm.common import MEMO_ENTRIES, SHORT, add_columns, as_list, documents, ship
 from peopleflow.llm.pretokens import chunks
 from peopleflow.session import stage
 
@@ -212,6 +212,7 @@ def pack(pieces: DataFrame, length: str = "length", capacity: int = CAPACITY, ro
         tokens, n = df.agg(F.sum(length), F.count(F.lit(1))).first()
         return max(1, -(-(tokens or 0) // TASK_TOKENS), -(-n // TASK_PIECES))
 
+    ship(rows.sparkSession)
     rows = stage(rows, "pieces")
     tasks = tasks_for(rows)
     dealt = rows.withColumn("__task", F.pmod(F.xxhash64(*rows.columns), F.lit(tasks)).cast("int"))

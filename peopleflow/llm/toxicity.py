@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from peopleflow.llm.common import MEMO_ENTRIES, add_columns, as_list, documents
+from peopleflow.llm.common import MEMO_ENTRIES, add_columns, as_list, documents, ship
 from peopleflow.session import stage
 
 #: Symbols: 0 for the border of a word, 1 to 26 for a to z, the rest for other letters.
@@ -99,6 +99,7 @@ def count_ngrams(rows: DataFrame, text: str, label: str) -> DataFrame:
                 names=["ngram", "ordinary", "toxic"],
             )
 
+    ship(rows.sparkSession)
     chosen = rows.select(text, F.when(F.col(label) > 0, 1).otherwise(0).alias("label"))
     parts = chosen.mapInArrow(count, "ngram int, ordinary bigint, toxic bigint")
     return parts.groupBy("ngram").agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic"))

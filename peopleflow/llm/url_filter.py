@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from peopleflow.llm.common import add_columns, as_list, lower_ascii
+from peopleflow.llm.common import add_columns, as_list, lower_ascii, ship
 
 #: The rules of the query: verdict and host/path.
 RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from peopleflow.llm.bpe import op1_bpe_round_trip
 from peopleflow.llm.exact_dedup import OP3_SQL, op3_exact_dedup
+from peopleflow.llm.minhash import OP5_SQL, op5_minhash_near_dedup
 from peopleflow.llm.packing import op6_best_fit_packing
 from peopleflow.llm.quality import OP9_SQL, op9_quality_rules
 from peopleflow.llm.secret_scan import op4_secret_scan
@@ -22,6 +23,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op2_token_counts,
         op3_exact_dedup,
         op4_secret_scan,
+        op5_minhash_near_dedup,
         op6_best_fit_packing,
         op7_url_filter,
         op9_quality_rules,
@@ -31,5 +33,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLES: dict[str, str] = {
     "op3_exact_dedup": OP3_SQL,
+    "op5_minhash_near_dedup": OP5_SQL,
     "op9_quality_rules": OP9_SQL,
 }

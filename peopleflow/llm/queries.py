@@ -11,6 +11,7 @@ from peopleflow.llm.exact_dedup import OP3_SQL, op3_exact_dedup
 from peopleflow.llm.minhash import OP5_SQL, op5_minhash_near_dedup
 from peopleflow.llm.packing import op6_best_fit_packing
 from peopleflow.llm.quality import OP9_SQL, op9_quality_rules
+from peopleflow.llm.repeats import op8_repeated_strings
 from peopleflow.llm.secret_scan import op4_secret_scan
 from peopleflow.llm.token_counts import op2_token_counts
 from peopleflow.llm.toxicity import op10_toxicity
@@ -26,6 +27,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op5_minhash_near_dedup,
         op6_best_fit_packing,
         op7_url_filter,
+        op8_repeated_strings,
         op9_quality_rules,
         op10_toxicity,
     )

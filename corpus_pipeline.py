@@ -3,20 +3,62 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from peopleflow.llm import toxicity
+from peopleflow.llm.exact_dedup import distinct_texts
+from peopleflow.llm.minhash import near_duplicates
+from peopleflow.llm.packing import cut_pieces, pack
+from peopleflow.llm.secret_scan import scan
 from peopleflow.session import new_path
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Drop documents that the toxicity model rejects; it learns from the labels of the folder."""
+    labels = spark.read.parquet(f"{folder}/labels.parquet").select("doc_id", "toxic")
+    scored = toxicity.score(docs, toxicity.fit(docs, labels), out="__toxicity")
+    return scored.filter(F.col("__toxicity") < toxicity.THRESHOLD).select(*_names(docs))
+
+
+def drop_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Keep the document with the largest id of equal texts."""
+    return distinct_texts(docs)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Keep the document with the smallest id of each component of near-equal texts."""
+    kept = near_duplicates(docs).filter("kept").select(F.col("doc_id").alias("__id")).distinct()
+    return docs.join(kept.hint("merge"), F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
+
+
+def hide_secrets(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Replace secrets inside the texts; ``n_chars`` follows where a text has changed."""
+    scanned = scan(docs, findings="__findings", masked="__masked")
+    changed = {"text": F.col("__masked").alias("text")}
+    if "n_chars" in docs.columns:
+        length = F.length("__masked").cast(docs.schema["n_chars"].dataType)
+        changed["n_chars"] = F.when(F.size("__findings") > 0, length).otherwise(F.col("n_chars")).alias("n_chars")
+    return scanned.select(*[changed.get(c, F.col(f"`{c}`")) for c in docs.columns])
+
+
 def pack_sequences(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Place the tokens of all remaining documents in sequences."""
-    from peopleflow.llm.packing import cut_pieces, pack
-
     return pack(cut_pieces(docs))
 
 
-STAGES = [("packing", pack_sequences)]
+def _names(docs: DataFrame) -> list:
+    return [F.col(f"`{c}`") for c in docs.columns]
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("exact_dedup", drop_copies),
+    ("near_dedup", drop_near_copies),
+    ("secrets", hide_secrets),
+    ("packing", pack_sequences),
+]
 
-#: Its stages learn models and pack; SQL cannot express them.
+#: Its stages learn a model and pack; SQL cannot express them.
 ORACLE_SQL = None
 
 

@@ -111,17 +111,20 @@ class Filter:
         self.bits = bits
 
     def holds(self, found: np.ndarray) -> np.ndarray:
-        at = found >> np.uint64(64 - FILTER_BITS)
+        at = mix(found) >> np.uint64(64 - FILTER_BITS)
         return (self.bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 > 0
 
 
 def make_filter(found: DataFrame, column: str) -> Broadcast:
-    """A filter of a column of hashes: every segment of its bits is made in one task, and sent packed."""
+    """A filter of a column of hashes: every segment of its bits is made in one task, and sent packed.
+
+    Hashes are mixed again, since triggers are minima and so crowd among the small numbers.
+    """
     size = 1 << FILTER_BITS - SEGMENT_BITS
 
     def bits(batches):
         for batch in batches:
-            at = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64) >> np.uint64(64 - FILTER_BITS)
+            at = mix(batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)) >> np.uint64(64 - FILTER_BITS)
             segments = (at >> np.uint64(FILTER_BITS - SEGMENT_BITS)).astype(np.int64)
             for segment in np.unique(segments).tolist():
                 own = np.zeros(size, bool)
@@ -141,8 +144,7 @@ def make_filter(found: DataFrame, column: str) -> Broadcast:
 
     spark, schema = found.sparkSession, "segment bigint, bits binary"
     ship(spark)
-    by_segment = F.shiftrightunsigned(column, 64 - SEGMENT_BITS)
-    rows = found.select(column).repartition(1 << SEGMENT_BITS, by_segment).mapInArrow(bits, schema)
+    rows = found.select(column).mapInArrow(bits, schema)
     rows = rows.repartition(1 << SEGMENT_BITS, "segment").sortWithinPartitions("segment").mapInArrow(join, schema)
     whole = np.zeros((1 << SEGMENT_BITS, size // 8), np.uint8)
     for row in rows.toLocalIterator():

@@ -180,12 +180,11 @@ def pairs_in(table: pa.Table, best: bool) -> Iterator[tuple[int, int]]:
 
 
 def confirmed(docs: DataFrame, sets: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Those of ``pairs`` (``a, b``) whose full sets are similar enough.
+    """Those of ``pairs`` (``a, b``; a written table) whose full sets are similar enough.
 
     The texts of a's partners meet a's text in blocks of some PARTNERS, so an ``a`` with any number
     of partners is spread. A text is taken for a set only if it gives that set.
     """
-    pairs = stage(pairs, "pairs")
     sizes = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / PARTNERS).cast("int").alias("blocks"))
     sizes = stage(sizes, "sizes")
     dealt = pairs.join(sizes, "a").select(
@@ -259,13 +258,7 @@ def unresolved(sets: DataFrame, crowded: DataFrame, labels: DataFrame, best: boo
 
     def estimate(batches):
         for table in runs(batches, ["bucket", "x", "y"]):
-            if table["y"][0].as_py() < 0 and not (table["role"].to_numpy() == 0).any():
-                continue
-            if table["y"][0].as_py() < 0:
-                found = [p for p in pairs_in(table, best) if p]
-            else:
-                found = list(pairs_in(table, best))
-            found = sorted({(min(p), max(p)) for p in found})
+            found = sorted({(min(p), max(p)) for p in pairs_in(table, best)})
             yield pa.RecordBatch.from_arrays(
                 [pa.array([p[k] for p in found], pa.int64()) for k in (0, 1)], names=["a", "b"]
             )
@@ -306,11 +299,16 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     )
     likely = stage(stars, "stars").join(one, "a").join(two, "b").filter(may_link(F.col("sa"), F.col("sb")))
     labels = stage(first.select("node", F.col("node").alias("label")), "labels")
-    labels = components(labels, confirmed(docs, sets, likely.select("a", "b")))
-    crowded = crowded.filter("size > 2")
-    for best in (True, False):
-        left = unresolved(sets, crowded, labels, best)
-        labels = components(labels, confirmed(docs, sets, left))
+    left, crowded = stage(likely.select("a", "b"), "pairs"), crowded.filter("size > 2")
+    for best in (True, False, None):
+        # Where nothing is left to compare, later steps have nothing to add.
+        if left.isEmpty():
+            break
+        links = confirmed(docs, sets, left)
+        if not links.isEmpty():
+            labels = components(labels, links)
+        if best is not None:
+            left = stage(unresolved(sets, crowded, labels, best), "pairs")
     smallest = labels.join(first, "node")
     smallest = stage(smallest.groupBy("label").agg(F.min("doc_id").alias("component_id")), "smallest")
     named = stage(labels.join(smallest, "label").select("node", "component_id"), "components")

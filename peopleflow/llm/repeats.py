@@ -167,6 +167,12 @@ def out_ranges(doc, place, length: int) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, names=["doc", "mark", "start", "end"])
 
 
+def behind(new: np.ndarray, doc: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Which rows of sorted groups, begun where ``new``, are elsewhere than the first of their group."""
+    first = np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
+    return (doc != doc[first]) | (place != place[first])
+
+
 def repeated_triggers(texts: DataFrame, length: int) -> DataFrame:
     """Hashes of triggers that start more than one phrase."""
 
@@ -195,8 +201,8 @@ def occurrences(texts: DataFrame, wanted: Broadcast, length: int) -> DataFrame:
             trigger, phrase, doc, place = (np.concatenate(x) for x in zip(*rows))
             order = np.lexsort((place, doc, phrase, trigger))
             trigger, phrase, doc, place = (x[order] for x in (trigger, phrase, doc, place))
-            later = np.zeros(len(order), bool)
-            later[1:] = (trigger[1:] == trigger[:-1]) & (phrase[1:] == phrase[:-1])
+            new = np.r_[True, (trigger[1:] != trigger[:-1]) | (phrase[1:] != phrase[:-1])][: len(order)]
+            later = behind(new, doc, place)
             arrays = [trigger.view(np.int64), phrase.view(np.int64), doc, place, later]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(x) for x in arrays], names=["trigger", "phrase", "doc", "place", "later"]
@@ -223,14 +229,14 @@ def suffix_repeats(phrases: list[bytes], doc: np.ndarray, place: np.ndarray, len
     own_doc, own_place = doc[owner], start[owner] + offset << STRINGS
     _, kind = np.unique(suffix, return_inverse=True)
     order = np.lexsort((own_place, own_doc, kind))
-    later = order[1:][kind[order[1:]] == kind[order[:-1]]]
+    kind, own_doc, own_place = kind[order], own_doc[order], own_place[order]
+    later = behind(np.r_[True, kind[1:] != kind[:-1]], own_doc, own_place)
     return own_doc[later], own_place[later]
 
 
 def joined(doc: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Runs of consecutive strings as one place each, of at most 2 ** STRINGS strings."""
-    order = np.lexsort((place, doc))
-    doc, start = doc[order], place[order] >> STRINGS
+    doc, start = np.unique(np.stack([doc, place >> STRINGS]), axis=1)
     new = np.r_[True, (doc[1:] != doc[:-1]) | (start[1:] != start[:-1] + 1)][: len(doc)]
     first = np.flatnonzero(new)
     sizes = np.diff(np.r_[first, len(doc)])
@@ -265,9 +271,10 @@ def dictionary(texts: DataFrame, wanted: Broadcast, hot: Broadcast, length: int)
                         hot_docs.append(doc)
                         hot_places.append(mark << STARTS + STRINGS | s << STRINGS)
                         hot_phrases.append(data[s : s + length].tobytes())
-            seen: dict[bytes, int] = {}
+            seen: dict[bytes, tuple[int, int]] = {}
             for k in sorted(range(len(hot_docs)), key=lambda k: (hot_docs[k], hot_places[k])):
-                first = seen.setdefault(hot_phrases[k], k) == k
+                own_place = hot_docs[k], hot_places[k]
+                first = seen.setdefault(hot_phrases[k], own_place) == own_place
                 bins.append(int.from_bytes(zlib.crc32(hot_phrases[k]).to_bytes(4, "little") * 2, "little", signed=True))
                 docs.append(hot_docs[k])
                 own.append(hot_places[k])

@@ -260,9 +260,9 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
             found = reader(held).features(as_list(column))
             yield [pa.array(found[:, k].copy()) for k in range(len(names))]
 
-    sample = rows.filter("fold = 2").orderBy(F.xxhash64("text", "__toxic")).limit(CALIBRATION_ROWS)
+    sample = rows.filter("fold = 2").withColumn("__order", F.xxhash64("text", "__toxic"))
     sample = add_columns(sample, "text", [T.StructField(n, T.DoubleType()) for n in names], make)
-    sample = sample.select(*names, "__toxic").toPandas()
+    sample = sample.select("__order", *names, "__toxic").orderBy("__order", *names).limit(CALIBRATION_ROWS).toPandas()
     toxic = (sample["__toxic"].to_numpy(np.int64) > 0).astype(float)
     return Scorer(ratios, sample[names].to_numpy(), toxic)
 

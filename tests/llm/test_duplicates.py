@@ -129,7 +129,8 @@ def test_repeats_equal_brute_force(spark, monkeypatch, hot):
 
 
 def test_repeats_of_rows_with_the_same_or_no_id(spark):
-    text = "".join(random.Random(2).choice("abcdef") for _ in range(300))
+    r = random.Random(2)
+    text = "".join(r.choice("abcdef") for _ in range(300))
     rows = [(1, text, "x"), (1, text, "x"), (None, text, "x"), (2, "short", "x")]
     out = {(r.doc_id, len(r.kept)) for r in remove_repeats(spark.createDataFrame(rows, DOCS)).collect()}
     assert out == {(None, 300), (1, 0), (2, 5)}

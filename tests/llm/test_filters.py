@@ -102,10 +102,12 @@ def test_quality_measures_equal_brute_force(spark):
 
 def test_lines_are_judged_before_documents(spark):
     prose = "This is a plain sentence that goes on for a while and then it ends well."
+    more = "Another one follows, with words of its own and a proper end."
     menu = "Home | News | Sports | Contact"
-    docs = spark.createDataFrame([(1, "\n".join([prose] * 2 + ["Other words stand here too."] + [menu]), ""), (2, "\n".join([menu + f" | {i}" for i in range(20)] + [prose]), "")], DOCS)
-    assert {r.doc_id: r.kept for r in quality_report(docs).collect()} == {1: True, 2: False}
-    assert docs.select(clean_lines(docs.text).alias("t")).first().t == "\n".join([prose] * 2 + ["Other words stand here too."])
+    texts = ["\n".join([prose, menu, more]), "\n".join([f"{menu} | {i}" for i in range(20)] + [prose])]
+    docs = spark.createDataFrame([(i, t, "") for i, t in enumerate(texts)], DOCS)
+    assert {r.doc_id: r.kept for r in quality_report(docs).collect()} == {0: True, 1: False}
+    assert docs.select(clean_lines(docs.text).alias("t")).first().t == f"{prose}\n{more}"
 
 
 def test_held_out_accuracy(spark):

@@ -1,7 +1,7 @@
 """Times the registered queries on one machine and prints one JSON line.
 
-Settings: BENCH_SF_DIR (table folder), BENCH_CPUS (cores), BENCH_RUNS (most timed runs per query,
-the median counts; slow queries get fewer), BENCH_QUERIES (comma-separated names; default all).
+Settings: BENCH_SF_DIR (table folder), BENCH_CPUS (cores), BENCH_RUNS (timed runs per query, three by
+default; the median counts), BENCH_QUERIES (comma-separated names; default all).
 """
 
 from __future__ import annotations
@@ -18,9 +18,6 @@ from peopleflow.plans.catalogue import QUERIES
 from peopleflow.session import build_session, drop_staged
 
 
-ENOUGH_SECONDS = 2.0
-
-
 def run_once(spark: SparkSession, name: str, folder: str) -> float:
     start = time.perf_counter()
     QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
@@ -43,7 +40,7 @@ def main() -> None:
     for name in names:
         taken = []
         run_once(spark, name, folder)  # warm up
-        while len(taken) < runs and sum(taken) < ENOUGH_SECONDS:
+        for _ in range(runs):
             taken.append(run_once(spark, name, folder))
         seconds[name] = round(statistics.median(taken), 4)
         print(f"{name} {seconds[name]}", file=sys.stderr)

@@ -128,14 +128,19 @@ def generate_job(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def produce_job(spark: SparkSession, args: argparse.Namespace) -> None:
-    """Generated people to the three topics, all at once or one every ``--delay`` seconds."""
+    """Generated people to the three topics, all at once or one every ``--delay`` seconds.
+
+    With ``--delay`` it goes on until it is stopped, from where ``--checkpoint`` left off.
+    """
     if args.delay > 0:
+        if not args.checkpoint or args.total:
+            raise SystemExit("--delay needs --checkpoint, and --total does not apply to it")
         ids = generate.id_stream(spark, last_id=args.last_id)
         sent = generate.message_stream(ids, seed=args.seed)
         every = f"{round(args.delay * 1000)} milliseconds"
         start_topics(sent, args.brokers, args.checkpoint, every).awaitTermination()
     else:
-        people = synth.generate_people(spark, args.total, args.last_id, args.seed)
+        people = synth.generate_people(spark, args.total or 100_000, args.last_id, args.seed)
         write_topics(messages.fanout(people), args.brokers)
 
 
@@ -143,8 +148,10 @@ def consume_job(spark: SparkSession, args: argparse.Namespace) -> None:
     """Merge the topics into complete records and export them.
 
     With ``--checkpoint`` a run goes on where the last one stopped; without, it reads the topics
-    from the start, and ``--total`` stops at that many complete records.
+    from the start, and ``--total`` stops at that many complete records. The two exclude each other.
     """
+    if args.checkpoint and args.total:
+        raise SystemExit("--total needs a run from the start, without --checkpoint")
     if args.checkpoint:
         log = _log_stream(spark, args, TOPICS, "earliest")
         changes = f"{args.checkpoint}/changes"
@@ -202,7 +209,7 @@ def parser() -> argparse.ArgumentParser:
         "produce",
         produce_job,
         ("--brokers", required),
-        ("--total", {"type": int, "default": 100_000}),
+        ("--total", {"type": int, "default": 0, "help": "people to send; 0: 100,000"}),
         ("--last-id", {"type": int, "default": 0}),
         ("--delay", {"type": float, "default": 0.0}),
         ("--checkpoint", {}),
@@ -213,7 +220,7 @@ def parser() -> argparse.ArgumentParser:
         consume_job,
         brokers,
         replay,
-        ("--total", {"type": int, "default": 100_000, "help": "0: all"}),
+        ("--total", {"type": int, "default": 0, "help": "0: all"}),
         ("--checkpoint", {}),
         *out,
     )

@@ -20,9 +20,6 @@ from peopleflow.operators.numbering import number_rows
 from peopleflow.schemas import KEY, PEOPLE_SCHEMA, POSITION
 from peopleflow.session import stage
 
-# Up to here the N smallest positions go through a top-N; beyond, through a distributed sort.
-TOP_N_ROWS = 10_000
-
 
 def completions(
     messages: DataFrame, key: str, fields: Mapping[str, Field], position: Sequence[str] = POSITION
@@ -44,17 +41,8 @@ def completions(
 
 def nth_completion(done: DataFrame, n: int, position: Sequence[str] = POSITION) -> DataFrame:
     """The position at which the N-th id became complete; no row if fewer did."""
-    places = done.select(*position)
-    if n <= TOP_N_ROWS:
-        last = F.max(F.struct(*position))
-        return (
-            places.orderBy(*position)
-            .limit(n)
-            .agg(F.count("*").alias("reached"), last.alias("cut"))
-            .where(F.col("reached") == n)
-            .select("cut.*")
-        )
-    return number_rows(places, position).where(F.col("row_number") == n).select(*position)
+    places = number_rows(done.select(*position), position)
+    return places.where(F.col("row_number") == n).select(*position)
 
 
 def first_n_complete(

@@ -14,6 +14,7 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
+# Column names, their order and types, and the fields of each topic.
 KEY = "id_persona"
 
 PEOPLE_SCHEMA = StructType(

@@ -53,3 +53,12 @@ def test_consume_and_monitor(spark, folder, tmp_path, capsys):
     with pytest.raises(SystemExit):
         run(spark, "monitor", "--replay", log, "--limit", 0)
     run(spark, "live", "--replay", log, "--every", "")
+
+
+def test_options_that_exclude_each_other_are_errors(spark, tmp_path):
+    for job in (
+        ["consume", "--replay", tmp_path / "log", "--checkpoint", tmp_path / "cp", "--total", 40, "--out", tmp_path / "o"],
+        ["produce", "--brokers", "none:1", "--delay", 1],
+    ):
+        with pytest.raises(SystemExit, match="--total"):
+            run(spark, *job)

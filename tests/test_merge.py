@@ -9,7 +9,6 @@ import pytest
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from conftest import plan_of
-from peopleflow.operators import completion
 from peopleflow.operators.completion import first_n_records
 from peopleflow.operators.merge import join_topics, merge_messages
 from peopleflow.operators.messages import fanout
@@ -83,9 +82,7 @@ def test_last_of_two_equal_keys_in_one_message(spark, log):
 
 
 @pytest.mark.parametrize("n", [1, 2, 5, 15, 39, 1000])
-@pytest.mark.parametrize("top_n_rows", [0, 10_000])
-def test_first_n_as_of_the_nth_completion(spark, log, monkeypatch, n, top_n_rows):
-    monkeypatch.setattr(completion, "TOP_N_ROWS", top_n_rows)
+def test_first_n_as_of_the_nth_completion(spark, log, n):
     messages = random_messages(300, 40, 7)
     first = as_model(first_n_records(log(messages), n, THREE, "id"))
     assert first == model(messages, n)

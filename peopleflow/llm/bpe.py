@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from peopleflow.llm.common import add_columns, as_list, documents
+from peopleflow.llm.common import add_columns, documents
 from peopleflow.llm.transducer import decoder, encoder
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -32,9 +32,9 @@ def encode(
     def make(columns):
         table = encoder(path or public_tokenizers.path(RANKS), pattern)
         for column in columns:
-            lists = [table.encode(x) for x in as_list(column)]
+            lists = [np.array(table.encode(x or ""), np.int32) for x in column.to_pylist()]
             offsets = np.cumsum([0, *map(len, lists)], dtype=np.int32)
-            flat = np.fromiter((i for ids in lists for i in ids), np.int32, offsets[-1])
+            flat = np.concatenate([np.zeros(0, np.int32), *lists])
             yield [pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))]
 
     return add_columns(df, text, [T.StructField(out, T.ArrayType(T.IntegerType()))], make)

@@ -159,9 +159,10 @@ class Encoder:
     """Whole texts to ids: chunks, pre-tokens, then the transducer, with bounded memos."""
 
     def __init__(self, path: str, pattern: str) -> None:
-        self.transducer = MergeTransducer(read_ranks(path))
+        # Chunks are met most; what lies below them needs less room.
+        self.transducer = MergeTransducer(read_ranks(path), MEMO_ENTRIES // 2)
         self.split = splitter(pattern)
-        self.pieces = Memo()
+        self.pieces = Memo(MEMO_ENTRIES // 2)
         self.known = Memo()
 
     def chunk(self, chunk: str) -> list[int]:
@@ -171,7 +172,7 @@ class Encoder:
             if ids is None:
                 ids = self.transducer.encode(piece.encode())
                 if len(piece) <= SHORT:
-                    self.pieces.put(piece, ids)
+                    self.pieces.put(piece, tuple(ids))
             out.extend(ids)
         return out
 
@@ -183,7 +184,7 @@ class Encoder:
             if ids is None:
                 ids = self.chunk(" " + part)
                 if len(part) <= SHORT:
-                    known.put(part, ids)
+                    known.put(part, tuple(ids))
             out.extend(ids)
         return out
 

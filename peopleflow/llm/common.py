@@ -18,6 +18,9 @@ MEMO_ENTRIES = 600_000
 #: Characters of the longest text that a memo holds; longer ones are worked out each time.
 SHORT = 64
 
+#: Rows a worker turns into Python values at a time; it bounds its memory, never the result.
+BATCH_ROWS = 1000
+
 #: ASCII white space, the separators of words.
 SPACES = " \t\n\x0b\x0c\r"
 
@@ -82,10 +85,12 @@ def add_columns(
     schema = T.StructType([df.schema[c] for c in carried] + added)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            made = next(make([batch.column(batch.num_columns - 1)]))
-            columns = list(batch.columns[:-1]) + made
-            yield pa.RecordBatch.from_arrays(columns, names=carried + [f.name for f in added])
+        for whole in batches:
+            for at in range(0, whole.num_rows, BATCH_ROWS):
+                batch = whole.slice(at, BATCH_ROWS)
+                made = next(make([batch.column(batch.num_columns - 1)]))
+                columns = list(batch.columns[:-1]) + made
+                yield pa.RecordBatch.from_arrays(columns, names=carried + [f.name for f in added])
 
     ship(df.sparkSession)
     return kept.mapInArrow(run, schema)

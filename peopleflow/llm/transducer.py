@@ -160,10 +160,10 @@ class Encoder:
 
     def __init__(self, path: str, pattern: str) -> None:
         # Chunks are met most; what lies below them needs less room.
-        self.transducer = MergeTransducer(read_ranks(path), MEMO_ENTRIES // 2)
+        self.transducer = MergeTransducer(read_ranks(path), MEMO_ENTRIES // 4)
         self.split = splitter(pattern)
-        self.pieces = Memo(MEMO_ENTRIES // 2)
-        self.known = Memo()
+        self.pieces = Memo(MEMO_ENTRIES // 4)
+        self.known = Memo(MEMO_ENTRIES // 2)
 
     def chunk(self, chunk: str) -> list[int]:
         out: list[int] = []

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,8 +29,9 @@ BITS = 2
 #: standard errors of an estimate from 200 minima of two bits.
 MARGIN = 20
 
-#: Rows of a block of a large bucket or group.
+#: Rows of a block of a large bucket or cluster, and shingles of a block of long texts.
 BLOCK = 2000
+SHINGLES = 1_000_000
 PARTNERS = 32
 
 _random = np.random.default_rng(20240229)
@@ -154,29 +154,47 @@ def may_link(a: Column, b: Column) -> Column:
 MOST_UNEQUAL = int(MINIMA * (1 - 2**-BITS) * (1 - (SIMILAR - MARGIN) / 100))
 
 
-def pairs_in(table: pa.Table, best: bool) -> Iterator[tuple[int, int]]:
-    """Candidate pairs of rows with different labels in one block of a bucket.
+def forest_of(table: pa.Table, sets: list[np.ndarray] | None = None) -> tuple[list[int], list[int]]:
+    """Pairs of a tile's rows with different labels, as few as connect all rows that such pairs connect.
 
-    Rows are minor (1) or major (0); pairs of two majors are of one label. With ``best``, only the
-    likeliest partner of each row in each other label.
+    Without ``sets`` a pair is one that packed bits find likely; with the rows' full sets it is a
+    link, and rows of one label count as connected from the start. Rows that are connected already
+    are not compared again. Where a tile holds rows of several cells, pairs inside a cell belong
+    to another tile. Rows come sorted by node, so tiles of the same rows give the same pairs.
     """
-    role, label, node, n = (table[c].to_numpy() for c in ("role", "label", "node", "n"))
+    role, label, cell, node, n = (table[c].to_numpy() for c in ("role", "label", "cell", "node", "n"))
     sketch = np.stack([np.asarray(x, np.int64) for x in table["sketch"].to_pylist()]).view(np.uint64)
     ones = np.uint64((2**64 - 1) // (2**BITS - 1))
+    one_cell = (cell == cell[0]).all()
+    root = np.arange(len(node))
+    if sets is not None:
+        root = np.unique(label, return_inverse=True)[1]
+        values, flat = np.unique(np.concatenate(sets), return_inverse=True)
+        members = np.split(flat, np.cumsum([len(x) for x in sets])[:-1])
+        mark = np.zeros(len(values), bool)
+    a, b = [], []
     for i in np.flatnonzero(role == 1).tolist():
-        apart = sketch ^ sketch[i]
+        fits = (label != label[i]) & (root != root[i]) & (one_cell | (cell != cell[i]))
+        fits[: i + 1] &= role[: i + 1] == 0  # both of two minor rows come here; the first has done
+        fits &= np.minimum(n, n[i]) * 100 >= np.maximum(n, n[i]) * SIMILAR
+        at = np.flatnonzero(fits)
+        apart = sketch[at] ^ sketch[i]
         folded = apart.copy()
         for k in range(1, BITS):
             folded |= apart >> np.uint64(k)
-        differing = np.bitwise_count(folded & ones).sum(1)
-        fits = (label != label[i]) & (differing <= MOST_UNEQUAL)
-        fits &= (np.minimum(n, n[i]) * 100 >= np.maximum(n, n[i]) * SIMILAR) & ((role == 0) | (node > node[i]) | best)
-        found = np.flatnonzero(fits)
-        if best:
-            order = np.lexsort((differing[found], label[found]))
-            found = found[order][np.unique(label[found][order], return_index=True)[1]]
-        for j in found.tolist():
-            yield int(node[i]), int(node[j])
+        at = at[np.bitwise_count(folded & ones).sum(1) <= MOST_UNEQUAL]
+        if sets is not None and len(at):
+            mark[members[i]] = True
+            borders = np.cumsum([0, *(len(members[j]) for j in at[:-1])])
+            shared = np.add.reduceat(mark[np.concatenate([members[j] for j in at])], borders, dtype=np.int64)
+            mark[members[i]] = False
+            at = at[100 * shared >= SIMILAR * (n[i] + n[at] - shared)]
+        if len(at):
+            _, first = np.unique(root[at], return_index=True)
+            a += [int(node[i])] * len(first)
+            b += node[at[first]].tolist()
+            root[np.isin(root, root[at])] = root[i]
+    return a, b
 
 
 def confirmed(docs: DataFrame, sets: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -219,52 +237,90 @@ def confirmed(docs: DataFrame, sets: DataFrame, pairs: DataFrame) -> DataFrame:
     return stage(rows.mapInArrow(check, "a bigint, b bigint"), "links")
 
 
-def unresolved(sets: DataFrame, crowded: DataFrame, labels: DataFrame, best: bool) -> DataFrame:
-    """Candidates between different labels in the same bucket that no star has tried.
+def tiled(rows: DataFrame, key: str, weight: Column) -> DataFrame:
+    """Tiles in which all rows of a group with different labels meet; ``rows`` have the group, node and label.
 
-    The commonest label of a bucket is dealt over blocks, each row once, and the rows of all other
-    labels go to every block and, among themselves, to the blocks of a grid. So a large group of
-    copies with a few strangers costs its size, not its square. Pairs are estimated inside a block
-    and only likely ones leave it.
+    The commonest label of a group is dealt over blocks, each row once, and the rows of all other
+    labels go to every block and, among themselves, to the tiles of a grid. So a large group of
+    linked texts with a few strangers costs its size, not its square. A block weighs about BLOCK.
     """
-    rows = crowded.filter("node <> hub").join(labels, "node")
-    groups = rows.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"))
-    groups = groups.groupBy("bucket").agg(
-        F.count(F.lit(1)).alias("kinds"), F.max_by("label", "n").alias("major"),
-        F.max("n").alias("majors"), F.sum("n").alias("all"),
+    groups = rows.groupBy(key, "label").agg(F.sum(weight).alias("w"))
+    groups = groups.groupBy(key).agg(
+        F.count(F.lit(1)).alias("kinds"), F.max_by("label", "w").alias("major"),
+        F.max("w").alias("majors"), F.sum("w").alias("all"),
     )
     open_ = groups.filter("kinds > 1").select(
-        "bucket", "major",
+        key, "major",
         F.ceil(F.col("majors") / BLOCK).cast("int").alias("wide"),
-        F.ceil((F.col("all") - F.col("majors")) / BLOCK).cast("int").alias("grid"),
+        F.greatest(F.ceil((F.col("all") - F.col("majors")) / BLOCK), F.lit(1)).cast("int").alias("grid"),
     )
-    open_ = stage(open_, "open")
-    rows = stage(rows.select("bucket", "node", "label"), "labelled").join(open_, "bucket")
-    rows = rows.join(sets.select("node", F.col("n_shingles").alias("n"), "sketch"), "node")
+    rows = rows.join(stage(open_, "open"), key)
     own = F.pmod(F.xxhash64("node"), F.col("wide")).cast("int")
     cell = F.pmod(F.xxhash64("node"), F.col("grid")).cast("int")
-    kept = ("bucket", "label", "node", "n", "sketch")
-    majors = rows.filter("label = major").select(*kept, own.alias("x"), F.lit(-1).alias("y"), F.lit(0).alias("role"))
+    kept = (key, "label", "node")
+    majors = rows.filter("label = major").select(
+        *kept, own.alias("x"), F.lit(-1).alias("y"), F.lit(0).alias("role"), F.lit(-1).alias("cell")
+    )
     minors = rows.filter("label <> major")
     across = minors.select(
-        *kept, F.explode(F.sequence(F.lit(0), F.col("wide") - 1)).alias("x"), F.lit(-1).alias("y"), F.lit(1).alias("role")
-    )
+        *kept, F.explode(F.sequence(F.lit(0), F.col("wide") - 1)).alias("x"), F.lit(-1).alias("y"),
+        F.lit(1).alias("role"), F.lit(-2).alias("cell"),
+    )
     within = minors.withColumn("cell", cell).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("grid") - 1)))
     within = within.select(
-        *kept, F.least("cell", "other").alias("x"), F.greatest("cell", "other").alias("y"), F.lit(1).alias("role")
+        *kept, F.least("cell", "other").alias("x"), F.greatest("cell", "other").alias("y"), F.lit(1).alias("role"), "cell"
     )
-    tiles = majors.unionByName(across).unionByName(within)
-    tiles = tiles.repartition("bucket", "x", "y").sortWithinPartitions("bucket", "x", "y")
+    return majors.unionByName(across).unionByName(within)
+
+
+def _pairs(a: list[int], b: list[int]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+
+def untried(sets: DataFrame, crowded: DataFrame, labels: DataFrame) -> DataFrame:
+    """Groups of nodes that hold all likely pairs of different labels in a bucket: ``node, cluster``.
+
+    Of the likely pairs only so many leave a tile as connect its rows, at most one a row.
+    """
+    rows = stage(crowded.join(labels, "node").select("bucket", "node", "label"), "labelled")
+    tiles = tiled(rows, "bucket", F.lit(1)).join(sets.select("node", F.col("n_shingles").alias("n"), "sketch"), "node")
+    tiles = tiles.repartition("bucket", "x", "y").sortWithinPartitions("bucket", "x", "y", "node")
 
     def estimate(batches):
         for table in runs(batches, ["bucket", "x", "y"]):
-            found = sorted({(min(p), max(p)) for p in pairs_in(table, best)})
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([p[k] for p in found], pa.int64()) for k in (0, 1)], names=["a", "b"]
-            )
+            yield _pairs(*forest_of(table))
 
     ship(sets.sparkSession)
-    return tiles.mapInArrow(estimate, "a bigint, b bigint").distinct()
+    pairs = stage(tiles.mapInArrow(estimate, "a bigint, b bigint").distinct(), "likely")
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    nodes = stage(nodes.select("node", F.col("node").alias("label")), "clusters")
+    return components(nodes, pairs).select("node", F.col("label").alias("cluster"))
+
+
+def links_in(docs: DataFrame, sets: DataFrame, clusters: DataFrame, labels: DataFrame) -> DataFrame:
+    """Links between different labels in a cluster, as many as connect what they connect: ``a, b``.
+
+    Texts meet in tiles that weigh at most about BLOCK rows or SHINGLES shingles, and full sets are
+    compared there, so pairs that are likely and yet no links never become rows.
+    """
+    rows = clusters.join(labels, "node").join(sets.select("node", "n_shingles"), "node")
+    weight = F.greatest(F.lit(1.0), F.col("n_shingles") * (BLOCK / SHINGLES))
+    tiles = tiled(stage(rows, "labelled"), "cluster", weight)
+    tiles = tiles.join(sets.select("node", "doc_id", F.col("n_shingles").alias("n"), "sketch"), "node")
+    tiles = stage(tiles, "tiles")
+    rows = docs.withColumnRenamed("doc_id", "id").join(tiles, F.col("id").eqNullSafe(F.col("doc_id"))).drop("id", "doc_id")
+    rows = rows.repartition("cluster", "x", "y").sortWithinPartitions("cluster", "x", "y", "node")
+
+    def check(batches):
+        for table in runs(batches, ["cluster", "x", "y"]):
+            found = [shingles(x) for x in as_list(table["text"])]
+            # A row whose text does not give its node is another row of that id.
+            own = [k for k, node in enumerate(table["node"].to_pylist()) if len(found[k]) and node_of(found[k]) == node]
+            if own:
+                yield _pairs(*forest_of(table.drop_columns("text").take(own), [found[k] for k in own]))
+
+    ship(docs.sparkSession)
+    return stage(rows.mapInArrow(check, "a bigint, b bigint"), "links")
 
 
 def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -273,9 +329,9 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     A text's set holds its distinct shingles of five words, A-Z lower-cased; a text of fewer words is
     one shingle, and null and blank texts have none and are linked with nothing. Sets are linked from a
     similarity of 0.75 on. Rows with equal sets are one class, signed and compared once. Every band
-    of a class is a bucket. In a bucket all are compared with the smallest id (a star), then, where
-    labels still differ, the likeliest pairs and at last all others. Every comparison is estimated
-    from packed bits and confirmed on full sets. ``component_id`` is the smallest id reachable, and
+    of a class is a bucket. Every class is compared with one smallest id of its buckets. Where labels
+    then still differ in a bucket, nodes that packed bits find likely form clusters, and all of a cluster are
+    compared. Every comparison is estimated from packed bits and confirmed on full sets. ``component_id`` is the smallest id reachable, and
     rows with that id are kept; null ids count as largest, repeated rows are all marked alike. Other
     columns are not read.
     """
@@ -290,25 +346,24 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     hubs = bucketed.groupBy("bucket").agg(
         F.count(F.lit(1)).alias("size"), F.min(F.struct("doc_id", "node")).alias("hub")
     )
-    hubs = stage(hubs.filter("size > 1").select("bucket", "size", F.col("hub.node").alias("hub")), "hubs")
-    crowded = stage(bucketed.join(hubs, "bucket").select("bucket", "size", "hub", "node"), "buckets")
-    stars = crowded.filter("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
+    hubs = stage(hubs.filter("size > 1").select("bucket", F.col("hub.node").alias("hub")), "hubs")
+    crowded = stage(bucketed.join(hubs, "bucket").select("bucket", "hub", "node"), "buckets")
+    # The smallest id with which a class shares the most buckets is its star.
+    stars = crowded.filter("node <> hub").groupBy("node", "hub").agg(F.count(F.lit(1)).alias("n"))
+    stars = stars.groupBy(F.col("node").alias("b")).agg(F.max_by("hub", F.struct("n", "hub")).alias("a"))
     one, two = (
         sets.select(F.col("node").alias(k), F.struct(F.col("n_shingles").alias("n"), "sketch").alias("s" + k))
         for k in ("a", "b")
     )
     likely = stage(stars, "stars").join(one, "a").join(two, "b").filter(may_link(F.col("sa"), F.col("sb")))
     labels = stage(first.select("node", F.col("node").alias("label")), "labels")
-    left, crowded = stage(likely.select("a", "b"), "pairs"), crowded.filter("size > 2")
-    for best in (True, False, None):
-        # Where nothing is left to compare, later steps have nothing to add.
-        if left.isEmpty():
-            break
-        links = confirmed(docs, sets, left)
-        if not links.isEmpty():
-            labels = components(labels, links)
-        if best is not None:
-            left = stage(unresolved(sets, crowded, labels, best), "pairs")
+    links = confirmed(docs, sets, stage(likely.select("a", "b"), "pairs"))
+    if not links.isEmpty():
+        labels = components(labels, links)
+    clusters = stage(untried(sets, crowded, labels), "clusters")
+    links = links_in(docs, sets, clusters, labels)
+    if not links.isEmpty():
+        labels = components(labels, links)
     smallest = labels.join(first, "node")
     smallest = stage(smallest.groupBy("label").agg(F.min("doc_id").alias("component_id")), "smallest")
     named = stage(labels.join(smallest, "label").select("node", "component_id"), "components")

@@ -43,20 +43,26 @@ def components(labels: DataFrame, edges: DataFrame) -> DataFrame:
 
     Labels are node numbers, and a group's label is its smallest. Each round every group takes the
     smallest label among its neighbours, and that label's own new one if it has one, so chains
-    shorten by half. All steps are aggregations that shrink in their tasks, and joins of written
-    tables, which adaptive execution splits where a group is large. Nothing is collected.
+    shorten by half. Edges between groups are rewritten to the new labels, and those inside a group
+    are dropped, so later rounds read few. All steps are aggregations that shrink in their tasks,
+    and joins of written tables, which adaptive execution splits where a group is large. Nothing is
+    collected.
     """
-    both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    both = stage(both, "edges")
-    while True:
-        near = both.join(labels.select(F.col("node").alias("b"), F.col("label").alias("near")), "b")
-        near = stage(near.groupBy(F.col("a").alias("node")).agg(F.min("near").alias("near")), "near")
-        moves = labels.join(near, "node").filter("near < label")
-        moves = stage(moves.groupBy("label").agg(F.min("near").alias("next")), "moves")
-        if moves.isEmpty():
-            return labels
+    left, right = (labels.select(F.col("node").alias(k), F.col("label").alias(f"label_{k}")) for k in ("a", "b"))
+    between = edges.join(left, "a").join(right, "b").select(F.col("label_a").alias("a"), F.col("label_b").alias("b"))
+    between = between.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    between = stage(between.distinct(), "edges")
+    # A group's smallest neighbour matters only if it is smaller, so edges lead downwards.
+    while not between.isEmpty():
+        moves = stage(between.groupBy(F.col("a").alias("label")).agg(F.min("b").alias("next")), "moves")
         further = moves.select(F.col("label").alias("next"), F.col("next").alias("further"))
         moves = moves.join(further, "next", "left").select("label", F.coalesce("further", "next").alias("next"))
         moves = stage(moves, "moves")
         labels = labels.join(moves, "label", "left").select("node", F.coalesce("next", "label").alias("label"))
         labels = stage(labels, "labels")
+        for end in ("a", "b"):
+            new = moves.select(F.col("label").alias(end), F.col("next").alias(f"new_{end}"))
+            between = between.join(new, end, "left").withColumn(end, F.coalesce(f"new_{end}", end)).drop(f"new_{end}")
+        between = between.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+        between = stage(between.distinct(), "edges")
+    return labels

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from peopleflow.operators import completion, merge, messages, monitor, reports, synth, words
+from peopleflow.plans import people_reports
 from peopleflow.schemas import KEY, TOPIC_FIELDS
 from peopleflow.session import build_session, cached
 from peopleflow.sinks.exports import export_people
@@ -69,7 +70,7 @@ def file_job(spark: SparkSession, args: argparse.Namespace) -> None:
         "JSON": read_json(spark, args.json, schema=None),
         "CSV": read_csv(spark, args.csv, schema=None),
     }.items():
-        show(f"{kind} columns", reports.schema_report(df))
+        show(f"{kind} columns", reports.schema_report(df), len(df.columns))
         show(f"{kind} rows", reports.row_count(df))
         show(f"{kind} preview", reports.preview(df, [KEY]))
     counts = reports.filter_counts(
@@ -88,12 +89,10 @@ def report_job(spark: SparkSession, args: argparse.Namespace) -> None:
         pay = reports.average_by(people, "ocupacion", "ingreso_mensual", 2)
         show("Income by occupation", pay)
         show("Age by education", reports.average_by(people, "nivel_estudios", "edad", 1))
-        for title, text in {
-            "Best-paid graduates": reports.BEST_PAID_GRADUATES,
-            "Pay by occupation and gender": reports.PAY_BY_OCCUPATION_AND_GENDER,
-            "Cities with most engineers and programmers": reports.TECH_CITIES,
-        }.items():
-            show(title, reports.run_sql(spark, text, personas=people), 100)
+        show("Best-paid graduates", people_reports.best_paid_graduates(people))
+        pay = people_reports.pay_by_occupation_and_gender(people)
+        show("Pay by occupation and gender", pay, 100)
+        show("Cities with most technical people", people_reports.tech_cities(people))
 
 
 def timing_job(spark: SparkSession, args: argparse.Namespace) -> None:

@@ -16,7 +16,6 @@ from peopleflow.schemas import (
     PEOPLE_SCHEMA,
     POSITION,
     TOPIC_FIELDS,
-    topic_schema,
 )
 
 
@@ -99,21 +98,17 @@ def merge_messages(
     return typed(merged, schema)
 
 
-def latest_per_topic(log: DataFrame, topic: str, key: str = KEY) -> DataFrame:
-    """The last whole message of each id on one topic."""
-    schema = topic_schema(topic)
-    messages = field_messages(log.where(F.col("topic") == topic), schema, key)
-    texts = [F.col(f"text_{name}").alias(name) for name in schema.names if name != key]
-    last = F.max(F.struct("timestamp", "partition", "offset", F.struct(*texts).alias("row")))
-    rows = messages.groupBy(key).agg(last.alias("last")).select(key, "last.row.*")
-    return typed(rows, schema)
-
-
 def join_topics(log: DataFrame, key: str = KEY) -> DataFrame:
-    """Ids present on all topics, joined from the last message of each.
+    """Ids present on all topics, joined from the last whole message of each.
 
-    Each side is already partitioned by the key after its aggregation, so the joins add no
-    shuffle; sizes decide at run time whether a side is broadcast instead.
+    The log is read and shuffled once: an aggregation by id keeps the last message per topic, and
+    an id that lacks a topic has no state for it.
     """
-    sides = [latest_per_topic(log, topic, key) for topic in TOPIC_FIELDS]
-    return reduce(lambda left, right: left.join(right, key), sides)
+    messages = field_messages(log.where(F.col("topic").isin(list(TOPIC_FIELDS))), key=key)
+    latest = []
+    for topic, names in TOPIC_FIELDS.items():
+        texts = F.struct(*[F.col(f"text_{name}").alias(name) for name in names if name != key])
+        seen = F.struct("timestamp", "partition", "offset", texts.alias("row"))
+        latest.append(F.max(F.when(F.col("topic") == topic, seen)).alias(topic))
+    joined = messages.groupBy(key).agg(*latest).dropna(how="any", subset=list(TOPIC_FIELDS))
+    return typed(joined.select(key, *[f"{topic}.row.*" for topic in TOPIC_FIELDS]))

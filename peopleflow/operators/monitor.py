@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from peopleflow.functions.json_text import field_texts
@@ -16,13 +16,13 @@ ACTIVE, INACTIVE = "✔ Activo  ", "✘ Inactivo"
 def topic_counters(log: DataFrame, topic: str = "topic", value: str | None = None) -> DataFrame:
     """Messages per topic and over all topics; with ``value``, also those that are no JSON object.
 
-    The total is a window over the grouped rows, one per topic, so the log is read once.
+    The total is summed up from the counts per topic.
     """
     counts = [F.count("*").alias("messages")]
     if value:
         counts.append(F.count_if(F.json_object_keys(value).isNull()).alias("malformed"))
-    total = F.sum("messages").over(Window.partitionBy())
-    return log.groupBy(topic).agg(*counts).withColumn("total", total)
+    per_topic = log.groupBy(topic).agg(*counts)
+    return per_topic.withColumn("total", per_topic.agg(F.sum("messages")).scalar())
 
 
 def first_messages(log: DataFrame, limit: int) -> DataFrame:
@@ -31,7 +31,10 @@ def first_messages(log: DataFrame, limit: int) -> DataFrame:
 
 
 def _line(p: dict[str, Column]) -> Column:
-    """The text for one message, by topic; unknown topics and bad text are shown as they are."""
+    """The text for one message, by topic.
+
+    Unknown topics and what is no JSON object are shown as they are, a missing text as ``null``.
+    """
     number = F.concat(F.lit("id="), pad_right(or_text(p["id_persona"], "?"), 6))
     person = F.concat_ws(
         " | ",
@@ -57,12 +60,13 @@ def _line(p: dict[str, Column]) -> Column:
         F.when(active, F.lit(ACTIVE)).otherwise(F.lit(INACTIVE)),
         F.concat(F.lit("Registro: "), or_text(p["fecha_registro"])),
     )
-    topic = F.col("topic")
+    topic, shown = F.col("topic"), or_text(F.col("value"), "null")
     return (
-        F.when(topic == "personas", person)
+        F.when(F.json_object_keys("value").isNull(), shown)
+        .when(topic == "personas", person)
         .when(topic == "empleos", job)
         .when(topic == "actividad", activity)
-        .otherwise(F.col("value"))
+        .otherwise(shown)
     )
 
 
@@ -86,5 +90,5 @@ def monitor_lines(log: DataFrame, limit: int = 50) -> DataFrame:
 
 def raw_lines(log: DataFrame, limit: int = 30) -> DataFrame:
     """(topic, partition, offset, line) with the message text itself."""
-    line = F.concat(F.lit("["), pad_left(F.col("topic"), 10), F.lit("] "), F.col("value"))
+    line = F.concat(F.lit("["), pad_left(F.col("topic"), 10), F.lit("] "), or_text(F.col("value"), "null"))
     return first_messages(log, limit).select("topic", "partition", "offset", line.alias("line"))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from peopleflow.operators import completion, merge, messages, monitor, reports, synth, words
-from peopleflow.plans import inputs
+from peopleflow.plans import inputs, people_reports
 from peopleflow.plans.inputs import people, table
 from peopleflow.schemas import KEY, topic_schema
 from peopleflow.session import new_path
@@ -77,6 +77,13 @@ def export_size_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exports.export_people(people(spark, sf_dir), new_path(spark, "export"))
 
 
+def scan_json_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_path(spark, "part.json")
+    parts = table(spark, sf_dir, "part")
+    files.write_json(parts, path)
+    return read_json(spark, path, parts.schema)
+
+
 def consume_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Merge the topics, export the records, and read the exported JSON back."""
     folder = new_path(spark, "export")
@@ -112,6 +119,44 @@ def filter_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def filter_counts_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.filter_counts(
+        table(spark, sf_dir, "orders"),
+        open=F.col("o_orderstatus") == "O",
+        large=F.col("o_totalprice") >= 100000,
+        pending_large=(F.col("o_orderstatus") == "P") & (F.col("o_totalprice") > 200000),
+    )
+
+
+def filtered_top_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    wanted = F.col("o_orderstatus").isin("O", "P") & (F.col("o_totalprice") > 1000)
+    shown = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice"]
+    order = [F.desc("o_totalprice"), "o_orderkey"]
+    return reports.filtered_top(table(spark, sf_dir, "orders"), wanted, shown, order, 10)
+
+
+def top_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.top_groups(table(spark, sf_dir, "orders"), "o_custkey")
+
+
+def group_report_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.group_report(
+        table(spark, sf_dir, "lineitem"),
+        ["l_returnflag", "l_linestatus"],
+        F.col("l_quantity") > 25,
+        n=F.count("*"),
+        avg_l_extendedprice=F.round(F.avg("l_extendedprice"), 2),
+    )
+
+
+def group_cardinalities_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.group_cardinalities(
+        table(spark, sf_dir, "orders"),
+        customer_status=["o_custkey", "o_orderstatus"],
+        status=["o_orderstatus"],
+    )
+
+
 def word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return words.word_count(table(spark, sf_dir, "documents"), DOCUMENT_TEXT)
 
@@ -149,16 +194,15 @@ def avg1_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sql_filter_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.run_sql(spark, reports.BEST_PAID_GRADUATES, personas=people(spark, sf_dir))
+    return people_reports.best_paid_graduates(people(spark, sf_dir))
 
 
 def sql_group_by_gender(spark: SparkSession, sf_dir: str) -> DataFrame:
-    text = reports.PAY_BY_OCCUPATION_AND_GENDER
-    return reports.run_sql(spark, text, personas=people(spark, sf_dir))
+    return people_reports.pay_by_occupation_and_gender(people(spark, sf_dir))
 
 
 def sql_group_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.run_sql(spark, reports.TECH_CITIES, personas=people(spark, sf_dir))
+    return people_reports.tech_cities(people(spark, sf_dir))
 
 
 SEGMENTS_BY_NATION = """
@@ -233,7 +277,7 @@ def _stored(spark: SparkSession, log: DataFrame) -> DataFrame:
 
 
 def topics_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return merge.join_topics(_stored(spark, inputs.whole_message_log(spark, sf_dir)))
+    return merge.join_topics(inputs.whole_message_log(spark, sf_dir))
 
 
 def merge_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -307,7 +351,7 @@ def _snapshot(spark: SparkSession, result: DataFrame) -> DataFrame:
 def live_count_by_group(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = stream_replay(spark, sf_dir, glob="events.parquet")
     counts = live.live_counts(events, "event_type", "value")
-    return _snapshot(spark, live.ranked(counts, "event_type"))
+    return live.ranked(_snapshot(spark, counts), "event_type")
 
 
 def live_count_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -326,7 +370,7 @@ def stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     replay = new_path(spark, "replay")
     path, checkpoint = new_path(spark, "merged"), new_path(spark, "checkpoint")
     for part in (inputs.whole_message_log, inputs.income_log):
-        write_replay(part(spark, sf_dir), replay, 1)
+        write_replay(part(spark, sf_dir), replay)
         start_merge(stream_replay(spark, replay), path, checkpoint).awaitTermination()
     return merged_records(spark, path)
 
@@ -341,9 +385,11 @@ def stream_input_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, checkpoint = new_path(spark, "live"), new_path(spark, "checkpoint")
     log = _replayed(spark, inputs.people_log(spark, sf_dir))
-    query = sinks.start_versions(live.live_people_by_state(log), path, checkpoint, "complete")
-    query.awaitTermination()
-    return progress.progress_report(spark, query)
+    counts = live.live_people_by_state(log)
+    with progress.batch_log(spark) as batches:
+        query = sinks.start_versions(counts, path, checkpoint, "complete")
+        query.awaitTermination()
+        return progress.progress_report(spark, batches, query)
 
 
 # Generation ------------------------------------------------------------------------------
@@ -354,11 +400,11 @@ def synth_people(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def synth_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customers = table(spark, sf_dir, "customer")
-    total = customers.agg(F.max("c_custkey") + 1).first()[0]
-    sent = total // 2
-    first = synth.generate_people(spark, sent)
-    return first.unionByName(synth.generate_people(spark, total, last_id=sent))
+    """People of the lower half of the customers' ids, and then of the ids after it."""
+    ids = table(spark, sf_dir, "customer").selectExpr(f"c_custkey + 1 AS {KEY}")
+    sent = ids.agg(F.max(KEY) / 2).scalar()
+    first = synth.people_of(ids.where(F.col(KEY) <= sent))
+    return first.unionByName(synth.people_of(ids.where(F.col(KEY) > sent)))
 
 
 def synth_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -378,12 +424,18 @@ QUERIES: dict[str, Query] = {
         schema_report,
         preview_rows,
         export_size_report,
+        scan_json_parts,
         consume_export,
         sql_literal_rows,
         sql_literal_parts,
         sql_export_batches,
         row_count,
         filter_counts,
+        filter_counts_orders,
+        filtered_top_orders,
+        top_customers,
+        group_report_lineitem,
+        group_cardinalities_orders,
         word_count,
         word_count_conversations,
         word_count_people,

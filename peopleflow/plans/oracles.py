@@ -126,8 +126,6 @@ def _framed(rows: str) -> str:
     FROM ({rows})"""
 
 
-BLANK_PERSON = "'id=?      | ' || repeat(' ', 13) || ' |  años | , '"
-
 MONITOR = f"""WITH {_people(CUSTOMERS)}, {_people(SUPPLIERS, "s")}
     {_framed(f'''
         {_three_lines("p", ("personas", "empleos", "actividad"))}
@@ -139,7 +137,7 @@ MONITOR = f"""WITH {_people(CUSTOMERS)}, {_people(SUPPLIERS, "s")}
             || ' | ' || repeat(' ', 14) || ' | ' || repeat(' ', 12) || ' | $'
             || format('{{:,.2f}}', CASE WHEN o_orderstatus = 'P' THEN 0.0 ELSE o_totalprice END)
             FROM orders
-        UNION ALL SELECT p_partkey, 'personas', {BLANK_PERSON} FROM part''')}"""
+        UNION ALL SELECT p_partkey, 'personas', p_name FROM part''')}"""
 
 MONITOR_FIRST = _over_people(f"""
     {_framed(_three_lines("p", ("personas", "empleos", "actividad")))}
@@ -242,6 +240,7 @@ ORACLES: dict[str, str] = {
     "scan_csv_documents": "SELECT * FROM documents",
     "schema_report": SCHEMAS,
     "preview_rows": "SELECT * FROM orders ORDER BY o_orderkey LIMIT 5",
+    "scan_json_parts": "SELECT * FROM part",
     "consume_export": MERGED,
     "sql_literal_rows": _over_people(f"SELECT id_persona, {SQL_VALUES} AS sql_values FROM p"),
     "sql_literal_parts": f"SELECT p_partkey, {PART_VALUES} AS sql_values FROM part",
@@ -251,6 +250,27 @@ ORACLES: dict[str, str] = {
         SELECT count(*) FILTER (activo) AS active, count(*) FILTER (edad >= 30) AS aged_30_up,
                count(*) FILTER (ingreso_mensual > 50000) AS above_50k
         FROM p"""),
+    "filter_counts_orders": """
+        SELECT count(*) FILTER (o_orderstatus = 'O') AS open,
+               count(*) FILTER (o_totalprice >= 100000) AS large,
+               count(*) FILTER (o_orderstatus = 'P' AND o_totalprice > 200000) AS pending_large
+        FROM orders""",
+    "filtered_top_orders": """
+        SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders
+        WHERE o_orderstatus IN ('O', 'P') AND o_totalprice > 1000
+        ORDER BY o_totalprice DESC, o_orderkey LIMIT 10""",
+    "top_customers": """
+        SELECT o_custkey, count(*) AS n FROM orders GROUP BY o_custkey
+        ORDER BY n DESC, o_custkey LIMIT 10""",
+    "group_report_lineitem": f"""
+        SELECT l_returnflag, l_linestatus, count(*) AS n,
+               {_rounded_average("l_extendedprice", 2)} AS avg_l_extendedprice
+        FROM lineitem WHERE l_quantity > 25
+        GROUP BY l_returnflag, l_linestatus ORDER BY l_returnflag, l_linestatus""",
+    "group_cardinalities_orders": """
+        SELECT (SELECT count(*) FROM (SELECT DISTINCT o_custkey, o_orderstatus FROM orders))
+                   AS customer_status,
+               (SELECT count(*) FROM (SELECT DISTINCT o_orderstatus FROM orders)) AS status""",
     "word_count": DOCUMENT_WORDS,
     "word_count_conversations": _word_count("conversations", ["role", "text"]),
     "word_count_people": _over_people(_word_count("p", PEOPLE_WORDS)),
@@ -260,25 +280,25 @@ ORACLES: dict[str, str] = {
         SELECT estado, count(*) AS n FROM p GROUP BY estado ORDER BY n DESC, estado LIMIT 10"""),
     "avg_by_key": f"""
         SELECT c_mktsegment, {_rounded_average("c_acctbal", 2)} AS avg_c_acctbal, count(*) AS n
-        FROM customer GROUP BY c_mktsegment""",
+        FROM customer GROUP BY c_mktsegment ORDER BY avg_c_acctbal DESC, c_mktsegment""",
     "avg_by_occupation": _over_people(f"""
         SELECT ocupacion, {_rounded_average("ingreso_mensual", 2)} AS avg_ingreso_mensual, count(*) AS n
-        FROM p GROUP BY ocupacion"""),
+        FROM p GROUP BY ocupacion ORDER BY avg_ingreso_mensual DESC, ocupacion"""),
     "avg1_by_key": _over_people(f"""
         SELECT nivel_estudios, {_rounded_average("edad", 1)} AS avg_edad, count(*) AS n
-        FROM p GROUP BY nivel_estudios"""),
+        FROM p GROUP BY nivel_estudios ORDER BY avg_edad DESC, nivel_estudios"""),
     "sql_filter_topk": _over_people("""
         SELECT id_persona, nombre, apellido, nivel_estudios, ocupacion, ingreso_mensual
         FROM p WHERE activo AND nivel_estudios IN ('Maestria', 'Doctorado')
         ORDER BY ingreso_mensual DESC, id_persona LIMIT 10"""),
     "sql_group_by_gender": _over_people(f"""
-        SELECT ocupacion, genero, count(*) AS total_personas,
-               {_rounded_average("ingreso_mensual", 2)} AS salario_promedio
-        FROM p GROUP BY ocupacion, genero"""),
+        SELECT ocupacion, genero, count(*) AS n,
+               {_rounded_average("ingreso_mensual", 2)} AS avg_ingreso_mensual
+        FROM p GROUP BY ocupacion, genero ORDER BY ocupacion, genero"""),
     "sql_group_topk": _over_people("""
-        SELECT ciudad, estado, count(*) AS cantidad_tech
+        SELECT ciudad, estado, count(*) AS n
         FROM p WHERE ocupacion IN ('Ingeniero', 'Programador')
-        GROUP BY ciudad, estado ORDER BY cantidad_tech DESC, ciudad, estado LIMIT 5"""),
+        GROUP BY ciudad, estado ORDER BY n DESC, ciudad, estado LIMIT 5"""),
     "sql_group_two_keys": c.SEGMENTS_BY_NATION.format(average=_rounded_average("c_acctbal", 2)),
     "heavy_group": f"""
         SELECT l_returnflag, l_linestatus, {_rounded_average("l_extendedprice", 6)} AS avg_l_extendedprice,
@@ -326,7 +346,7 @@ ORACLES: dict[str, str] = {
     "topic_raw_first": RAW_FIRST,
     "live_count_by_group": f"""
         SELECT event_type, count(*) AS n, {_rounded_average("value", 1)} AS avg_value
-        FROM events GROUP BY event_type""",
+        FROM events GROUP BY event_type ORDER BY n DESC, event_type""",
     "live_count_messages": f"""WITH {_people(CUSTOMERS)}, {_people(SUPPLIERS, "s")},
         sent AS (SELECT estado, edad FROM p UNION ALL SELECT estado, edad FROM s
                  UNION ALL SELECT NULL, NULL FROM part)

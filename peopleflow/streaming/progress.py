@@ -2,16 +2,57 @@
 
 from __future__ import annotations
 
+import threading
+from collections import defaultdict
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
+
+
+class BatchLog(StreamingQueryListener):
+    """Notes three numbers of every micro-batch, however many there are."""
+
+    def __init__(self) -> None:
+        self._rows = defaultdict(list)
+        self._ended = defaultdict(threading.Event)
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        rate = float(p.processedRowsPerSecond or 0.0)
+        self._rows[str(p.runId)].append((p.batchId, p.numInputRows, rate))
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self._ended[str(event.runId)].set()
+
+    def rows(self, query: StreamingQuery, seconds: float = 60.0) -> list[tuple[int, int, float]]:
+        """The micro-batches of a run; all of them if it has ended, which events tell a little later."""
+        run = str(query.runId)
+        if not query.isActive and not self._ended[run].wait(seconds):
+            raise TimeoutError(f"the end of run {run} was not reported within {seconds} s")
+        return list(self._rows[run])
+
+
+@contextmanager
+def batch_log(spark: SparkSession) -> Iterator[BatchLog]:
+    """Listen to the streams that are started inside the block."""
+    log = BatchLog()
+    spark.streams.addListener(log)
+    try:
+        yield log
+    finally:
+        spark.streams.removeListener(log)
 
 
-def progress_report(spark: SparkSession, query: StreamingQuery) -> DataFrame:
-    """(batch_id, input_rows, rows_per_second) of the micro-batches Spark still remembers."""
-    rows = [
-        (p["batchId"], p["numInputRows"], float(p.get("processedRowsPerSecond") or 0.0))
-        for p in query.recentProgress
-    ]
+def progress_report(spark: SparkSession, log: BatchLog, query: StreamingQuery) -> DataFrame:
+    """(batch_id, input_rows, rows_per_second) of all micro-batches of a run."""
     return spark.createDataFrame(
-        rows, "batch_id bigint, input_rows bigint, rows_per_second double"
+        log.rows(query), "batch_id bigint, input_rows bigint, rows_per_second double"
     )

@@ -165,6 +165,13 @@ def test_merge_shuffles_once_and_parses_once(spark, log, tmp_path):
     assert "partial_max" in plan
 
 
+def test_topics_are_joined_in_one_shuffle(spark, log, tmp_path):
+    log([(1, "personas", "{}")]).write.parquet(str(tmp_path / "log"))
+    plan = plan_of(join_topics(spark.read.parquet(str(tmp_path / "log"))))
+    assert (plan.count("Exchange"), plan.count("FileScan")) == (1, 1)
+    assert "Join" not in plan and "In(topic" in plan
+
+
 def test_cut_is_pushed_into_the_second_scan(spark, log, tmp_path):
     messages = random_messages(300, 40, 7)
     log(messages).write.parquet(str(tmp_path / "log"))

@@ -1,3 +1,4 @@
+from conftest import plan_of
 from peopleflow.operators.monitor import first_messages, monitor_lines, raw_lines, topic_counters
 
 
@@ -11,6 +12,8 @@ def sample(log):
             (5, "empleos", "{}"),
             (6, "otros", '{"x": 1}'),
             (7, "personas", "broken"),
+            (8, "empleos", None),
+            (9, "actividad", '["no", "object"]'),
         ]
     )
 
@@ -24,21 +27,25 @@ def test_lines(spark, log):
         3: "[actividad] p0/o3      id=1234567 | ✘ Inactivo | Registro: ",
         4: "[empleos  ] p0/o4      id=?      |                |              | $0.00",
         5: '[otros    ] p0/o5      {"x": 1}',
-        6: "[personas ] p0/o6      id=?      |               |  años | , ",
+        6: "[personas ] p0/o6      broken",
+        7: "[empleos  ] p0/o7      null",
+        8: '[actividad] p0/o8      ["no", "object"]',
     }
 
 
 def test_limit_takes_the_first_in_arrival_order(spark, log):
     assert [r.offset for r in monitor_lines(sample(log), 2).collect()] == [0, 1]
-    assert first_messages(sample(log), 0).count() == 7
+    assert first_messages(sample(log), 0).count() == 9
 
 
 def test_raw_lines(spark, log):
-    lines = [r.line for r in raw_lines(sample(log), 6).collect()]
+    lines = [r.line for r in raw_lines(sample(log), 8).collect()]
     assert lines[5] == '[     otros] {"x": 1}'
+    assert lines[7] == "[   empleos] null"
     assert lines[2].startswith('[ actividad] {"id_persona":7')
 
 
 def test_counters(spark, log):
     rows = {r.topic: (r.messages, r.malformed, r.total) for r in topic_counters(sample(log), value="value").collect()}
-    assert rows == {"personas": (2, 1, 7), "empleos": (2, 0, 7), "actividad": (2, 0, 7), "otros": (1, 0, 7)}
+    assert rows == {"personas": (2, 1, 9), "empleos": (3, 1, 9), "actividad": (3, 1, 9), "otros": (1, 0, 9)}
+    assert "Window" not in plan_of(topic_counters(sample(log)))

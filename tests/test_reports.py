@@ -69,6 +69,23 @@ def test_filters_reach_the_scan(spark):
     assert "GreaterThan(o_totalprice,1000.0)" in plan
 
 
+def test_filters_of_reports_reach_the_scan(spark):
+    orders = spark.read.parquet(f"{SF_DIR}/orders.parquet")
+    wanted = F.col("o_orderstatus").isin("O") & (F.col("o_totalprice") > 1000)
+    order = [F.desc("o_totalprice"), "o_orderkey"]
+    top = plan_of(reports.filtered_top(orders, wanted, ["o_orderkey"], order, 3))
+    groups = plan_of(reports.group_report(orders, ["o_orderstatus"], wanted, n=F.count("*")))
+    assert "TakeOrderedAndProject" in top
+    for plan in (top, groups):
+        assert "EqualTo(o_orderstatus,O), GreaterThan(o_total" in plan
+    assert "ReadSchema: struct<o_orderstatus:string,o_totalprice:double>" in groups
+
+
+def test_group_report_orders_by_its_keys(spark):
+    rows = reports.group_report(table(spark), ["k"], F.col("x") > 1, n=F.count("*")).collect()
+    assert [tuple(r) for r in rows] == [(None, 1), ("a", 1), ("b", 1)]
+
+
 def test_cache_is_released(spark):
     df = table(spark)
     with cached(df) as held:

@@ -15,6 +15,7 @@ from peopleflow.sources.topics import (
     topic_options,
     write_replay,
 )
+from peopleflow.session import session_conf
 from peopleflow.streaming import generate, live, progress, sinks
 from peopleflow.streaming.merge import merged_records, start_merge
 from conftest import SF_DIR
@@ -34,12 +35,26 @@ def replay(spark, tmp_path):
 @pytest.mark.parametrize("per_trigger, batches", [(1, 4), (4, 1)])
 def test_merge_stream_equals_batch(spark, replay, tmp_path, per_trigger, batches):
     out = str(tmp_path / "out")
-    query = start_merge(stream_replay(spark, replay, per_trigger), out, str(tmp_path / "cp"))
-    query.awaitTermination()
-    assert progress.progress_report(spark, query).where("input_rows > 0").count() == batches
+    with progress.batch_log(spark) as log:
+        query = start_merge(stream_replay(spark, replay, per_trigger), out, str(tmp_path / "cp"))
+        query.awaitTermination()
+        report = progress.progress_report(spark, log, query)
+    assert report.where("input_rows > 0").count() == batches
     assert rows(merged_records(spark, out)) == rows(merge_messages(read_replay(spark, replay)))
 
 
+def test_progress_knows_more_batches_than_spark_remembers(spark, tmp_path):
+    path, out, cp = (str(tmp_path / name) for name in ("log", "out", "cp"))
+    spark.range(0, 700, 1, 7).write.parquet(path)
+    with session_conf(spark, {"spark.sql.streaming.numRecentProgressUpdates": "2"}):
+        with progress.batch_log(spark) as log:
+            query = sinks.start_append(stream_replay(spark, path, 1), out, cp)
+            query.awaitTermination()
+            rows = progress.progress_report(spark, log, query).where("input_rows > 0").collect()
+    assert len(query.recentProgress) <= 2
+    assert [(r.batch_id, r.input_rows) for r in rows] == [(i, 100) for i in range(7)]
+
+
 def test_restart_goes_on_and_reads_nothing_twice(spark, tmp_path):
     path, out, cp = (str(tmp_path / name) for name in ("log", "out", "cp"))
 

@@ -1,5 +1,4 @@
 from conftest import SF_DIR, plan_of
-from peopleflow.operators.merge import latest_per_topic
 from peopleflow.plans import inputs
 from peopleflow.schemas import LOG_SCHEMA
 from peopleflow.sources.topics import read_replay, write_replay
@@ -15,5 +14,5 @@ def test_a_log_by_topic_reads_back(spark, tmp_path):
 
 def test_one_topic_is_one_folder(spark, tmp_path):
     write_replay(inputs.people_log(spark, SF_DIR), str(tmp_path / "log"), by_topic=True)
-    plan = plan_of(latest_per_topic(read_replay(spark, str(tmp_path / "log")), "empleos"))
+    plan = plan_of(read_replay(spark, str(tmp_path / "log")).where("topic = 'empleos'"))
     assert "PartitionFilters: [isnotnull(topic" in plan

@@ -7,6 +7,7 @@ import zlib
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,6 +31,10 @@ FEATURES = 2 + 2 * len(MARKS)
 #: Labelled rows, at most, whose features the weights of the final score are fitted on.
 CALIBRATION_ROWS = 20_000
 
+#: Parts of the rows to learn from. Each is calibrated on with the counts of the others, so that those
+#: models are nearly as rich as the final one, which has the counts of all.
+PARTS = 5
+
 #: Added to the number of distinct words in shares, so that a text of few words has no large ones.
 FEW_KINDS = 20
 
@@ -71,12 +76,17 @@ def ngrams(found: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def learned_fold(doc_id):
-    """0 and 2: rows to learn from; 1: held out. Null ids fall with the text 'null'."""
+    """0 and 2: rows to learn from, all of them counted; 1: held out. Null ids fall with the text 'null'."""
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("null")).cast("binary")) % 3
 
 
-def count_ngrams(rows: DataFrame, text: str, label: str) -> DataFrame:
-    """Occurrences of each n-gram in ordinary and toxic rows: ``ngram, ordinary, toxic``.
+def learned_part(doc_id):
+    """The part, of PARTS, that a row to learn from falls in; independent of its fold."""
+    return (F.floor(F.crc32(F.col(doc_id).cast("string").cast("binary")) / 3) % PARTS).cast("int")
+
+
+def count_ngrams(rows: DataFrame, text: str, label: str, part: str) -> DataFrame:
+    """Occurrences of each n-gram in each part's ordinary and toxic rows: ``ngram, part, ordinary, toxic``.
 
     A batch is counted in its task, tasks before the shuffle, so a shuffle holds an n-gram once for
     each task at most.
@@ -85,24 +95,26 @@ def count_ngrams(rows: DataFrame, text: str, label: str) -> DataFrame:
     def count(batches):
         for batch in batches:
             keys, classes = [np.zeros(0, np.int64)], batch.column(1).to_pylist()
-            for value, toxic in zip(as_list(batch.column(0)), classes):
+            for value, kind in zip(as_list(batch.column(0)), classes):
                 if found := words(value):
-                    keys.append(ngrams(found)[0] * 2 + toxic)
+                    keys.append(ngrams(found)[0] * 2 * PARTS + kind)
             found, n = np.unique(np.concatenate(keys), return_counts=True)
             toxic = found % 2 == 1
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array((found // 2).astype(np.int32)),
+                    pa.array((found // (2 * PARTS)).astype(np.int32)),
+                    pa.array((found // 2 % PARTS).astype(np.int32)),
                     pa.array(np.where(toxic, 0, n)),
                     pa.array(np.where(toxic, n, 0)),
                 ],
-                names=["ngram", "ordinary", "toxic"],
+                names=["ngram", "part", "ordinary", "toxic"],
             )
 
     ship(rows.sparkSession)
-    chosen = rows.select(text, F.when(F.col(label) > 0, 1).otherwise(0).alias("label"))
-    parts = chosen.mapInArrow(count, "ngram int, ordinary bigint, toxic bigint")
-    return parts.groupBy("ngram").agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic"))
+    kind = F.col(part) * 2 + F.when(F.col(label) > 0, 1).otherwise(0)
+    counted = rows.select(text, kind.alias("kind"))
+    counted = counted.mapInArrow(count, "ngram int, part int, ordinary bigint, toxic bigint")
+    return counted.groupBy("ngram", "part").agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic"))
 
 
 def discount(counts: np.ndarray) -> float:
@@ -241,30 +253,44 @@ def reader(held) -> Reader:
 def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Scorer:
     """Learn from labelled rows that are not held out.
 
-    N-grams are counted over all rows of fold 0. The few final weights are fitted on rows of fold
-    2, which the counts have not seen: those with the smallest hashes, CALIBRATION_ROWS at most.
-    Rows without a label are not learned from; of several labels of a document the largest counts.
+    N-grams are counted over all of these rows, in PARTS. The few final weights are fitted on rows
+    of every part, CALIBRATION_ROWS at most, with features by the counts of the other parts, which
+    have not seen them; the model that scores has the counts of all parts. Rows without a label are
+    not learned from; of several labels of a document the largest counts.
     """
     marks = labels.groupBy(F.col(doc_id).alias("__id")).agg(F.max("toxic").alias("__toxic"))
     marks = marks.filter("__toxic IS NOT NULL")
-    fold = learned_fold(doc_id)
-    rows = docs.filter(fold != 1).join(marks, F.col(doc_id) == F.col("__id"))
-    rows = stage(rows.select(F.col(text).alias("text"), "__toxic", fold.alias("fold")), "labelled")
-    table = count_ngrams(rows.filter("fold = 0"), "text", "__toxic").toPandas()
-    ratios = Ratios(*(table[c].to_numpy(np.int64) for c in ("ngram", "ordinary", "toxic")))
-    held = rows.sparkSession.sparkContext.broadcast(ratios)
+    rows = docs.filter(learned_fold(doc_id) != 1).join(marks, F.col(doc_id) == F.col("__id"))
+    rows = stage(rows.select(F.col(text).alias("text"), "__toxic", learned_part(doc_id).alias("part")), "labelled")
+    table = count_ngrams(rows, "text", "__toxic", "part").toPandas()
+    keys, at = np.unique(table["ngram"].to_numpy(np.int64), return_inverse=True)
+    part, *counts = (table[c].to_numpy(np.int64) for c in ("part", "ordinary", "toxic"))
+
+    def ratios(chosen: np.ndarray) -> Ratios:
+        ordinary, toxic = (np.bincount(at[chosen], c[chosen], len(keys)).astype(np.int64) for c in counts)
+        seen = ordinary + toxic > 0
+        return Ratios(keys[seen], ordinary[seen], toxic[seen])
+
     names = [f"f{k}" for k in range(FEATURES)]
 
-    def make(columns):
-        for column in columns:
-            found = reader(held).features(as_list(column))
-            yield [pa.array(found[:, k].copy()) for k in range(len(names))]
-
-    sample = rows.filter("fold = 2").withColumn("__order", F.xxhash64("text", "__toxic"))
-    sample = add_columns(sample, "text", [T.StructField(n, T.DoubleType()) for n in names], make)
-    sample = sample.select("__order", *names, "__toxic").orderBy("__order", *names).limit(CALIBRATION_ROWS).toPandas()
-    toxic = (sample["__toxic"].to_numpy(np.int64) > 0).astype(float)
-    return Scorer(ratios, sample[names].to_numpy(), toxic)
+    def features(held):
+        def make(columns):
+            for column in columns:
+                found = reader(held).features(as_list(column))
+                yield [pa.array(found[:, k].copy()) for k in range(len(names))]
+
+        return make
+
+    ranked = rows.withColumn("__order", F.xxhash64("text", "__toxic"))
+    last = ranked.select("__order").orderBy("__order").limit(CALIBRATION_ROWS).agg(F.max("__order")).first()[0]
+    sample, fields = [], [T.StructField(n, T.DoubleType()) for n in names]
+    for k in range(PARTS):
+        held = rows.sparkSession.sparkContext.broadcast(ratios(part != k))
+        own = ranked.filter((F.col("part") == k) & (F.col("__order") <= F.lit(last)))
+        sample.append(add_columns(own, "text", fields, features(held)).select("__order", *names, "__toxic").toPandas())
+    sample = pd.concat(sample).sort_values(["__order", *names]).head(CALIBRATION_ROWS)
+    marked = (sample["__toxic"].to_numpy(np.int64) > 0).astype(float)
+    return Scorer(ratios(part >= 0), sample[names].to_numpy(float), marked)
 
 
 def score(df: DataFrame, model: Scorer, text: str = "text", out: str = "score") -> DataFrame:

@@ -136,3 +136,18 @@ def test_toxicity_without_labels_or_words(spark):
     labels = spark.createDataFrame([(2, None)], "doc_id long, toxic int")
     model = toxicity.fit(docs, labels)
     assert {r.score for r in toxicity.score(docs, model).collect()} == {0.5}
+
+
+def test_words_of_both_learned_folds_are_counted(spark):
+    ids = {k: [i for i in range(300) if toxicity.zlib.crc32(str(i).encode()) % 3 == k][:40] for k in (0, 2)}
+    rows, marks = [], []
+    for fold, own in ids.items():
+        for n, i in enumerate(own):
+            # One toxic word is known from fold 0 and the other from fold 2 only.
+            bad = "grobnik" if fold == 0 else "vexulqua"
+            rows.append((i, f"plain words about gardens {bad if n % 2 else 'flowers'}", "x"))
+            marks.append((i, n % 2))
+    docs = spark.createDataFrame(rows, DOCS)
+    model = toxicity.fit(docs, spark.createDataFrame(marks, "doc_id long, toxic int"))
+    only_0, only_2, plain = model.ratios.words(["grobnik", "vexulqua", "gardens"])
+    assert only_0 > 3 and only_2 > 3 and abs(plain) < 1

@@ -17,12 +17,13 @@ repetitive text has few distinct phrases, and text without repeats leaves after
 
 from __future__ import annotations
 
+import hashlib
 import zlib
 
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -46,15 +47,27 @@ BLOCK = 1 << 19
 #: The start of a phrase in a text is kept with its number of strings (7 bits) and a mark of its text.
 STRINGS, STARTS = 7, 41
 
+#: What tells where a phrase occurs, in the order of the corpus.
+PLACE = ("doc", "digest", "place")
+
 _random = np.random.default_rng(20240817)
 _BYTE = _random.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def text_mark(data: bytes) -> int:
-    """Tells texts of rows with equal ids apart; the same in SQL by crc32."""
+    """Tells, with ``text_digest``, texts of rows with equal ids apart; the same in SQL by crc32."""
     return zlib.crc32(data) & 0x7FFF
 
 
+def text_digest(data: bytes) -> int:
+    """60 bits of a text's SHA-256, from 1 on; texts whose id no other text has go by 0 instead."""
+    return int(hashlib.sha256(data).hexdigest()[:15], 16) + 1
+
+
+def sql_digest(data: str) -> Column:
+    return F.conv(F.substring(F.sha2(data, 256), 1, 15), 16, 10).cast("long") + 1
+
+
 def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Rolling hashes of pieces of up to BLOCK bytes of text."""
     up, down = powers(len(data) + 1)
@@ -100,8 +113,9 @@ def ranges(place: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.n
     return place >> STARTS + STRINGS, start, start + (place & (1 << STRINGS) - 1) + length
 
 
-def place_hash(doc: np.ndarray, place: np.ndarray) -> np.ndarray:
-    return mix(mix(doc.astype(np.int64).view(np.uint64)) + place.astype(np.int64).view(np.uint64))
+def place_hash(doc: np.ndarray, digest: np.ndarray, place: np.ndarray) -> np.ndarray:
+    doc, digest, place = (np.asarray(x, np.int64).view(np.uint64) for x in (doc, digest, place))
+    return mix(mix(mix(doc) + digest) + place)
 
 
 class Filter:
@@ -152,25 +166,30 @@ def make_filter(found: DataFrame, column: str) -> Broadcast:
     return spark.sparkContext.broadcast(whole.ravel())
 
 
-def parsed(batch: pa.RecordBatch, length: int):
-    """For each text of a batch that can hold a string: its bytes, id, mark and phrases."""
-    for doc, data in zip(batch.column(0).to_pylist(), batch.column(1)):
+def parsed(batch: pa.RecordBatch, length: int, shared: Broadcast | None = None):
+    """For each text of a batch that can hold a string: its bytes, id, digest, mark and phrases.
+
+    The digest is 0 where ``shared``, a filter of the ids of several texts, does not hold the id.
+    """
+    docs = batch.column(0).to_numpy(zero_copy_only=False)
+    told = np.zeros(len(docs), bool) if shared is None else Filter(shared.value).holds(docs.view(np.uint64))
+    for doc, apart, data in zip(docs.tolist(), told.tolist(), batch.column(1)):
         held = data.as_buffer() if data.is_valid else b""
         if len(held) >= length:
             array = np.frombuffer(held, np.uint8)
-            yield array, doc, text_mark(held), parse(array, length)
+            yield array, doc, text_digest(held) if apart else 0, text_mark(held), parse(array, length)
 
 
-def out_ranges(doc, place, length: int) -> pa.RecordBatch:
+def out_ranges(doc, digest, place, length: int) -> pa.RecordBatch:
     mark, start, end = ranges(np.asarray(place, np.int64), length)
-    arrays = [pa.array(np.asarray(doc, np.int64)), *map(pa.array, (mark, start, end))]
-    return pa.RecordBatch.from_arrays(arrays, names=["doc", "mark", "start", "end"])
+    arrays = [pa.array(np.asarray(x, np.int64)) for x in (doc, digest, mark, start, end)]
+    return pa.RecordBatch.from_arrays(arrays, names=["doc", "digest", "mark", "start", "end"])
 
 
-def behind(new: np.ndarray, doc: np.ndarray, place: np.ndarray) -> np.ndarray:
+def behind(new: np.ndarray, *at: np.ndarray) -> np.ndarray:
     """Which rows of sorted groups, begun where ``new``, are elsewhere than the first of their group."""
     first = np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
-    return (doc != doc[first]) | (place != place[first])
+    return np.any([x != x[first] for x in at], axis=0)
 
 
 def repeated_triggers(texts: DataFrame, length: int) -> DataFrame:
@@ -178,7 +197,7 @@ def repeated_triggers(texts: DataFrame, length: int) -> DataFrame:
 
     def count(batches):
         for batch in batches:
-            found = [x[3][0] for x in parsed(batch, length)]
+            found = [x[-1][0] for x in parsed(batch, length)]
             value, n = np.unique(np.concatenate([np.zeros(0, np.uint64), *found]), return_counts=True)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(value.view(np.int64)), pa.array(np.minimum(n, 2))], names=["trigger", "n"]
@@ -188,32 +207,33 @@ def repeated_triggers(texts: DataFrame, length: int) -> DataFrame:
     return stage(found.groupBy("trigger").agg(F.sum("n").alias("n")).filter("n > 1").select("trigger"), "triggers")
 
 
-def occurrences(texts: DataFrame, wanted: Broadcast, length: int) -> DataFrame:
+def occurrences(texts: DataFrame, wanted: Broadcast, shared: Broadcast | None, length: int) -> DataFrame:
     """Phrases with repeated triggers; those a batch holds twice are already told as repeats (``later``)."""
 
     def find(batches):
         for batch in batches:
-            rows = [(np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64))]
-            for _, doc, mark, (trigger, phrase, start, many) in parsed(batch, length):
+            rows = [(*(np.zeros(0, np.uint64),) * 2, *(np.zeros(0, np.int64),) * 3)]
+            for _, doc, digest, mark, (trigger, phrase, start, many) in parsed(batch, length, shared):
                 ok = Filter(wanted.value).holds(trigger)
                 own = places(start[ok], many[ok], mark)
-                rows.append((trigger[ok], phrase[ok], np.full(len(own), doc, np.int64), own))
-            trigger, phrase, doc, place = (np.concatenate(x) for x in zip(*rows))
-            order = np.lexsort((place, doc, phrase, trigger))
-            trigger, phrase, doc, place = (x[order] for x in (trigger, phrase, doc, place))
+                text = (np.full(len(own), x, np.int64) for x in (doc, digest))
+                rows.append((trigger[ok], phrase[ok], *text, own))
+            trigger, phrase, doc, digest, place = (np.concatenate(x) for x in zip(*rows))
+            order = np.lexsort((place, digest, doc, phrase, trigger))
+            trigger, phrase, doc, digest, place = (x[order] for x in (trigger, phrase, doc, digest, place))
             new = np.r_[True, (trigger[1:] != trigger[:-1]) | (phrase[1:] != phrase[:-1])][: len(order)]
-            later = behind(new, doc, place)
-            arrays = [trigger.view(np.int64), phrase.view(np.int64), doc, place, later]
+            later = behind(new, doc, digest, place)
+            arrays = [trigger.view(np.int64), phrase.view(np.int64), doc, digest, place, later]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(x) for x in arrays], names=["trigger", "phrase", "doc", "place", "later"]
+                [pa.array(x) for x in arrays], names=["trigger", "phrase", *PLACE, "later"]
             )
 
-    schema = "trigger bigint, phrase bigint, doc bigint, place bigint, later boolean"
+    schema = "trigger bigint, phrase bigint, doc bigint, digest bigint, place bigint, later boolean"
     return stage(texts.mapInArrow(find, schema), "phrases")
 
 
-def suffix_repeats(phrases: list[bytes], doc: np.ndarray, place: np.ndarray, length: int):
-    """Strings of different phrases that are no first occurrence: ids and places of one string each.
+def suffix_repeats(phrases: list[bytes], doc: np.ndarray, digest: np.ndarray, place: np.ndarray, length: int):
+    """Strings of different phrases that are no first occurrence: ids, digests and places of one string each.
 
     All strings are sorted; the neighbours that are equal form a class, and its first in the order of
     the parse stays.
@@ -226,28 +246,31 @@ def suffix_repeats(phrases: list[bytes], doc: np.ndarray, place: np.ndarray, len
     offset = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
     suffix = np.lib.stride_tricks.sliding_window_view(data, length)[begin[owner] + offset]
     suffix = np.ascontiguousarray(suffix).view(f"V{length}").ravel()
-    own_doc, own_place = doc[owner], start[owner] + offset << STRINGS
+    own = doc[owner], digest[owner], start[owner] + offset << STRINGS
     _, kind = np.unique(suffix, return_inverse=True)
-    order = np.lexsort((own_place, own_doc, kind))
-    kind, own_doc, own_place = kind[order], own_doc[order], own_place[order]
-    later = behind(np.r_[True, kind[1:] != kind[:-1]], own_doc, own_place)
-    return own_doc[later], own_place[later]
+    order = np.lexsort((*own[::-1], kind))
+    kind, *own = (x[order] for x in (kind, *own))
+    later = behind(np.r_[True, kind[1:] != kind[:-1]], *own)
+    return tuple(x[later] for x in own)
 
 
-def joined(doc: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def joined(doc: np.ndarray, digest: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, ...]:
     """Runs of consecutive strings as one place each, of at most 2 ** STRINGS strings."""
-    doc, start = np.unique(np.stack([doc, place >> STRINGS]), axis=1)
-    new = np.r_[True, (doc[1:] != doc[:-1]) | (start[1:] != start[:-1] + 1)][: len(doc)]
+    doc, digest, start = np.unique(np.stack([doc, digest, place >> STRINGS]), axis=1)
+    new = (doc[1:] != doc[:-1]) | (digest[1:] != digest[:-1]) | (start[1:] != start[:-1] + 1)
+    new = np.r_[True, new][: len(doc)]
     first = np.flatnonzero(new)
     sizes = np.diff(np.r_[first, len(doc)])
     at = np.arange(len(doc)) - np.repeat(first, sizes)
     first = np.flatnonzero(at % (1 << STRINGS) == 0)
     sizes = np.diff(np.r_[first, len(doc)])
-    return doc[first], start[first] << STRINGS | sizes - 1
+    return doc[first], digest[first], start[first] << STRINGS | sizes - 1
 
 
-def dictionary(texts: DataFrame, wanted: Broadcast, hot: Broadcast, length: int) -> DataFrame:
-    """The bytes of phrases that must be put in order, by trigger: ``bin, doc, place, phrase``.
+def dictionary(
+    texts: DataFrame, wanted: Broadcast, hot: Broadcast, shared: Broadcast | None, length: int
+) -> DataFrame:
+    """The bytes of phrases that must be put in order, by trigger: ``bin, doc, digest, place, phrase``.
 
     Strings of hot triggers are dealt one by one, by their own hash; of those equal in a batch the
     first is dealt and the others, told as repeats, have no phrase.
@@ -255,76 +278,74 @@ def dictionary(texts: DataFrame, wanted: Broadcast, hot: Broadcast, length: int)
 
     def find(batches):
         for batch in batches:
-            bins, docs, own, phrases = [], [], [], []
-            hot_docs, hot_places, hot_phrases = [], [], []
-            for data, doc, mark, (trigger, _, start, many) in parsed(batch, length):
+            bins, own, phrases = [], [], []
+            hot_places, hot_phrases = [], []
+            for data, doc, digest, mark, (trigger, _, start, many) in parsed(batch, length, shared):
                 place = places(start, many, mark)
-                ok = Filter(wanted.value).holds(place_hash(np.full(len(place), doc, np.int64), place))
+                text = (np.full(len(place), x, np.int64) for x in (doc, digest))
+                ok = Filter(wanted.value).holds(place_hash(*text, place))
                 often = ok & Filter(hot.value).holds(trigger)
                 for k in np.flatnonzero(ok & ~often).tolist():
                     bins.append(trigger[k].view(np.int64))
-                    docs.append(doc)
-                    own.append(place[k])
+                    own.append((doc, digest, place[k]))
                     phrases.append(data[start[k] : start[k] + many[k] - 1 + length].tobytes())
                 for k in np.flatnonzero(often).tolist():
                     for s in range(start[k], start[k] + many[k]):
-                        hot_docs.append(doc)
-                        hot_places.append(mark << STARTS + STRINGS | s << STRINGS)
+                        hot_places.append((doc, digest, mark << STARTS + STRINGS | s << STRINGS))
                         hot_phrases.append(data[s : s + length].tobytes())
-            seen: dict[bytes, tuple[int, int]] = {}
-            for k in sorted(range(len(hot_docs)), key=lambda k: (hot_docs[k], hot_places[k])):
-                own_place = hot_docs[k], hot_places[k]
-                first = seen.setdefault(hot_phrases[k], own_place) == own_place
+            seen: dict[bytes, tuple[int, int, int]] = {}
+            for k in sorted(range(len(hot_places)), key=hot_places.__getitem__):
+                first = seen.setdefault(hot_phrases[k], hot_places[k]) == hot_places[k]
                 bins.append(int.from_bytes(zlib.crc32(hot_phrases[k]).to_bytes(4, "little") * 2, "little", signed=True))
-                docs.append(hot_docs[k])
                 own.append(hot_places[k])
                 phrases.append(hot_phrases[k] if first else None)
-            arrays = [pa.array(x, pa.int64()) for x in (bins, docs, own)] + [pa.array(phrases, pa.binary())]
-            yield pa.RecordBatch.from_arrays(arrays, names=["bin", "doc", "place", "phrase"])
+            arrays = [pa.array(x, pa.int64()) for x in (bins, *(zip(*own) if own else ((),) * 3))]
+            arrays.append(pa.array(phrases, pa.binary()))
+            yield pa.RecordBatch.from_arrays(arrays, names=["bin", *PLACE, "phrase"])
 
-    return stage(texts.mapInArrow(find, "bin bigint, doc bigint, place bigint, phrase binary"), "dictionary")
+    schema = "bin bigint, doc bigint, digest bigint, place bigint, phrase binary"
+    return stage(texts.mapInArrow(find, schema), "dictionary")
 
 
-def repeated_ranges(texts: DataFrame, length: int) -> DataFrame:
-    """Byte ranges of ``texts`` (``doc, text``) that earlier text covers: ``doc, mark, start, end``."""
+def repeated_ranges(texts: DataFrame, shared: Broadcast | None, length: int) -> DataFrame:
+    """Byte ranges of ``texts`` (``doc, text``) that earlier text covers: ``doc, digest, mark, start, end``."""
     ship(texts.sparkSession)
-    ranges_of = "doc bigint, mark bigint, start bigint, end bigint"
+    ranges_of = "doc bigint, digest bigint, mark bigint, start bigint, end bigint"
 
     def as_ranges(batches):
         for batch in batches:
-            columns = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
+            columns = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(len(PLACE)))
             yield out_ranges(*columns, length)
 
     triggers = repeated_triggers(texts, length)
-    found = occurrences(texts, make_filter(triggers, "trigger"), length)
+    found = occurrences(texts, make_filter(triggers, "trigger"), shared, length)
     once = found.filter("not later")
-    first = once.groupBy("trigger", "phrase").agg(F.min(F.struct("doc", "place")).alias("first"))
+    first = once.groupBy("trigger", "phrase").agg(F.min(F.struct(*PLACE)).alias("first"))
     first = stage(first.select("trigger", "phrase", "first"), "first")
     others = once.join(first, ["trigger", "phrase"])
-    others = others.filter((F.col("doc") != F.col("first.doc")) | (F.col("place") != F.col("first.place")))
-    whole = found.filter("later").select("doc", "place").unionByName(others.select("doc", "place"))
+    others = others.filter(F.struct(*PLACE) != F.col("first"))
+    whole = found.filter("later").select(*PLACE).unionByName(others.select(*PLACE))
     kinds = stage(first.groupBy("trigger").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "kinds")
-    unclear = first.join(kinds, "trigger").select("first.doc", "first.place")
+    unclear = first.join(kinds, "trigger").select("first.*")
 
     def place_hashes(batches):
         for batch in batches:
-            found = place_hash(*(batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1)))
+            found = place_hash(*(batch.column(k).to_numpy(zero_copy_only=False) for k in range(len(PLACE))))
             yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64))], names=["place"])
 
     wanted = make_filter(unclear.mapInArrow(place_hashes, "place bigint"), "place")
     hot = make_filter(kinds.filter(F.col("n") > HOT), "trigger")
-    phrases = dictionary(texts, wanted, hot, length)
+    phrases = dictionary(texts, wanted, hot, shared, length)
 
     def order(batches):
         for table in runs(batches, ["bin"]):
             if table.num_rows > 1:
-                doc, place = (table[c].to_numpy() for c in ("doc", "place"))
-                doc, place = suffix_repeats(table["phrase"].to_pylist(), doc, place, length)
-                yield out_ranges(*joined(doc, place), length)
+                at = suffix_repeats(table["phrase"].to_pylist(), *(table[c].to_numpy() for c in PLACE), length)
+                yield out_ranges(*joined(*at), length)
 
     dealt = phrases.filter("phrase IS NOT NULL").repartition("bin").sortWithinPartitions("bin")
     parts = dealt.mapInArrow(order, ranges_of)
-    told = whole.unionByName(phrases.filter("phrase IS NULL").select("doc", "place"))
+    told = whole.unionByName(phrases.filter("phrase IS NULL").select(*PLACE))
     return parts.unionByName(told.mapInArrow(as_ranges, ranges_of))
 
 
@@ -334,19 +355,29 @@ def remove_repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text", le
     A byte goes if a string of ``length`` bytes that covers it also starts earlier: in a row with a
     smaller id, or earlier in the same text; spans are the runs of such bytes. Null reads as the empty
     text, and shorter texts lose nothing. A null id is smallest. Rows repeated with the same id and
-    text are one document and get equal rows; texts that share an id are told apart, in a fixed
-    order. Removing bytes may cut a character; other columns are not read. ``length`` is from 64 to 159.
+    text are one document and get equal rows; texts that share an id are told apart by 75 bits of
+    hashes, in a fixed order. Removing bytes may cut a character; other columns are not read. ``length`` is from 64 to 159.
     """
     if not 2 * K_GRAM <= length <= K_GRAM - 1 + (1 << STRINGS):
         raise ValueError("length is out of range")
     doc = F.coalesce(F.col(doc_id).cast("long"), F.lit(-(2**63)))
     data = F.coalesce(F.col(text), F.lit("")).cast("binary")
     rows = df.select(F.col(doc_id).alias("doc_id"), doc.alias("doc"), data.alias("data"))
-    found = repeated_ranges(rows.select("doc", "data"), length)
-    found = found.groupBy("doc", "mark").agg(F.collect_list(F.struct("start", "end")).alias("ranges"))
+    texts = stage(rows.select("doc", sql_digest("data").alias("digest")).distinct(), "texts")
+    several = stage(texts.groupBy("doc").count().filter("count > 1").select("doc"), "several")
+    shared = None if several.isEmpty() else make_filter(several, "doc")
+    found = repeated_ranges(rows.select("doc", "data"), shared, length)
+    found = found.groupBy("doc", "digest", "mark").agg(F.collect_list(F.struct("start", "end")).alias("ranges"))
     found = stage(found, "ranges")
     rows = rows.withColumn("mark", F.crc32("data").bitwiseAND(F.lit(0x7FFF)))
-    rows = rows.join(found, ["doc", "mark"], "left").select("doc_id", F.struct("data", "ranges").alias("both"))
+    if shared is None:
+        rows = rows.join(found, ["doc", "mark"], "left")
+    else:
+        # Ids that the filter does not hold have one text each, so the id gives its digest.
+        alone = found.filter("digest = 0").drop("digest").join(texts, "doc")
+        found = found.filter("digest <> 0").unionByName(alone)
+        rows = rows.withColumn("digest", sql_digest("data")).join(found, ["doc", "digest", "mark"], "left")
+    rows = rows.select("doc_id", F.struct("data", "ranges").alias("both"))
 
     def make(columns):
         for column in columns:

@@ -142,3 +142,34 @@ def test_parse_covers_every_string():
     _, _, start, many = repeats.parse(data)
     assert start[0] == 0 and (start[1:] == start[:-1] + many[:-1]).all() and start[-1] + many[-1] == len(data) - 99
     assert hashlib.sha256(b"").hexdigest().startswith("e3b0")
+
+
+def test_repeats_of_texts_that_share_an_id_and_a_mark(spark):
+    r = random.Random(5)
+
+    def letters(n):
+        return "".join(r.choice("abcdefgh") for _ in range(n))
+
+    passage = letters(200)
+    long = letters(500) + passage
+    mark = repeats.text_mark(long.encode())
+    short = next(t for t in iter(lambda: letters(150), None) if repeats.text_mark(t.encode()) == mark)
+    other = next(t for t in (letters(500) + letters(200) for _ in iter(int, 1)) if repeats.text_mark(t.encode()) == mark)
+    for shared in (7, None):
+        # A null id comes before all others, so then the first text with the passage has no id.
+        first, lost = (7, 0) if shared is None else (1, 200)
+        rows = [(first, passage, "x"), *((shared, t, "x") for t in (long, short, other)), (9, passage, "x")]
+        out = remove_repeats(spark.createDataFrame(rows, DOCS)).collect()
+        assert sorted((x.doc_id or 0, x.n_bytes, len(x.kept)) for x in out) == sorted(
+            [(first, 200, lost), (shared or 0, 700, 500 + 200 - lost), (shared or 0, 150, 150), (shared or 0, 700, 700), (9, 200, 0)]
+        )
+
+
+def test_equal_starts_in_texts_of_one_id_and_mark_are_repeats(spark):
+    r = random.Random(6)
+    passage = "".join(r.choice("abcdefgh") for _ in range(300))
+    tails = ["".join(r.choice("abcdefgh") for _ in range(40)) for _ in range(400)]
+    rows = [(None, passage + t, "x") for t in tails]
+    out = remove_repeats(spark.createDataFrame(rows, DOCS)).collect()
+    # Only one text keeps the passage.
+    assert sorted(len(x.kept) for x in out)[-2:] == [max(len(x.kept) for x in out if len(x.kept) < 300), 340]

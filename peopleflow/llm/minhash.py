@@ -94,14 +94,15 @@ def minima(found: np.ndarray) -> np.ndarray:
 
 
 def signature(found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The hashes of the bands, and the low bits of all minima packed into 64-bit numbers."""
+    """The hashes of the bands, and bits of all minima, mixed, packed into 64-bit numbers."""
     low = minima(found)
     key = np.arange(BANDS, dtype=np.uint64)
     for row in low.reshape(BANDS, ROWS).T:
         key = mix(key * np.uint64(_BASE) + row)
     per = 64 // BITS
     bits = np.zeros(-(-MINIMA // per) * per, np.uint64)
-    bits[:MINIMA] = low & np.uint32(2**BITS - 1)
+    # The functions are linear, so the low bits of all minima of one shingle would agree or differ together.
+    bits[:MINIMA] = mix(low.astype(np.uint64)) & np.uint64(2**BITS - 1)
     shifts = np.arange(per, dtype=np.uint64) * np.uint64(BITS)
     packed = np.bitwise_or.reduce(bits.reshape(-1, per) << shifts, axis=1)
     return key.view(np.int64), packed.view(np.int64)

@@ -173,3 +173,15 @@ def test_equal_starts_in_texts_of_one_id_and_mark_are_repeats(spark):
     out = remove_repeats(spark.createDataFrame(rows, DOCS)).collect()
     # Only one text keeps the passage.
     assert sorted(len(x.kept) for x in out)[-2:] == [max(len(x.kept) for x in out if len(x.kept) < 300), 340]
+
+
+def test_links_of_short_texts_pass_the_estimate():
+    r = np.random.default_rng(4)
+    ones = np.uint64((2**64 - 1) // (2**minhash.BITS - 1))
+    lost = 0
+    for _ in range(8000):
+        whole = r.integers(0, 2**63, 4).astype(np.uint64) * np.uint64(2)
+        a, b = (minhash.signature(np.sort(x))[1].view(np.uint64) for x in (whole, whole[:3]))
+        apart = a ^ b
+        lost += int(np.bitwise_count((apart | apart >> np.uint64(1)) & ones).sum()) > minhash.MOST_UNEQUAL
+    assert lost == 0

@@ -28,7 +28,7 @@ MARKS = (1.5, 3.0)
 #: A document's features: mean score, the three largest, share and number of marked words.
 FEATURES = 2 + 2 * len(MARKS)
 
-#: Labelled rows, at most, whose features the weights of the final score are fitted on.
+#: Labelled documents of each class, at most, whose features the weights of the final score are fitted on.
 CALIBRATION_ROWS = 20_000
 
 #: Parts of the rows to learn from. Each is calibrated on with the counts of the others, so that those
@@ -254,14 +254,15 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     """Learn from labelled rows that are not held out.
 
     N-grams are counted over all of these rows, in PARTS. The few final weights are fitted on rows
-    of every part, CALIBRATION_ROWS at most, with features by the counts of the other parts, which
+    of every part, CALIBRATION_ROWS of each class at most, with features by the counts of the other parts, which
     have not seen them; the model that scores has the counts of all parts. Rows without a label are
-    not learned from; of several labels of a document the largest counts.
+    not learned from; rows repeated with the same id and text weigh once in the fit; of several labels of a document the largest counts.
     """
     marks = labels.groupBy(F.col(doc_id).alias("__id")).agg(F.max("toxic").alias("__toxic"))
     marks = marks.filter("__toxic IS NOT NULL")
     rows = docs.filter(learned_fold(doc_id) != 1).join(marks, F.col(doc_id) == F.col("__id"))
-    rows = stage(rows.select(F.col(text).alias("text"), "__toxic", learned_part(doc_id).alias("part")), "labelled")
+    order = F.xxhash64(F.col(doc_id).cast("string"), F.col(text)).alias("__order")
+    rows = stage(rows.select(F.col(text).alias("text"), "__toxic", order, learned_part(doc_id).alias("part")), "labelled")
     table = count_ngrams(rows, "text", "__toxic", "part").toPandas()
     keys, at = np.unique(table["ngram"].to_numpy(np.int64), return_inverse=True)
     part, *counts = (table[c].to_numpy(np.int64) for c in ("part", "ordinary", "toxic"))
@@ -281,14 +282,17 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
 
         return make
 
-    ranked = rows.withColumn("__order", F.xxhash64("text", "__toxic"))
-    last = ranked.select("__order").orderBy("__order").limit(CALIBRATION_ROWS).agg(F.max("__order")).first()[0]
+    # The order goes by id, so copies of a text do not come in one block.
+    chosen = F.lit(False)
+    for own in (F.col("__toxic") > 0, F.col("__toxic") <= 0):
+        first = rows.filter(own).select("__order").distinct().orderBy("__order").limit(CALIBRATION_ROWS)
+        chosen = chosen | (own & (F.col("__order") <= F.lit(first.agg(F.max("__order")).first()[0])))
     sample, fields = [], [T.StructField(n, T.DoubleType()) for n in names]
     for k in range(PARTS):
         held = rows.sparkSession.sparkContext.broadcast(ratios(part != k))
-        own = ranked.filter((F.col("part") == k) & (F.col("__order") <= F.lit(last)))
-        sample.append(add_columns(own, "text", fields, features(held)).select("__order", *names, "__toxic").toPandas())
-    sample = pd.concat(sample).sort_values(["__order", *names]).head(CALIBRATION_ROWS)
+        own = add_columns(rows.filter(chosen & (F.col("part") == k)), "text", fields, features(held))
+        sample.append(own.select("__order", *names, "__toxic").distinct().toPandas())
+    sample = pd.concat(sample).sort_values(["__order", *names])
     marked = (sample["__toxic"].to_numpy(np.int64) > 0).astype(float)
     return Scorer(ratios(part >= 0), sample[names].to_numpy(float), marked)
 

@@ -151,3 +151,22 @@ def test_words_of_both_learned_folds_are_counted(spark):
     model = toxicity.fit(docs, spark.createDataFrame(marks, "doc_id long, toxic int"))
     only_0, only_2, plain = model.ratios.words(["grobnik", "vexulqua", "gardens"])
     assert only_0 > 3 and only_2 > 3 and abs(plain) < 1
+
+
+def test_copies_do_not_crowd_out_the_calibration(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "CALIBRATION_ROWS", 30)
+    ids = [i for i in range(1200) if not toxicity.held_out(i)]
+    docs = spark.createDataFrame([(0, "copied words 0")], "doc_id long, text string")
+    # A copied text that comes before all others in an order by text.
+    texts = [(k, f"copied words {k}") for k in range(2000)]
+    ranked = spark.createDataFrame(texts, docs.schema).selectExpr("text").selectExpr("text", "xxhash64(text, 0) AS h")
+    copied = ranked.orderBy("h").first().text
+    rows, marks = [], []
+    for n, i in enumerate(ids):
+        kind = n % 4
+        rows.append((i, copied if kind < 2 else f"garden flowers {'grobnik' if kind == 3 else 'meadow'} {n}", "x"))
+        marks.append((i, int(kind == 3)))
+    model = toxicity.fit(spark.createDataFrame(rows, DOCS), spark.createDataFrame(marks, "doc_id long, toxic int"))
+    wanted = spark.createDataFrame([(1, "flowers grobnik", "x"), (2, "flowers meadow", "x")], DOCS)
+    scores = {r.doc_id: r.score for r in toxicity.score(wanted, model).collect()}
+    assert scores[1] > 0.7 > 0.5 > scores[2]

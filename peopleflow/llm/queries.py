@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from peopleflow.llm.bpe import op1_bpe_round_trip
+from peopleflow.llm.divergence import OP13_SQL, op13_source_divergence
 from peopleflow.llm.exact_dedup import OP3_SQL, op3_exact_dedup
 from peopleflow.llm.minhash import OP5_SQL, op5_minhash_near_dedup
 from peopleflow.llm.packing import op6_best_fit_packing
@@ -30,6 +31,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_repeated_strings,
         op9_quality_rules,
         op10_toxicity,
+        op13_source_divergence,
     )
 }
 
@@ -37,4 +39,5 @@ ORACLES: dict[str, str] = {
     "op3_exact_dedup": OP3_SQL,
     "op5_minhash_near_dedup": OP5_SQL,
     "op9_quality_rules": OP9_SQL,
+    "op13_source_divergence": OP13_SQL,
 }

@@ -14,6 +14,7 @@ from peopleflow.llm.packing import op6_best_fit_packing
 from peopleflow.llm.quality import OP9_SQL, op9_quality_rules
 from peopleflow.llm.repeats import op8_repeated_strings
 from peopleflow.llm.secret_scan import op4_secret_scan
+from peopleflow.llm.simhash import op12_simhash_near_dedup
 from peopleflow.llm.token_counts import op2_token_counts
 from peopleflow.llm.toxicity import op10_toxicity
 from peopleflow.llm.url_filter import op7_url_filter
@@ -31,6 +32,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_repeated_strings,
         op9_quality_rules,
         op10_toxicity,
+        op12_simhash_near_dedup,
         op13_source_divergence,
     )
 }

@@ -27,10 +27,10 @@ from peopleflow.session import stage
 LEAST_DOCUMENTS = 3
 
 #: Bytes of perfect hashes and keys that are broadcast, at most.
-HEAD_BYTES = 64_000_000
+HEAD_BYTES = 32_000_000
 
 #: Cells of the dense arrays that a task holds before it passes them on.
-CELLS = 16_000_000
+CELLS = 8_000_000
 
 #: Sources of a language that meet in one tile.
 TILE = 128

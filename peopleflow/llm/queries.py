@@ -11,6 +11,7 @@ from peopleflow.llm.divergence import OP13_SQL, op13_source_divergence
 from peopleflow.llm.exact_dedup import OP3_SQL, op3_exact_dedup
 from peopleflow.llm.minhash import OP5_SQL, op5_minhash_near_dedup
 from peopleflow.llm.packing import op6_best_fit_packing
+from peopleflow.llm.phrases import OP11_SQL, op11_phrase_collocations
 from peopleflow.llm.quality import OP9_SQL, op9_quality_rules
 from peopleflow.llm.repeats import op8_repeated_strings
 from peopleflow.llm.secret_scan import op4_secret_scan
@@ -32,6 +33,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_repeated_strings,
         op9_quality_rules,
         op10_toxicity,
+        op11_phrase_collocations,
         op12_simhash_near_dedup,
         op13_source_divergence,
     )
@@ -41,5 +43,6 @@ ORACLES: dict[str, str] = {
     "op3_exact_dedup": OP3_SQL,
     "op5_minhash_near_dedup": OP5_SQL,
     "op9_quality_rules": OP9_SQL,
+    "op11_phrase_collocations": OP11_SQL,
     "op13_source_divergence": OP13_SQL,
 }

@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text that are cut in one go; a longer text makes a block of its own.
-BLOCK_BYTES = 8_000_000
+BLOCK_BYTES = 4_000_000
 
 #: What a byte is to a word: part of it, a gap between words, or a border that phrases do not cross.
 PART, GAP, BORDER = 0, 1, 2

@@ -81,7 +81,7 @@ def add_columns(
     """
     names = {field.name.lower() for field in added}
     carried = [c for c in df.columns if c.lower() not in names]
-    kept = df.select(*[F.col(f"`{c}`") for c in carried], F.col(f"`{source}`").alias("__source"))
+    kept = df.select(*[F.col(f"`{c}`") for c in carried], F.col(f"`{source}`").alias(fresh(df, "source")))
     schema = T.StructType([df.schema[c] for c in carried] + added)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -96,6 +96,60 @@ def add_columns(
     return kept.mapInArrow(run, schema)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have yet."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def row_key(doc_id: Column, digest: Column) -> Column:
+    """32 bytes for an id, null among them, and the digest of a text as hexadecimal digits."""
+    named = F.coalesce(F.concat(F.lit("="), doc_id.cast("string")), F.lit(""))
+    return F.unhex(F.sha2(F.concat(named, F.lit(":"), digest), 256))
+
+
+def one_row_each(docs: DataFrame, key: Column, kept: DataFrame) -> DataFrame:
+    """Of the rows with each ``key`` that the only column of ``kept`` holds, one with all its columns.
+
+    Repeated rows shrink to one in each task, and whole rows are shuffled once.
+    """
+    name = fresh(docs, "row_key")
+    rows = docs.withColumn(name, key).dropDuplicates([name])
+    kept = kept.toDF(name).hint("merge")
+    return rows.join(kept, name, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+#: Bits of a filter for each value it is made of, and in all: 64 MB, beyond which it lets more through.
+FILTER_BITS, MOST_BITS = 16, 1 << 29
+
+#: Bits of one of Spark's bitmaps.
+BITMAP = 32768
+
+
+def cut_to(rows: DataFrame, column: str, wanted: DataFrame) -> DataFrame:
+    """Rows whose ``column`` may be among the values of the only column of ``wanted``, a written table.
+
+    It drops most others before they are shuffled, none that is wanted, and so is no replacement for
+    the join that follows. Nulls go. The filter is a table of bitmaps by hash, broadcast.
+    """
+    bits = min(MOST_BITS, max(BITMAP, FILTER_BITS * wanted.count()))
+    bucket, place = (fresh(rows, x) for x in ("filter_bucket", "filter_place"))
+    hashed = F.pmod(F.xxhash64(wanted.columns[0]), F.lit(bits))
+    bitmaps = wanted.filter(F.col(wanted.columns[0]).isNotNull()).select(
+        F.floor(hashed / BITMAP).alias(bucket), (hashed % BITMAP).alias(place)
+    )
+    held = fresh(rows, "filter_bits")
+    bitmaps = bitmaps.groupBy(bucket).agg(F.bitmap_construct_agg(place).alias(held))
+    own = F.pmod(F.xxhash64(column), F.lit(bits))
+    found = rows.filter(F.col(column).isNotNull()).withColumn(place, own % BITMAP)
+    found = found.withColumn(bucket, F.floor(own / BITMAP)).join(F.broadcast(bitmaps), bucket)
+    byte = F.conv(F.hex(F.substring(held, F.floor(F.col(place) / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    bit = F.getbit(byte, (F.col(place) % 8).cast("int")) == 1
+    return found.filter(bit).select(*[F.col(f"`{c}`") for c in rows.columns])
+
+
 def as_list(array: pa.Array) -> list[str]:
     """The texts of a batch; null reads as the empty text."""
     return [x or "" for x in array.to_pylist()]

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from peopleflow.llm.common import MEMO_ENTRIES, add_columns, as_list, documents, ship
+from peopleflow.llm.common import MEMO_ENTRIES, add_columns, as_list, cut_to, documents, ship
 from peopleflow.session import stage
 
 #: Symbols: 0 for the border of a word, 1 to 26 for a to z, the rest for other letters.
@@ -260,7 +260,10 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     """
     marks = labels.groupBy(F.col(doc_id).alias("__id")).agg(F.max("toxic").alias("__toxic"))
     marks = marks.filter("__toxic IS NOT NULL")
-    rows = docs.filter(learned_fold(doc_id) != 1).join(marks, F.col(doc_id) == F.col("__id"))
+    marks = stage(marks, "marks")
+    rows = docs.select(F.col(f"`{doc_id}`").alias(doc_id), F.col(f"`{text}`").alias(text))
+    rows = cut_to(rows.filter(learned_fold(doc_id) != 1), doc_id, marks.select("__id"))
+    rows = rows.join(marks.hint("merge"), F.col(doc_id) == F.col("__id"))
     order = F.xxhash64(F.col(doc_id).cast("string"), F.col(text)).alias("__order")
     rows = stage(rows.select(F.col(text).alias("text"), "__toxic", order, learned_part(doc_id).alias("part")), "labelled")
     table = count_ngrams(rows, "text", "__toxic", "part").toPandas()

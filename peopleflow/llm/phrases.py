@@ -36,7 +36,7 @@ UNSAID = 90
 TOP = 2000
 
 #: Bytes of words that are broadcast at a time, and phrases of a trie shard.
-WORD_BYTES, TRIE = 32_000_000, 1_000_000
+WORD_BYTES, TRIE = 32_000_000, 500_000
 
 #: Text positions whose candidates a task brings together before it passes them on.
 POSITIONS = 8_000_000
@@ -159,57 +159,92 @@ def encoded(docs: DataFrame, shards: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 class DoubleArray:
-    """One level of a trie: from a phrase's number and a next word to the number of the longer phrase.
+    """Moves of a trie: from a node and a symbol to another number.
 
-    A phrase's children stand in cells at its base plus their words, and a cell knows its phrase.
-    Large families are placed first, all of a size at once, at random bases until each has found free
+    A node's children stand in cells at its base plus their symbols, and a cell knows its node. Large
+    families are placed first, all of a size at once, at random bases until each has found free
     cells; only children get what is left.
     """
 
-    def __init__(self, phrase: np.ndarray, word: np.ndarray, number: np.ndarray) -> None:
-        """Pairs must be different and sorted; numbers are positive."""
-        self.low, self.high = (int(phrase[0]), int(phrase[-1])) if len(phrase) else (1, 0)
-        self.base = np.zeros(self.high - self.low + 1, np.int64)
-        width = int(word.max()) + 1 if len(word) else 1
-        room = 4 * len(phrase) + 2 * width
+    def __init__(self, node: np.ndarray, symbol: np.ndarray, number: np.ndarray) -> None:
+        """Pairs must be different and sorted; nodes, symbols and numbers are positive."""
+        self.low, self.high = (int(node[0]), int(node[-1])) if len(node) else (1, 0)
+        self.base = np.zeros(self.high - self.low + 1, np.int32)
+        width = int(symbol.max()) + 1 if len(symbol) else 1
+        room = 4 * len(node) + 2 * width
         self.owner = np.zeros(room + width, np.int32)
         self.number = np.zeros(room + width, np.int32)
-        if not len(phrase):
+        if not len(node):
             return
-        first = np.flatnonzero(np.r_[True, phrase[1:] != phrase[:-1]])
-        sizes = np.diff(np.r_[first, len(phrase)])
+        first = np.flatnonzero(np.r_[True, node[1:] != node[:-1]])
+        sizes = np.diff(np.r_[first, len(node)])
         random = np.random.default_rng(20250101)
         order = np.frexp(sizes)[1]
         for size in sorted(set(order[sizes > 1].tolist()), reverse=True):
             left = np.flatnonzero((order == size) & (sizes > 1))
             while len(left):
                 many = sizes[left]
-                child = np.repeat(first[left] - (np.cumsum(many) - many), many) + np.arange(many.sum())
+                starts = np.cumsum(many) - many
+                child = np.repeat(first[left] - starts, many) + np.arange(many.sum())
                 base = random.integers(0, room, len(left))
-                cell = np.repeat(base, many) + word[child]
+                cell = np.repeat(base, many) + symbol[child]
                 fits = self.owner[cell] == 0
                 alone = np.zeros(len(cell), bool)
                 alone[np.unique(cell, return_index=True)[1]] = True
-                starts = np.cumsum(many) - many
                 placed = np.logical_and.reduceat(fits & alone, starts)
-                self.base[phrase[first[left[placed]]] - self.low] = base[placed]
+                self.base[node[first[left[placed]]] - self.low] = base[placed]
                 stays = np.repeat(placed, many)
-                self.owner[cell[stays]], self.number[cell[stays]] = phrase[child[stays]], number[child[stays]]
+                self.owner[cell[stays]], self.number[cell[stays]] = node[child[stays]], number[child[stays]]
                 left = left[~placed]
         only = first[sizes == 1]
         cell = np.flatnonzero(self.owner[width:room] == 0)[: len(only)] + width
-        self.base[phrase[only] - self.low] = cell - word[only]
-        self.owner[cell], self.number[cell] = phrase[only], number[only]
+        self.base[node[only] - self.low] = cell - symbol[only]
+        self.owner[cell], self.number[cell] = node[only], number[only]
+
+    def step(self, node: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+        """The numbers after the moves, 0 where there is none; nodes lie between the lowest and highest."""
+        cell = self.base[node - self.low] + symbol
+        return np.where(self.owner[cell] == node, self.number[cell], 0)
+
+
+#: Bits of a word's number that make one symbol. Of few symbols, families are small and find room.
+DIGIT = 5
+
+
+class Trie:
+    """One level of words: from a phrase's number and a next word to the number of the longer phrase.
+
+    A word is read symbol by symbol, from the high bits of its number down.
+    """
+
+    def __init__(self, phrase: np.ndarray, word: np.ndarray, number: np.ndarray) -> None:
+        """Pairs must be different and sorted; numbers are positive."""
+        self.digits = -(-int(word.max()).bit_length() // DIGIT)
+        self.low, self.high = int(phrase[0]), int(phrase[-1])
+        self.moves: list[DoubleArray] = []
+        node = phrase
+        for digit in range(self.digits - 1, -1, -1):
+            key = node << 2 * DIGIT | self.symbol(word, digit)
+            if digit:
+                key, node = np.unique(key, return_inverse=True)
+                node = node + 1
+            target = np.arange(1, len(key) + 1) if digit else number
+            self.moves.append(DoubleArray(key >> 2 * DIGIT, key & (1 << 2 * DIGIT) - 1, target))
+
+    @staticmethod
+    def symbol(word: np.ndarray, digit: int) -> np.ndarray:
+        return (word >> DIGIT * digit & (1 << DIGIT) - 1) + 1
 
     def step(self, phrase: np.ndarray, word: np.ndarray) -> np.ndarray:
         """The numbers of all phrases, each longer by its word; 0 where the trie has none."""
         out = np.zeros(len(phrase), np.int32)
-        at = np.flatnonzero((phrase >= self.low) & (phrase <= self.high) & (phrase > 0) & (word > 0))
-        cell = self.base[phrase[at] - self.low] + word[at]
-        inside = cell < len(self.owner)  # a word beyond those of this shard
-        at, cell = at[inside], cell[inside]
-        hit = self.owner[cell] == phrase[at]
-        out[at[hit]] = self.number[cell[hit]]
+        inside = (phrase >= self.low) & (phrase <= self.high) & (word > 0) & (word >> DIGIT * self.digits == 0)
+        at = np.flatnonzero(inside)
+        node = phrase[at]
+        for digit, moves in zip(range(self.digits - 1, -1, -1), self.moves):
+            node = moves.step(node, self.symbol(word[at], digit))
+            at, node = at[node > 0], node[node > 0]
+        out[at] = node
         return out
 
 
@@ -260,7 +295,7 @@ def candidates(lines: DataFrame, level: int, least: int) -> DataFrame:
     return found.select("phrase", "word")
 
 
-def tries(pairs: DataFrame) -> Iterator[tuple[pa.Table, DoubleArray]]:
+def tries(pairs: DataFrame) -> Iterator[tuple[pa.Table, Trie]]:
     """Shards of at most TRIE rows of ``phrase, word, row_number``, each with its level of the trie.
 
     Numbers inside a shard count from 1.
@@ -273,10 +308,10 @@ def tries(pairs: DataFrame) -> Iterator[tuple[pa.Table, DoubleArray]]:
         # Arrays by phrase number are no longer than a few times the shard.
         wide = np.flatnonzero(np.diff(phrase // (4 * TRIE))) + 1
         for a, b in zip([0, *wide.tolist()], [*wide.tolist(), len(phrase)]):
-            yield own.slice(a, b - a), DoubleArray(phrase[a:b], word[a:b], np.arange(1, b - a + 1))
+            yield own.slice(a, b - a), Trie(phrase[a:b], word[a:b], np.arange(1, b - a + 1))
 
 
-def counted(lines: DataFrame, level: int, trie: DoubleArray, size: int) -> np.ndarray:
+def counted(lines: DataFrame, level: int, trie: Trie, size: int) -> np.ndarray:
     """How often each phrase of a trie shard occurs: dense counts of every task, added up segment by segment."""
     spark = lines.sparkSession
     held = spark.sparkContext.broadcast(trie)
@@ -313,7 +348,7 @@ def counted(lines: DataFrame, level: int, trie: DoubleArray, size: int) -> np.nd
     return out[1:]
 
 
-def advanced(lines: DataFrame, level: int, trie: DoubleArray, first: int, last: bool) -> DataFrame:
+def advanced(lines: DataFrame, level: int, trie: Trie, first: int, last: bool) -> DataFrame:
     """Move the phrases of ``lines`` on through one shard of the trie; ``first`` is the number before its own.
 
     After the last shard only text that longer phrases can still cover is kept.

@@ -10,24 +10,33 @@ import numpy as np
 import pytest
 
 from peopleflow.llm import phrases
-from peopleflow.llm.phrases import DoubleArray, mine_phrases
+from peopleflow.llm.phrases import Trie, mine_phrases
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-def test_double_array_holds_its_pairs_and_no_others():
+def test_trie_holds_its_pairs_and_no_others():
     random_ = np.random.default_rng(5)
     key = np.unique(np.r_[random_.integers(0, 3000 * 500, 4000), 7 * 500 + np.arange(1, 400)])
     phrase, word = key // 500 + 5, key % 500 + 1
     order = np.lexsort((word, phrase))
     phrase, word = phrase[order], word[order]
-    trie = DoubleArray(phrase, word, np.arange(1, len(key) + 1))
+    trie = Trie(phrase, word, np.arange(1, len(key) + 1))
     assert trie.step(phrase, word).tolist() == list(range(1, len(key) + 1))
     all_ = np.arange(0, 3010 * 502)
     found = trie.step(all_ // 502, all_ % 502)
     assert (found > 0).sum() == len(key)
 
 
+def test_large_families_find_room():
+    """A thousand phrases that thousands of words may follow."""
+    random_ = np.random.default_rng(6)
+    key = np.unique(random_.integers(0, 1000, 300_000) * 100_000 + (random_.random(300_000) ** 4 * 99_999).astype(int))
+    phrase, word = key // 100_000 + 1, key % 100_000 + 1
+    trie = Trie(phrase, word, np.arange(1, len(key) + 1))
+    assert trie.step(phrase, word).tolist() == list(range(1, len(key) + 1))
+
+
 def expected(rows, least, top=2000):
     n, f = Counter(), Counter()
     for lang, text in rows:

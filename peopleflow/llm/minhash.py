@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from peopleflow.llm.common import add_columns, as_list, documents, ship
+from peopleflow.llm.common import add_columns, as_list, cut_to, documents, one_row_each, row_key, ship
 from peopleflow.llm.groups import components, runs
 from peopleflow.session import stage
 
@@ -198,6 +198,15 @@ def forest_of(table: pa.Table, sets: list[np.ndarray] | None = None) -> tuple[li
     return a, b
 
 
+def named_texts(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """``rows``, a written table with a ``name`` each, and the texts of those names.
+
+    Only texts that may be asked for are shuffled.
+    """
+    wanted = stage(rows.select("name").distinct(), "wanted")
+    return cut_to(docs.select("name", "text"), "name", wanted).join(rows.hint("merge"), "name")
+
+
 def confirmed(docs: DataFrame, sets: DataFrame, pairs: DataFrame) -> DataFrame:
     """Those of ``pairs`` (``a, b``; a written table) whose full sets are similar enough.
 
@@ -211,14 +220,14 @@ def confirmed(docs: DataFrame, sets: DataFrame, pairs: DataFrame) -> DataFrame:
     )
     heads = sizes.select("a", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
     roles = dealt.unionByName(heads.select("a", "block", F.lit(0).alias("role"), F.col("a").alias("node")))
-    roles = stage(roles.join(sets.select("node", "doc_id"), "node"), "roles")
-    rows = docs.join(roles, docs["doc_id"].eqNullSafe(roles["doc_id"])).select("a", "block", "role", "node", "text")
+    roles = stage(roles.join(sets.select("node", "name"), "node"), "roles")
+    rows = named_texts(docs, roles).select("a", "block", "role", "node", "text")
     rows = rows.repartition("a", "block").sortWithinPartitions("a", "block", "role")
 
     def check(batches):
         for table in runs(batches, ["a", "block"]):
             a, head, linked = table["a"][0].as_py(), None, set()
-            # Heads come first; a row whose text does not give its node is another row of that id.
+            # Heads come first; a row whose text does not give its node has the name of another by chance.
             for role, node, text in zip(*(table[c].to_pylist() for c in ("role", "node", "text"))):
                 found = shingles(text or "")
                 if not len(found) or node_of(found) != node:
@@ -307,42 +316,38 @@ def links_in(docs: DataFrame, sets: DataFrame, clusters: DataFrame, labels: Data
     rows = clusters.join(labels, "node").join(sets.select("node", "n_shingles"), "node")
     weight = F.greatest(F.lit(1.0), F.col("n_shingles") * (BLOCK / SHINGLES))
     tiles = tiled(stage(rows, "labelled"), "cluster", weight)
-    tiles = tiles.join(sets.select("node", "doc_id", F.col("n_shingles").alias("n"), "sketch"), "node")
+    tiles = tiles.join(sets.select("node", "name", F.col("n_shingles").alias("n"), "sketch"), "node")
     tiles = stage(tiles, "tiles")
-    rows = docs.withColumnRenamed("doc_id", "id").join(tiles, F.col("id").eqNullSafe(F.col("doc_id"))).drop("id", "doc_id")
-    rows = rows.repartition("cluster", "x", "y").sortWithinPartitions("cluster", "x", "y", "node")
+    rows = named_texts(docs, tiles).repartition("cluster", "x", "y").sortWithinPartitions("cluster", "x", "y", "node")
 
     def check(batches):
         for table in runs(batches, ["cluster", "x", "y"]):
             found = [shingles(x) for x in as_list(table["text"])]
-            # A row whose text does not give its node is another row of that id.
+            # A row whose text does not give its node has the name of another by chance.
             own = [k for k, node in enumerate(table["node"].to_pylist()) if len(found[k]) and node_of(found[k]) == node]
             if own:
-                yield _pairs(*forest_of(table.drop_columns("text").take(own), [found[k] for k in own]))
+                yield _pairs(*forest_of(table.drop_columns(["text", "name"]).take(own), [found[k] for k in own]))
 
     ship(docs.sparkSession)
     return stage(rows.mapInArrow(check, "a bigint, b bigint"), "links")
 
 
-def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The component of every row: ``doc_id, n_shingles, component_id, kept``.
+def near_groups(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """`near_duplicates` with ``digest``, the text's SHA-256, and ``label``, a number for each component.
 
-    A text's set holds its distinct shingles of five words, A-Z lower-cased; a text of fewer words is
-    one shingle, and null and blank texts have none and are linked with nothing. Sets are linked from a
-    similarity of 0.75 on. Rows with equal sets are one class, signed and compared once. Every band
-    of a class is a bucket. Every class is compared with one smallest id of its buckets. Where labels
-    then still differ in a bucket, nodes that packed bits find likely form clusters, and all of a cluster are
-    compared. Every comparison is estimated from packed bits and confirmed on full sets. ``component_id`` is the smallest id reachable, and
-    rows with that id are kept; null ids count as largest, repeated rows are all marked alike. Other
-    columns are not read.
+    Both are for telling rows apart that share an id, or have none. ``label`` is null for texts without words.
     """
-    docs = df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    own, value = F.col(f"`{doc_id}`"), F.col(f"`{text}`")
+    digest = F.sha2(F.coalesce(value, F.lit("")), 256).alias("digest")
+    docs = df.select(own.alias("doc_id"), value.alias("text"), F.xxhash64(own, value).alias("name"), digest)
     signed = stage(sign(docs).drop("text"), "signed")
     # Copies become one row in each task before they are shuffled.
-    first = stage(signed.filter("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("doc_id")), "classes")
-    same = signed["doc_id"].eqNullSafe(first["doc_id"]) & (signed["node"] == first["node"])
-    sets = signed.join(first, same).select(first["node"], first["doc_id"], "n_shingles", "bands", "sketch")
-    sets = stage(sets.dropDuplicates(["node"]), "sets")
+    sets = signed.filter("node IS NOT NULL").groupBy("node").agg(
+        F.min("doc_id").alias("doc_id"), F.min("name").alias("name"),
+        *[F.any_value(c).alias(c) for c in ("n_shingles", "bands", "sketch")],
+    )
+    sets = stage(sets, "sets")
+    first = sets.select("node", "doc_id")
     bucketed = sets.select(F.explode("bands").alias("bucket"), "node", "doc_id")
     hubs = bucketed.groupBy("bucket").agg(
         F.count(F.lit(1)).alias("size"), F.min(F.struct("doc_id", "node")).alias("hub")
@@ -367,13 +372,46 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -
         labels = components(labels, links)
     smallest = labels.join(first, "node")
     smallest = stage(smallest.groupBy("label").agg(F.min("doc_id").alias("component_id")), "smallest")
-    named = stage(labels.join(smallest, "label").select("node", "component_id"), "components")
-    out = signed.filter("node IS NOT NULL").select("doc_id", "n_shingles", "node").join(named, "node")
-    alone = signed.filter("node IS NULL").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    out = out.drop("node").unionByName(alone)
+    named = stage(labels.join(smallest, "label").select("node", "label", "component_id"), "components")
+    rows = ("doc_id", "digest", "n_shingles")
+    out = signed.filter("node IS NOT NULL").select(*rows, "node").join(named, "node").drop("node")
+    none = F.lit(None).cast("long").alias("label")
+    alone = signed.filter("node IS NULL").select(*rows, none, F.col("doc_id").alias("component_id"))
+    return out.unionByName(alone)
+
+
+def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The component of every row: ``doc_id, n_shingles, component_id, kept``.
+
+    A text's set holds its distinct shingles of five words, A-Z lower-cased; a text of fewer words is
+    one shingle, and null and blank texts have none and are linked with nothing. Sets are linked from a
+    similarity of 0.75 on. Rows with equal sets are one class, signed and compared once. Every band
+    of a class is a bucket. Every class is compared with one smallest id of its buckets. Where labels
+    then still differ in a bucket, nodes that packed bits find likely form clusters, and all of a cluster are
+    compared. Every comparison is estimated from packed bits and confirmed on full sets. ``component_id`` is the smallest id reachable, and
+    rows with that id are kept; null ids count as largest, repeated rows are all marked alike, and so
+    are several texts of a component under its id. An empty table stays empty. Other columns are not read.
+    """
+    out = near_groups(df, doc_id, text).select("doc_id", "n_shingles", "component_id")
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
+def without_near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row of each component of ``docs`` with all its columns, that of the smallest id.
+
+    A null id counts as largest; of several texts under one id that with the smaller digest stays, of repeated rows one.
+    Rows with null or blank texts are linked with nothing and stay, all of them.
+    """
+    value = F.coalesce(F.col(f"`{text}`"), F.lit(""))
+    groups = near_groups(docs, doc_id, text).filter("label IS NOT NULL")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "digest")
+    kept = groups.groupBy("label").agg(F.min(order).alias("first"))
+    kept = stage(kept.select(row_key(F.col("first.doc_id"), F.col("first.digest")).alias("key")), "kept")
+    has_words = value.rlike("[^ \\t\\n\\x0b\\f\\r]")
+    rows = one_row_each(docs.filter(has_words), row_key(F.col(f"`{doc_id}`"), F.sha2(value, 256)), kept)
+    return rows.unionByName(docs.filter(~has_words))
+
+
 def op5_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """The component of near-equal texts of every document."""
     return near_duplicates(documents(spark, folder))

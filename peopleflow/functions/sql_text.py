@@ -8,13 +8,20 @@ from pyspark.sql.types import BooleanType, DataType, FractionalType, NumericType
 
 
 def _plain_number(column: Column) -> Column:
-    """Digits of a fractional number without an exponent wherever a decimal holds them."""
+    """The shortest text of a fractional number, its exponent, if it has one, written out as zeros.
+
+    One rendering at every size: the digits are those of the text, and the point moves.
+    """
     text = column.cast("string")
-    wide = F.regexp_replace(
-        column.try_cast("decimal(38,18)").cast("string"), r"(\.\d+?)0+$", "$1"
-    )
-    large = F.abs(column) >= 1e7
-    return F.when(large, F.coalesce(wide, text)).otherwise(text)
+    digits = F.regexp_replace(F.regexp_extract(text, r"^-?([\d.]+)E", 1), r"\.0?$|\.", "")
+    power = F.regexp_extract(text, r"E(-?\d+)$", 1).try_cast("int")
+    sign = F.when(text.startswith("-"), F.lit("-")).otherwise(F.lit(""))
+    small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -power - 1), digits)
+    whole = F.when(F.length(digits) > power, digits).otherwise(F.rpad(digits, power + 1, "0"))
+    cut = F.concat(F.substring(whole, F.lit(1), power + 1), F.lit("."))
+    large = F.concat(cut, F.when(F.length(whole) > power + 1, F.substring(whole, power + 2, F.length(whole))).otherwise(F.lit("0")))
+    plain = F.concat(sign, F.when(power < 0, small).otherwise(large))
+    return F.when(F.contains(text, F.lit("E")), plain).otherwise(text)
 
 
 def sql_literal(column: Column, dtype: DataType) -> Column:

@@ -17,14 +17,22 @@ from pyspark.sql import functions as F
 from peopleflow.operators import completion, merge, messages, monitor, reports, synth, words
 from peopleflow.plans import people_reports
 from peopleflow.schemas import KEY, TOPIC_FIELDS
-from peopleflow.session import build_session, cached
+from peopleflow.session import build_session, cached, drop_staged, stage
 from peopleflow.sinks.exports import export_people
 from peopleflow.sinks.topics import start_topics, write_topics
 from peopleflow.sources.files import read_csv, read_json
-from peopleflow.sources.topics import read_replay, read_topics, stream_replay, stream_topics
+from peopleflow.sources.snapshot import log_ends, up_to
+from peopleflow.sources.topics import (
+    read_replay,
+    read_topics,
+    read_topics_until,
+    stream_replay,
+    stream_topics,
+)
 from peopleflow.streaming import generate, live
-from peopleflow.streaming.merge import merged_records, start_merge
+from peopleflow.streaming.merge import merge_session, merged_records, start_merge
 from peopleflow.streaming.sinks import start_console
+from peopleflow.streaming.target import resume_target
 
 TOPICS = list(TOPIC_FIELDS)
 
@@ -48,6 +56,13 @@ def _log(spark: SparkSession, args: argparse.Namespace, topics: list[str] = TOPI
     return read_topics(spark, args.brokers, topics)
 
 
+def _pinned_log(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
+    """The topics as they stand now, for several passes."""
+    log = _log(spark, args)
+    ends = stage(log_ends(log), "ends")
+    return up_to(log, ends) if args.replay else read_topics_until(spark, args.brokers, ends)
+
+
 def _log_stream(
     spark: SparkSession, args: argparse.Namespace, topics: list[str], starting: str
 ) -> DataFrame:
@@ -132,14 +147,15 @@ def produce_job(spark: SparkSession, args: argparse.Namespace) -> None:
     With ``--delay`` it goes on until it is stopped, from where ``--checkpoint`` left off.
     """
     if args.delay > 0:
-        if not args.checkpoint or args.total:
+        if not args.checkpoint or args.total is not None:
             raise SystemExit("--delay needs --checkpoint, and --total does not apply to it")
         ids = generate.id_stream(spark, last_id=args.last_id)
         sent = generate.message_stream(ids, seed=args.seed)
         every = f"{round(args.delay * 1000)} milliseconds"
         start_topics(sent, args.brokers, args.checkpoint, every).awaitTermination()
     else:
-        people = synth.generate_people(spark, args.total or 100_000, args.last_id, args.seed)
+        total = 100_000 if args.total is None else args.total
+        people = synth.generate_people(spark, total, args.last_id, args.seed)
         write_topics(messages.fanout(people), args.brokers)
 
 
@@ -147,22 +163,24 @@ def consume_job(spark: SparkSession, args: argparse.Namespace) -> None:
     """Merge the topics into complete records and export them.
 
     With ``--checkpoint`` a run goes on where the last one stopped; without, it reads the topics
-    from the start, and ``--total`` stops at that many complete records. The two exclude each other.
+    from the start. ``--total`` stops at that many complete records, those of earlier runs of the
+    checkpoint included. Without ``--total`` all records are merged. What arrives during a run waits for the next.
     """
-    if args.checkpoint and args.total:
-        raise SystemExit("--total needs a run from the start, without --checkpoint")
-    if args.checkpoint:
-        log = _log_stream(spark, args, TOPICS, "earliest")
+    if args.checkpoint and args.total is None:
+        log = _log_stream(merge_session(spark), args, TOPICS, "earliest")
         changes = f"{args.checkpoint}/changes"
         start_merge(log, changes, f"{args.checkpoint}/state").awaitTermination()
         records = merged_records(spark, changes)
     else:
-        log = _log(spark, args)
-        show("Messages", monitor.topic_counters(log, value="value"))
+        log = _pinned_log(spark, args)
+        show("Messages", monitor.message_validity(log))
         show("First messages", monitor.raw_lines(log), 30)
-        records = (
-            completion.first_n_records(log, args.total) if args.total else merge.merge_messages(log)
-        )
+        if args.total is None:
+            records = merge.merge_messages(log)
+        elif args.checkpoint:
+            records = resume_target(log, f"{args.checkpoint}/target", args.total)
+        else:
+            records = completion.first_n_records(log, args.total)
     show("Written", export_people(records, args.out, mode=args.mode))
 
 
@@ -177,6 +195,13 @@ def monitor_job(spark: SparkSession, args: argparse.Namespace) -> None:
         raise SystemExit("--limit 0 needs --out: the lines of a whole log go to files")
 
 
+def _count(text: str) -> int:
+    """A number of rows, one at least."""
+    if int(text) < 1:
+        raise argparse.ArgumentTypeError("give a number from 1 on, or leave the option out for the default")
+    return int(text)
+
+
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="peopleflow", description=__doc__)
     jobs = top.add_subparsers(required=True, metavar="job")
@@ -208,7 +233,7 @@ def parser() -> argparse.ArgumentParser:
         "produce",
         produce_job,
         ("--brokers", required),
-        ("--total", {"type": int, "default": 0, "help": "people to send; 0: 100,000"}),
+        ("--total", {"type": _count, "help": "people to send; 100,000 unless given"}),
         ("--last-id", {"type": int, "default": 0}),
         ("--delay", {"type": float, "default": 0.0}),
         ("--checkpoint", {}),
@@ -219,7 +244,7 @@ def parser() -> argparse.ArgumentParser:
         consume_job,
         brokers,
         replay,
-        ("--total", {"type": int, "default": 0, "help": "0: all"}),
+        ("--total", {"type": _count, "help": "complete records; all unless given"}),
         ("--checkpoint", {}),
         *out,
     )
@@ -231,8 +256,11 @@ def parser() -> argparse.ArgumentParser:
 def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
     spark = build_session("peopleflow")
-    with timed("Total"):
-        args.run(spark, args)
+    try:
+        with timed("Total"):
+            args.run(spark, args)
+    finally:
+        drop_staged(spark)
 
 
 if __name__ == "__main__":

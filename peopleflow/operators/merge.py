@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from peopleflow.functions.json_text import field_texts, is_present, null_keys
+from peopleflow.functions.json_text import END, field_texts, is_present, null_keys, whole_number
 from peopleflow.schemas import (
     KEY,
     PEOPLE_SCHEMA,
@@ -27,12 +27,63 @@ class Field:
     present: Column
 
 
+def _all(conditions: Sequence[Column]) -> Column:
+    return reduce(Column.__and__, conditions)
+
+
+def shapes(fields: Mapping[str, Field], together: Sequence[Sequence[str]]) -> dict[str, tuple[list[str], Column]]:
+    """Groups of fields that a message may carry as a whole: name, fields, and whether it does.
+
+    A field may be in one group only; groups of a single field say nothing.
+    """
+    groups = [[name for name in group if name in fields] for group in together]
+    return {
+        f"_together_{k}": (group, _all([fields[name].present for name in group]))
+        for k, group in enumerate(groups)
+        if len(group) > 1
+    }
+
+
+def alone(name: str, fields: Mapping[str, Field], groups: Mapping[str, tuple[list[str], Column]]) -> Column:
+    """Whether a message carries a field without all others of its group."""
+    whole = [~complete for names, complete in groups.values() if name in names]
+    return _all([fields[name].present, *whole])
+
+
+def latest_states(
+    fields: Mapping[str, Field], position: Sequence[str], together: Sequence[Sequence[str]]
+) -> list[Column]:
+    """Aggregates that hold the latest (position, values) of each group and of each field sent alone."""
+    groups = shapes(fields, together)
+    states = [
+        F.max(F.when(complete, F.struct(*position, *[fields[n].value.alias(n) for n in names]))).alias(group)
+        for group, (names, complete) in groups.items()
+    ]
+    for name, field in fields.items():
+        held = F.struct(*position, field.value.alias("_value"))
+        states.append(F.max(F.when(alone(name, fields, groups), held)).alias(name))
+    return states
+
+
+def latest_of(
+    name: str, fields: Mapping[str, Field], position: Sequence[str], together: Sequence[Sequence[str]]
+) -> Column:
+    """The latest (position, value) of a field from what `latest_states` holds, NULL if never sent."""
+    for group, (names, _) in shapes(fields, together).items():
+        if name in names:
+            state = F.col(group)
+            held = F.struct(*[state[p].alias(p) for p in position], state[name].alias("_value"))
+            return F.greatest(F.col(name), F.when(state.isNotNull(), held))
+    return F.col(name)
+
+
 def merge_fields(
     messages: DataFrame,
     key: str,
     fields: Mapping[str, Field],
     position: Sequence[str] = POSITION,
     complete_only: bool = True,
+    together: Sequence[Sequence[str]] = (),
 ) -> DataFrame:
     """Per id, the latest value of every field; a message changes only the fields it carries.
 
@@ -40,31 +91,27 @@ def merge_fields(
     a stream: the running state of a field is the largest (position, value) seen, so messages
     may come in any order, and an id with very many messages shrinks to one row per task before
     the shuffle. A field never spoken of has no state, which is what makes an id incomplete.
+    ``together`` names fields that mostly come in one message: a message with all of them is kept
+    under a single position, so that the state has a position for a message and not for a field.
     """
-    latest = {
-        name: F.max(F.when(f.present, F.struct(*position, f.value.alias("_value"))))
-        for name, f in fields.items()
-    }
-    merged = (
-        messages.where(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(*[state.alias(name) for name, state in latest.items()])
-    )
+    merged = messages.where(F.col(key).isNotNull()).groupBy(key).agg(*latest_states(fields, position, together))
+    merged = merged.select(key, *[latest_of(name, fields, position, together).alias(name) for name in fields])
     if complete_only:
-        merged = merged.where(reduce(Column.__and__, [F.col(n).isNotNull() for n in fields]))
+        merged = merged.where(_all([F.col(n).isNotNull() for n in fields]))
     return merged.select(key, *[F.col(name)["_value"].alias(name) for name in fields])
 
 
 def field_messages(log: DataFrame, schema: StructType = PEOPLE_SCHEMA, key: str = KEY) -> DataFrame:
     """Topic log to (position, key, field texts, keys of explicit NULLs).
 
-    Rows whose text is no JSON object, or carries no usable key, are left out.
+    Rows whose text is not one JSON object, or carries no usable key, are left out;
+    `monitor.message_validity` counts them by the same rule. ``3.0`` is the key 3.
     """
     texts = log.select(
         *POSITION, field_texts("value", schema.names), null_keys("value").alias("keys")
     )
-    keyed = texts.withColumn(key, F.col(f"text_{key}").try_cast(schema[key].dataType))
-    return keyed.drop(f"text_{key}").where(F.col(key).isNotNull())
+    keyed = texts.withColumn(key, whole_number(F.col(f"text_{key}"), schema[key].dataType))
+    return keyed.drop(f"text_{key}", f"text_{END}").where(F.col(key).isNotNull())
 
 
 def schema_fields(schema: StructType = PEOPLE_SCHEMA, key: str = KEY) -> dict[str, Field]:
@@ -77,6 +124,11 @@ def schema_fields(schema: StructType = PEOPLE_SCHEMA, key: str = KEY) -> dict[st
     return fields
 
 
+def sent_together(schema: StructType = PEOPLE_SCHEMA, key: str = KEY) -> list[list[str]]:
+    """The fields of each topic that the schema has, without the key."""
+    return [[n for n in names if n != key and n in schema.names] for names in TOPIC_FIELDS.values()]
+
+
 def typed(merged: DataFrame, schema: StructType = PEOPLE_SCHEMA) -> DataFrame:
     """Merged texts as the table's types; text that does not fit becomes NULL."""
     return merged.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema])
@@ -94,7 +146,8 @@ def merge_messages(
     ``null`` counts as carried and overwrites.
     """
     messages = field_messages(log, schema, key)
-    merged = merge_fields(messages, key, schema_fields(schema, key), complete_only=complete_only)
+    fields, together = schema_fields(schema, key), sent_together(schema, key)
+    merged = merge_fields(messages, key, fields, complete_only=complete_only, together=together)
     return typed(merged, schema)
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from peopleflow.functions.json_text import object_text
+from peopleflow.functions.json_text import is_message, object_text
 from peopleflow.schemas import TOPIC_FIELDS
 
 
@@ -35,9 +35,9 @@ def parse_messages(
     """Unpack JSON messages by a declared schema.
 
     Text that is no JSON object gives a row of NULLs, a field of the wrong type a NULL in that
-    field. ``drop_malformed`` leaves out the former, not the latter.
+    field. ``drop_malformed`` leaves out what is not one JSON object and nothing else, not the latter.
     """
     text = F.col(value).cast("string")
     if drop_malformed:
-        messages = messages.where(F.json_object_keys(text).isNotNull())
+        messages = messages.where(is_message(text))
     return messages.select(*keep, F.from_json(text, schema).alias("p")).select(*keep, "p.*")

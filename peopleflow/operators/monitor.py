@@ -5,26 +5,44 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from peopleflow.functions.json_text import field_texts
+from peopleflow.functions.json_text import END, field_texts, is_message, whole_number
 from peopleflow.functions.layout import money, or_text, pad_left, pad_right
-from peopleflow.schemas import PEOPLE_COLUMNS, POSITION
+from peopleflow.schemas import KEY, PEOPLE_COLUMNS, PEOPLE_SCHEMA, POSITION
+from peopleflow.session import stage
 
 # The labels of the activity line.
 ACTIVE, INACTIVE = "✔ Activo  ", "✘ Inactivo"
 
 
 def topic_counters(log: DataFrame, topic: str = "topic", value: str | None = None) -> DataFrame:
-    """Messages per topic and over all topics; with ``value``, also those that are no JSON object.
+    """Messages per topic and over all topics; with ``value``, also those that are not one JSON object.
 
-    The total is summed up from the counts per topic.
+    The log is read once; the total is summed up from the counts per topic, which are staged.
     """
     counts = [F.count("*").alias("messages")]
     if value:
-        counts.append(F.count_if(F.json_object_keys(value).isNull()).alias("malformed"))
-    per_topic = log.groupBy(topic).agg(*counts)
+        counts.append(F.count_if(~is_message(value)).alias("malformed"))
+    per_topic = stage(log.groupBy(topic).agg(*counts), "counters")
     return per_topic.withColumn("total", per_topic.agg(F.sum("messages")).scalar())
 
 
+def message_validity(log: DataFrame, key: str = KEY) -> DataFrame:
+    """(topic, messages, malformed, without_key, merged): what becomes of the messages in the merge.
+
+    Malformed is what is not one JSON object: other JSON, broken text, or an object with text behind it.
+    Without a key is an object whose key is missing, null or no whole number.
+    """
+    parsed = log.select("topic", field_texts("value", [key]))
+    good = F.col(f"text_{END}").isNotNull()
+    keyed = whole_number(F.col(f"text_{key}"), PEOPLE_SCHEMA[key].dataType).isNotNull()
+    return parsed.groupBy("topic").agg(
+        F.count("*").alias("messages"),
+        F.count_if(~good).alias("malformed"),
+        F.count_if(good & ~keyed).alias("without_key"),
+        F.count_if(good & keyed).alias("merged"),
+    )
+
+
 def first_messages(log: DataFrame, limit: int) -> DataFrame:
     """The first messages in arrival order; 0 means all of them, in no order."""
     return log.orderBy(*POSITION).limit(limit) if limit > 0 else log
@@ -62,7 +80,7 @@ def _line(p: dict[str, Column]) -> Column:
     )
     topic, shown = F.col("topic"), or_text(F.col("value"), "null")
     return (
-        F.when(F.json_object_keys("value").isNull(), shown)
+        F.when(F.col(f"text_{END}").isNull(), shown)
         .when(topic == "personas", person)
         .when(topic == "empleos", job)
         .when(topic == "actividad", activity)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from peopleflow.session import stage
+from peopleflow.session import shared_dir, stage
 
 # monotonically_increasing_id() = partition number * 2^33 + row number in the partition
 _PARTITION_BITS = 33
@@ -43,3 +43,18 @@ def number_rows(
         .withColumn(name, F.col("_offset") + F.col("_place") + 1)
         .drop("_part", "_place", "_offset")
     )
+
+
+def in_blocks(numbered: DataFrame, rows: int, name: str = "row_number") -> DataFrame:
+    """Numbered rows, a partition for every ``rows`` of them, in order within and between partitions.
+
+    No partition starts inside a block. Written to checkpoint storage, so that any number of writers
+    read the same partitions without moving a row again.
+    """
+    spark = numbered.sparkSession
+    last = numbered.agg(F.max(name)).first()[0] or 0
+    block = F.expr(f"cast(({name} - 1) div {rows} AS int)")
+    placed = numbered.repartitionById(max(1, -(-last // rows)), block).sortWithinPartitions(name)
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_dir(spark))
+    return placed.checkpoint()

@@ -10,20 +10,24 @@ from pyspark.sql import functions as F
 from peopleflow.operators import completion, merge, messages, monitor, reports, synth, words
 from peopleflow.plans import inputs, people_reports
 from peopleflow.plans.inputs import people, table
-from peopleflow.schemas import KEY, topic_schema
-from peopleflow.session import new_path
+from peopleflow import versions
+from peopleflow.schemas import KEY, PEOPLE_COLUMNS, topic_schema
+from peopleflow.session import new_path, stage
 from peopleflow.sinks import exports, files, sql_dump
+from peopleflow.sources import snapshot
 from peopleflow.sources.files import read_csv, read_json
 from peopleflow.sources.topics import read_replay, stream_replay, write_replay
-from peopleflow.streaming import generate, live, progress, sinks
-from peopleflow.streaming.merge import merged_records, start_merge
+from peopleflow.streaming import generate, live, progress, sinks, target
+from peopleflow.streaming.merge import merge_session, merged_records, start_merge
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 DOCUMENT_TEXT = ["text", "lang", "source"]
 FIRST_N_USERS = 50
 FIRST_N_PEOPLE = 100
-REPLAY_FILES = 4
+#: Of a stored log, files and the micro-batches that its stream reads it in.
+REPLAY_FILES_PER_BATCH, REPLAY_BATCHES = 8, 4
+PROGRESS_RUNS = 4
 EVENT_POSITION = ["ts", "event_id"]
 
 
@@ -74,7 +78,15 @@ def preview_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def export_size_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exports.export_people(people(spark, sf_dir), new_path(spark, "export"))
+    """Bytes of the exported people by format, without the header that each CSV file has."""
+    sizes = exports.export_people(people(spark, sf_dir), new_path(spark, "export"))
+    header = len(",".join(PEOPLE_COLUMNS)) + 1
+    headers = F.when(F.col("format") == "csv", F.col("files") * header).otherwise(0)
+    return sizes.select("format", (F.col("bytes") - headers).alias("bytes"))
+
+
+def rendered_size_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return files.rendered_bytes(table(spark, sf_dir, "part"))
 
 
 def scan_json_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -312,6 +324,39 @@ def first_n_people(spark: SparkSession, sf_dir: str) -> DataFrame:
     return completion.first_n_records(log, FIRST_N_PEOPLE)
 
 
+def log_ends(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return snapshot.log_ends(inputs.full_log(spark, sf_dir))
+
+
+def merge_pinned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The merge of the log as it stood when the income messages had not yet come behind its ends."""
+    ends = stage(snapshot.log_ends(inputs.whole_message_log(spark, sf_dir)), "ends")
+    return merge.merge_messages(snapshot.up_to(inputs.full_log(spark, sf_dir), ends))
+
+
+def first_n_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first people over three runs: a smaller target, a log too short for the target, and a longer log."""
+    checkpoint, path = new_path(spark, "target"), new_path(spark, "log")
+    log = _stored(spark, inputs.people_log(spark, sf_dir))
+    sent = F.col("offset") <= log.agg(F.max("offset") / 2).scalar()
+    write_replay(log.where(sent), path)
+    for n in (FIRST_N_PEOPLE // 4, FIRST_N_PEOPLE):
+        target.resume_target(read_replay(spark, path), checkpoint, n)
+    write_replay(log.where(~sent), path)
+    return target.resume_target(read_replay(spark, path), checkpoint, FIRST_N_PEOPLE)
+
+
+def message_validity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    log = inputs.full_log(spark, sf_dir).unionByName(inputs.odd_log(spark, sf_dir))
+    return monitor.message_validity(log)
+
+
+def merge_odd_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Only whole messages change a record, whichever way their id is written."""
+    log = inputs.people_log(spark, sf_dir).unionByName(inputs.odd_log(spark, sf_dir))
+    return merge.merge_messages(log)
+
+
 def topic_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return monitor.topic_counters(table(spark, sf_dir, "events"), "event_type")
 
@@ -336,10 +381,12 @@ def topic_raw_first(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _replayed(spark: SparkSession, log: DataFrame) -> DataFrame:
-    """Store a log and stream it back, one file per micro-batch."""
+    """Store a log as it is partitioned and stream it back, a share of its bytes per micro-batch."""
     path = new_path(spark, "replay")
-    write_replay(log, path, REPLAY_FILES)
-    return stream_replay(spark, path, files_per_trigger=1)
+    rows = log.count() // (REPLAY_FILES_PER_BATCH * REPLAY_BATCHES) + 1
+    write_replay(log, path, rows_per_file=rows)
+    share = versions.stored_bytes(spark, path) // REPLAY_BATCHES + 1
+    return stream_replay(spark, path, bytes_per_trigger=share)
 
 
 def _snapshot(spark: SparkSession, result: DataFrame) -> DataFrame:
@@ -356,12 +403,12 @@ def live_count_by_group(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def live_count_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = _replayed(spark, inputs.full_log(spark, sf_dir))
-    return _snapshot(spark, live.live_people_by_state(log))
+    return live.ranked(_snapshot(spark, live.live_people_by_state(log)), "estado")
 
 
 def stream_merge_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, checkpoint = new_path(spark, "merged"), new_path(spark, "checkpoint")
-    log = _replayed(spark, inputs.full_log(spark, sf_dir))
+    log = _replayed(merge_session(spark), inputs.full_log(spark, sf_dir))
     start_merge(log, path, checkpoint).awaitTermination()
     return merged_records(spark, path)
 
@@ -371,25 +418,30 @@ def stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, checkpoint = new_path(spark, "merged"), new_path(spark, "checkpoint")
     for part in (inputs.whole_message_log, inputs.income_log):
         write_replay(part(spark, sf_dir), replay)
-        start_merge(stream_replay(spark, replay), path, checkpoint).awaitTermination()
+        start_merge(stream_replay(merge_session(spark), replay), path, checkpoint).awaitTermination()
     return merged_records(spark, path)
 
 
 def stream_input_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    batches = stream_progress(spark, sf_dir).where("input_rows > 0")
+    batches = stream_progress(spark, sf_dir)
     return batches.agg(
         F.count("*").alias("batches"), F.sum("input_rows").alias("input_rows")
     )
 
 
 def stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a live report reads in each of some runs, between which a part of the log arrives."""
+    replay, table_ = new_path(spark, "replay"), new_path(spark, "progress")
     path, checkpoint = new_path(spark, "live"), new_path(spark, "checkpoint")
-    log = _replayed(spark, inputs.people_log(spark, sf_dir))
-    counts = live.live_people_by_state(log)
-    with progress.batch_log(spark) as batches:
-        query = sinks.start_versions(counts, path, checkpoint, "complete")
-        query.awaitTermination()
-        return progress.progress_report(spark, batches, query)
+    log = inputs.people_log(spark, sf_dir).unionByName(inputs.noise_log(spark, sf_dir))
+    with progress.progress_table(spark, table_) as noted:
+        for run in range(PROGRESS_RUNS):
+            write_replay(log.where(F.col("offset") % PROGRESS_RUNS == run), replay)
+            counts = live.live_people_by_state(progress.observed(stream_replay(spark, replay)))
+            query = sinks.start_versions(counts, path, checkpoint, "complete")
+            query.awaitTermination()
+            noted.wait(query)
+    return progress.progress_report(spark, table_)
 
 
 # Generation ------------------------------------------------------------------------------
@@ -424,6 +476,7 @@ QUERIES: dict[str, Query] = {
         schema_report,
         preview_rows,
         export_size_report,
+        rendered_size_report,
         scan_json_parts,
         consume_export,
         sql_literal_rows,
@@ -462,6 +515,11 @@ QUERIES: dict[str, Query] = {
         first_n_complete,
         completion_positions,
         first_n_people,
+        first_n_resumed,
+        log_ends,
+        merge_pinned,
+        message_validity,
+        merge_odd_messages,
         topic_counters,
         topic_counters_log,
         topic_monitor,

@@ -94,6 +94,20 @@ def noise_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _envelope(sent, "p_partkey", _seconds_after("1988-01-01", "p_partkey"))
 
 
+def odd_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four kinds of activity messages, one per part: text behind the object, a whole number with a
+    point as id, no id, and two objects in one message."""
+    whole = "'{\"id_persona\":' || {id} || ',\"activo\":true,\"fecha_registro\":\"2020-01-01\"}'"
+    value = f"""CASE p_partkey % 4
+        WHEN 0 THEN {whole.replace("{id}", "(p_partkey + 1)")} || ' trailing'
+        WHEN 1 THEN {whole.replace("{id}", "(p_partkey + 1) || '.0'")}
+        WHEN 2 THEN '{{"activo":false}}'
+        ELSE '{{"id_persona":1}}{{"id_persona":2}}' END AS value"""
+    parts = table(spark, sf_dir, "part")
+    sent = parts.selectExpr("p_partkey", "'actividad' AS topic", value)
+    return _envelope(sent, "p_partkey", _seconds_after("1999-01-01", "p_partkey"))
+
+
 def _union(*logs: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, logs).select(*LOG_SCHEMA.names)
 

@@ -234,7 +234,88 @@ SCHEMAS = " UNION ALL ".join(
     for i, (name, dtype) in enumerate(rows, 1)
 )
 
+PROGRESS = f"""
+    WITH sent AS (SELECT c_custkey + 1 AS seq, 3 AS n, 1 AS good, 0 AS bad FROM customer
+                  UNION ALL SELECT p_partkey, 1, 0, 1 FROM part)
+    SELECT (seq // 3 % {c.PROGRESS_RUNS})::BIGINT AS batch_id, sum(n)::BIGINT AS input_rows,
+           count(*)::BIGINT AS personas, sum(good)::BIGINT AS empleos,
+           sum(good)::BIGINT AS actividad, sum(bad)::BIGINT AS malformed
+    FROM sent GROUP BY 1"""
+
+# The last offset of each partition, from the sequence numbers that make partition and offset.
+_SEQUENCES = """
+    SELECT 'personas' AS topic, c_custkey + 1 AS seq FROM customer
+    UNION ALL SELECT 'empleos', c_custkey + 1 FROM customer
+    UNION ALL SELECT 'actividad', c_custkey + 1 FROM customer
+    UNION ALL SELECT 'actividad', o_orderkey FROM orders
+    UNION ALL SELECT 'personas', s_suppkey + 1 FROM supplier
+    UNION ALL SELECT 'empleos', s_suppkey + 1 FROM supplier"""
+LOG_ENDS = f"""
+    SELECT topic, (seq % 3)::INT AS "partition", max(seq // 3)::BIGINT AS last, count(*) AS messages
+    FROM ({_SEQUENCES} UNION ALL SELECT 'empleos', o_orderkey FROM orders
+          UNION ALL SELECT 'personas', p_partkey FROM part)
+    GROUP BY topic, seq % 3"""
+
+MERGED_PINNED = _over_people(f"""
+    , ends AS (SELECT seq % 3 AS part, max(seq // 3) AS last FROM ({_SEQUENCES})
+               WHERE topic = 'empleos' GROUP BY 1),
+    o AS ({LAST_ORDER}),
+    paid AS (SELECT o_custkey + 1 AS id,
+                    arg_max(struct_pack(status := o_orderstatus, price := o_totalprice),
+                            (o_orderdate, o_orderkey % 3, o_orderkey // 3)) AS last
+             FROM orders JOIN ends ON part = o_orderkey % 3 AND o_orderkey // 3 <= ends.last
+             GROUP BY o_custkey)
+    SELECT id_persona, nombre, apellido, edad, genero, ciudad, estado, ocupacion, nivel_estudios,
+           CASE WHEN paid.id IS NULL THEN ingreso_mensual
+                WHEN paid.last.status = 'P' THEN NULL ELSE paid.last.price END AS ingreso_mensual,
+           CASE WHEN o.id IS NULL THEN activo ELSE o.last.status <> 'F' END AS activo,
+           CASE WHEN o.id IS NULL THEN fecha_registro ELSE o.last.day END AS fecha_registro
+    FROM p LEFT JOIN o ON o.id = p.id_persona LEFT JOIN paid ON paid.id = p.id_persona""")
+
+VALIDITY = """
+    WITH sizes AS (SELECT (SELECT count(*) FROM customer) AS c, (SELECT count(*) FROM orders) AS o,
+                          (SELECT count(*) FROM supplier) AS s, (SELECT count(*) FROM part) AS p,
+                          (SELECT count(*) FROM part WHERE p_partkey % 4 IN (0, 3)) AS bad,
+                          (SELECT count(*) FROM part WHERE p_partkey % 4 = 2) AS bare)
+    SELECT 'personas' AS topic, c + s + p AS messages, p AS malformed, 0 AS without_key,
+           c + s AS merged FROM sizes
+    UNION ALL SELECT 'empleos', c + s + o, 0, 0, c + s + o FROM sizes
+    UNION ALL SELECT 'actividad', c + o + p, bad, bare, c + o + p - bad - bare FROM sizes"""
+
+MERGED_ODD = _over_people("""
+    SELECT id_persona, nombre, apellido, edad, genero, ciudad, estado, ocupacion, nivel_estudios,
+           ingreso_mensual, p_partkey IS NOT NULL OR activo AS activo,
+           CASE WHEN p_partkey IS NULL THEN fecha_registro ELSE DATE '2020-01-01' END AS fecha_registro
+    FROM p LEFT JOIN part ON p_partkey + 1 = id_persona AND p_partkey % 4 = 1""")
+
+_BYTES = "SELECT '{kind}' AS format, sum(strlen({line}) + 1)::BIGINT AS bytes FROM {source}"
+_PERSON_TEXT = """'{"id_persona":' || id_persona || ',"nombre":"' || nombre || '","apellido":"' || apellido
+    || '","edad":' || edad || ',"genero":"' || genero || '","ciudad":"' || ciudad || '","estado":"' || estado
+    || '","ocupacion":"' || ocupacion || '","nivel_estudios":"' || nivel_estudios || '","ingreso_mensual":'
+    || ingreso_mensual || ',"activo":' || activo || ',"fecha_registro":"' || fecha_registro || '"}'"""
+_PERSON_CSV = " || ',' || ".join(
+    "id_persona nombre apellido edad genero ciudad estado ocupacion nivel_estudios ingreso_mensual activo fecha_registro".split()
+)
+EXPORT_BYTES = f"""
+    {_over_people(_BYTES.format(kind="json", line=_PERSON_TEXT, source="p"))}
+    UNION ALL ({_over_people(_BYTES.format(kind="csv", line=_PERSON_CSV, source="p"))})
+    UNION ALL ({_BYTES.format(kind="sql", line="statement", source=f"({SQL_BATCHES})")})"""
+_PART_TEXT = """'{"p_partkey":' || p_partkey || ',"p_name":"' || p_name || '","p_brand":"' || p_brand
+    || '","p_type":"' || p_type || '","p_size":' || p_size || ',"p_retailprice":' || p_retailprice || '}'"""
+_PART_CSV = "p_partkey || ',' || p_name || ',' || p_brand || ',' || p_type || ',' || p_size || ',' || p_retailprice"
+RENDERED_BYTES = f"""
+    {_BYTES.format(kind="json", line=_PART_TEXT, source="part")}
+    UNION ALL {_BYTES.format(kind="csv", line=_PART_CSV, source="part")}"""
+
 ORACLES: dict[str, str] = {
+    "export_size_report": EXPORT_BYTES,
+    "rendered_size_report": RENDERED_BYTES,
+    "first_n_resumed": f"{PEOPLE} ORDER BY id_persona LIMIT {c.FIRST_N_PEOPLE}",
+    "log_ends": LOG_ENDS,
+    "merge_pinned": MERGED_PINNED,
+    "message_validity": VALIDITY,
+    "merge_odd_messages": MERGED_ODD,
+    "stream_progress": PROGRESS,
     "scan_json_roundtrip": PEOPLE,
     "scan_csv_roundtrip": PEOPLE,
     "scan_csv_documents": "SELECT * FROM documents",
@@ -350,11 +431,12 @@ ORACLES: dict[str, str] = {
     "live_count_messages": f"""WITH {_people(CUSTOMERS)}, {_people(SUPPLIERS, "s")},
         sent AS (SELECT estado, edad FROM p UNION ALL SELECT estado, edad FROM s
                  UNION ALL SELECT NULL, NULL FROM part)
-        SELECT estado, count(*) AS n, {_rounded_average("edad", 1)} AS avg_edad FROM sent GROUP BY estado""",
+        SELECT estado, count(*) AS n, {_rounded_average("edad", 1)} AS avg_edad FROM sent
+        GROUP BY estado ORDER BY n DESC, estado NULLS FIRST""",
     "stream_merge_complete": MERGED,
     "stream_resume": MERGED,
     "stream_input_rows": f"""
-        SELECT {c.REPLAY_FILES}::BIGINT AS batches, 3 * count(*) AS input_rows FROM customer""",
+        SELECT count(*) AS batches, sum(input_rows)::BIGINT AS input_rows FROM ({PROGRESS})""",
     "synth_people": PEOPLE,
     "synth_resume": PEOPLE,
     "synth_stream": FANOUT,

@@ -79,6 +79,18 @@ def drop_staged(spark: SparkSession) -> None:
     files.delete(folder, True)
 
 
+def child_session(spark: SparkSession, settings: dict[str, str]) -> SparkSession:
+    """A session of its own on the same cluster, with this one's settings and some more.
+
+    What is built on it keeps them, and nothing else is touched.
+    """
+    own = spark.newSession()
+    for name, value in (dict(spark.conf.getAll) | settings).items():
+        if spark.conf.isModifiable(name):
+            own.conf.set(name, value)
+    return own
+
+
 @contextmanager
 def session_conf(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
     """Apply settings for the length of a block and put the old ones back."""

@@ -20,6 +20,20 @@ def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     ).csv(path)
 
 
+def rendered_bytes(df: DataFrame) -> DataFrame:
+    """(format, bytes): what the rows take as JSON Lines and as CSV, line ends included, headers not.
+
+    Rendered, not written, so that a listing of files can be checked against it.
+    """
+    json = F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})
+    csv = F.to_csv(F.struct(*df.columns), {"escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"})
+    sums = df.select(F.inline(F.array(*[
+        F.struct(F.lit(name).alias("format"), (F.octet_length(line) + 1).alias("size"))
+        for name, line in (("json", json), ("csv", csv))
+    ])))
+    return sums.groupBy("format").agg(F.sum("size").alias("bytes"))
+
+
 def export_sizes(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
     """Non-empty files, bytes and megabytes per exported format. Lists files, reads none."""
     listed = [

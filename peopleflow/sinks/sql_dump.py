@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -56,6 +56,24 @@ def _line(schema: StructType) -> Column:
     return F.concat(F.lit("    ("), row_values(schema), F.lit(")"))
 
 
+def numbered_lines(
+    numbered: DataFrame, schema: StructType, table: str, total: int, rows_per_insert: int = ROWS_PER_INSERT
+) -> DataFrame:
+    """A line of the script for every row with a ``row_number``, in the order of the rows.
+
+    A row knows from its number whether it opens or closes a statement, so nothing is grouped.
+    """
+    number = F.col("row_number")
+    opens = number % rows_per_insert == F.lit(1 % rows_per_insert)
+    closes = (number % rows_per_insert == 0) | (number == total)
+    text = F.concat(
+        F.when(opens, F.lit(_insert_head(table, schema.names))).otherwise(F.lit("")),
+        _line(schema),
+        F.when(closes, F.lit(";\n")).otherwise(F.lit(",")),
+    )
+    return numbered.select(text.alias("value"))
+
+
 def _by_batch(numbered: DataFrame, rows_per_insert: int) -> DataFrame:
     """Numbered rows with their ``batch``, whole batches together in key order.
 
@@ -119,25 +137,16 @@ def script_lines(
     rows_per_insert: int = ROWS_PER_INSERT,
     presorted: bool = False,
 ) -> DataFrame:
-    """The same dump as text rows in script order, one per table row.
-
-    A row knows from its number whether it opens or closes a statement, so nothing is grouped.
-    """
+    """The same dump as text rows in script order, one per table row."""
     numbered = number_rows(df, [key], presorted=presorted)
     rows = _by_batch(numbered, rows_per_insert).sortWithinPartitions("row_number")
     total = numbered.agg(F.max("row_number")).scalar()
-    number = F.col("row_number")
-    opens = number % rows_per_insert == F.lit(1 % rows_per_insert)
-    closes = (number % rows_per_insert == 0) | (number == total)
-    text = F.concat(
-        F.when(opens, F.lit(_insert_head(table, df.columns))).otherwise(F.lit("")),
-        _line(df.schema),
-        F.when(closes, F.lit(";\n")).otherwise(F.lit(",")),
-    )
-    create = df.sparkSession.range(0, 1, 1, 1).select(
-        F.lit(create_table_text(table, sql_types)).alias("value")
-    )
-    return create.unionByName(rows.select(text.alias("value")))
+    lines = numbered_lines(rows, df.schema, table, total, rows_per_insert)
+    return _create_line(df.sparkSession, table, sql_types).unionByName(lines)
+
+
+def _create_line(spark: SparkSession, table: str, sql_types: Mapping[str, str]) -> DataFrame:
+    return spark.range(0, 1, 1, 1).select(F.lit(create_table_text(table, sql_types)).alias("value"))
 
 
 def write_sql(df: DataFrame, path: str, mode: str = "errorifexists", **options) -> None:
@@ -146,3 +155,18 @@ def write_sql(df: DataFrame, path: str, mode: str = "errorifexists", **options)
     No statement is split between files.
     """
     script_lines(df, **options).write.mode(mode).text(path)
+
+
+def write_blocks(
+    blocks: DataFrame,
+    schema: StructType,
+    path: str,
+    mode: str = "errorifexists",
+    table: str = "personas",
+    sql_types: Mapping[str, str] = PEOPLE_SQL_TYPES,
+    rows_per_insert: int = ROWS_PER_INSERT,
+) -> None:
+    """`write_sql` of rows that are numbered and in order, in partitions of whole statements. No shuffle."""
+    total = blocks.agg(F.max("row_number")).first()[0] or 0
+    lines = numbered_lines(blocks, schema, table, total, rows_per_insert)
+    _create_line(blocks.sparkSession, table, sql_types).unionByName(lines).write.mode(mode).text(path)

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from peopleflow.schemas import LOG_SCHEMA
+from peopleflow.sources.snapshot import pinned_options
 
 
 def topic_options(
@@ -45,6 +46,13 @@ def read_topics(
     return _log_columns(spark.read.format("kafka").options(**options).load())
 
 
+def read_topics_until(spark: SparkSession, brokers: str, ends: DataFrame, **extra: str) -> DataFrame:
+    """The messages up to the ends that `snapshot.log_ends` found, however much has arrived since."""
+    options = topic_options(brokers, [], "earliest", **extra) | pinned_options(ends)
+    del options["subscribe"]
+    return _log_columns(spark.read.format("kafka").options(**options).load())
+
+
 def stream_topics(
     spark: SparkSession,
     brokers: str,
@@ -59,15 +67,21 @@ def stream_topics(
 
 
 def write_replay(
-    log: DataFrame, path: str, files: int | None = None, by_topic: bool = False
+    log: DataFrame,
+    path: str,
+    files: int | None = None,
+    by_topic: bool = False,
+    rows_per_file: int | None = None,
 ) -> None:
-    """Store a topic log for replay.
+    """Store a topic log for replay, as it is partitioned.
 
-    ``files`` asks for that many files, which `stream_replay` can read one per micro-batch;
-    without it the log is written as it is partitioned. ``by_topic`` makes a folder per topic, so
-    that reading one topic skips the others.
+    ``rows_per_file`` bounds the files, so that `stream_replay` can admit a share of them to a
+    micro-batch; ``files`` asks for that many files instead, which moves all rows. ``by_topic``
+    makes a folder per topic, so that reading one topic skips the others.
     """
     writer = (log.repartition(files) if files else log).write.mode("append")
+    if rows_per_file:
+        writer = writer.option("maxRecordsPerFile", rows_per_file)
     (writer.partitionBy("topic") if by_topic else writer).parquet(path)
 
 
@@ -77,11 +91,17 @@ def read_replay(spark: SparkSession, path: str) -> DataFrame:
 
 
 def stream_replay(
-    spark: SparkSession, path: str, files_per_trigger: int | None = None, glob: str | None = None
+    spark: SparkSession,
+    path: str,
+    files_per_trigger: int | None = None,
+    glob: str | None = None,
+    bytes_per_trigger: int | None = None,
 ) -> DataFrame:
-    """A stored topic log, or any Parquet folder, as a stream."""
+    """A stored topic log, or any Parquet folder, as a stream; a micro-batch admits files or bytes."""
     stored = spark.read.option("pathGlobFilter", glob or "*.parquet").parquet(path)
     reader = spark.readStream.schema(stored.schema).option("pathGlobFilter", glob or "*.parquet")
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    if bytes_per_trigger:
+        reader = reader.option("maxBytesPerTrigger", bytes_per_trigger)
     return reader.parquet(path)

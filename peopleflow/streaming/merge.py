@@ -7,6 +7,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from peopleflow.operators.merge import merge_messages
 from peopleflow.schemas import KEY, PEOPLE_SCHEMA
+from peopleflow.session import child_session
 from peopleflow.streaming.sinks import LARGE_STATE, last_rows, start_versions
 
 
@@ -16,9 +17,15 @@ def start_merge(
     """Merge a streamed topic log; every change of a complete record is written to ``path``.
 
     The checkpoint holds the read positions and the partial records, so a restart goes on where
-    the last run stopped. With ``every=None`` the run drains the topics and ends.
+    the last run stopped. With ``every=None`` the run drains the topics and ends. A log read in a
+    session of `merge_session` keeps the state, a row for each id, off the heap.
     """
-    return start_versions(merge_messages(log), path, checkpoint, "update", every, LARGE_STATE)
+    return start_versions(merge_messages(log), path, checkpoint, "update", every, KEY)
+
+
+def merge_session(spark: SparkSession) -> SparkSession:
+    """A session for merges of many ids, apart from ``spark``."""
+    return child_session(spark, LARGE_STATE)
 
 
 def merged_records(spark: SparkSession, path: str) -> DataFrame:

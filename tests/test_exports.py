@@ -10,7 +10,8 @@ from peopleflow.operators.reports import schema_report
 from peopleflow.operators.synth import generate_people
 from peopleflow.schemas import PEOPLE_COLUMNS
 from peopleflow.sinks.exports import export_people
-from peopleflow.sinks.files import write_csv, write_json
+from peopleflow.sinks import exports
+from peopleflow.sinks.files import export_sizes, rendered_bytes, write_csv, write_json
 from peopleflow.sinks.sql_dump import insert_statements, literal_rows, sql_statements, write_sql
 from peopleflow.sources.files import read_csv, read_json
 
@@ -121,6 +122,44 @@ def test_statements_are_grouped_without_a_second_shuffle(spark):
     assert plan.count("Exchange hashpartitioning(batch") == 0
 
 
+def test_export_orders_rows_once(spark, tmp_path, monkeypatch):
+    """One range shuffle for all three formats, no cache, and no shuffle between the formats."""
+    ranged, plans = [], []
+    frame = type(spark.range(1))
+    by_range = frame.repartitionByRange
+    monkeypatch.setattr(frame, "repartitionByRange", lambda df, *a: ranged.append(a) or by_range(df, *a))
+    monkeypatch.setattr(frame, "persist", None)
+    rows_of = exports.in_blocks
+    monkeypatch.setattr(exports, "in_blocks", lambda *a: plans.append(rows_of(*a)) or plans[-1])
+    people = generate_people(spark, 2600).repartition(7)
+    export_people(people, str(tmp_path / "out"))
+    assert len(ranged) == 1
+    assert "Exchange" not in plan_of(plans[0]) and "Scan ExistingRDD" in plan_of(plans[0])
+    for kind, first in (("json", '{"id_persona":'), ("csv", ""), ("sql", "    (")):
+        lines = text_of(tmp_path / "out" / f"personas.{kind}").splitlines()
+        ids = [line.removeprefix(first).split(",")[0] for line in lines]
+        assert [int(x) for x in ids if x.isdigit()] == list(range(1, 2601))
+    for part in (tmp_path / "out" / "personas.sql").glob("part-*"):
+        assert part.read_text().endswith(";\n\n")
+
+
+def test_rendered_bytes_equal_the_files(spark, tmp_path):
+    df = nasty(spark).coalesce(1)
+    write_json(df, str(tmp_path / "json"))
+    write_csv(df, str(tmp_path / "csv"))
+    sizes = {r.format: r.bytes for r in rendered_bytes(df).collect()}
+    listed = {r.format: r.bytes for r in export_sizes(spark, {k: str(tmp_path / k) for k in ("json", "csv")}).collect()}
+    assert sizes == {"json": listed["json"], "csv": listed["csv"] - len("id,s\n")}
+
+
+def test_numbers_have_one_rendering(spark):
+    values = [1.5e-4, -2.5e-10, 1e7, 12345678.9, 1e22, 123456789012345680.0, 5e-324, 0.001, -0.0, 3000.5]
+    df = spark.createDataFrame([(k, v) for k, v in enumerate(values)], "id bigint, v double")
+    texts = [r.sql_values.split(", ")[1] for r in literal_rows(df, "id").orderBy("id").collect()]
+    assert [float(x) for x in texts] == values and not any("E" in x for x in texts)
+    assert texts[0] == "0.00015" and texts[3] == "12345678.9" and texts[5] == "123456789012345680.0"
+
+
 def test_export_of_nothing_fails_before_writing(spark, tmp_path):
     with pytest.raises(ValueError):
         export_people(generate_people(spark, 0), str(tmp_path / "out"))

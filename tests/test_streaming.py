@@ -15,9 +15,10 @@ from peopleflow.sources.topics import (
     topic_options,
     write_replay,
 )
-from peopleflow.session import session_conf
+from peopleflow import versions
+from peopleflow.session import child_session, stage
 from peopleflow.streaming import generate, live, progress, sinks
-from peopleflow.streaming.merge import merged_records, start_merge
+from peopleflow.streaming.merge import merge_session, merged_records, start_merge
 from conftest import SF_DIR
 
 
@@ -34,25 +35,41 @@ def replay(spark, tmp_path):
 
 @pytest.mark.parametrize("per_trigger, batches", [(1, 4), (4, 1)])
 def test_merge_stream_equals_batch(spark, replay, tmp_path, per_trigger, batches):
-    out = str(tmp_path / "out")
-    with progress.batch_log(spark) as log:
+    out, noted = str(tmp_path / "out"), str(tmp_path / "noted")
+    with progress.progress_table(spark, noted) as table:
         query = start_merge(stream_replay(spark, replay, per_trigger), out, str(tmp_path / "cp"))
         query.awaitTermination()
-        report = progress.progress_report(spark, log, query)
-    assert report.where("input_rows > 0").count() == batches
+        table.wait(query)
+    assert progress.progress_report(spark, noted).count() == batches
     assert rows(merged_records(spark, out)) == rows(merge_messages(read_replay(spark, replay)))
 
 
 def test_progress_knows_more_batches_than_spark_remembers(spark, tmp_path):
-    path, out, cp = (str(tmp_path / name) for name in ("log", "out", "cp"))
+    path, out, cp, noted = (str(tmp_path / name) for name in ("log", "out", "cp", "noted"))
+    assert progress.progress_report(spark, noted).count() == 0
     spark.range(0, 700, 1, 7).write.parquet(path)
-    with session_conf(spark, {"spark.sql.streaming.numRecentProgressUpdates": "2"}):
-        with progress.batch_log(spark) as log:
-            query = sinks.start_append(stream_replay(spark, path, 1), out, cp)
-            query.awaitTermination()
-            rows = progress.progress_report(spark, log, query).where("input_rows > 0").collect()
+    own = child_session(spark, {"spark.sql.streaming.numRecentProgressUpdates": "2"})
+    with progress.progress_table(own, noted) as table:
+        query = sinks.start_append(stream_replay(own, path, 1), out, cp)
+        query.awaitTermination()
+        table.wait(query)
+    rows = progress.progress_report(spark, noted).orderBy("batch_id").collect()
     assert len(query.recentProgress) <= 2
-    assert [(r.batch_id, r.input_rows) for r in rows] == [(i, 100) for i in range(7)]
+    assert [(r.batch_id, r.input_rows, r.malformed) for r in rows] == [(i, 100, None) for i in range(7)]
+    assert [r.rows_per_second > 0 for r in progress.rates(spark, noted).collect()] == [True] * 7
+
+
+def test_progress_counts_messages_while_they_are_read(spark, log, tmp_path):
+    path, out, cp, noted = (str(tmp_path / name) for name in ("log", "out", "cp", "noted"))
+    with progress.progress_table(spark, noted) as table:
+        for texts in (['{"id_persona":1}', "broken"], ['{"id_persona":2}', '{"id_persona":3} x', "{}"]):
+            write_replay(log([(1, "personas", text) for text in texts]), path)
+            counts = live.live_people_by_state(progress.observed(stream_replay(spark, path)))
+            query = sinks.start_versions(counts, out, cp, "complete")
+            query.awaitTermination()
+            table.wait(query)
+    rows = progress.progress_report(spark, noted).orderBy("batch_id").collect()
+    assert [tuple(r) for r in rows] == [(0, 2, 2, 0, 0, 1), (1, 3, 3, 0, 0, 1)]
 
 
 def test_restart_goes_on_and_reads_nothing_twice(spark, tmp_path):
@@ -124,6 +141,86 @@ def test_generated_stream_resumes_after_the_last_id(spark, tmp_path):
     assert rows(sent) == rows(expected)
 
 
+def many_batches(spark, path, batches=50, ids=40):
+    """A log whose files each change a share of the records once more."""
+    for k in range(batches):
+        rows = [("personas", 0, k * ids + i, k, f'{{"id":{i},"a":"v{k}","b":"{i}"}}') for i in range(k % 4, ids, 4)]
+        df = spark.createDataFrame(rows, "topic string, partition int, offset bigint, s bigint, value string")
+        write_replay(df.selectExpr("topic", "partition", "offset", "timestamp_seconds(s) AS timestamp", "value").coalesce(1), path)
+
+
+PAIR = "id bigint, a string, b string"
+
+
+def start_pairs(spark, path, out, cp):
+    schema = spark.createDataFrame([], PAIR).schema
+    merged = merge_messages(stream_replay(spark, path, 1), schema, "id")
+    return sinks.start_versions(merged, out, cp, "update", key="id"), schema
+
+
+def test_bytes_read_stay_bounded_after_many_batches(spark, tmp_path, monkeypatch):
+    path, out, cp = (str(tmp_path / name) for name in ("log", "out", "cp"))
+    many_batches(spark, path)
+    broken = []
+
+    def breaks_once(spark, folder):
+        if not broken:
+            broken.append(folder)
+            raise OSError("lost between the two steps")
+        finish(spark, folder)
+
+    finish = versions.finish
+    monkeypatch.setattr(versions, "finish", breaks_once)
+    query, schema = start_pairs(spark, path, out, cp)
+    with pytest.raises(Exception, match="lost between"):
+        query.awaitTermination()
+    # The snapshot that is not marked does not count, and what it was made of is still there.
+    assert versions.finished(spark, f"{out}/snapshots", "upto") == [] and versions.exists(spark, broken[0])
+    expected = merge_messages(read_replay(spark, path).where("second(timestamp) + 60 * minute(timestamp) < 8"), schema, "id")
+    assert rows(sinks.last_rows(spark, out, schema, "id")) == rows(expected)
+    query, schema = start_pairs(spark, path, out, cp)
+    query.awaitTermination()
+    assert rows(sinks.last_rows(spark, out, schema, "id")) == rows(merge_messages(read_replay(spark, path), schema, "id"))
+    kept = versions.numbers(spark, f"{out}/changes", "batch_id")
+    snapshots = versions.numbers(spark, f"{out}/snapshots", "upto")
+    assert len(snapshots) == 2 and min(kept) > snapshots[0] and len(kept) < 50
+    read = sinks.last_rows(spark, out, schema, "id").inputFiles()
+    assert len({f.rsplit("/", 1)[0] for f in read}) <= 1 + 3 * sinks.COMPACT_AFTER
+
+
+def test_a_complete_result_keeps_its_last_versions_only(spark, replay, tmp_path):
+    result = live.live_people_by_state(stream_replay(spark, replay, 1))
+    sinks.start_versions(result, str(tmp_path / "out"), str(tmp_path / "cp"), "complete").awaitTermination()
+    assert versions.numbers(spark, str(tmp_path / "out" / "changes"), "batch_id") == [2, 3]
+    assert sinks.last_snapshot(spark, str(tmp_path / "none"), result.schema).count() == 0
+
+
+def test_merge_session_leaves_the_other_alone(spark, tmp_path):
+    path = str(tmp_path / "log")
+    write_replay(inputs.people_log(spark, SF_DIR), path)
+    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    own = merge_session(spark)
+    query = start_merge(stream_replay(own, path), str(tmp_path / "out"), str(tmp_path / "cp"))
+    query.awaitTermination()
+    assert "RocksDB" in own.conf.get("spark.sql.streaming.stateStore.providerClass")
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") == before
+    assert own.conf.get("spark.sql.shuffle.partitions") == spark.conf.get("spark.sql.shuffle.partitions")
+    assert any("rocksdb" in k.lower() for k in query.lastProgress["stateOperators"][0]["customMetrics"])
+
+
+def test_a_batch_admits_bytes_of_many_files(spark, tmp_path):
+    path, noted = str(tmp_path / "log"), str(tmp_path / "noted")
+    write_replay(inputs.people_log(spark, SF_DIR), path, rows_per_file=20)
+    share = versions.stored_bytes(spark, path) // 3 + 1
+    with progress.progress_table(spark, noted) as table:
+        log = stream_replay(spark, path, bytes_per_trigger=share)
+        query = sinks.start_append(log, str(tmp_path / "out"), str(tmp_path / "cp"))
+        query.awaitTermination()
+        table.wait(query)
+    batches = [r.input_rows for r in progress.progress_report(spark, noted).collect()]
+    assert 3 <= len(batches) <= 5 and sum(batches) == 450 and max(batches) > 20
+
+
 def test_kafka_options():
     assert topic_options("b1:9092,b2:9092", ["x", "y"], "latest", max_per_trigger=7) == {
         "kafka.bootstrap.servers": "b1:9092,b2:9092",

@@ -5,7 +5,6 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -27,11 +26,13 @@ _HEX = re.compile(r"[0-9a-f]{24,}")
 
 #: An assignment: not a comparison, and not the colon of an address.
 _SIGN = re.compile(r":=|=>|(?<![=!<>:])=(?![=>~])|:(?![:/=])")
-_NAME = re.compile(r"""(?:"([^"\n]{1,100})"|'([^'\n]{1,100})'|([^\W\d][\w.-]{0,99}))[ \t\]]*\Z""")
 _TERM = re.compile(
-    r"""[ \t(]*(?:[rRbBfFuU]{0,2}(?:"((?:[^"\\\n]|\\.)*)"|'((?:[^'\\\n]|\\.)*)')|\$?\{?([^\W\d][\w.]*)\}?|([^\s"'#,;(){}\[\]]+))"""
+    r"""(?:[rRbBfFuU]{0,2}(?:"((?:[^"\\\n]|\\.)*)"|'((?:[^'\\\n]|\\.)*)')|\$?\{?([^\W\d][\w.]*)\}?|([^\s"'#,;(){}\[\]]+))"""
 )
-_JOIN = re.compile(r"[ \t)]*\+")
+_STRING = re.compile(r"""[rRbBfFuU]{0,2}["']""")
+_BARE = re.compile(r"[^\s\"'#,;(){}\[\]+]*")
+_BLANKS, _LINES = re.compile(r"[ \t]*"), re.compile(r"[ \t\r\n]*")
+_PART_OF_NAME, _FIRST_OF_NAME = re.compile(r"[\w.-]"), re.compile(r"[^\W\d]")
 _PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|\d+")
 
 #: Points of name parts. A literal is reported from REPORT points on, its own among them.
@@ -45,16 +46,49 @@ NAME_POINTS = {
 }
 REPORT = 5
 
+#: Characters at the beginning of a value that are kept for scoring.
+HEAD = 32
+
+_DUMMY_START = re.compile(r"(?i)your[_-]|\$\{|%\(|\{\{")
 _DUMMY = re.compile(
     r"(?i)\A(?:change_?me|example|placeholder|dummy|none|null|nil|true|false|undefined|redacted|todo|x+|\*+|\.+"
     r"|your[_-].*|<.*>|\$\{.*|%\(.*|\{\{.*|test|password|secret|token)\Z"
 )
 
 
-class Literal(NamedTuple):
-    start: int
-    end: int
-    value: str
+class Value:
+    """What a name stands for: literals of its own and values it shares with others, one after the other.
+
+    Only what scoring needs is kept of the text, so values that are built from others over and over stay small.
+    """
+
+    def __init__(self) -> None:
+        self.parts: list[tuple[int, int] | Value] = []
+        self.length, self.head, self.last = 0, "", ""
+        self.counts: Counter[str] = Counter()
+
+    def add(self, text: str, start: int, end: int) -> None:
+        self.parts.append((start, end))
+        self._follow(len(text), text[:HEAD], text[-1:], Counter(text))
+
+    def refer(self, other: Value) -> None:
+        self.parts.append(other)
+        self._follow(other.length, other.head, other.last, other.counts)
+
+    def _follow(self, length: int, head: str, last: str, counts: Counter[str]) -> None:
+        self.head = (self.head + head)[:HEAD] if self.length < HEAD else self.head
+        self.length, self.last = self.length + length, last or self.last
+        self.counts = self.counts + counts
+
+    def spans(self, seen: set[int]):
+        """Places of all its literals, but for those of values already ``seen``."""
+        todo = [self]
+        while todo:
+            value = todo.pop()
+            if id(value) not in seen:
+                seen.add(id(value))
+                yield from (p for p in value.parts if not isinstance(p, Value))
+                todo.extend(p for p in value.parts if isinstance(p, Value))
 
 
 def name_points(name: str) -> int:
@@ -62,50 +96,81 @@ def name_points(name: str) -> int:
     return sum(NAME_POINTS.get(part.lower(), 0) for part in _PARTS.findall(name))
 
 
-def literal_points(value: str) -> int:
+def is_dummy(value: Value) -> bool:
+    """Whether a value is a placeholder; of a long one, its beginning, its end and its characters tell."""
+    if value.length <= HEAD:
+        return bool(_DUMMY.match(value.head))
+    if set(value.counts) <= {"x", "X"} or set(value.counts) in ({"*"}, {"."}):
+        return True
+    bracketed = value.head.startswith("<") and value.last == ">"
+    return "\n" not in value.counts and (bracketed or bool(_DUMMY_START.match(value.head)))
+
+
+def literal_points(value: Value) -> int:
     """How much a value looks like a secret: long, of mixed characters, of high entropy, no dummy."""
-    if len(value) < 6 or _DUMMY.match(value):
+    if value.length < 6 or is_dummy(value):
         return -9
-    counts = Counter(value).values()
-    entropy = -sum(n / len(value) * math.log2(n / len(value)) for n in counts)
-    classes = sum(bool(re.search(c, value)) for c in (r"[a-z]", r"[A-Z]", r"[0-9]", r"[^\w\s]"))
-    points = (len(value) >= 8) + (len(value) >= 20) + (classes >= 2) + (classes >= 3) + (entropy >= 3)
-    return points - 3 * bool(re.search(r"\s", value)) - 2 * value.startswith(("/", "./", "http"))
+    shares = [n / value.length for n in value.counts.values()]
+    entropy = -sum(x * math.log2(x) for x in shares if x)
+    found = "".join(value.counts)
+    classes = sum(bool(re.search(c, found)) for c in (r"[a-z]", r"[A-Z]", r"[0-9]", r"[^\w\s]"))
+    points = (value.length >= 8) + (value.length >= 20) + (classes >= 2) + (classes >= 3) + (entropy >= 3)
+    return points - 3 * bool(re.search(r"\s", found)) - 2 * value.head.startswith(("/", "./", "http"))
+
+
+def name_before(text: str, end: int) -> str:
+    """The target of an assignment sign at ``end``: quoted or bare, of any length, on the same line."""
+    while end and text[end - 1] in " \t]":
+        end -= 1
+    if end and text[end - 1] in "\"'":
+        start = text.rfind(text[end - 1], text.rfind("\n", 0, end) + 1, end - 1)
+        return text[start + 1 : end - 1] if start >= 0 else ""
+    start = end
+    while start and _PART_OF_NAME.match(text[start - 1]):
+        start -= 1
+    first = _FIRST_OF_NAME.search(text, start, end)
+    return text[first.start() : end] if first else ""
 
 
 def assigned(text: str):
-    """Names and what is assigned to them, in order: ``(name, literals, concatenated value)``.
+    """Names and what is assigned to them, in order: ``(name, value)``.
 
-    A value is one or more terms joined by ``+``: quoted strings, bare words as in configuration
-    files, and names. A name that was assigned before stands for its literals (constant propagation).
+    A value is one or more terms: quoted strings, bare words as in configuration files, and names. They are
+    joined by ``+``, which a line break may follow, or stand as strings next to each other in
+    brackets, over any number of lines. A name that was assigned before stands for its value
+    (constant propagation).
     """
-    constants: dict[str, tuple[Literal, ...]] = {}
+    constants: dict[str, Value] = {}
     for sign in _SIGN.finditer(text):
-        line = max(text.rfind("\n", 0, sign.start()) + 1, sign.start() - 200)
-        found = _NAME.search(text[line : sign.start()])
-        if not found:
+        name = name_before(text, sign.start())
+        if not name:
             continue
-        name = next(filter(None, found.groups()), "")
-        at, literals = sign.end(), []
-        while term := _TERM.match(text, at):
-            at = term.end()
-            k = term.lastindex
+        value, depth, at = Value(), 0, _BLANKS.match(text, sign.end()).end()
+        while True:
+            while text.startswith("(", at):
+                depth, at = depth + 1, _LINES.match(text, at + 1).end()
+            if not (term := _TERM.match(text, at)):
+                break
+            at, k = term.end(), term.lastindex
             if k in (1, 2):
-                literals.append(Literal(term.start(k), term.end(k), term[k]))
-            elif k == 3 and term[3].rpartition(".")[2] in constants:
-                literals.extend(constants[term[3].rpartition(".")[2]])
-            elif k is not None:
+                value.add(term[k], term.start(k), term.end(k))
+            elif k == 3 and (known := constants.get(term[3].rpartition(".")[2])):
+                value.refer(known)
+            else:
                 # A bare word goes on to the next white space or delimiter.
-                end = re.compile(r"[^\s\"'#,;(){}\[\]+]*").match(text, at).end()
-                literals.append(Literal(term.start(k), end, text[term.start(k) : end]))
-                at = end
-            joined = _JOIN.match(text, at)
-            if not joined or len(literals) > 100:
+                at = _BARE.match(text, at).end()
+                value.add(text[term.start(k) : at], term.start(k), at)
+            at = (_LINES if depth else _BLANKS).match(text, at).end()
+            while depth and text.startswith(")", at):
+                depth -= 1
+                at = (_LINES if depth else _BLANKS).match(text, at + 1).end()
+            if text.startswith("+", at):
+                at = _LINES.match(text, at + 1).end()
+            elif not (depth and _STRING.match(text, at)):
                 break
-            at = joined.end()
-        if literals:
-            constants[re.split(r"[.\-]", name)[-1]] = tuple(literals)
-            yield name, literals, "".join(x.value for x in literals)
+        if value.parts:
+            constants[re.split(r"[.\-]", name)[-1]] = value
+            yield name, value
 
 
 def find_secrets(text: str) -> list[tuple[str, int, int, int, int]]:
@@ -124,10 +189,13 @@ def find_secrets(text: str) -> list[tuple[str, int, int, int, int]]:
                 found.add((1, *m.span(), *m.span()))
     for m in _HEX.finditer(text):
         found.add((2, *m.span(), *m.span()))
-    for name, literals, value in assigned(text):
+    seen: set[int] = set()
+    values = []  # kept, so that no two have one identity
+    for name, value in assigned(text):
+        values.append(value)
         points = name_points(name)
         if points > 0 and points + literal_points(value) >= REPORT:
-            found |= {(3, x.start, x.end, x.start, x.end) for x in literals if x.value}
+            found |= {(3, a, b, a, b) for a, b in value.spans(seen) if a < b}
     return [(KINDS[k], *rest) for k, *rest in sorted(found, key=lambda x: (x[1], x[0], x[2]))]
 
 

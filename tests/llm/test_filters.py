@@ -1,5 +1,6 @@
 """Secrets, URL rules, quality rules and toxicity."""
 
+import hashlib
 import re
 
 import numpy as np
@@ -7,7 +8,7 @@ import pytest
 
 from peopleflow.llm import toxicity
 from peopleflow.llm.quality import clean_lines, quality_report
-from peopleflow.llm.secret_scan import find_secrets, mask, scan
+from peopleflow.llm.secret_scan import find_secrets, mask, op4_secret_scan, scan
 from peopleflow.llm.url_filter import judge_urls
 
 DOCS = "doc_id long, text string, kept string"
@@ -31,6 +32,93 @@ def test_secrets_are_found_and_hidden(text, hidden):
     assert mask(text, find_secrets(text)) == hidden
 
 
+HIDDEN = "[SECRET]"
+
+
+@pytest.mark.parametrize(
+    "text, hidden",
+    [
+        ('key_secret = "abc1" +\n  "defG2"', 'key_secret = "[SECRET]" +\n  "[SECRET]"'),
+        ('key_secret = "abc1" + \r\n\t"defG2"\n"other"', 'key_secret = "[SECRET]" + \r\n\t"[SECRET]"\n"other"'),
+        ('auth_secret = (\n "abc1"\n "defG2"\n)\n"x"', 'auth_secret = (\n "[SECRET]"\n "[SECRET]"\n)\n"x"'),
+        ('auth_secret = ("abc1" +\n("defG2"))', 'auth_secret = ("[SECRET]" +\n("[SECRET]"))'),
+        ('a = "abc1"\nb = a + "defG2"\nc = b\nauth_secret = c + c', 'a = "[SECRET]"\nb = a + "[SECRET]"\nc = b\nauth_secret = c + c'),
+        ('title = "abc1" +\n"defG2"', 'title = "abc1" +\n"defG2"'),
+        ('auth_pwd = "' + "x" * 50 + '"', 'auth_pwd = "' + "x" * 50 + '"'),
+        ('auth_pwd = "<' + "k3y9ABz" * 20 + '>"', 'auth_pwd = "<' + "k3y9ABz" * 20 + '>"'),
+        ('auth_pwd = "<' + "k3y9ABz" * 20 + '"', 'auth_pwd = "[SECRET]"'),
+    ],
+)
+def test_values_over_lines_and_names(text, hidden):
+    assert mask(text, find_secrets(text)) == hidden
+
+
+def test_no_literal_and_no_name_is_too_many():
+    """130 literals in one value, a name of 150 characters, and values that double in every line."""
+    text = "auth_secret = " + " + ".join(f'"aB{k:03d}x"' for k in range(130))
+    assert sum(kind == "literal" for kind, *_ in find_secrets(text)) == 130
+    for name in ("n" * 150 + "_secret", '"' + "n" * 150 + '_secret"', '"a very long name ' + "of words " * 20 + 'secret"'):
+        assert mask(f'{name} = "aB3dE6gH9"', find_secrets(f'{name} = "aB3dE6gH9"')).endswith('= "[SECRET]"')
+    text = 'v0 = "aB3dE6"\n' + "".join(f"v{k + 1} = v{k} + v{k}\n" for k in range(3000)) + "auth_secret = v3000"
+    assert [x for x in find_secrets(text) if x[0] == "literal"] == [("literal", 6, 12, 6, 12)]
+
+
+def plain_literals(text):
+    """Literals of sensitive names in code of one statement a line, or several in brackets, read token by token."""
+    token = re.compile(r'"[^"\n]*"|[^\W\d]\w*|[=+()]|\n')
+    tokens = [(m[0], m.start()) for m in token.finditer(text)]
+    known, found, k = {}, set(), 0
+    while k < len(tokens):
+        if k + 1 < len(tokens) and tokens[k][0].isidentifier() and tokens[k + 1][0] == "=":
+            name, k, depth, own, plus = tokens[k][0], k + 2, 0, [], False
+            while k < len(tokens):
+                what, at = tokens[k]
+                if what == "\n" and not depth and not plus:
+                    break
+                depth += (what == "(") - (what == ")")
+                if what.startswith('"'):
+                    own.append((at + 1, at + len(what) - 1))
+                elif what.isidentifier():
+                    own += known.get(what) or [(at, at + len(what))]
+                plus = what == "+" or plus and what == "\n"
+                k += 1
+            known[name] = own
+            value = "".join(text[a:b] for a, b in own)
+            if "secret" in name and len(value) >= 6:
+                found |= set(own)
+        k += 1
+    return sorted(found)
+
+
+def test_lexer_and_query_columns_equal_a_plain_reading(spark, tmp_path):
+    r = np.random.default_rng(8)
+    texts = []
+    for _ in range(300):
+        lines, names = [], []
+        for k in range(r.integers(1, 8)):
+            terms = [f'"{"".join(r.choice(list("abcdefghXYZ0189"), r.integers(3, 14)))}"' for _ in range(r.integers(1, 4))]
+            if names and r.random() < 0.5:
+                terms.append(str(r.choice(names)))
+            name = str(r.choice(["plain", "auth_secret", "sign_auth_secret", "other"])) + str(k)
+            join = str(r.choice([" + ", " +\n  ", "+"]))
+            value = join.join(terms)
+            if r.random() < 0.3:
+                value = "(\n" + (" " if r.random() < 0.5 else "\n").join(terms[:1]) + join + value + "\n)"
+            lines.append(f"{name} = {value}")
+            names.append(name)
+        texts.append("\n".join(lines))
+    spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    for row in op4_secret_scan(spark, str(tmp_path)).collect():
+        text = texts[row.doc_id]
+        base = [x[:3] for x in find_secrets(text) if x[0] != "literal"]
+        literal = [("literal", a, b) for a, b in plain_literals(text)]
+        spans = sorted(base + literal, key=lambda x: (x[1], ("assign", "access", "hex", "literal").index(x[0]), x[2]))
+        assert row.spans == ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
+        assert (row.n_literal, row.n_assign + row.n_access + row.n_hex) == (len(literal), len(base))
+        digest = ",".join(f"{k}:{a}:{b}" for k, a, b in spans if k != "literal")
+        assert row.base_sha256 == hashlib.sha256(digest.encode()).hexdigest()
+
+
 def test_base_patterns_follow_their_definition():
     kinds = {
         "assign": (r"""(?ai)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6),

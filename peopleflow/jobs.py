@@ -169,7 +169,8 @@ def consume_job(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.checkpoint and args.total is None:
         log = _log_stream(merge_session(spark), args, TOPICS, "earliest")
         changes = f"{args.checkpoint}/changes"
-        start_merge(log, changes, f"{args.checkpoint}/state").awaitTermination()
+        state = f"{args.checkpoint}/state"
+        start_merge(log, changes, state, expire_after=args.expire_after).awaitTermination()
         records = merged_records(spark, changes)
     else:
         log = _pinned_log(spark, args)
@@ -246,6 +247,7 @@ def parser() -> argparse.ArgumentParser:
         replay,
         ("--total", {"type": _count, "help": "complete records; all unless given"}),
         ("--checkpoint", {}),
+        ("--expire-after", {"help": "with --checkpoint: how long incomplete ids are kept, like '2 days'"}),
         *out,
     )
     limit = ("--limit", {"type": int, "default": 50, "help": "0: all"})

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
 from peopleflow.operators.merge import merge_messages
 from peopleflow.operators.synth import generate_people
@@ -18,6 +19,7 @@ from peopleflow.sources.topics import (
 from peopleflow import versions
 from peopleflow.session import child_session, stage
 from peopleflow.streaming import generate, live, progress, sinks
+from peopleflow.streaming.expiry import merge_expiring
 from peopleflow.streaming.merge import merge_session, merged_records, start_merge
 from conftest import SF_DIR
 
@@ -195,6 +197,33 @@ def test_a_complete_result_keeps_its_last_versions_only(spark, replay, tmp_path)
     assert sinks.last_snapshot(spark, str(tmp_path / "none"), result.schema).count() == 0
 
 
+HOURS = [
+    [(0, 1, '"a":"old"'), (0, 2, '"a":"x","b":"y"')],
+    [(2, 3, '"a":"x"'), (2, 3, '"b":"y"')],
+    [(4, 4, '"a":"x","b":null')],
+    [(5, 1, '"b":"late"'), (5, 2, '"a":"new"')],
+]
+
+
+@pytest.mark.parametrize("expires", [False, True])
+def test_incomplete_ids_can_expire(spark, log, tmp_path, expires):
+    """Without expiry id 1 is completed after five hours; with it, its first message is forgotten by then."""
+    path, out, cp = (str(tmp_path / name) for name in ("log", "out", "cp"))
+    schema, rows_kept = spark.createDataFrame([], PAIR).schema, []
+    for k, batch in enumerate(HOURS):
+        write_replay(log([(90_000 + 3600 * h, "t", f'{{"id":{i},{body}}}') for h, i, body in batch]).withColumn("offset", F.col("offset") + 10 * k), path)
+        replayed = stream_replay(merge_session(spark), path)
+        merged = merge_expiring(replayed, "1 hour", schema, "id") if expires else merge_messages(replayed, schema, "id")
+        query = sinks.start_versions(merged, out, cp, "update", key="id")
+        query.awaitTermination()
+        rows_kept.append(query.lastProgress["stateOperators"][0]["numRowsTotal"])
+    found = {tuple(r) for r in sinks.last_rows(spark, out, schema, "id").collect()}
+    complete = {(2, "new", "y"), (3, "x", "y"), (4, "x", None)}
+    assert found == (complete if expires else complete | {(1, "old", "late")})
+    # State rows after each run: id 1 leaves when the watermark is two hours past its message, and comes back.
+    assert rows_kept == ([2, 3, 3, 4] if expires else [2, 3, 4, 4])
+
+
 def test_merge_session_leaves_the_other_alone(spark, tmp_path):
     path = str(tmp_path / "log")
     write_replay(inputs.people_log(spark, SF_DIR), path)

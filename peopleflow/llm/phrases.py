@@ -3,8 +3,7 @@
 Words become numbers by perfect hashes of the frequent ones, and texts become rows of numbers, with
 0 where a phrase cannot go on. Phrases grow word by word. A candidate of k words is Apriori-safe:
 its first and its last k - 1 words are frequent phrases. Candidates are found where they stand in
-the text; a task passes a candidate on only if it has it often enough there that it could be
-frequent in all, so the rest need not be shuffled. The candidates' double-array trie is broadcast in
+the text, since all pairs of frequent words would be far too many. The candidates' double-array trie is broadcast in
 shards of a bounded size; numpy moves the states of all text positions from one level to the next at
 once and bincounts the accepting states, and the dense counts of all tasks are added up.
 """
@@ -24,14 +23,11 @@ from peopleflow.llm.divergence import as_text
 from peopleflow.llm.perfect_hash import KEY_BYTES, PerfectHash, perfect_shards, stored_keys
 from peopleflow.llm.tokens import BORDER, GAP, PART, Cut, blocks, numbered
 from peopleflow.operators.numbering import number_rows
-from peopleflow.session import new_path, stage
+from peopleflow.session import child_session, new_path, stage
 
 #: Words in a phrase, and the least occurrences of one.
 LONGEST, LEAST = 5, 100
 
-#: Of the least occurrences of a phrase, tasks may leave so many hundredths unmentioned when candidates are found.
-UNSAID = 90
-
 #: Rows of a language that are returned.
 TOP = 2000
 
@@ -39,7 +35,10 @@ TOP = 2000
 WORD_BYTES, TRIE = 32_000_000, 500_000
 
 #: Text positions whose candidates a task brings together before it passes them on.
-POSITIONS = 8_000_000
+POSITIONS = 6_000_000
+
+#: Rows that a task passes on at a time.
+ROWS = 50_000
 
 #: Phrases whose dense counts travel in one row.
 SEGMENT = 8192
@@ -152,7 +151,10 @@ def encoded(docs: DataFrame, shards: DataFrame) -> tuple[DataFrame, DataFrame]:
         size += own
         firsts.append((row["group"], row["shard"], first))
         first += row["n"]
-    lines = stage(encode(todo, spark.sparkContext.broadcast(part), True), "lines")
+    path = new_path(spark, "lines")
+    encode(todo, spark.sparkContext.broadcast(part), True).write.parquet(path)
+    # A row is a block of texts, so few rows make a batch.
+    lines = child_session(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": "2"}).read.parquet(path)
     firsts = spark.createDataFrame(firsts, "group string, shard bigint, first bigint")
     words = stored_keys(shards).join(firsts, ["group", "shard"])
     return lines, words.select((F.col("first") + F.col("slot")).alias("number"), F.col("group").alias("lang"), "term")
@@ -171,7 +173,7 @@ class DoubleArray:
         self.low, self.high = (int(node[0]), int(node[-1])) if len(node) else (1, 0)
         self.base = np.zeros(self.high - self.low + 1, np.int32)
         width = int(symbol.max()) + 1 if len(symbol) else 1
-        room = 4 * len(node) + 2 * width
+        room = 3 * len(node) + 2 * width
         self.owner = np.zeros(room + width, np.int32)
         self.number = np.zeros(room + width, np.int32)
         if not len(node):
@@ -250,9 +252,10 @@ class Trie:
 
 def lines_of(batch: pa.RecordBatch, level: int) -> Iterator[tuple[np.ndarray, ...]]:
     """Each row's words, its phrases of ``level`` words by the positions where they begin, and the words after them."""
-    for row in batch.to_pylist():
-        word = np.frombuffer(row["words"], np.int32)
-        phrase = word if level == 1 else np.frombuffer(row["phrases"], np.int32)
+    words, phrases = batch.column("words"), batch.column("phrases")
+    for row in range(batch.num_rows):
+        word = np.frombuffer(words[row].as_buffer(), np.int32)
+        phrase = word if level == 1 else np.frombuffer(phrases[row].as_buffer(), np.int32)
         after = np.zeros(len(word), np.int32)
         after[: max(len(word) - level, 0)] = word[level:]
         yield word, phrase, after
@@ -261,37 +264,41 @@ def lines_of(batch: pa.RecordBatch, level: int) -> Iterator[tuple[np.ndarray, ..
 def candidates(lines: DataFrame, level: int, least: int) -> DataFrame:
     """Apriori-safe candidates one word longer than the phrases of ``lines``: ``phrase, word``.
 
-    With ``n`` of all ``total`` positions a task keeps back a candidate it has at most ``unsaid * n
-    / total`` times. So all tasks together keep back at most ``unsaid`` occurrences of one.
+    They are those that stand in the text with a frequent phrase at either end, and ``least`` times so. A task
+    brings its positions together before it passes a candidate on.
     """
-    unsaid = least * UNSAID // 100
-    total = lines.agg(F.sum(F.octet_length("words") / 4)).first()[0]
-    total = int(total or 0) + 1
 
     def find(batches):
-        held, seen = [], 0
+        # One array for all keys, sorted where it lies.
+        keys, size = np.empty(POSITIONS, np.int64), 0
 
         def flush():
-            key, n = np.unique(np.concatenate(held), return_counts=True)
-            key, n = (x[n > unsaid * seen // total] for x in (key, n))
-            arrays = [pa.array((key >> 32).astype(np.int32)), pa.array((key & 0xFFFFFFFF).astype(np.int32)), pa.array(n)]
-            return pa.RecordBatch.from_arrays(arrays, names=["phrase", "word", "n"])
+            own = keys[:size]
+            own.sort()
+            first = np.flatnonzero(np.r_[True, own[1:] != own[:-1]]) if size else np.zeros(0, np.int64)
+            n = np.diff(np.r_[first, size])
+            for at in range(0, len(first), ROWS):
+                key = own[first[at : at + ROWS]]
+                arrays = [(key >> 32).astype(np.int32), (key & 0xFFFFFFFF).astype(np.int32), n[at : at + ROWS]]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], names=["phrase", "word", "n"])
 
         for batch in batches:
             for _, phrase, after in lines_of(batch, level):
                 # The last words of the candidate are the phrase that begins at the next position.
                 safe = np.flatnonzero((phrase[:-1] > 0) & (phrase[1:] > 0) & (after[:-1] > 0))
-                held.append(phrase[safe].astype(np.int64) << 32 | after[safe])
-                seen += len(phrase)
-                if seen >= POSITIONS:
-                    yield flush()
-                    held, seen = [], 0
-        if held:
-            yield flush()
+                for at in range(0, len(safe), POSITIONS):
+                    own = safe[at : at + POSITIONS]
+                    if size + len(own) > POSITIONS:
+                        yield from flush()
+                        size = 0
+                    keys[size : size + len(own)] = phrase[own].astype(np.int64) << 32 | after[own]
+                    size += len(own)
+        if size:
+            yield from flush()
 
     ship(lines.sparkSession)
     found = lines.mapInArrow(find, "phrase int, word int, n bigint")
-    found = found.groupBy("phrase", "word").agg(F.sum("n").alias("n")).filter(F.col("n") >= least - unsaid)
+    found = found.groupBy("phrase", "word").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
     return found.select("phrase", "word")
 
 
@@ -383,7 +390,7 @@ def advanced(lines: DataFrame, level: int, trie: Trie, first: int, last: bool) -
 
 def frequent_phrases(lines: DataFrame, words: DataFrame, least: int) -> DataFrame:
     """All phrases up to LONGEST words that occur ``least`` times: ``lang, words, terms, n``, single words among them."""
-    spark = lines.sparkSession
+    spark = words.sparkSession
     found = stage(
         words.select(
             F.col("number").cast("int").alias("number"), "lang", F.array(F.col("number").cast("int")).alias("words"),

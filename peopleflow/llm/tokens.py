@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text that are cut in one go; a longer text makes a block of its own.
-BLOCK_BYTES = 4_000_000
+BLOCK_BYTES = 2_000_000
 
 #: What a byte is to a word: part of it, a gap between words, or a border that phrases do not cross.
 PART, GAP, BORDER = 0, 1, 2
@@ -53,7 +53,7 @@ class Cut:
         self.words = pa.Array.from_buffers(pa.large_binary(), len(starts), buffers)
         sizes = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
         self.row = np.searchsorted(np.cumsum(sizes) - 1, starts, "right")
-        self.piece = np.cumsum(kind == BORDER)[starts] if len(starts) else starts
+        self.piece = np.cumsum(kind == BORDER, dtype=np.int32)[starts] if len(starts) else starts
 
     def encoded(self) -> tuple[np.ndarray, pa.Array]:
         """For each word its number among the distinct words, and these."""

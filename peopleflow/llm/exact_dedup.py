@@ -7,10 +7,11 @@ import hashlib
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from peopleflow.llm.common import documents, lower_ascii
+from peopleflow.llm.common import documents, lower_ascii, one_row_each, row_key
 from peopleflow.session import new_path, stage
 
-BUCKETS = 64
+#: Buckets of an index, at least, and texts of a bucket, about.
+BUCKETS, BUCKET_ROWS = 64, 1_000_000
 
 #: Groups with at least one row in so many are hot; there can be no more of them than this.
 HOT_SHARE = 200
@@ -24,13 +25,19 @@ class DigestIndex:
     """
 
     def __init__(self, spark: SparkSession, path: str, id_type: str = "bigint", buckets: int = BUCKETS) -> None:
-        self.spark, self.buckets = spark, buckets
+        self.spark, self.buckets, self.id_type = spark, buckets, id_type
         self.name = "digests_" + hashlib.sha256(path.encode()).hexdigest()[:16]
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {self.name} (digest BINARY, keep_id {id_type}) USING parquet "
             f"CLUSTERED BY (digest) SORTED BY (digest) INTO {buckets} BUCKETS LOCATION '{path}'"
         )
 
+    def compacted(self, path: str) -> DigestIndex:
+        """The same index in another folder, every bucket in one file again after many appends."""
+        other = DigestIndex(self.spark, path, self.id_type, self.buckets)
+        other.append(self.read())
+        return other
+
     def read(self) -> DataFrame:
         return self.spark.table(self.name)
 
@@ -80,27 +87,38 @@ class DigestIndex:
         )
 
 
+def buckets_for(docs: DataFrame) -> int:
+    """Buckets for an index of so many rows: a power of two, BUCKETS at least."""
+    rows, buckets = docs.count(), BUCKETS
+    while buckets * BUCKET_ROWS < rows:
+        buckets *= 2
+    return buckets
+
+
 def digest(text: Column) -> Column:
     """SHA-256 of a text with A-Z in lower case, as 32 bytes."""
     return F.unhex(F.sha2(lower_ascii(F.coalesce(text, F.lit(""))), 256))
 
 
 def distinct_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, one for each text, with all their columns."""
+    """The rows of ``docs`` that stay, one for each text, with all their columns.
+
+    Texts are equal as in `DigestIndex.add`, and the row with the largest id stays; a null id is
+    smallest. Of rows repeated with that id and text one stays. An empty table stays empty, and any
+    other columns are carried along.
+    """
     spark = docs.sparkSession
-    index = DigestIndex(spark, new_path(spark, "index"), docs.schema[doc_id].dataType.simpleString())
+    id_type = docs.schema[doc_id].dataType.simpleString()
+    index = DigestIndex(spark, new_path(spark, "index"), id_type, buckets_for(docs))
     kept = index.add(docs, doc_id, text).filter("kept")
-    kept = kept.select(F.col("doc_id").alias("__id"), F.unhex("text_sha256").alias("__digest")).distinct()
-    same = (F.col("__own_id").eqNullSafe(F.col("__id"))) & (F.col("__own") == F.col("__digest"))
-    rows = docs.withColumn("__own", digest(F.col(text))).withColumn("__own_id", F.col(doc_id))
-    rows = rows.join(kept.hint("merge"), same, "left_semi")
-    # Rows repeated with the same id and text leave one; they are already next to each other.
-    return rows.dropDuplicates(["__own_id", "__own"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    kept = kept.select(row_key(F.col("doc_id"), F.upper("text_sha256")))
+    return one_row_each(docs, row_key(F.col(f"`{doc_id}`"), F.hex(digest(F.col(f"`{text}`")))), kept)
 
 
 def op3_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """The group of equal texts of every document, against an empty index."""
-    return DigestIndex(spark, new_path(spark, "index")).add(documents(spark, folder))
+    docs = documents(spark, folder)
+    return DigestIndex(spark, new_path(spark, "index"), buckets=buckets_for(docs)).add(docs)
 
 
 OP3_SQL = """

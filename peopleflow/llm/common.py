@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import tempfile
 import zipfile
@@ -25,20 +27,61 @@ BATCH_ROWS = 1000
 SPACES = " \t\n\x0b\x0c\r"
 
 
-class Memo(dict):
-    """A dictionary that is emptied when it is full, so that a long run keeps its memory bounded."""
+class Memo:
+    """A dictionary of bounded size in two generations: when the young one is full it becomes the old one.
+
+    An entry that is asked for again moves back to the young one, so what is met often stays.
+    """
 
     def __init__(self, limit: int = MEMO_ENTRIES) -> None:
-        super().__init__()
-        self.limit = limit
+        self.half = max(1, limit // 2)
+        self.young: dict = {}
+        self.old: dict = {}
+
+    def get(self, key):
+        value = self.young.get(key)
+        if value is None and (value := self.old.get(key)) is not None:
+            self.put(key, value)
+        return value
 
     def put(self, key, value):
-        if len(self) >= self.limit:
-            self.clear()
-        self[key] = value
+        if len(self.young) >= self.half:
+            self.young, self.old = {}, self.young
+        self.young[key] = value
         return value
 
 
+_held: dict[str, dict] = {}
+
+
+def held_for(owner: str, key, make: Callable):
+    """What an operator keeps in a worker from task to task; what other operators kept there goes."""
+    let_go(owner)
+    own = _held.setdefault(owner, {})
+    if key not in own:
+        give_back()
+        own[key] = make()
+    return own[key]
+
+
+def let_go(but: str = "") -> None:
+    """Free what operators keep in this worker, so that the next one has the memory."""
+    others = [owner for owner in _held if owner != but]
+    for owner in others:
+        del _held[owner]
+    if others:
+        give_back()
+
+
+def give_back() -> None:
+    """Return freed memory to the machine, where the C library can; it would keep it for this worker."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 _shipped: set[str] = set()
 
 

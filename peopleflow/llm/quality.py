@@ -114,7 +114,10 @@ def quality_report(df: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
 
 
 def clean_lines(text: Column) -> Column:
-    """A text without its failing lines; blank lines stay."""
+    """A text without its failing lines; blank lines stay. Null stays null, and empty texts stay empty.
+
+    A line is judged by itself, so repeated lines stay or go together; a row is judged by itself too.
+    """
     lines = F.filter(F.split(text, "\n"), lambda x: ~x.rlike(WORD) | ~line_fails(x))
     return F.array_join(lines, "\n")
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import re
 import zlib
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -13,13 +12,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from peopleflow.llm.common import MEMO_ENTRIES, add_columns, as_list, cut_to, documents, ship
+from peopleflow.llm.common import add_columns, as_list, cut_to, documents, held_for, ship
 from peopleflow.session import stage
 
-#: Symbols: 0 for the border of a word, 1 to 26 for a to z, the rest for other letters.
-SYMBOLS = 32
+#: Symbols: 0 for the border of a word, and the letters themselves below U+1000, which holds the Latin,
+#: Greek, Cyrillic, Hebrew, Arabic and Indic ones; letters further up share symbols with others.
+SYMBOLS = 4096
 
-#: Symbols in an n-gram. There are at most SYMBOLS ** ORDER n-grams, 33.5 million, however large the corpus.
+#: Symbols in an n-gram; a number of 60 bits.
 ORDER = 5
 
 #: Word scores from which a word counts as marked, for the features of a document.
@@ -40,19 +40,15 @@ FEW_KINDS = 20
 
 THRESHOLD = 0.7
 
+#: Words whose scores a worker remembers; more are worked out again.
+KNOWN_WORDS = 100_000
+
 #: Texts whose new words are scored in one go.
 BLOCK = 1000
 
 _words = re.compile(r"[^\W\d_]+").findall
 
 
-@lru_cache(maxsize=1)
-def letters() -> np.ndarray:
-    """The symbol of each letter of the basic plane."""
-    point = np.arange(65536)
-    return np.where((point >= 97) & (point <= 122), point - 96, 27 + point % 5).astype(np.int32)
-
-
 def words(text: str) -> list[str]:
     """The lower-cased words of a text, letters only."""
     return _words(text.lower())
@@ -65,7 +61,7 @@ def ngrams(found: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """
     pad = "\0" * (ORDER - 1)
     points = np.frombuffer((pad + pad.join(found) + pad).encode("utf-32-le", "replace"), "<u4")
-    symbol = np.where(points > 0, letters()[np.minimum(points, 65535)], 0).astype(np.int64)
+    symbol = np.where(points < SYMBOLS, points, 1 + points % (SYMBOLS - 1)).astype(np.int64)
     key = np.zeros(max(len(symbol) - ORDER + 1, 0), np.int64)
     for k in range(ORDER):
         key = key * SYMBOLS + symbol[k : k + len(key)]
@@ -94,16 +90,17 @@ def count_ngrams(rows: DataFrame, text: str, label: str, part: str) -> DataFrame
 
     def count(batches):
         for batch in batches:
-            keys, classes = [np.zeros(0, np.int64)], batch.column(1).to_pylist()
+            keys, classes = [np.zeros(0, np.uint64)], batch.column(1).to_pylist()
             for value, kind in zip(as_list(batch.column(0)), classes):
                 if found := words(value):
-                    keys.append(ngrams(found)[0] * 2 * PARTS + kind)
+                    keys.append(ngrams(found)[0].astype(np.uint64) << np.uint64(4) | np.uint64(kind))
             found, n = np.unique(np.concatenate(keys), return_counts=True)
-            toxic = found % 2 == 1
+            kinds = (found & np.uint64(15)).astype(np.int32)
+            toxic = kinds % 2 == 1
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array((found // (2 * PARTS)).astype(np.int32)),
-                    pa.array((found // 2 % PARTS).astype(np.int32)),
+                    pa.array((found >> np.uint64(4)).astype(np.int64)),
+                    pa.array(kinds // 2),
                     pa.array(np.where(toxic, 0, n)),
                     pa.array(np.where(toxic, n, 0)),
                 ],
@@ -113,7 +110,7 @@ def count_ngrams(rows: DataFrame, text: str, label: str, part: str) -> DataFrame
     ship(rows.sparkSession)
     kind = F.col(part) * 2 + F.when(F.col(label) > 0, 1).otherwise(0)
     counted = rows.select(text, kind.alias("kind"))
-    counted = counted.mapInArrow(count, "ngram int, part int, ordinary bigint, toxic bigint")
+    counted = counted.mapInArrow(count, "ngram bigint, part int, ordinary bigint, toxic bigint")
     return counted.groupBy("ngram", "part").agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic"))
 
 
@@ -161,7 +158,7 @@ class Ratios:
     def shared(self, longer: np.ndarray, order: int) -> np.ndarray:
         """The shared probability of the last symbol of each of ``longer``, by its last ``order`` symbols."""
         if not order:
-            return np.full(len(longer), 1 / SYMBOLS)
+            return np.full(len(longer), 1 / len(np.unique(longer % SYMBOLS)))
         keys, at, places = np.unique(longer % SYMBOLS**order, return_inverse=True, return_counts=True)
         return kneser_ney(keys, places, self.shared(keys, order - 1))[0][at]
 
@@ -188,7 +185,7 @@ class Reader:
 
     def features(self, texts: list[str]) -> np.ndarray:
         """A row of features for each text; texts without words give zeros."""
-        if len(self.known) > MEMO_ENTRIES:
+        if len(self.known) > KNOWN_WORDS:
             self.known.clear()
         cut = [words(text) for text in texts]
         new = list({w for found in cut for w in found}.difference(self.known))
@@ -239,15 +236,13 @@ class Scorer:
         return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-_readers: dict[int, tuple[object, Reader]] = {}
-
-
 def reader(held) -> Reader:
     """The worker's reader for a broadcast model; a new model replaces the one before."""
     model = held.value
-    if _readers.get(0, (None, None))[0] is not model:
-        _readers[0] = model, Reader(getattr(model, "ratios", model))
-    return _readers[0][1]
+    kept = held_for("toxicity", "reader", list)
+    if not kept or kept[0] is not model:
+        kept[:] = model, Reader(getattr(model, "ratios", model))
+    return kept[1]
 
 
 def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Scorer:
@@ -256,7 +251,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     N-grams are counted over all of these rows, in PARTS. The few final weights are fitted on rows
     of every part, CALIBRATION_ROWS of each class at most, with features by the counts of the other parts, which
     have not seen them; the model that scores has the counts of all parts. Rows without a label are
-    not learned from; rows repeated with the same id and text weigh once in the fit; of several labels of a document the largest counts.
+    not learned from; with an empty table, or one class alone, every score is one half; rows repeated with the same id and text weigh once in the fit; of several labels of a document the largest counts.
     """
     marks = labels.groupBy(F.col(doc_id).alias("__id")).agg(F.max("toxic").alias("__toxic"))
     marks = marks.filter("__toxic IS NOT NULL")
@@ -266,9 +261,9 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     rows = rows.join(marks.hint("merge"), F.col(doc_id) == F.col("__id"))
     order = F.xxhash64(F.col(doc_id).cast("string"), F.col(text)).alias("__order")
     rows = stage(rows.select(F.col(text).alias("text"), "__toxic", order, learned_part(doc_id).alias("part")), "labelled")
-    table = count_ngrams(rows, "text", "__toxic", "part").toPandas()
-    keys, at = np.unique(table["ngram"].to_numpy(np.int64), return_inverse=True)
-    part, *counts = (table[c].to_numpy(np.int64) for c in ("part", "ordinary", "toxic"))
+    table = count_ngrams(rows, "text", "__toxic", "part").toArrow()
+    keys, at = np.unique(table["ngram"].to_numpy(), return_inverse=True)
+    part, *counts = (table[c].to_numpy().astype(np.int64) for c in ("part", "ordinary", "toxic"))
 
     def ratios(chosen: np.ndarray) -> Ratios:
         ordinary, toxic = (np.bincount(at[chosen], c[chosen], len(keys)).astype(np.int64) for c in counts)
@@ -295,13 +290,18 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
         held = rows.sparkSession.sparkContext.broadcast(ratios(part != k))
         own = add_columns(rows.filter(chosen & (F.col("part") == k)), "text", fields, features(held))
         sample.append(own.select("__order", *names, "__toxic").distinct().toPandas())
+        held.unpersist()
     sample = pd.concat(sample).sort_values(["__order", *names])
     marked = (sample["__toxic"].to_numpy(np.int64) > 0).astype(float)
     return Scorer(ratios(part >= 0), sample[names].to_numpy(float), marked)
 
 
 def score(df: DataFrame, model: Scorer, text: str = "text", out: str = "score") -> DataFrame:
-    """Add the score, from 0 to 1, of every row's whole text; null and empty texts count as no letters."""
+    """Add the score, from 0 to 1, of every row's whole text; null and empty texts count as no letters.
+
+    Rows are independent, so repeated ones get equal scores, and an empty table stays empty. A column
+    named like ``out`` is replaced, all others are carried along.
+    """
     held = df.sparkSession.sparkContext.broadcast(model)
 
     def make(columns):

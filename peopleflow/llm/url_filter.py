@@ -24,6 +24,9 @@ ORDER = 4
 #: Of the accepted URLs the method may reject so many hundredths.
 FALSE_BLOCKS = 1
 
+#: One part in so many of the examples is kept from the models when the threshold is chosen.
+HELD_OUT = 5
+
 #: Bins a unit of the score is cut into when the threshold is chosen.
 BINS = 100
 
@@ -117,13 +120,29 @@ def count_ngrams(rows: DataFrame, text: str, label: str) -> DataFrame:
     return parts.groupBy("ngram").agg(F.sum("accepted").alias("accepted"), F.sum("rejected").alias("rejected"))
 
 
+def counted(examples: DataFrame) -> np.ndarray:
+    """Counts of all n-grams in accepted and in rejected examples."""
+    table = count_ngrams(examples, "__subject", "__mark").toPandas()
+    counts = np.zeros((2, SYMBOLS**ORDER), np.int64)
+    counts[0, table["ngram"]], counts[1, table["ngram"]] = table["accepted"], table["rejected"]
+    return counts
+
+
+def log_ratios(counts: np.ndarray) -> np.ndarray:
+    """For each n-gram the log of its chance in rejected over that in accepted URLs, 0 without both kinds."""
+    if not counts.any(1).all():
+        return np.zeros(SYMBOLS**ORDER, np.float32)
+    return (markov(counts[1]) - markov(counts[0])).astype(np.float32)
+
+
 def judge_urls(df: DataFrame, url: str = "url", rules: Sequence[tuple[str, str]] = RULES) -> DataFrame:
     """Add ``host, path, rule, verdict`` to rows with a URL; columns with these names are replaced.
 
     URLs that a rule fits are the accepted and rejected examples; all of them are counted. The score
     of a URL is the mean, over its symbols, of the log of the symbol's chance in rejected over that
     in accepted URLs. The threshold is the smallest that rejects at most FALSE_BLOCKS hundredths of
-    the accepted examples. A URL that no rule fits is blocked if it scores above. Without examples of
+    the accepted examples of a part of one in HELD_OUT, by a hash of what the models read, and
+    is found with models of the other parts; then all are counted. A URL that no rule fits is blocked if it scores above. Without examples of
     both kinds, and for null, empty and other texts without ``://``, the verdict is allow. Repeated
     rows get equal verdicts; an empty table stays empty.
     """
@@ -135,22 +154,22 @@ def judge_urls(df: DataFrame, url: str = "url", rules: Sequence[tuple[str, str]]
     examples = rows.filter("__rule IS NOT NULL").select(
         "__subject", F.when(F.col("__rule.verdict") == "block", 1).otherwise(0).alias("__mark")
     )
-    table = count_ngrams(examples, "__subject", "__mark").toPandas()
-    counts = np.zeros((2, SYMBOLS**ORDER), np.int64)
-    counts[0, table["ngram"]], counts[1, table["ngram"]] = table["accepted"], table["rejected"]
-    both = bool(counts[0].any() and counts[1].any())
-    ratios = markov(counts[1]) - markov(counts[0]) if both else np.zeros(SYMBOLS**ORDER)
-    held = df.sparkSession.sparkContext.broadcast(ratios.astype(np.float32))
+    held_out = F.pmod(F.xxhash64("__subject"), F.lit(HELD_OUT)) == 0
+    counts = [counted(examples.filter(own)) for own in (~held_out, held_out)]
+
+    def scored(part: DataFrame, counts: np.ndarray) -> DataFrame:
+        held = df.sparkSession.sparkContext.broadcast(log_ratios(counts))
 
-    def make(columns):
-        for column in columns:
-            yield [pa.array([float(held.value[ngrams(x)].mean()) for x in as_list(column)], pa.float64())]
+        def make(columns):
+            for column in columns:
+                yield [pa.array([float(held.value[ngrams(x)].mean()) for x in as_list(column)], pa.float64())]
 
-    def scored(part: DataFrame) -> DataFrame:
         return add_columns(part, "__subject", [T.StructField("__score", T.DoubleType())], make)
 
+    both = bool(counts[0].any(1).all())
     # A histogram has at most some thousand rows, whatever the number of URLs.
-    accepted = scored(examples.filter("__mark = 0")).groupBy(F.ceil(F.col("__score") * BINS).alias("bin"))
+    unseen = scored(examples.filter("__mark = 0").filter(held_out), counts[0])
+    accepted = unseen.groupBy(F.ceil(F.col("__score") * BINS).alias("bin"))
     threshold, spent = np.inf, 0
     if both:
         bins = sorted(((r["bin"], r["count"]) for r in accepted.count().collect()), reverse=True)
@@ -159,8 +178,9 @@ def judge_urls(df: DataFrame, url: str = "url", rules: Sequence[tuple[str, str]]
             threshold, spent = edge / BINS, spent + n
             if spent > allowed:
                 break
-    own = F.when(F.col("__score") > F.lit(float(threshold)), "block").otherwise("allow")
-    return scored(rows).select(
+    judged = F.contains(F.coalesce(F.col(url), F.lit("")), F.lit("://")) & (F.col("__score") > F.lit(float(threshold)))
+    own = F.when(judged, "block").otherwise("allow")
+    return scored(rows, counts[0] + counts[1]).select(
         *rows.columns[:-2],
         F.col("__rule.rule").alias("rule"),
         F.coalesce(F.col("__rule.verdict"), own).alias("verdict"),

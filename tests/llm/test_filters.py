@@ -5,8 +5,9 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from peopleflow.llm import toxicity
+from peopleflow.llm import toxicity, url_filter
 from peopleflow.llm.quality import clean_lines, quality_report
 from peopleflow.llm.secret_scan import find_secrets, mask, op4_secret_scan, scan
 from peopleflow.llm.url_filter import judge_urls
@@ -226,6 +227,29 @@ def test_toxicity_without_labels_or_words(spark):
     assert {r.score for r in toxicity.score(docs, model).collect()} == {0.5}
 
 
+def test_letters_and_words_of_other_scripts_are_told_apart():
+    def key(word):
+        return toxicity.ngrams([word])[0].tolist()
+
+    words = ["а", "е", "к", "ю", "ä", "ß", "бв", "жз", "ب", "ת", "α", "ε"]
+    assert len({tuple(key(w)) for w in words}) == len(words)
+    assert all(0 <= k < toxicity.SYMBOLS**toxicity.ORDER for w in [*words, "漢字", "𝒜𝒷"] for k in key(w))
+
+
+def test_scores_of_long_repeated_and_clashing_rows(spark):
+    ids = [i for i in range(400) if not toxicity.held_out(i)]
+    rows = [(i, f"garden flowers {'grobnik' if n % 2 else 'meadow'} {n}", "x") for n, i in enumerate(ids)]
+    marks = spark.createDataFrame([(i, n % 2) for n, i in enumerate(ids)], "doc_id long, toxic int")
+    clash = "*, 'a' AS part, 'b' AS `__toxic`, 'c' AS `__id`, 'd' AS score, 'e' AS f0, 'f' AS source, 'g' AS toxic"
+    model = toxicity.fit(spark.createDataFrame(rows, DOCS).selectExpr(*clash.split(", ")), marks)
+    odd = [(1, "grobnik " * 50_000, "x"), (1, "grobnik " * 50_000, "x"), (2, "meadow " * 50_000 + "z" * 99_999, "x"), (None, None, "x")]
+    found = toxicity.score(spark.createDataFrame(odd, DOCS).selectExpr(*clash.split(", ")), model)
+    assert sorted(found.columns) == sorted(["doc_id", "text", "kept", "part", "__toxic", "__id", "score", "f0", "source", "toxic"])
+    scores = [(r.doc_id, r.score) for r in found.collect()]
+    assert scores[0] == scores[1] and scores[0][1] > 0.7 > scores[2][1]
+    assert toxicity.score(found.limit(0), model).count() == 0
+
+
 def test_words_of_both_learned_folds_are_counted(spark):
     ids = {k: [i for i in range(300) if toxicity.zlib.crc32(str(i).encode()) % 3 == k][:40] for k in (0, 2)}
     rows, marks = [], []
@@ -258,3 +282,75 @@ def test_copies_do_not_crowd_out_the_calibration(spark, monkeypatch):
     wanted = spark.createDataFrame([(1, "flowers grobnik", "x"), (2, "flowers meadow", "x")], DOCS)
     scores = {r.doc_id: r.score for r in toxicity.score(wanted, model).collect()}
     assert scores[1] > 0.7 > 0.5 > scores[2]
+
+
+def brute_urls(urls):
+    """Witten-Bell models by dictionaries of contexts, the threshold from the part held out, and the verdicts."""
+    from collections import Counter, defaultdict
+
+    symbol = {c: k + 1 for k, c in enumerate("abcdefghijklmnopqrstuvwxyz")} | {".": 28, "-": 29, "/": 30}
+    symbol |= dict.fromkeys("0123456789", 27)
+
+    def grams(text):
+        line = [0, 0, 0] + [symbol.get(chr(b).lower() if b < 128 else "", 31) for b in text.encode()] + [0]
+        return [tuple(line[k : k + 4]) for k in range(len(line) - 3)]
+
+    def model(texts):
+        seen = [defaultdict(Counter) for _ in range(4)]
+        for g in (g for t in texts for g in grams(t)):
+            for order in range(4):
+                seen[order][g[3 - order : 3]][g[3]] += 1
+
+        def chance(g):
+            p = 1 / 32
+            for order in range(4):
+                own = seen[order].get(g[3 - order : 3])
+                if own:
+                    p = (own[g[3]] + len(own) * p) / (sum(own.values()) + len(own))
+            return p
+
+        return chance
+
+    def scorer(accepted, rejected):
+        good, bad = model(accepted), model(rejected)
+        return lambda t: np.mean([np.log(bad(g)) - np.log(good(g)) for g in grams(t)])
+
+    return scorer
+
+
+def test_url_scores_equal_plain_models(spark):
+    r = np.random.default_rng(9)
+    urls = []
+    for _ in range(400):
+        tail = str(r.choice([".net", ".example.net/en", ".example.com/de", ".org/fr", ".com", ".info"]))
+        bad = tail in (".net", ".example.com/de") or tail in (".com", ".info") and r.random() < 0.5
+        own = ["casino", "x_9", "win-777"] if bad else ["Garden", "Ünï", "news"]
+        urls.append(f"http://{'.'.join(r.choice(own, 2))}{tail}/{'/'.join(r.choice(own + ['shop'], 2))}")
+    urls += urls[:60]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    parts = pages.withColumn("host", url_filter.host_of(F.col("url"))).withColumn("path", url_filter.path_of(F.col("url")))
+    parts = parts.withColumn("own", url_filter.subject(F.col("host"), F.col("path")))
+    rule = url_filter.rule_for(F.col("host"), F.col("path"), url_filter.RULES)
+    part = F.pmod(F.xxhash64("own"), F.lit(url_filter.HELD_OUT)).alias("part")
+    rows = parts.select("page_id", "own", rule["verdict"].alias("rule"), part).collect()
+    scorer = brute_urls(urls)
+    own = {k: [x.own for x in rows if x.rule == k and x.part != 0] for k in ("allow", "block")}
+    early = scorer(own["allow"], own["block"])
+    bins = sorted((int(np.ceil(early(x.own) * url_filter.BINS)) for x in rows if x.rule == "allow" and x.part == 0), reverse=True)
+    threshold = next((b for k, b in enumerate(bins) if sum(y >= b for y in bins) > len(bins) / 100), bins[-1]) / url_filter.BINS
+    late = scorer(*([x.own for x in rows if x.rule == k] for k in ("allow", "block")))
+    found = {x.page_id: x.verdict for x in judge_urls(pages).collect()}
+    for x in rows:
+        if x.rule:
+            assert found[x.page_id] == x.rule
+        elif abs(late(x.own) - threshold) > 1e-4:
+            assert found[x.page_id] == ("block" if late(x.own) > threshold else "allow")
+    assert {found[x.page_id] for x in rows if not x.rule} == {"allow", "block"}
+    assert all(found[k] == found[400 + k] for k in range(60))
+
+
+def test_long_and_odd_urls(spark):
+    urls = ["http://x.net/" + "a" * 100_000, "http://" + "ü" * 5000 + ".org/fr/ß", "://", "http://[::1]/%00?x", " ", "http://x.net/" + "a" * 100_000]
+    rows = {r.page_id: r for r in judge_urls(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")).collect()}
+    assert rows[0].verdict == "block" and len(rows[0].path) == 100_001 and rows[5].rule == "net/"
+    assert rows[1].rule == "org/fr/" and (rows[2].host, rows[2].path) == ("", "") and rows[3].path == "/%00" and rows[4].verdict == "allow"

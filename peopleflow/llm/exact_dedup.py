@@ -25,7 +25,7 @@ class DigestIndex:
     """
 
     def __init__(self, spark: SparkSession, path: str, id_type: str = "bigint", buckets: int = BUCKETS) -> None:
-        self.spark, self.buckets, self.id_type = spark, buckets, id_type
+        self.spark, self.path, self.buckets, self.id_type = spark, path, buckets, id_type
         self.name = "digests_" + hashlib.sha256(path.encode()).hexdigest()[:16]
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {self.name} (digest BINARY, keep_id {id_type}) USING parquet "
@@ -35,7 +35,7 @@ class DigestIndex:
     def compacted(self, path: str) -> DigestIndex:
         """The same index in another folder, every bucket in one file again after many appends."""
         other = DigestIndex(self.spark, path, self.id_type, self.buckets)
-        other.append(self.read())
+        other.append(self.spark.read.parquet(self.path))
         return other
 
     def read(self) -> DataFrame:

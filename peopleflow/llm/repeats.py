@@ -19,6 +19,8 @@ from __future__ import annotations
 
 import hashlib
 import zlib
+from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -35,8 +37,11 @@ from peopleflow.session import stage
 LENGTH = 100
 K_GRAM = 32
 
-#: Bits of a filter of hashes. It is 32 MB however many there are; where it is full it only lets more through.
-FILTER_BITS, SEGMENT_BITS = 28, 6
+#: Bits of a filter for each hash, the logarithm of those of the largest filter (32 MB), and that of its segments.
+BITS_EACH, FILTER_BITS, SEGMENT_BITS = 16, 28, 6
+
+#: Bytes of phrases whose strings are put in order together, and strings that are compared at a time.
+ORDERED, COMPARED = 1_000_000, 100_000
 
 #: Distinct phrases of a trigger from which their strings are dealt one by one.
 HOT = 5000
@@ -107,10 +112,13 @@ def places(start: np.ndarray, many: np.ndarray, mark: int) -> np.ndarray:
     return mark << STARTS + STRINGS | start << STRINGS | (many - 1)
 
 
-def ranges(place: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The mark, first byte and end of what phrases cover."""
-    start = place >> STRINGS & (1 << STARTS) - 1
-    return place >> STARTS + STRINGS, start, start + (place & (1 << STRINGS) - 1) + length
+def as_ranges(places: DataFrame, length: int) -> DataFrame:
+    """``doc, digest, mark, start, end``: the bytes that phrases at ``doc, digest, place`` cover."""
+    place = F.col("place")
+    start = F.shiftright(place, STRINGS).bitwiseAND(F.lit((1 << STARTS) - 1))
+    end = start + place.bitwiseAND(F.lit((1 << STRINGS) - 1)) + length
+    mark = F.shiftright(place, STARTS + STRINGS)
+    return places.select("doc", "digest", mark.alias("mark"), start.alias("start"), end.alias("end"))
 
 
 def place_hash(doc: np.ndarray, digest: np.ndarray, place: np.ndarray) -> np.ndarray:
@@ -119,51 +127,75 @@ def place_hash(doc: np.ndarray, digest: np.ndarray, place: np.ndarray) -> np.nda
 
 
 class Filter:
-    """A set of 64-bit hashes as bits; it may hold more than it was given, never less."""
+    """A set of 64-bit hashes as bits; it may hold more than it was given, never less.
+
+    Of several filters that share a set, each knows the hashes of one part only.
+    """
 
-    def __init__(self, bits: np.ndarray) -> None:
-        self.bits = bits
+    def __init__(self, bits: np.ndarray, part: int = 0, parts: int = 1) -> None:
+        self.bits, self.part, self.parts = bits, part, parts
+        self.log = (8 * len(bits)).bit_length() - 1
 
     def holds(self, found: np.ndarray) -> np.ndarray:
-        at = mix(found) >> np.uint64(64 - FILTER_BITS)
-        return (self.bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 > 0
+        mixed = mix(found)
+        at = mixed >> np.uint64(64 - self.log)
+        held = (self.bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 > 0
+        return held & (mixed % np.uint64(self.parts) == self.part) if self.parts > 1 else held
 
 
-def make_filter(found: DataFrame, column: str) -> Broadcast:
-    """A filter of a column of hashes: every segment of its bits is made in one task, and sent packed.
+def make_filters(found: DataFrame, column: str) -> Iterator[Broadcast]:
+    """Filters of a column of hashes, a written table, one after the other; each is released before the next.
 
-    Hashes are mixed again, since triggers are minima and so crowd among the small numbers.
+    A filter has BITS_EACH bits or more for each of its hashes, and at most 2 ** FILTER_BITS: where more are
+    needed, there are more filters. Every segment of bits is made in one task, and sent packed. Hashes are
+    mixed again, since triggers are minima and so crowd among the small numbers.
     """
-    size = 1 << FILTER_BITS - SEGMENT_BITS
-
-    def bits(batches):
-        for batch in batches:
-            at = mix(batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)) >> np.uint64(64 - FILTER_BITS)
-            segments = (at >> np.uint64(FILTER_BITS - SEGMENT_BITS)).astype(np.int64)
-            for segment in np.unique(segments).tolist():
-                own = np.zeros(size, bool)
-                own[(at[segments == segment] & np.uint64(size - 1)).astype(np.int64)] = True
-                packed = zlib.compress(np.packbits(own, bitorder="little").tobytes(), 1)
-                yield pa.RecordBatch.from_arrays([pa.array([segment]), pa.array([packed])], names=["segment", "bits"])
-
-    def join(batches):
-        for table in runs(batches, ["segment"]):
-            own = np.zeros(size // 8, np.uint8)
-            for packed in table["bits"].to_pylist():
-                own |= np.frombuffer(zlib.decompress(packed), np.uint8)
-            packed = zlib.compress(own.tobytes(), 1)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([table["segment"][0].as_py()]), pa.array([packed])], names=["segment", "bits"]
-            )
-
+    needed = max(1, BITS_EACH * found.count())
+    log = min(max((needed - 1).bit_length(), SEGMENT_BITS + 3), FILTER_BITS)
+    parts = -(-needed // (1 << FILTER_BITS))
+    size = 1 << log - SEGMENT_BITS
     spark, schema = found.sparkSession, "segment bigint, bits binary"
     ship(spark)
-    rows = found.select(column).mapInArrow(bits, schema)
-    rows = rows.repartition(1 << SEGMENT_BITS, "segment").sortWithinPartitions("segment").mapInArrow(join, schema)
-    whole = np.zeros((1 << SEGMENT_BITS, size // 8), np.uint8)
-    for row in rows.toLocalIterator():
-        whole[row["segment"]] = np.frombuffer(zlib.decompress(row["bits"]), np.uint8)
-    return spark.sparkContext.broadcast(whole.ravel())
+
+    def one(part: int) -> Filter:
+        def bits(batches):
+            for batch in batches:
+                mixed = mix(batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64))
+                at = mixed[mixed % np.uint64(parts) == part] >> np.uint64(64 - log)
+                segments = (at >> np.uint64(log - SEGMENT_BITS)).astype(np.int64)
+                for segment in np.unique(segments).tolist():
+                    own = np.zeros(size, bool)
+                    own[(at[segments == segment] & np.uint64(size - 1)).astype(np.int64)] = True
+                    packed = zlib.compress(np.packbits(own, bitorder="little").tobytes(), 1)
+                    arrays = [pa.array([segment]), pa.array([packed])]
+                    yield pa.RecordBatch.from_arrays(arrays, names=["segment", "bits"])
+
+        def join(batches):
+            for table in runs(batches, ["segment"]):
+                own = np.zeros(size // 8, np.uint8)
+                for packed in table["bits"].to_pylist():
+                    own |= np.frombuffer(zlib.decompress(packed), np.uint8)
+                packed = zlib.compress(own.tobytes(), 1)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([table["segment"][0].as_py()]), pa.array([packed])], names=["segment", "bits"]
+                )
+
+        rows = found.select(column).mapInArrow(bits, schema)
+        rows = rows.repartition(1 << SEGMENT_BITS, "segment").sortWithinPartitions("segment").mapInArrow(join, schema)
+        whole = np.zeros((1 << SEGMENT_BITS, size // 8), np.uint8)
+        for row in rows.toLocalIterator():
+            whole[row["segment"]] = np.frombuffer(zlib.decompress(row["bits"]), np.uint8)
+        return Filter(whole.ravel(), part, parts)
+
+    for part in range(parts):
+        held = spark.sparkContext.broadcast(one(part))
+        yield held
+        held.unpersist()
+
+
+def any_filter(found: DataFrame, column: str) -> Broadcast:
+    """One filter of at most 2 ** FILTER_BITS, for uses where holding too much only costs time."""
+    return next(make_filters(found, column))
 
 
 def parsed(batch: pa.RecordBatch, length: int, shared: Broadcast | None = None):
@@ -172,7 +204,7 @@ def parsed(batch: pa.RecordBatch, length: int, shared: Broadcast | None = None):
     The digest is 0 where ``shared``, a filter of the ids of several texts, does not hold the id.
     """
     docs = batch.column(0).to_numpy(zero_copy_only=False)
-    told = np.zeros(len(docs), bool) if shared is None else Filter(shared.value).holds(docs.view(np.uint64))
+    told = np.zeros(len(docs), bool) if shared is None else shared.value.holds(docs.view(np.uint64))
     for doc, apart, data in zip(docs.tolist(), told.tolist(), batch.column(1)):
         held = data.as_buffer() if data.is_valid else b""
         if len(held) >= length:
@@ -180,12 +212,6 @@ def parsed(batch: pa.RecordBatch, length: int, shared: Broadcast | None = None):
             yield array, doc, text_digest(held) if apart else 0, text_mark(held), parse(array, length)
 
 
-def out_ranges(doc, digest, place, length: int) -> pa.RecordBatch:
-    mark, start, end = ranges(np.asarray(place, np.int64), length)
-    arrays = [pa.array(np.asarray(x, np.int64)) for x in (doc, digest, mark, start, end)]
-    return pa.RecordBatch.from_arrays(arrays, names=["doc", "digest", "mark", "start", "end"])
-
-
 def behind(new: np.ndarray, *at: np.ndarray) -> np.ndarray:
     """Which rows of sorted groups, begun where ``new``, are elsewhere than the first of their group."""
     first = np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
@@ -214,7 +240,7 @@ def occurrences(texts: DataFrame, wanted: Broadcast, shared: Broadcast | None, l
         for batch in batches:
             rows = [(*(np.zeros(0, np.uint64),) * 2, *(np.zeros(0, np.int64),) * 3)]
             for _, doc, digest, mark, (trigger, phrase, start, many) in parsed(batch, length, shared):
-                ok = Filter(wanted.value).holds(trigger)
+                ok = wanted.value.holds(trigger)
                 own = places(start[ok], many[ok], mark)
                 text = (np.full(len(own), x, np.int64) for x in (doc, digest))
                 rows.append((trigger[ok], phrase[ok], *text, own))
@@ -232,28 +258,71 @@ def occurrences(texts: DataFrame, wanted: Broadcast, shared: Broadcast | None, l
     return stage(texts.mapInArrow(find, schema), "phrases")
 
 
-def suffix_repeats(phrases: list[bytes], doc: np.ndarray, digest: np.ndarray, place: np.ndarray, length: int):
+def classes(data: np.ndarray, begin: np.ndarray, length: int) -> np.ndarray:
+    """A number for each string of ``length`` bytes that begins at ``begin``; equal strings have equal ones.
+
+    By hash first; then each string is compared with the first of its class, byte by byte, and those of
+    a class that are not all equal are sorted as bytes.
+    """
+    strings = np.lib.stride_tricks.sliding_window_view(data, length)
+    _, first, kind = np.unique(hashes(data, begin, begin + length), return_index=True, return_inverse=True)
+    for at in range(0, len(begin), COMPARED):
+        own = slice(at, at + COMPARED)
+        same = (strings[begin[own]] == strings[begin[first[kind[own]]]]).all(1)
+        if not same.all():
+            void = np.ascontiguousarray(strings[begin]).view(f"V{length}").ravel()
+            return np.unique(void, return_inverse=True)[1]
+    return kind
+
+
+def suffix_repeats(
+    data: np.ndarray, begin: np.ndarray, doc: np.ndarray, digest: np.ndarray, place: np.ndarray, length: int
+):
     """Strings of different phrases that are no first occurrence: ids, digests and places of one string each.
 
-    All strings are sorted; the neighbours that are equal form a class, and its first in the order of
-    the parse stays.
+    The phrases lie in ``data`` from ``begin`` on, those of whole bins together. Strings that are equal form a
+    class, and its first in the order of the parse stays.
     """
     start = place >> STRINGS
     many = (place & (1 << STRINGS) - 1) + 1
-    data = np.frombuffer(b"".join(phrases), np.uint8)
-    begin = np.cumsum([0, *map(len, phrases)])[:-1]
-    owner = np.repeat(np.arange(len(phrases)), many)
+    owner = np.repeat(np.arange(len(begin)), many)
     offset = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-    suffix = np.lib.stride_tricks.sliding_window_view(data, length)[begin[owner] + offset]
-    suffix = np.ascontiguousarray(suffix).view(f"V{length}").ravel()
+    kind = classes(data, begin[owner] + offset, length)
+    # Only strings that are met again matter.
+    again = np.flatnonzero((np.bincount(kind) > 1)[kind])
+    owner, offset, kind = owner[again], offset[again], kind[again]
     own = doc[owner], digest[owner], start[owner] + offset << STRINGS
-    _, kind = np.unique(suffix, return_inverse=True)
     order = np.lexsort((*own[::-1], kind))
     kind, *own = (x[order] for x in (kind, *own))
-    later = behind(np.r_[True, kind[1:] != kind[:-1]], *own)
+    later = behind(np.r_[True, kind[1:] != kind[:-1]][: len(kind)], *own)
     return tuple(x[later] for x in own)
 
 
+def whole_bins(batches) -> Iterator[pa.Table]:
+    """Tables of about ORDERED bytes of phrases from a partition sorted by ``bin``, each of whole bins."""
+    held, size = [], 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        bins = batch.column("bin").to_numpy(zero_copy_only=False)
+        ends = np.frombuffer(batch.column("phrase").buffers()[1], np.int32)[batch.column("phrase").offset :]
+        borders = np.flatnonzero(bins[1:] != bins[:-1]) + 1
+        if held and held[-1].column("bin")[-1].as_py() != bins[0]:
+            borders = np.r_[0, borders]
+        at = 0
+        for border in borders.tolist():
+            if size + int(ends[border] - ends[at]) >= ORDERED:
+                if border > at:
+                    held.append(batch.slice(at, border - at))
+                if held:
+                    yield pa.Table.from_batches(held)
+                held, size, at = [], 0, border
+        held.append(batch.slice(at))
+        size += int(ends[batch.num_rows] - ends[at])
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def joined(doc: np.ndarray, digest: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, ...]:
     """Runs of consecutive strings as one place each, of at most 2 ** STRINGS strings."""
     doc, digest, start = np.unique(np.stack([doc, digest, place >> STRINGS]), axis=1)
@@ -283,8 +352,8 @@ def dictionary(
             for data, doc, digest, mark, (trigger, _, start, many) in parsed(batch, length, shared):
                 place = places(start, many, mark)
                 text = (np.full(len(place), x, np.int64) for x in (doc, digest))
-                ok = Filter(wanted.value).holds(place_hash(*text, place))
-                often = ok & Filter(hot.value).holds(trigger)
+                ok = wanted.value.holds(place_hash(*text, place))
+                often = ok & hot.value.holds(trigger)
                 for k in np.flatnonzero(ok & ~often).tolist():
                     bins.append(trigger[k].view(np.int64))
                     own.append((doc, digest, place[k]))
@@ -310,15 +379,8 @@ def dictionary(
 def repeated_ranges(texts: DataFrame, shared: Broadcast | None, length: int) -> DataFrame:
     """Byte ranges of ``texts`` (``doc, text``) that earlier text covers: ``doc, digest, mark, start, end``."""
     ship(texts.sparkSession)
-    ranges_of = "doc bigint, digest bigint, mark bigint, start bigint, end bigint"
-
-    def as_ranges(batches):
-        for batch in batches:
-            columns = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(len(PLACE)))
-            yield out_ranges(*columns, length)
-
     triggers = repeated_triggers(texts, length)
-    found = occurrences(texts, make_filter(triggers, "trigger"), shared, length)
+    found = all_of(occurrences(texts, wanted, shared, length) for wanted in make_filters(triggers, "trigger"))
     once = found.filter("not later")
     first = once.groupBy("trigger", "phrase").agg(F.min(F.struct(*PLACE)).alias("first"))
     first = stage(first.select("trigger", "phrase", "first"), "first")
@@ -333,20 +395,29 @@ def repeated_ranges(texts: DataFrame, shared: Broadcast | None, length: int) ->
             found = place_hash(*(batch.column(k).to_numpy(zero_copy_only=False) for k in range(len(PLACE))))
             yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64))], names=["place"])
 
-    wanted = make_filter(unclear.mapInArrow(place_hashes, "place bigint"), "place")
-    hot = make_filter(kinds.filter(F.col("n") > HOT), "trigger")
-    phrases = dictionary(texts, wanted, hot, shared, length)
+    unclear = stage(unclear.mapInArrow(place_hashes, "place bigint"), "unclear")
+    hot = any_filter(kinds.filter(F.col("n") > HOT), "trigger")
+    phrases = all_of(dictionary(texts, wanted, hot, shared, length) for wanted in make_filters(unclear, "place"))
 
     def order(batches):
-        for table in runs(batches, ["bin"]):
-            if table.num_rows > 1:
-                at = suffix_repeats(table["phrase"].to_pylist(), *(table[c].to_numpy() for c in PLACE), length)
-                yield out_ranges(*joined(*at), length)
+        for table in whole_bins(batches):
+            own = table.combine_chunks()
+            listed = own["phrase"].chunk(0)
+            ends = np.frombuffer(listed.buffers()[1], np.int32)[listed.offset : listed.offset + len(listed) + 1]
+            data = np.frombuffer(listed.buffers()[2], np.uint8)[ends[0] : ends[-1]]
+            begin = (ends[:-1] - ends[0]).astype(np.int64)
+            at = joined(*suffix_repeats(data, begin, *(own[c].to_numpy() for c in PLACE), length))
+            yield pa.RecordBatch.from_arrays([pa.array(np.asarray(x, np.int64)) for x in at], names=list(PLACE))
 
     dealt = phrases.filter("phrase IS NOT NULL").repartition("bin").sortWithinPartitions("bin")
-    parts = dealt.mapInArrow(order, ranges_of)
+    parts = dealt.mapInArrow(order, "doc bigint, digest bigint, place bigint")
     told = whole.unionByName(phrases.filter("phrase IS NULL").select(*PLACE))
-    return parts.unionByName(told.mapInArrow(as_ranges, ranges_of))
+    return as_ranges(parts.unionByName(told), length)
+
+
+def all_of(parts: Iterator[DataFrame]) -> DataFrame:
+    """The rows of all parts, each of which is written before the next is begun."""
+    return reduce(DataFrame.unionByName, list(parts))
 
 
 def remove_repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
@@ -365,7 +436,7 @@ def remove_repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text", le
     rows = df.select(F.col(doc_id).alias("doc_id"), doc.alias("doc"), data.alias("data"))
     texts = stage(rows.select("doc", sql_digest("data").alias("digest")).distinct(), "texts")
     several = stage(texts.groupBy("doc").count().filter("count > 1").select("doc"), "several")
-    shared = None if several.isEmpty() else make_filter(several, "doc")
+    shared = None if several.isEmpty() else any_filter(several, "doc")
     found = repeated_ranges(rows.select("doc", "data"), shared, length)
     found = found.groupBy("doc", "digest", "mark").agg(F.collect_list(F.struct("start", "end")).alias("ranges"))
     found = stage(found, "ranges")

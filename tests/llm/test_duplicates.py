@@ -11,6 +11,7 @@ from peopleflow.llm.exact_dedup import DigestIndex, distinct_texts
 from peopleflow.llm.groups import components
 from peopleflow.llm.minhash import near_duplicates, shingles
 from peopleflow.llm.repeats import remove_repeats
+from peopleflow.session import stage
 from peopleflow.session import new_path
 
 DOCS = "doc_id long, text string, kept string"
@@ -111,9 +112,11 @@ def brute_repeats(rows, length):
     return out
 
 
-@pytest.mark.parametrize("hot", [1, 5000])
-def test_repeats_equal_brute_force(spark, monkeypatch, hot):
+@pytest.mark.parametrize(("hot", "filter_bits"), [(1, 28), (5000, 28), (5000, 11)])
+def test_repeats_equal_brute_force(spark, monkeypatch, hot, filter_bits):
+    """Also with filters so small that each is one of many, and none is full."""
     monkeypatch.setattr(repeats, "HOT", hot)
+    monkeypatch.setattr(repeats, "FILTER_BITS", filter_bits)
     monkeypatch.setattr(repeats, "BLOCK", 512)
     r = random.Random(11)
     passage = "".join(r.choice("abcdeé ") for _ in range(400))
@@ -137,6 +140,40 @@ def test_repeats_of_rows_with_the_same_or_no_id(spark):
     assert remove_repeats(spark.createDataFrame([], DOCS)).count() == 0
 
 
+def test_filters_let_few_strangers_through(spark, monkeypatch):
+    monkeypatch.setattr(repeats, "FILTER_BITS", 14)
+    known = np.random.default_rng(1).integers(0, 2**63, 5000, dtype=np.uint64)
+    table = stage(spark.createDataFrame([(int(x),) for x in known.view(np.int64)], "trigger bigint"), "known")
+    strangers = np.random.default_rng(2).integers(0, 2**63, 20_000, dtype=np.uint64)
+    held, let = np.zeros(len(known), int), np.zeros(len(strangers), int)
+    filters = 0
+    for wanted in repeats.make_filters(table, "trigger"):
+        filters += 1
+        held += wanted.value.holds(known)
+        let += wanted.value.holds(strangers)
+    assert filters == 5 and (held == 1).all() and let.max() <= 1 and let.mean() < 0.12
+
+
+def test_equal_hashes_of_different_strings_are_told_apart(monkeypatch):
+    data = np.frombuffer(random.Random(3).randbytes(400) * 2, np.uint8)
+    begin = np.arange(600)
+    expected = [data[b : b + 100].tobytes() for b in begin]
+    for hashed in (repeats.hashes, lambda data, starts, ends: starts.astype(np.uint64) * 0):
+        monkeypatch.setattr(repeats, "hashes", hashed)
+        kind = repeats.classes(data, begin, 100)
+        assert len(set(zip(kind.tolist(), expected))) == len(set(expected)) == len(set(kind.tolist())) == 400
+
+
+def test_query_equals_brute_force(spark):
+    folder = "/root/testdata/sf0.001"
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
+    expected = []
+    for doc, kept, lost in brute_repeats(rows, 100):
+        expected.append((doc, len(kept) + lost, lost, hashlib.sha256(kept).hexdigest()))
+    found = repeats.op8_repeated_strings(spark, folder).collect()
+    assert sorted((r.doc_id, r.n_bytes, r.n_removed, r.kept_sha256) for r in found) == expected
+
+
 def test_parse_covers_every_string():
     data = np.frombuffer(random.Random(1).randbytes(5000) + b"a" * 3000, np.uint8)
     _, _, start, many = repeats.parse(data)

@@ -126,6 +126,11 @@ def place_hash(doc: np.ndarray, digest: np.ndarray, place: np.ndarray) -> np.nda
     return mix(mix(mix(doc) + digest) + place)
 
 
+def bit_places(mixed: np.ndarray, log: int) -> list[np.ndarray]:
+    """The two bits of each hash in a filter of ``2 ** log``: with 16 bits a hash, one stranger in 70 has both."""
+    return [x >> np.uint64(64 - log) for x in (mixed, mix(mixed ^ np.uint64(0x9E3779B97F4A7C15)))]
+
+
 class Filter:
     """A set of 64-bit hashes as bits; it may hold more than it was given, never less.
 
@@ -138,9 +143,10 @@ class Filter:
 
     def holds(self, found: np.ndarray) -> np.ndarray:
         mixed = mix(found)
-        at = mixed >> np.uint64(64 - self.log)
-        held = (self.bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 > 0
-        return held & (mixed % np.uint64(self.parts) == self.part) if self.parts > 1 else held
+        held = np.ones(len(mixed), bool) if self.parts == 1 else mixed % np.uint64(self.parts) == self.part
+        for at in bit_places(mixed, self.log):
+            held &= (self.bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 > 0
+        return held
 
 
 def make_filters(found: DataFrame, column: str) -> Iterator[Broadcast]:
@@ -161,7 +167,7 @@ def make_filters(found: DataFrame, column: str) -> Iterator[Broadcast]:
         def bits(batches):
             for batch in batches:
                 mixed = mix(batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64))
-                at = mixed[mixed % np.uint64(parts) == part] >> np.uint64(64 - log)
+                at = np.concatenate(bit_places(mixed[mixed % np.uint64(parts) == part], log))
                 segments = (at >> np.uint64(log - SEGMENT_BITS)).astype(np.int64)
                 for segment in np.unique(segments).tolist():
                     own = np.zeros(size, bool)

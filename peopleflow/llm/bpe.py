@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from array import array
+
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
@@ -9,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from peopleflow.llm.common import add_columns, documents
+from peopleflow.llm.common import add_columns, as_list, documents
 from peopleflow.llm.transducer import decoder, encoder
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -32,14 +34,38 @@ def encode(
     def make(columns):
         table = encoder(path or public_tokenizers.path(RANKS), pattern)
         for column in columns:
-            lists = [np.array(table.encode(x or ""), np.int32) for x in column.to_pylist()]
-            offsets = np.cumsum([0, *map(len, lists)], dtype=np.int32)
-            flat = np.concatenate([np.zeros(0, np.int32), *lists])
-            yield [pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))]
+            yield [lists_of(table.encode_all(as_list(column)))]
 
     return add_columns(df, text, [T.StructField(out, T.ArrayType(T.IntegerType()))], make)
 
 
+def lists_of(blobs: list[bytes]) -> pa.Array:
+    """Ids as bytes to a column of lists."""
+    offsets = np.cumsum([0, *map(len, blobs)], dtype=np.int64) // 4
+    return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(np.frombuffer(b"".join(blobs), np.int32)))
+
+
+def round_trip(
+    df: DataFrame,
+    text: str = "text",
+    ids: str = "ids",
+    out: str = "decoded",
+    path: str | None = None,
+    pattern: str = public_tokenizers.PATTERN,
+) -> DataFrame:
+    """`encode` and `decode` of what it gives, in one pass: the ids need not come back to the workers."""
+
+    def make(columns):
+        file = path or public_tokenizers.path(RANKS)
+        table, back = encoder(file, pattern), decoder(file)
+        for column in columns:
+            blobs = table.encode_all(as_list(column))
+            yield [lists_of(blobs), pa.array([back.decode(array("i", b).tolist()) for b in blobs], pa.string())]
+
+    fields = [T.StructField(ids, T.ArrayType(T.IntegerType())), T.StructField(out, T.StringType())]
+    return add_columns(df, text, fields, make)
+
+
 def decode(df: DataFrame, ids: str = "ids", out: str = "decoded", path: str | None = None) -> DataFrame:
     """Add the text of an id column. Null and empty arrays give the empty text.
 
@@ -63,7 +89,7 @@ def decode(df: DataFrame, ids: str = "ids", out: str = "decoded", path: str | No
 def op1_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     """Ids of every whole text and the text they decode to, as digests."""
     docs = documents(spark, folder).select("doc_id", "text")
-    return decode(encode(docs).drop("text")).select(
+    return round_trip(docs).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),

@@ -14,13 +14,17 @@ and writes the characters it completes; transitions are made when first met.
 
 from __future__ import annotations
 
-from functools import lru_cache
+from array import array
 
-from peopleflow.llm.common import MEMO_ENTRIES, SHORT, Memo
+from peopleflow.llm.common import MEMO_ENTRIES, SHORT, Memo, held_for
 from peopleflow.llm.pretokens import chunks, read_ranks, splitter
 
 ROOT = 0
 
+#: Bits of a token's number.
+TOKEN = 24
+LAST = (1 << TOKEN) - 1
+
 
 def merge_bytes(piece: bytes, ranks: dict[bytes, int], above: int = 1 << 60) -> list[int]:
     """Byte-pair encoding of a short piece from its definition, by merges of ranks below ``above``."""
@@ -64,7 +68,8 @@ class MergeTransducer:
         # A guess is the last token and a trie node in one number; token 0 stands for the start.
         self.states: list[tuple[int, ...]] = [(ROOT,)]
         self.numbers = {self.states[0]: 0}
-        self.moves: dict[int, tuple[int, int, bool]] = {}
+        # A move in one number: the next state, the last token of the encoding, and whether one guess is left.
+        self.moves: dict[int, int] = {}
 
     def halves(self, token: int) -> tuple[int, int] | None:
         """The last merge that makes a token; None for a byte and for a token no merges reach."""
@@ -101,8 +106,8 @@ class MergeTransducer:
             self.pairs.put(key, known)
         return known
 
-    def move(self, state: int, byte: int) -> tuple[int, int, bool]:
-        """The next state, the last token of the encoding so far, and whether one guess is left."""
+    def move(self, state: int, byte: int) -> int:
+        """The next state, the last token of the encoding so far, and whether one guess is left, packed."""
         last, guesses = -1, []
         for guess in self.states[state]:
             node = guess & self.nodes
@@ -121,7 +126,7 @@ class MergeTransducer:
         if number is None:
             number = self.numbers[left] = len(self.states)
             self.states.append(left)
-        step = self.moves[state << 8 | byte] = number, last, len(left) == 1
+        step = self.moves[state << 8 | byte] = number << TOKEN + 1 | last << 1 | (len(left) == 1)
         return step
 
     def encode(self, piece: bytes) -> list[int]:
@@ -133,14 +138,14 @@ class MergeTransducer:
             self.forget()
         out: list[int] = []
         waiting: list[int] = []
-        state, moves = 0, self.moves
+        state, known = 0, self.moves.get
         for byte in piece:
-            step = moves.get(state << 8 | byte)
+            step = known(state << 8 | byte)
             if step is None:
                 step = self.move(state, byte)
-            state, token, certain = step
-            waiting.append(token)
-            if certain:
+            state = step >> TOKEN + 1
+            waiting.append(step >> 1 & LAST)
+            if step & 1:
                 self.write(waiting, out)
                 waiting.clear()
         self.write(waiting, out)
@@ -159,34 +164,35 @@ class Encoder:
     """Whole texts to ids: chunks, pre-tokens, then the transducer, with bounded memos."""
 
     def __init__(self, path: str, pattern: str) -> None:
-        # Chunks are met most; what lies below them needs less room.
-        self.transducer = MergeTransducer(read_ranks(path), MEMO_ENTRIES // 4)
+        self.transducer = MergeTransducer(read_ranks(path), MEMO_ENTRIES)
         self.split = splitter(pattern)
-        self.pieces = Memo(MEMO_ENTRIES // 4)
-        self.known = Memo(MEMO_ENTRIES // 2)
-
-    def chunk(self, chunk: str) -> list[int]:
-        out: list[int] = []
-        for piece in self.split(chunk):
-            ids = self.pieces.get(piece)
-            if ids is None:
-                ids = self.transducer.encode(piece.encode())
-                if len(piece) <= SHORT:
-                    self.pieces.put(piece, tuple(ids))
-            out.extend(ids)
-        return out
+        self.pieces = Memo(MEMO_ENTRIES // 2)
+
+    def piece(self, piece: str) -> bytes:
+        """The ids of a pre-token as little-endian 32-bit numbers."""
+        ids = self.pieces.get(piece)
+        if ids is None:
+            ids = array("i", self.transducer.encode(piece.encode())).tobytes()
+            if len(piece) <= SHORT:
+                self.pieces.put(piece, ids)
+        return ids
+
+    def chunk(self, chunk: str) -> bytes:
+        found = self.split(chunk)
+        return self.piece(found[0]) if len(found) == 1 else b"".join(map(self.piece, found))
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text as bytes; a chunk that several texts of the block hold is put together once."""
+        cut = [chunks(text) for text in texts]
+        wanted: set[str] = set()
+        for parts in cut:
+            wanted.update(parts[1:])
+        made = {part: self.chunk(" " + part) for part in wanted}
+        of = made.__getitem__
+        return [self.chunk(parts[0]) + b"".join(map(of, parts[1:])) for parts in cut]
 
     def encode(self, text: str) -> list[int]:
-        first, *rest = chunks(text)
-        out, known = self.chunk(first), self.known
-        for part in rest:
-            ids = known.get(part)
-            if ids is None:
-                ids = self.chunk(" " + part)
-                if len(part) <= SHORT:
-                    known.put(part, tuple(ids))
-            out.extend(ids)
-        return out
+        return array("i", self.encode_all([text])[0]).tolist()
 
 
 def utf8_step(pending: bytes, byte: int) -> tuple[str, bytes]:
@@ -245,11 +251,9 @@ class Decoder:
         return "".join(out) + "�" * bool(pending)
 
 
-@lru_cache(maxsize=4)
 def encoder(path: str, pattern: str) -> Encoder:
-    return Encoder(path, pattern)
+    return held_for("bpe", (path, pattern), lambda: Encoder(path, pattern))
 
 
-@lru_cache(maxsize=4)
 def decoder(path: str) -> Decoder:
-    return Decoder(read_ranks(path))
+    return held_for("bpe", path, lambda: Decoder(read_ranks(path)))

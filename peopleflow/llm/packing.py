@@ -15,8 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from peopleflow.llm.common import MEMO_ENTRIES, SHORT, add_columns, as_list, documents, ship
-from peopleflow.llm.pretokens import chunks
+from peopleflow.llm.common import SHORT, add_columns, as_list, documents, held_for, ship
+from peopleflow.llm.pretokens import chunks, splitter
+from peopleflow.llm.token_counts import MergeTable
 from peopleflow.session import stage
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -26,48 +27,89 @@ CAPACITY = 2048
 TASK_TOKENS = 8_000_000
 TASK_PIECES = 200_000
 
+#: Chunks that a worker remembers, about; others are encoded again.
+KNOWN_CHUNKS = 150_000
+
 #: Sequences of one task and round are numbered below this.
 SEQUENCES = 1 << 24
 
 
+@lru_cache(maxsize=1)
+def library(path: str):
+    """The tokenizers library itself, for the few texts with strings of added tokens."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(path)
+
+
+class Generations:
+    """A memo for blocks: ``young`` holds all that the block at hand needs; what was not needed for long goes."""
+
+    def __init__(self, limit: int) -> None:
+        self.limit = limit
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def missing(self, wanted: set[str]) -> set[str]:
+        """Those of ``wanted`` that are not known; the others are young afterwards."""
+        if len(self.young) >= self.limit // 2:
+            self.young, self.old = {}, self.young
+        wanted = wanted.difference(self.young)
+        back = wanted.intersection(self.old)
+        self.young.update(zip(back, map(self.old.__getitem__, back)))
+        return wanted.difference(back)
+
+
 class IdBytes:
-    """Ids of whole texts as little-endian unsigned 32-bit bytes, by the tokenizers library."""
+    """Ids of whole texts as little-endian unsigned 32-bit bytes, as the tokenizers library gives them."""
 
     def __init__(self, path: str) -> None:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.known: dict[str, bytes] = {}
+        self.path = path
+        self.table, self.split = MergeTable(path), splitter(public_tokenizers.PATTERN)
+        self.special = [x for x in self.table.special if x]
+        self.known = Generations(KNOWN_CHUNKS)
+        self.pieces = Generations(KNOWN_CHUNKS // 2)
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """Texts are cut where no token can span, and each new chunk is encoded once.
+        """Texts are cut where no token can span, and all new pieces of a block are merged at once.
 
-        A text that holds the string of an added token is encoded in one piece.
+        A text that holds the string of an added token is left to the library.
         """
-        if len(self.known) > MEMO_ENTRIES:
-            self.known.clear()
-        cut = [[t] if any(s in t for s in self.special) else chunks(t) for t in texts]
+        odd = {t for t in texts if any(s in t for s in self.special)}
+        cut = [[""] if t in odd else chunks(t) for t in texts]
         firsts = list({parts[0] for parts in cut})
-        wanted = list({c for parts in cut for c in parts[1:]}.difference(self.known))
-        new = [*firsts, *(" " + c for c in wanted)]
-        ids = [
-            np.array(e.ids, "<u4").tobytes()
-            for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
+        wanted: set[str] = set()
+        for parts in cut:
+            wanted.update(parts[1:])
+        wanted = self.known.missing(wanted)
+        split = [self.split(c) for c in (*firsts, *(" " + c for c in wanted))]
+        pieces = list(self.pieces.missing({p for found in split for p in found}))
+        ids, counts = self.table.ids([p.encode() for p in pieces])
+        data, ends = ids.astype("<u4").tobytes(), (4 * np.cumsum(counts)).tolist()
+        self.pieces.young.update(zip(pieces, [data[a:b] for a, b in zip([0, *ends], ends)]))
+        of = self.pieces.young.__getitem__
+        made = [of(found[0]) if len(found) == 1 else b"".join(map(of, found)) for found in split]
+        first = dict(zip(firsts, made))
+        found = dict(zip(wanted, made[len(firsts) :]))
+        self.known.young.update(found)
+        known = self.known.young.__getitem__
+        out = [
+            self.whole(text) if text in odd else first[parts[0]] + b"".join(map(known, parts[1:]))
+            for text, parts in zip(texts, cut)
         ]
-        first = dict(zip(firsts, ids))
-        found = dict(zip(wanted, ids[len(firsts) :]))
-        self.known |= found
-        out = [b"".join([first[parts[0]], *map(self.known.__getitem__, parts[1:])]) for parts in cut]
-        for long in [c for c in found if len(c) > SHORT]:
-            del self.known[long]
+        for memo, new in ((self.known, found), (self.pieces, pieces)):
+            for long in [c for c in new if len(c) > SHORT]:
+                del memo.young[long]
         return out
 
 
-@lru_cache(maxsize=4)
+    def whole(self, text: str) -> bytes:
+        return np.array(library(self.path).encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+
 def id_bytes(path: str) -> IdBytes:
-    return IdBytes(path)
+    return held_for("packing", path, lambda: IdBytes(path))
 
 
 def cut_pieces(
@@ -83,7 +125,8 @@ def cut_pieces(
 
     A row's tokens are those of its whole text (null: empty) and ``end_id``. Rows of more than
     ``capacity`` tokens are cut into full pieces, and what is over goes into the first piece.
-    ``ids`` are little-endian unsigned 32-bit numbers.
+    ``ids`` are little-endian unsigned 32-bit numbers. Repeated rows give equal pieces each, and an
+    empty table none; columns besides id and text are not read.
     """
     fields = "piece int, start bigint, length bigint, ids_crc32 bigint" + ", ids binary" * with_ids
     kind = T.ArrayType(T._parse_datatype_string(f"struct<{fields.replace(' ', ':').replace(',:', ',')}>"))
@@ -166,17 +209,18 @@ def best_fit_decreasing(lengths: np.ndarray, capacity: int) -> np.ndarray:
     return chosen
 
 
-def pack(pieces: DataFrame, length: str = "length", capacity: int = CAPACITY, rounds: int = 3) -> DataFrame:
-    """Add ``sequence_id`` and ``offset`` to a table of lengths from 1 to ``capacity``.
+def pack(pieces: DataFrame, length: str = "length", capacity: int = CAPACITY) -> DataFrame:
+    """Add ``sequence_id``, ``offset`` and ``gap`` to a table of lengths from 1 to ``capacity``.
 
     Rows are dealt over tasks evenly, whatever their source, and each task packs its own by
     best-fit decreasing. A lower bound tells by how many sequences a task may be off. In each
     further round the tasks that have such a gap give their unfilled sequences away; these meet
-    those of other tasks and are packed anew, which counts only where it saves a sequence. A
-    packing that meets its bound stays. Rows with equal keys are packed like any others; a length
-    that is null or out of range is an error. Columns named like the added ones are replaced.
+    those of other tasks and are packed anew, which counts only where it saves a sequence. So it goes on,
+    with other partners each time, until a whole round has saved nothing. ``gap`` is how far the task that last
+    packed a row was above its lower bound, 0 where the bound is met. Repeated rows are packed like any others; a length
+    that is null or out of range is an error. An empty table stays empty. Columns named like the added ones are replaced.
     """
-    rows = pieces.drop("sequence_id", "offset")
+    rows = pieces.drop("sequence_id", "offset", "gap")
     schema = T.StructType(
         rows.schema.fields
         + [T.StructField(n, T.LongType()) for n in ("sequence_id", "offset", "__gap", "__filled")]
@@ -189,10 +233,11 @@ def pack(pieces: DataFrame, length: str = "length", capacity: int = CAPACITY, ro
         chosen = best_fit_decreasing(size, capacity)
         base = ((turn << 28) + key) * SEQUENCES
         used = int(chosen.max()) + 1 if len(size) else 0
-        if turn and frame["sequence_id"].nunique() <= used:
-            frame = frame.assign(__gap=0)
+        bound = lower_bound(size, capacity)
+        if turn and (before := frame["sequence_id"].nunique()) <= used:
+            frame = frame.assign(__gap=before - bound)
         else:
-            frame = frame.assign(sequence_id=base + chosen, __gap=used - lower_bound(size, capacity))
+            frame = frame.assign(sequence_id=base + chosen, __gap=used - bound)
         frame = frame.sort_values("sequence_id", kind="stable")
         size = frame[length].to_numpy(np.int64)
         ids = frame["sequence_id"].to_numpy(np.int64)
@@ -215,22 +260,32 @@ def pack(pieces: DataFrame, length: str = "length", capacity: int = CAPACITY, ro
     ship(rows.sparkSession)
     rows = stage(rows, "pieces")
     tasks = tasks_for(rows)
-    dealt = rows.withColumn("__task", F.pmod(F.xxhash64(*rows.columns), F.lit(tasks)).cast("int"))
+    # The place of a row in the staged table tells repeated rows apart.
+    place = F.monotonically_increasing_id()
+    dealt = rows.withColumn("__task", F.pmod(F.xxhash64(*rows.columns, place), F.lit(tasks)).cast("int"))
     now = stage(grouped(dealt, tasks, 0), "packed")
-    done = []
-    for turn in range(1, rounds + 1):
+    done, turn, saved = [], 0, 1
+
+    def sequences(df: DataFrame) -> int:
+        return df.agg(F.count_distinct("sequence_id")).first()[0]
+
+    # With a single task there is nobody to exchange with.
+    while tasks > 1 and saved:
+        turn += 1
         open_ = (F.col("__gap") > 0) & (F.col("__filled") < capacity)
         done.append(now.filter(~open_))
         given = now.filter(open_)
+        held = sequences(given)
         tasks = tasks_for(given)
         dealt = given.withColumn(
             "__task", F.pmod(F.xxhash64("sequence_id", F.lit(turn)), F.lit(tasks)).cast("int")
         )
         now = stage(grouped(dealt, tasks, turn), "packed")
+        saved = held - sequences(now)
     out = now
     for part in done:
         out = out.unionByName(part)
-    return out.drop("__gap", "__filled")
+    return out.withColumnRenamed("__gap", "gap").drop("__filled")
 
 
 def op6_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:

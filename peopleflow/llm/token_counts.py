@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import json
 import re
-from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
@@ -13,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from peopleflow.llm.common import MEMO_ENTRIES, SHORT, add_columns, as_list, documents
+from peopleflow.llm.common import MEMO_ENTRIES, SHORT, add_columns, as_list, documents, held_for
 from peopleflow.llm.pretokens import byte_alphabet, chunks, splitter
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -48,8 +47,16 @@ class MergeTable:
         at = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
         return np.where(self.keys[at] == wanted, self.ranks[at], self.none)
 
-    def count(self, pieces: list[bytes]) -> np.ndarray:
-        """How many symbols each piece has after all merges.
+    def ids(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The symbols of all pieces after all merges, one piece after the other, and how many each has."""
+        parts: list[tuple[np.ndarray, np.ndarray]] = []
+        counts = self.count(pieces, parts)
+        none = [np.zeros(0, np.int64)]
+        piece, symbol = (np.concatenate(none + [x[k] for x in parts]) for k in (0, 1))
+        return symbol[np.argsort(piece, kind="stable")], counts
+
+    def count(self, pieces: list[bytes], ended: list[tuple[np.ndarray, np.ndarray]] | None = None) -> np.ndarray:
+        """How many symbols each piece has after all merges; the symbols of pieces that are done go to ``ended``.
 
         All pieces lie in one array. In each round every piece applies its lowest-ranked pair, at
         all places at once; overlapping places of a pair of equal symbols are taken from the left.
@@ -71,6 +78,8 @@ class MergeTable:
             going = lowest < self.none
             if not going.all():
                 stay = np.repeat(going, sizes)
+                if ended is not None:
+                    ended.append((piece[~stay], symbol[~stay]))
                 symbol, rank, piece = symbol[stay], rank[stay], piece[stay]
                 lowest, sizes = lowest[going], sizes[going]
                 if not len(symbol):
@@ -131,9 +140,8 @@ class Counter:
         return totals
 
 
-@lru_cache(maxsize=4)
 def counter(path: str, pattern: str) -> Counter:
-    return Counter(path, pattern)
+    return held_for("token_counts", (path, pattern), lambda: Counter(path, pattern))
 
 
 def count_tokens(

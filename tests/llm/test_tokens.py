@@ -8,8 +8,10 @@ import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from peopleflow.llm import packing
 from peopleflow.llm.bpe import decode, encode
 from peopleflow.llm.packing import best_fit_decreasing, cut_pieces, lower_bound, pack
 from peopleflow.llm.pretokens import read_ranks
@@ -124,6 +126,66 @@ def test_packing_is_gapless_and_near_its_bound(spark, monkeypatch):
     assert len(ends) <= 1.01 * lower_bound(sizes, 2048) + 1
 
 
+def test_packing_goes_on_until_a_round_saves_nothing(spark, monkeypatch):
+    """Many small tasks: more than three rounds save something; what is left above the bounds is told."""
+    turns = []
+    staged = packing.stage
+    monkeypatch.setattr(packing, "stage", lambda df, label: turns.append(label) or staged(df, label))
+    monkeypatch.setattr(packing, "TASK_PIECES", 30)
+    sizes = np.random.default_rng(4).integers(600, 1100, 3000)
+    pieces = spark.createDataFrame([(int(i), int(s), "x") for i, s in enumerate(sizes)], "doc_id long, length long, gap string")
+    rows = pack(pieces).collect()
+    used = len({r.sequence_id for r in rows})
+    ends = {}
+    for r in sorted(rows, key=lambda r: (r.sequence_id, r.offset)):
+        assert r.offset == ends.get(r.sequence_id, 0)
+        ends[r.sequence_id] = r.offset + r.length
+    assert len(rows) == 3000 and max(ends.values()) <= 2048
+    assert turns.count("packed") > 4  # the first packing and more than three rounds
+    assert all(r.gap >= 0 for r in rows)
+    alone = pack(pieces.limit(10)).collect()  # a single task
+    own = np.array([r.length for r in alone])
+    assert {r.gap for r in alone} == {len({r.sequence_id for r in alone}) - lower_bound(own, 2048)}
+    assert used <= 1.15 * lower_bound(sizes, 2048)
+
+
+def test_repeated_rows_are_dealt_over_tasks(spark, monkeypatch):
+    monkeypatch.setattr(packing, "TASK_PIECES", 50)
+    rows = pack(spark.range(600).selectExpr("1 AS doc_id", "CAST(700 AS bigint) AS length")).collect()
+    assert 300 <= len({r.sequence_id for r in rows}) <= 306 and len({r.sequence_id // packing.SEQUENCES for r in rows}) > 6
+
+
+def test_query_gives_pieces_and_places_of_the_library(spark):
+    folder = "/root/testdata/sf0.001"
+    library = Tokenizer.from_file(VOCABULARY)
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    expected, places = [], {}
+    for doc, text in texts.items():
+        ids = np.array(library.encode(text, add_special_tokens=False).ids + [0], "<u4")
+        over = len(ids) % 2048
+        borders = sorted({0, *range(over, len(ids) + 1, 2048)})
+        for k, (a, b) in enumerate(zip(borders, borders[1:])):
+            expected.append((doc, k, a, b - a, zlib.crc32(ids[a:b].tobytes())))
+    rows = packing.op6_best_fit_packing(spark, folder).collect()
+    assert sorted((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in rows) == sorted(expected)
+    for r in sorted(rows, key=lambda r: (r.sequence_id, r.offset)):
+        assert r.offset == places.get(r.sequence_id, 0)
+        places[r.sequence_id] = r.offset + r.length
+    assert max(places.values()) <= 2048
+    assert len(places) <= 1.02 * lower_bound(np.array([x[3] for x in expected]), 2048) + 1
+
+
+def test_ids_equal_the_library_on_odd_texts():
+    library, own = Tokenizer.from_file(VOCABULARY), packing.IdBytes(VOCABULARY)
+    r = np.random.default_rng(4)
+    bits = [" ", "  ", "\n", "\t", "a", "The", "don't", "'ll", "éß", "漢字", "🎉", "123", "!!", "\u00a0", "x" * 70, "<|endoftext|>", "\x00"]
+    texts = ["".join(r.choice(bits, r.integers(0, 12), p=[0.3] + [0.7 / 16] * 16)) for _ in range(3000)]
+    for at in range(0, 3000, 500):
+        part = texts[at : at + 500]
+        expected = [np.array(library.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in part]
+        assert own.encode(part) == expected
+
+
 def test_lengths_out_of_range_are_an_error(spark):
     with pytest.raises(Exception, match="lengths must be"):
         pack(spark.createDataFrame([(1, 4000)], "doc_id long, length long")).collect()
@@ -141,3 +203,14 @@ def test_queries_give_the_digests_of_the_library(spark):
         ids = " ".join(map(str, library.encode_ordinary(texts[r.doc_id])))
         assert r.ids_sha256 == hashlib.sha256(ids.encode()).hexdigest()
         assert r.decoded_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest()
+
+
+def test_one_pass_equals_encode_and_decode(spark):
+    from peopleflow.llm.bpe import round_trip
+
+    texts = [*random_texts(200), None, "", "x" * 100_000, "same", "same"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumn("ids", F.lit("clash"))
+    both = {r.doc_id: (r.ids, r.decoded) for r in round_trip(docs).collect()}
+    apart = {r.doc_id: (r.ids, r.decoded) for r in decode(encode(docs)).collect()}
+    assert both == apart and all(both[k][1] == (t or "") for k, t in enumerate(texts))
+    assert round_trip(docs.limit(0)).count() == 0

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from peopleflow.llm.common import add_columns, as_list, cut_to, documents, one_row_each, row_key, ship
+from peopleflow.llm.common import add_columns, as_list, cut_to, documents, let_go, one_row_each, row_key, ship
 from peopleflow.llm.groups import components, runs
 from peopleflow.session import stage
 
@@ -112,6 +112,7 @@ def sign(docs: DataFrame) -> DataFrame:
     """From ``doc_id, text``: ``doc_id, n_shingles, node, bands, sketch``, null where there are no words."""
 
     def make(columns):
+        let_go()
         for column in columns:
             sizes, nodes, bands, sketches = [], [], [], []
             for value in as_list(column):
@@ -225,6 +226,7 @@ def confirmed(docs: DataFrame, sets: DataFrame, pairs: DataFrame) -> DataFrame:
     rows = rows.repartition("a", "block").sortWithinPartitions("a", "block", "role")
 
     def check(batches):
+        let_go()
         for table in runs(batches, ["a", "block"]):
             a, head, linked = table["a"][0].as_py(), None, set()
             # Heads come first; a row whose text does not give its node has the name of another by chance.

@@ -166,7 +166,7 @@ class Encoder:
     def __init__(self, path: str, pattern: str) -> None:
         self.transducer = MergeTransducer(read_ranks(path), MEMO_ENTRIES)
         self.split = splitter(pattern)
-        self.pieces = Memo(MEMO_ENTRIES // 2)
+        self.pieces = Memo(MEMO_ENTRIES)
 
     def piece(self, piece: str) -> bytes:
         """The ids of a pre-token as little-endian 32-bit numbers."""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
 from collections import deque
@@ -15,8 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from peopleflow.llm.common import SHORT, add_columns, as_list, documents, held_for, ship
-from peopleflow.llm.pretokens import chunks, splitter
+from peopleflow.llm.common import add_columns, as_list, documents, held_for, ship
+from peopleflow.llm.pretokens import byte_alphabet
 from peopleflow.llm.token_counts import MergeTable
 from peopleflow.session import stage
 
@@ -27,8 +28,8 @@ CAPACITY = 2048
 TASK_TOKENS = 8_000_000
 TASK_PIECES = 200_000
 
-#: Chunks that a worker remembers, about; others are encoded again.
-KNOWN_CHUNKS = 150_000
+#: Characters of a block; a text with a block of nothing but blanks is left to the tokenizers library.
+BLANKS = 2048
 
 #: Sequences of one task and round are numbered below this.
 SEQUENCES = 1 << 24
@@ -36,73 +37,68 @@ SEQUENCES = 1 << 24
 
 @lru_cache(maxsize=1)
 def library(path: str):
-    """The tokenizers library itself, for the few texts with strings of added tokens."""
+    """The tokenizers library itself, for the few texts that are odd and for vocabularies without ranks."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     return Tokenizer.from_file(path)
 
 
-class Generations:
-    """A memo for blocks: ``young`` holds all that the block at hand needs; what was not needed for long goes."""
+def as_ranks(path: str) -> dict[bytes, int] | None:
+    """The tokens of a vocabulary file by their bytes, if merging by rank gives what its merges give.
 
-    def __init__(self, limit: int) -> None:
-        self.limit = limit
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-
-    def missing(self, wanted: set[str]) -> set[str]:
-        """Those of ``wanted`` that are not known; the others are young afterwards."""
-        if len(self.young) >= self.limit // 2:
-            self.young, self.old = {}, self.young
-        wanted = wanted.difference(self.young)
-        back = wanted.intersection(self.old)
-        self.young.update(zip(back, map(self.old.__getitem__, back)))
-        return wanted.difference(back)
+    tiktoken joins the neighbours whose joined bytes have the lowest rank, the tokenizers library
+    those that its list of merges names first. Both do the same where every merge makes a token of
+    its own, later tokens have higher ids, and every token's bytes by themselves merge to that token:
+    before two neighbours join to a token, nothing has crossed its ends, so what lies between them has
+    been merged as by itself, and its last step is the listed one. None where this, or the
+    splitting, is not so.
+    """
+    with open(path, encoding="utf-8") as file:
+        content = json.load(file)
+    model, split = content["model"], content.get("pre_tokenizer") or {}
+    plain = split.get("type") == "ByteLevel" and split.get("use_regex", True) and not split["add_prefix_space"]
+    odd = [content.get("normalizer"), *map(model.get, ("dropout", "continuing_subword_prefix", "end_of_word_suffix"))]
+    table, byte_of, vocab = MergeTable(path), byte_alphabet(), model["vocab"]
+    made = table.made_by_rank
+    if not plain or any(odd) or model.get("type") != "BPE" or (np.diff(made) <= 0).any():
+        return None
+    single, texts = set(table.bytes.tolist()), {i: text for text, i in vocab.items()}
+    if any(part not in single and part >= whole for pair, whole in table.pairs() for part in pair):
+        return None
+    ranks = {bytes(byte_of[c] for c in texts[i]): i for i in (*single, *made.tolist())}
+    if len(ranks) < len(single) + len(made) or (table.count(list(ranks)) != 1).any():
+        return None
+    return ranks
 
 
 class IdBytes:
     """Ids of whole texts as little-endian unsigned 32-bit bytes, as the tokenizers library gives them."""
 
     def __init__(self, path: str) -> None:
-        self.path = path
-        self.table, self.split = MergeTable(path), splitter(public_tokenizers.PATTERN)
-        self.special = [x for x in self.table.special if x]
-        self.known = Generations(KNOWN_CHUNKS)
-        self.pieces = Generations(KNOWN_CHUNKS // 2)
+        from tiktoken import Encoding
+
+        with open(path, encoding="utf-8") as file:
+            self.special = [t["content"] for t in json.load(file).get("added_tokens") or [] if t["content"]]
+        self.path, ranks = path, as_ranks(path)
+        self.merging = ranks and Encoding(
+            os.path.basename(path), pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
+        )
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """Texts are cut where no token can span, and all new pieces of a block are merged at once.
+        return [self.whole(t) if self.odd(t) else self.merged(t) for t in texts]
+
+    def odd(self, text: str) -> bool:
+        """Whether a text is left to the library: it holds the string of an added token, or blanks without end.
 
-        A text that holds the string of an added token is left to the library.
+        tiktoken's splitting fails on millions of blanks in a row; twice BLANKS of them fill a whole block.
         """
-        odd = {t for t in texts if any(s in t for s in self.special)}
-        cut = [[""] if t in odd else chunks(t) for t in texts]
-        firsts = list({parts[0] for parts in cut})
-        wanted: set[str] = set()
-        for parts in cut:
-            wanted.update(parts[1:])
-        wanted = self.known.missing(wanted)
-        split = [self.split(c) for c in (*firsts, *(" " + c for c in wanted))]
-        pieces = list(self.pieces.missing({p for found in split for p in found}))
-        ids, counts = self.table.ids([p.encode() for p in pieces])
-        data, ends = ids.astype("<u4").tobytes(), (4 * np.cumsum(counts)).tolist()
-        self.pieces.young.update(zip(pieces, [data[a:b] for a, b in zip([0, *ends], ends)]))
-        of = self.pieces.young.__getitem__
-        made = [of(found[0]) if len(found) == 1 else b"".join(map(of, found)) for found in split]
-        first = dict(zip(firsts, made))
-        found = dict(zip(wanted, made[len(firsts) :]))
-        self.known.young.update(found)
-        known = self.known.young.__getitem__
-        out = [
-            self.whole(text) if text in odd else first[parts[0]] + b"".join(map(known, parts[1:]))
-            for text, parts in zip(texts, cut)
-        ]
-        for memo, new in ((self.known, found), (self.pieces, pieces)):
-            for long in [c for c in new if len(c) > SHORT]:
-                del memo.young[long]
-        return out
+        if not self.merging or any(s in text for s in self.special):
+            return True
+        return any(text[at : at + BLANKS].isspace() for at in range(0, len(text) - BLANKS + 1, BLANKS))
 
+    def merged(self, text: str) -> bytes:
+        return self.merging.encode_to_numpy(text, disallowed_special=()).astype("<u4", copy=False).tobytes()
 
     def whole(self, text: str) -> bytes:
         return np.array(library(self.path).encode(text, add_special_tokens=False).ids, "<u4").tobytes()

@@ -41,22 +41,18 @@ class MergeTable:
             self.bytes[byte] = vocab[char]
         self.special = [t["content"] for t in content.get("added_tokens") or []]
 
+    def pairs(self) -> list[tuple[tuple[int, int], int]]:
+        """Every merge: the ids of its two parts, and of what it makes."""
+        return [(divmod(key, self.size), made) for key, made in zip(self.keys.tolist(), self.made.tolist())]
+
     def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Ranks of pairs; ``none`` where no merge joins them."""
         wanted = left * self.size + right
         at = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
         return np.where(self.keys[at] == wanted, self.ranks[at], self.none)
 
-    def ids(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """The symbols of all pieces after all merges, one piece after the other, and how many each has."""
-        parts: list[tuple[np.ndarray, np.ndarray]] = []
-        counts = self.count(pieces, parts)
-        none = [np.zeros(0, np.int64)]
-        piece, symbol = (np.concatenate(none + [x[k] for x in parts]) for k in (0, 1))
-        return symbol[np.argsort(piece, kind="stable")], counts
-
-    def count(self, pieces: list[bytes], ended: list[tuple[np.ndarray, np.ndarray]] | None = None) -> np.ndarray:
-        """How many symbols each piece has after all merges; the symbols of pieces that are done go to ``ended``.
+    def count(self, pieces: list[bytes]) -> np.ndarray:
+        """How many symbols each piece has after all merges.
 
         All pieces lie in one array. In each round every piece applies its lowest-ranked pair, at
         all places at once; overlapping places of a pair of equal symbols are taken from the left.
@@ -78,8 +74,6 @@ class MergeTable:
             going = lowest < self.none
             if not going.all():
                 stay = np.repeat(going, sizes)
-                if ended is not None:
-                    ended.append((piece[~stay], symbol[~stay]))
                 symbol, rank, piece = symbol[stay], rank[stay], piece[stay]
                 lowest, sizes = lowest[going], sizes[going]
                 if not len(symbol):

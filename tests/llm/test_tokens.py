@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 import zlib
 
 import numpy as np
@@ -9,12 +10,12 @@ import public_tokenizers
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, models, pre_tokenizers
 
 from peopleflow.llm import packing
 from peopleflow.llm.bpe import decode, encode
 from peopleflow.llm.packing import best_fit_decreasing, cut_pieces, lower_bound, pack
-from peopleflow.llm.pretokens import read_ranks
+from peopleflow.llm.pretokens import byte_alphabet, read_ranks
 from peopleflow.llm.token_counts import Counter, count_tokens
 from peopleflow.llm.transducer import Decoder, Encoder, MergeTransducer, merge_bytes, utf8_step
 
@@ -186,6 +187,40 @@ def test_ids_equal_the_library_on_odd_texts():
         assert own.encode(part) == expected
 
 
+def spent(run):
+    began = time.process_time()
+    return run(), time.process_time() - began
+
+
+def test_ids_of_words_met_once_take_less_than_the_library():
+    """Most of a large corpus' words are rare, so remembering them does not help."""
+    library, r = Tokenizer.from_file(VOCABULARY), random.Random(6)
+    texts = [" ".join(f"{r.getrandbits(40):x}" for _ in range(2000)) for _ in range(200)]
+    own = packing.IdBytes(VOCABULARY)
+    ids, took = spent(lambda: own.encode(texts))
+    expected, most = spent(lambda: [library.encode(t, add_special_tokens=False).ids for t in texts])
+    assert ids == [np.array(x, "<u4").tobytes() for x in expected]
+    assert took < 0.6 * most
+
+
+def test_ids_of_endless_blanks_equal_the_library():
+    library, own = Tokenizer.from_file(VOCABULARY), packing.IdBytes(VOCABULARY)
+    texts = [" " * 4094, "a" + " " * 4094 + "b", "\n" * 9000 + "x", "x" * 1500 + "\u3000" * 5000, " " * 3_000_000 + "x"]
+    assert own.encode(texts) == [np.array(library.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+
+
+def test_a_vocabulary_whose_merges_are_no_ranks_is_left_to_the_library(tmp_path):
+    """``abc`` is a token, but b and c join first, and then nothing joins a to bc."""
+    vocab = {c: i for i, c in enumerate(byte_alphabet())} | {"bc": 256, "ab": 257, "abc": 258}
+    library = Tokenizer(models.BPE(vocab, [("b", "c"), ("a", "b"), ("ab", "c")]))
+    library.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False)
+    library.save(path := str(tmp_path / "own.json"))
+    texts = ["abc", "aabcc ab", "", "é abc\n"]
+    expected = [np.array(library.encode(t).ids, "<u4").tobytes() for t in texts]
+    assert packing.as_ranks(path) is None and packing.as_ranks(VOCABULARY)
+    assert packing.IdBytes(path).encode(texts) == expected
+
+
 def test_lengths_out_of_range_are_an_error(spark):
     with pytest.raises(Exception, match="lengths must be"):
         pack(spark.createDataFrame([(1, 4000)], "doc_id long, length long")).collect()

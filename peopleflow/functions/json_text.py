@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -24,13 +25,18 @@ def closed(value: str | Column) -> Column:
 
     JSON functions stop where the first object ends and ignore the rest. With the field put before
     the last brace, an object that ends earlier, or not at all, lacks it. NULL without a last brace.
+    Most messages have no blanks around the last brace, and are not searched for them.
     """
     value = F.col(value) if isinstance(value, str) else value
+    own = ~F.contains(value, F.lit(END))
+    loose = [value.endswith(f"{before}}}") for before in f"{_BLANKS}{{"]
+    plain = value.endswith("}") & ~reduce(Column.__or__, loose)
+    most = F.substring(value, F.lit(1), F.length(value) - 1)
     text = F.rtrim(value, F.lit(_BLANKS))
     head = F.rtrim(F.substring(text, F.lit(1), F.length(text) - 1), F.lit(_BLANKS))
     comma = F.when(head.endswith("{"), F.lit("")).otherwise(F.lit(","))
-    usable = text.endswith("}") & ~F.contains(value, F.lit(END))
-    return F.when(usable, F.concat(head, comma, F.lit(f'"{END}":7}}')))
+    searched = F.when(text.endswith("}") & own, F.concat(head, comma, F.lit(f'"{END}":7}}')))
+    return F.when(plain & own, F.concat(most, F.lit(f',"{END}":7}}'))).otherwise(searched)
 
 
 def is_message(value: str | Column) -> Column:

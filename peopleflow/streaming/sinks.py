@@ -10,10 +10,14 @@ from pyspark.sql.types import LongType, StructField, StructType
 from peopleflow import versions
 from peopleflow.session import ROCKSDB
 
-# For state with a row per id: kept in RocksDB, off the JVM heap, uploading changes only.
+# For state with a row per id: kept in RocksDB, off the JVM heap, uploading changes only. Its rows are
+# not counted, which would look up every id once more before it is written. A task reads no more of a
+# log than it can sort in memory, however much a micro-batch admits.
 LARGE_STATE = {
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
+    "spark.sql.files.maxPartitionBytes": "16m",
 }
 
 # Changes after which a snapshot is made: so many if they weigh as much as the last one, so many in any case.

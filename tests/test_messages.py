@@ -1,4 +1,5 @@
 from conftest import SF_DIR
+from peopleflow.functions.json_text import is_message
 from peopleflow.operators.messages import fanout, parse_messages
 from peopleflow.operators.synth import generate_people
 from peopleflow.schemas import TOPIC_FIELDS, topic_schema
@@ -62,3 +63,10 @@ def test_live_report_counts_bad_messages_under_null(spark, log):
     assert rows == {"CDMX": (2, 20.5), None: (1, None), "Jalisco": (1, None)}
     kept = {r.estado for r in live_people_by_state(messages, drop_malformed=True).collect()}
     assert kept == {"CDMX", "Jalisco"}
+
+
+def test_blanks_around_the_last_brace_do_not_matter(spark):
+    good = ["{}", "{ }", "{\n}\r", '{"a":1}', '{"a":1 }', '{"a":1}\t ', '{"a":{}}', '{"a":{}\n}']
+    bad = ["}", "", "{", "{}}", '{"a":1}}', '{"a":1} x', '{"a":1}{}', '{"a":1,}', "[{}]"]
+    rows = texts(spark, *good, *bad, None).select("value", is_message("value").alias("whole")).collect()
+    assert {r.value for r in rows if r.whole} == set(good)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from peopleflow.operators.merge import merge_messages
 from peopleflow.operators.synth import generate_people
-from peopleflow.plans import inputs
+from peopleflow.plans import catalogue, inputs
 from peopleflow.operators.messages import fanout
 from peopleflow.schemas import KEY
 from peopleflow.sources.topics import (
@@ -264,3 +264,21 @@ def test_kafka_options():
 def test_kafka_needs_its_connector(spark):
     with pytest.raises(Exception, match="(?i)kafka"):
         stream_topics(spark, "localhost:9092", ["x"])
+
+
+def test_a_replayed_log_has_bounded_files_and_no_batch_for_the_rest(spark, tmp_path, monkeypatch):
+    """Files do not grow with the log, as tasks would, and a last batch for a few files is not worth its state."""
+    monkeypatch.setattr(catalogue, "REPLAY_ROWS", 50, raising=False)
+    stored = str(tmp_path / "log")
+    monkeypatch.setattr(catalogue, "new_path", lambda spark, label: stored)
+    log = spark.range(0, 4000, 1, 3).selectExpr(
+        "'t' AS topic", "0 AS partition", "id AS offset", "timestamp_seconds(id) AS timestamp", "sha2('' || id, 512) AS value"
+    )
+    messages = catalogue._replayed(spark, log)
+    files = spark.read.parquet(stored).groupBy(F.input_file_name()).count().collect()
+    assert len(files) >= 80 and max(n for _, n in files) <= 50
+    query = sinks.start_append(messages, str(tmp_path / "out"), str(tmp_path / "cp"))
+    query.awaitTermination()
+    assert len([p for p in query.recentProgress if p.numInputRows]) == catalogue.REPLAY_BATCHES
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 4000
+    assert sinks.LARGE_STATE["spark.sql.files.maxPartitionBytes"] == "16m"

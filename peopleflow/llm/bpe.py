@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from array import array
+from itertools import pairwise
 
 import numpy as np
 import public_tokenizers
@@ -34,15 +34,14 @@ def encode(
     def make(columns):
         table = encoder(path or public_tokenizers.path(RANKS), pattern)
         for column in columns:
-            yield [lists_of(table.encode_all(as_list(column)))]
+            yield [lists_of(*table.encode_all(as_list(column)))]
 
     return add_columns(df, text, [T.StructField(out, T.ArrayType(T.IntegerType()))], make)
 
 
-def lists_of(blobs: list[bytes]) -> pa.Array:
-    """Ids as bytes to a column of lists."""
-    offsets = np.cumsum([0, *map(len, blobs)], dtype=np.int64) // 4
-    return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(np.frombuffer(b"".join(blobs), np.int32)))
+def lists_of(ids: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """Ids of rows, one after another, and the rows' ends to a column of lists."""
+    return pa.ListArray.from_arrays(pa.array(np.r_[0, ends].astype(np.int32)), pa.array(ids))
 
 
 def round_trip(
@@ -59,8 +58,9 @@ def round_trip(
         file = path or public_tokenizers.path(RANKS)
         table, back = encoder(file, pattern), decoder(file)
         for column in columns:
-            blobs = table.encode_all(as_list(column))
-            yield [lists_of(blobs), pa.array([back.decode(array("i", b).tolist()) for b in blobs], pa.string())]
+            flat, ends = table.encode_all(as_list(column))
+            texts = [back.decode(flat[a:b].tolist()) for a, b in pairwise([0, *ends.tolist()])]
+            yield [lists_of(flat, ends), pa.array(texts, pa.string())]
 
     fields = [T.StructField(ids, T.ArrayType(T.IntegerType())), T.StructField(out, T.StringType())]
     return add_columns(df, text, fields, make)

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import base64
 import re
+from collections.abc import Iterator
 from functools import lru_cache
 
 import regex
@@ -22,6 +23,15 @@ def chunks(text: str) -> list[str]:
     return _CUT.split(text)
 
 
+def segments(text: str, chars: int) -> Iterator[str]:
+    """Parts of a text of at least so many characters but the last, cut before single inner spaces."""
+    at = 0
+    while len(text) - at > chars and (found := _CUT.search(text, at + chars)):
+        yield text[at : found.start()]
+        at = found.start()
+    yield text[at:] if at else text
+
+
 @lru_cache(maxsize=8)
 def splitter(pattern: str):
     return regex.compile(pattern).findall

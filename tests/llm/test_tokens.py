@@ -1,5 +1,6 @@
 """Encoding, counting and packing against the public tokenizer libraries."""
 
+import base64
 import hashlib
 import random
 import time
@@ -12,7 +13,7 @@ import tiktoken
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer, models, pre_tokenizers
 
-from peopleflow.llm import packing
+from peopleflow.llm import packing, transducer
 from peopleflow.llm.bpe import decode, encode
 from peopleflow.llm.packing import best_fit_decreasing, cut_pieces, lower_bound, pack
 from peopleflow.llm.pretokens import byte_alphabet, read_ranks
@@ -51,6 +52,65 @@ def test_transducer_forgets_without_changing_results():
         assert small.encode(text.encode()) == large.encode(text.encode())
 
 
+def own_words(r, n):
+    parts = "the and ing er re in on an en ti st es or te of ed is it al ar to nt ou ha se".split()
+    return " ".join("".join(r.choices(parts, k=r.randrange(2, 7))) for _ in range(n))
+
+
+def test_rare_words_of_known_parts_take_little_more_than_the_library():
+    """Words met once, as most are in a large corpus: their moves are known, so no word should cost a search of its own."""
+    library, r = Tokenizer.from_file(VOCABULARY), random.Random(8)
+    own = Encoder(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    own.encode_all([own_words(r, 500) for _ in range(1000)])
+    texts = [own_words(r, 500) for _ in range(1000)]
+    (ids, ends), took = spent(lambda: own.encode_all(texts))
+    expected, most = spent(lambda: [library.encode(t, add_special_tokens=False).ids for t in texts])
+    assert ends.tolist() == np.cumsum([len(x) for x in expected]).tolist()
+    assert ids.tolist() == [i for x in expected for i in x]
+    assert took < 1.3 * most
+
+
+def test_blocks_segments_and_slices_do_not_change_ids(monkeypatch):
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=RANKS, special_tokens={})
+    r = random.Random(12)
+    texts = [*random_texts(400, seed=21), "", " ", "a", " a", "a ", "a b \n", "a b\u3000", "\x1c a\x1c b", "é" * 400 + " b c", own_words(r, 300)]
+    texts += ["x" * 5000 + " y " + "ab" * 200 + "\n z", "a b", "a b", " \n a  b"]
+    expected = [library.encode_ordinary(t) for t in texts]
+    for chars, size, abreast, limit in ((4_000_000, 1 << 18, 256, 600_000), (1, 8, 4, 40), (50, 64, 12, 500)):
+        monkeypatch.setattr(transducer, "BLOCK_CHARS", chars)
+        monkeypatch.setattr(transducer, "SLICE_BYTES", size)
+        monkeypatch.setattr(transducer, "ABREAST", abreast)
+        monkeypatch.setattr(transducer, "MEMO_ENTRIES", limit)
+        ids, ends = Encoder(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN).encode_all(texts)
+        assert [x.tolist() for x in np.split(ids, ends[:-1])] == expected
+    ids, ends = Encoder(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN).encode_all([])
+    assert len(ids) == len(ends) == 0
+
+
+def test_own_ranks_and_patterns_that_leave_out_characters(tmp_path):
+    """``abcd`` is a token that no merges reach, so only a whole piece is it; the pattern knows lower-case letters alone."""
+    ranks = {bytes([b]): b for b in range(256)} | {b"bc": 256, b"ab": 257, b"abcd": 258, b" ab": 259}
+    (tmp_path / "own").write_text("".join(f"{base64.b64encode(t).decode()} {i}\n" for t, i in ranks.items()))
+    texts = ["abcd abcde", "xabcd ab abcd", "é ab1 2 cab 3", "1 2 3", "ab abc ab", ""]
+    for pattern in (r" ?[a-z]+", public_tokenizers.PATTERN):
+        library = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        own = Encoder(str(tmp_path / "own"), pattern)
+        assert [own.encode(t) for t in texts] == [library.encode_ordinary(t) for t in texts]
+        ids, ends = own.encode_all(texts)
+        assert [x.tolist() for x in np.split(ids, ends[:-1])] == [library.encode_ordinary(t) for t in texts]
+
+
+def test_moves_are_found_again_in_the_table():
+    table, r, known = transducer.MoveTable(2), random.Random(2), {}
+    for _ in range(60):
+        new = {r.randrange(1 << 40): r.randrange(1 << 50) for _ in range(r.randrange(40))}
+        new = {k: v for k, v in new.items() if k not in known}
+        table.put(np.array([*new], np.int64), np.array([*new.values()], np.int64))
+        known |= new
+        asked = [*known, *(r.randrange(1 << 40) for _ in range(50))]
+        assert table.get(np.array(asked, np.int64)).tolist() == [known.get(k, -1) for k in asked]
+
+
 def test_neighbours_follow_the_definition():
     table, r = MergeTransducer(RANKS), random.Random(3)
     for _ in range(2000):

@@ -7,7 +7,8 @@ the end of the last. Phrases overlap by LENGTH - 1 bytes, so no string is lost b
 
 Dictionary. Equal phrases have equal strings. Of each distinct phrase only the first occurrence in
 corpus order matters further; all later ones are repeats as a whole. Strings of different
-phrases can only be equal if the phrases have the same trigger.
+phrases can only be equal if the phrases have the same trigger. So the phrases meet by trigger, in
+packed rows of many; the texts are parsed once, and what is still unclear then is cut out of them.
 
 Suffix order. The distinct phrases of a trigger are put into the order of their suffixes; suffixes
 that agree in LENGTH bytes are neighbours in it, and the places of their phrases in the parse tell
@@ -20,7 +21,6 @@ from __future__ import annotations
 import hashlib
 import zlib
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 from peopleflow.llm.common import add_columns, documents, ship
 from peopleflow.llm.groups import runs
 from peopleflow.llm.minhash import mix, powers
-from peopleflow.session import stage
+from peopleflow.session import session_conf, stage
 
 LENGTH = 100
 K_GRAM = 32
@@ -43,6 +43,9 @@ BITS_EACH, FILTER_BITS, SEGMENT_BITS = 16, 28, 6
 #: Bytes of phrases whose strings are put in order together, and strings that are compared at a time.
 ORDERED, COMPARED = 1_000_000, 100_000
 
+#: Bytes of text whose phrases meet in a bin, about, and bytes of rows that a Python worker gets at a time.
+BIN_BYTES, BATCH_BYTES = 1 << 22, 1 << 24
+
 #: Distinct phrases of a trigger from which their strings are dealt one by one.
 HOT = 5000
 
@@ -55,6 +58,12 @@ STRINGS, STARTS = 7, 41
 #: What tells where a phrase occurs, in the order of the corpus.
 PLACE = ("doc", "digest", "place")
 
+#: What workers are given at a time; and shuffles that a written table was made of go with the query.
+SETTINGS = {
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(BATCH_BYTES),
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+}
+
 _random = np.random.default_rng(20240817)
 _BYTE = _random.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -112,13 +121,14 @@ def places(start: np.ndarray, many: np.ndarray, mark: int) -> np.ndarray:
     return mark << STARTS + STRINGS | start << STRINGS | (many - 1)
 
 
-def as_ranges(places: DataFrame, length: int) -> DataFrame:
-    """``doc, digest, mark, start, end``: the bytes that phrases at ``doc, digest, place`` cover."""
-    place = F.col("place")
-    start = F.shiftright(place, STRINGS).bitwiseAND(F.lit((1 << STARTS) - 1))
-    end = start + place.bitwiseAND(F.lit((1 << STRINGS) - 1)) + length
-    mark = F.shiftright(place, STARTS + STRINGS)
-    return places.select("doc", "digest", mark.alias("mark"), start.alias("start"), end.alias("end"))
+def place_mark() -> Column:
+    return F.shiftright("place", STARTS + STRINGS)
+
+
+def ranges(place: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Where the bytes that phrases cover start and end in their text."""
+    start = place >> STRINGS & (1 << STARTS) - 1
+    return start, start + (place & (1 << STRINGS) - 1) + length
 
 
 def place_hash(doc: np.ndarray, digest: np.ndarray, place: np.ndarray) -> np.ndarray:
@@ -149,16 +159,17 @@ class Filter:
         return held
 
 
-def make_filters(found: DataFrame, column: str) -> Iterator[Broadcast]:
+def make_filters(found: DataFrame, column: str, most: int | None = None) -> Iterator[Broadcast]:
     """Filters of a column of hashes, a written table, one after the other; each is released before the next.
 
     A filter has BITS_EACH bits or more for each of its hashes, and at most 2 ** FILTER_BITS: where more are
-    needed, there are more filters. Every segment of bits is made in one task, and sent packed. Hashes are
+    needed, there are more filters, ``most`` of them; fuller ones let more strangers through. Every segment of bits is made in one task, and sent packed. Hashes are
     mixed again, since triggers are minima and so crowd among the small numbers.
     """
     needed = max(1, BITS_EACH * found.count())
     log = min(max((needed - 1).bit_length(), SEGMENT_BITS + 3), FILTER_BITS)
     parts = -(-needed // (1 << FILTER_BITS))
+    parts = parts if most is None else min(parts, most)
     size = 1 << log - SEGMENT_BITS
     spark, schema = found.sparkSession, "segment bigint, bits binary"
     ship(spark)
@@ -201,7 +212,7 @@ def make_filters(found: DataFrame, column: str) -> Iterator[Broadcast]:
 
 def any_filter(found: DataFrame, column: str) -> Broadcast:
     """One filter of at most 2 ** FILTER_BITS, for uses where holding too much only costs time."""
-    return next(make_filters(found, column))
+    return next(make_filters(found, column, 1))
 
 
 def parsed(batch: pa.RecordBatch, length: int, shared: Broadcast | None = None):
@@ -224,44 +235,98 @@ def behind(new: np.ndarray, *at: np.ndarray) -> np.ndarray:
     return np.any([x != x[first] for x in at], axis=0)
 
 
-def repeated_triggers(texts: DataFrame, length: int) -> DataFrame:
-    """Hashes of triggers that start more than one phrase."""
+def packed(bins: np.ndarray, *columns: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
+    """The rows of each bin as one value, byte by byte of the numbers, so that equal high bytes stand together."""
+    order = np.argsort(bins, kind="stable")
+    bins = bins[order]
+    rows = np.stack([x[order].view(np.int64) for x in columns], 1).view(np.uint8)
+    first = np.flatnonzero(np.r_[True, bins[1:] != bins[:-1]][: len(bins)])
+    ends = [*first[1:].tolist(), len(bins)]
+    return bins[first], [rows[a:b].T.tobytes() for a, b in zip(first.tolist(), ends)]
+
+
+def unpacked(values: list[bytes], width: int) -> list[np.ndarray]:
+    """The columns that `packed` took, those of all values one after the other."""
+    parts = [np.frombuffer(x, np.uint8).reshape(8 * width, -1).T for x in values]
+    rows = np.ascontiguousarray(np.concatenate([np.zeros((0, 8 * width), np.uint8), *parts])).view(np.int64)
+    return [np.ascontiguousarray(x) for x in rows.T]
 
-    def count(batches):
-        for batch in batches:
-            found = [x[-1][0] for x in parsed(batch, length)]
-            value, n = np.unique(np.concatenate([np.zeros(0, np.uint64), *found]), return_counts=True)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(value.view(np.int64)), pa.array(np.minimum(n, 2))], names=["trigger", "n"]
-            )
 
-    found = texts.mapInArrow(count, "trigger bigint, n bigint")
-    return stage(found.groupBy("trigger").agg(F.sum("n").alias("n")).filter("n > 1").select("trigger"), "triggers")
+def met_again(found: np.ndarray) -> np.ndarray:
+    """Which numbers occur more than once."""
+    order = np.argsort(found)
+    same = found[order[1:]] == found[order[:-1]]
+    out = np.zeros(len(found), bool)
+    out[order[1:]] = same
+    out[order[:-1]] |= same
+    return out
 
 
-def occurrences(texts: DataFrame, wanted: Broadcast, shared: Broadcast | None, length: int) -> DataFrame:
-    """Phrases with repeated triggers; those a batch holds twice are already told as repeats (``later``)."""
+def firsts(trigger: np.ndarray, phrase: np.ndarray, *place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of each phrase the row that comes first in the corpus, by triggers, and the rows that are elsewhere."""
+    order = np.lexsort((*place[::-1], phrase, trigger))
+    trigger, phrase, *place = (x[order] for x in (trigger, phrase, *place))
+    new = np.r_[True, (trigger[1:] != trigger[:-1]) | (phrase[1:] != phrase[:-1])][: len(order)]
+    return order[new], order[behind(new, *place)]
+
+
+def occurrences(texts: DataFrame, shared: Broadcast | None, bins: int, length: int) -> DataFrame:
+    """The phrases of all texts as packed rows: ``bin, told, rows``, by their triggers.
+
+    Of a phrase that a batch holds again only the first goes on; the others, told as repeats, are dealt by their places.
+    """
 
     def find(batches):
         for batch in batches:
             rows = [(*(np.zeros(0, np.uint64),) * 2, *(np.zeros(0, np.int64),) * 3)]
             for _, doc, digest, mark, (trigger, phrase, start, many) in parsed(batch, length, shared):
-                ok = wanted.value.holds(trigger)
-                own = places(start[ok], many[ok], mark)
-                text = (np.full(len(own), x, np.int64) for x in (doc, digest))
-                rows.append((trigger[ok], phrase[ok], *text, own))
-            trigger, phrase, doc, digest, place = (np.concatenate(x) for x in zip(*rows))
-            order = np.lexsort((place, digest, doc, phrase, trigger))
-            trigger, phrase, doc, digest, place = (x[order] for x in (trigger, phrase, doc, digest, place))
-            new = np.r_[True, (trigger[1:] != trigger[:-1]) | (phrase[1:] != phrase[:-1])][: len(order)]
-            later = behind(new, doc, digest, place)
-            arrays = [trigger.view(np.int64), phrase.view(np.int64), doc, digest, place, later]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(x) for x in arrays], names=["trigger", "phrase", *PLACE, "later"]
-            )
-
-    schema = "trigger bigint, phrase bigint, doc bigint, digest bigint, place bigint, later boolean"
-    return stage(texts.mapInArrow(find, schema), "phrases")
+                text = (np.full(len(start), x, np.int64) for x in (doc, digest))
+                rows.append((trigger, phrase, *text, places(start, many, mark)))
+            rows = [np.concatenate(x) for x in zip(*rows)]
+            again = np.flatnonzero(met_again(mix(rows[0] + mix(rows[1]))))
+            first, later = firsts(*(x[again] for x in rows))
+            once = np.ones(len(rows[0]), bool)
+            once[again] = False
+            once[again[first]] = True
+            later = again[later]
+            own = [x[once] for x in rows]
+            yield dealt((mix(own[0]) % np.uint64(bins)).astype(np.int64), False, own)
+            own = [x[later] for x in rows[2:]]
+            yield dealt((place_hash(*own) % np.uint64(bins)).astype(np.int64), True, own)
+
+    def dealt(bins, told, columns):
+        at, values = packed(bins, *columns)
+        arrays = [pa.array(at), pa.array([told] * len(at), pa.bool_()), pa.array(values, pa.binary())]
+        return pa.RecordBatch.from_arrays(arrays, names=["bin", "told", "rows"])
+
+    return texts.mapInArrow(find, "bin bigint, told boolean, rows binary")
+
+
+def compared(found: DataFrame) -> DataFrame:
+    """Where phrases occur that are repeats, and those that are not clear yet: ``doc, digest, place, trigger``.
+
+    The trigger is null for repeats. Unclear is the first occurrence of a phrase whose trigger has others.
+    """
+
+    def meet(batches):
+        for table in runs(batches, ["bin"]):
+            told = np.array(table["told"].to_pylist(), bool)
+            values = table["rows"].to_pylist()
+            yield batch(unpacked([x for x, t in zip(values, told) if t], len(PLACE)))
+            trigger, *rows = unpacked([x for x, t in zip(values, told) if not t], 2 + len(PLACE))
+            again = met_again(trigger)
+            trigger, phrase, *place = (x[again] for x in (trigger, *rows))
+            first, later = firsts(trigger, phrase, *place)
+            yield batch([x[later] for x in place])
+            first = first[met_again(trigger[first])]
+            yield batch([x[first] for x in place], trigger[first])
+
+    def batch(place, trigger=None):
+        last = pa.nulls(len(place[0]), pa.int64()) if trigger is None else pa.array(trigger)
+        return pa.RecordBatch.from_arrays([*map(pa.array, place), last], names=[*PLACE, "trigger"])
+
+    rows = found.repartition("bin").sortWithinPartitions("bin")
+    return stage(rows.mapInArrow(meet, "doc bigint, digest bigint, place bigint, trigger bigint"), "phrases")
 
 
 def classes(data: np.ndarray, begin: np.ndarray, length: int) -> np.ndarray:
@@ -342,32 +407,43 @@ def joined(doc: np.ndarray, digest: np.ndarray, place: np.ndarray) -> tuple[np.n
     return doc[first], digest[first], start[first] << STRINGS | sizes - 1
 
 
-def dictionary(
-    texts: DataFrame, wanted: Broadcast, hot: Broadcast, shared: Broadcast | None, length: int
-) -> DataFrame:
+def beside(rows: DataFrame, found: DataFrame, texts: DataFrame, shared: Broadcast | None, how: str) -> DataFrame:
+    """Join to ``rows`` (``doc, mark, data`` and others) what is ``found`` of their texts (``doc, digest, mark``)."""
+    if shared is None:
+        return rows.join(found, ["doc", "mark"], how)
+    # Ids that the filter does not hold have one text each, so the id gives its digest.
+    own = texts.withColumnRenamed("digest", "text")
+    found = found.filter("digest = 0").join(own, "doc").unionByName(found.filter("digest <> 0").withColumn("text", F.col("digest")))
+    return rows.withColumn("text", sql_digest("data")).join(found, ["doc", "text", "mark"], how).drop("text")
+
+
+def dictionary(unclear: DataFrame, hot: Broadcast, length: int) -> DataFrame:
     """The bytes of phrases that must be put in order, by trigger: ``bin, doc, digest, place, phrase``.
 
-    Strings of hot triggers are dealt one by one, by their own hash; of those equal in a batch the
-    first is dealt and the others, told as repeats, have no phrase.
+    ``unclear`` are texts with their phrases: ``doc, digest, data, phrases``. Strings of hot triggers are dealt one by
+    one, by their own hash; of those equal in a batch the first is dealt and the others, told as repeats, have no phrase.
     """
 
     def find(batches):
         for batch in batches:
             bins, own, phrases = [], [], []
             hot_places, hot_phrases = [], []
-            for data, doc, digest, mark, (trigger, _, start, many) in parsed(batch, length, shared):
-                place = places(start, many, mark)
-                text = (np.full(len(place), x, np.int64) for x in (doc, digest))
-                ok = wanted.value.holds(place_hash(*text, place))
-                often = ok & hot.value.holds(trigger)
-                for k in np.flatnonzero(ok & ~often).tolist():
-                    bins.append(trigger[k].view(np.int64))
-                    own.append((doc, digest, place[k]))
-                    phrases.append(data[start[k] : start[k] + many[k] - 1 + length].tobytes())
-                for k in np.flatnonzero(often).tolist():
-                    for s in range(start[k], start[k] + many[k]):
+            docs, digests = (batch.column(k).to_pylist() for k in (0, 1))
+            for doc, digest, held, listed in zip(docs, digests, batch.column(2), batch.column(3)):
+                data = held.as_py()
+                place, trigger = (listed.values.field(k).to_numpy() for k in (0, 1))
+                often = hot.value.holds(trigger.view(np.uint64))
+                rows = (x.tolist() for x in (place, trigger, often, *ranges(place, length)))
+                for at, bin_, dealt, a, b in zip(*rows):
+                    if not dealt:
+                        bins.append(bin_)
+                        own.append((doc, digest, at))
+                        phrases.append(data[a:b])
+                        continue
+                    mark = at >> STARTS + STRINGS
+                    for s in range(a, b - length + 1):
                         hot_places.append((doc, digest, mark << STARTS + STRINGS | s << STRINGS))
-                        hot_phrases.append(data[s : s + length].tobytes())
+                        hot_phrases.append(data[s : s + length])
             seen: dict[bytes, tuple[int, int, int]] = {}
             for k in sorted(range(len(hot_places)), key=hot_places.__getitem__):
                 first = seen.setdefault(hot_phrases[k], hot_places[k]) == hot_places[k]
@@ -379,31 +455,22 @@ def dictionary(
             yield pa.RecordBatch.from_arrays(arrays, names=["bin", *PLACE, "phrase"])
 
     schema = "bin bigint, doc bigint, digest bigint, place bigint, phrase binary"
-    return stage(texts.mapInArrow(find, schema), "dictionary")
-
-
-def repeated_ranges(texts: DataFrame, shared: Broadcast | None, length: int) -> DataFrame:
-    """Byte ranges of ``texts`` (``doc, text``) that earlier text covers: ``doc, digest, mark, start, end``."""
-    ship(texts.sparkSession)
-    triggers = repeated_triggers(texts, length)
-    found = all_of(occurrences(texts, wanted, shared, length) for wanted in make_filters(triggers, "trigger"))
-    once = found.filter("not later")
-    first = once.groupBy("trigger", "phrase").agg(F.min(F.struct(*PLACE)).alias("first"))
-    first = stage(first.select("trigger", "phrase", "first"), "first")
-    others = once.join(first, ["trigger", "phrase"])
-    others = others.filter(F.struct(*PLACE) != F.col("first"))
-    whole = found.filter("later").select(*PLACE).unionByName(others.select(*PLACE))
-    kinds = stage(first.groupBy("trigger").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "kinds")
-    unclear = first.join(kinds, "trigger").select("first.*")
-
-    def place_hashes(batches):
-        for batch in batches:
-            found = place_hash(*(batch.column(k).to_numpy(zero_copy_only=False) for k in range(len(PLACE))))
-            yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64))], names=["place"])
+    return stage(unclear.select("doc", "digest", "data", "phrases").mapInArrow(find, schema), "dictionary")
 
-    unclear = stage(unclear.mapInArrow(place_hashes, "place bigint"), "unclear")
-    hot = any_filter(kinds.filter(F.col("n") > HOT), "trigger")
-    phrases = all_of(dictionary(texts, wanted, hot, shared, length) for wanted in make_filters(unclear, "place"))
+
+def repeated_places(
+    rows: DataFrame, texts: DataFrame, shared: Broadcast | None, bins: int, length: int
+) -> DataFrame:
+    """Where ``rows`` (``doc, mark, data``) hold what earlier text holds: ``doc, digest, place``."""
+    ship(rows.sparkSession)
+    found = compared(occurrences(rows.select("doc", "data"), shared, bins, length))
+    unclear = found.filter("trigger IS NOT NULL")
+    kinds = unclear.groupBy("trigger").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > HOT).select("trigger")
+    hot = any_filter(stage(kinds, "kinds"), "trigger")
+    own = unclear.groupBy("doc", "digest", place_mark().alias("mark")).agg(
+        F.collect_list(F.struct("place", "trigger")).alias("phrases")
+    )
+    phrases = dictionary(beside(rows.select("doc", "mark", "data"), own, texts, shared, "inner"), hot, length)
 
     def order(batches):
         for table in whole_bins(batches):
@@ -417,13 +484,8 @@ def repeated_ranges(texts: DataFrame, shared: Broadcast | None, length: int) ->
 
     dealt = phrases.filter("phrase IS NOT NULL").repartition("bin").sortWithinPartitions("bin")
     parts = dealt.mapInArrow(order, "doc bigint, digest bigint, place bigint")
-    told = whole.unionByName(phrases.filter("phrase IS NULL").select(*PLACE))
-    return as_ranges(parts.unionByName(told), length)
-
-
-def all_of(parts: Iterator[DataFrame]) -> DataFrame:
-    """The rows of all parts, each of which is written before the next is begun."""
-    return reduce(DataFrame.unionByName, list(parts))
+    told = found.filter("trigger IS NULL").unionByName(phrases.filter("phrase IS NULL"), allowMissingColumns=True)
+    return parts.unionByName(told.select(*PLACE))
 
 
 def remove_repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
@@ -440,20 +502,18 @@ def remove_repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text", le
     doc = F.coalesce(F.col(doc_id).cast("long"), F.lit(-(2**63)))
     data = F.coalesce(F.col(text), F.lit("")).cast("binary")
     rows = df.select(F.col(doc_id).alias("doc_id"), doc.alias("doc"), data.alias("data"))
-    texts = stage(rows.select("doc", sql_digest("data").alias("digest")).distinct(), "texts")
-    several = stage(texts.groupBy("doc").count().filter("count > 1").select("doc"), "several")
-    shared = None if several.isEmpty() else any_filter(several, "doc")
-    found = repeated_ranges(rows.select("doc", "data"), shared, length)
-    found = found.groupBy("doc", "digest", "mark").agg(F.collect_list(F.struct("start", "end")).alias("ranges"))
-    found = stage(found, "ranges")
     rows = rows.withColumn("mark", F.crc32("data").bitwiseAND(F.lit(0x7FFF)))
-    if shared is None:
-        rows = rows.join(found, ["doc", "mark"], "left")
-    else:
-        # Ids that the filter does not hold have one text each, so the id gives its digest.
-        alone = found.filter("digest = 0").drop("digest").join(texts, "doc")
-        found = found.filter("digest <> 0").unionByName(alone)
-        rows = rows.withColumn("digest", sql_digest("data")).join(found, ["doc", "digest", "mark"], "left")
+    with session_conf(df.sparkSession, SETTINGS):
+        texts = rows.groupBy("doc", sql_digest("data").alias("digest")).agg(F.sum(F.octet_length("data")).alias("size"))
+        texts = stage(texts, "texts")
+        total = texts.agg(F.sum("size")).first()[0] or 0
+        texts = texts.drop("size")
+        several = stage(texts.groupBy("doc").count().filter("count > 1").select("doc"), "several")
+        shared = None if several.isEmpty() else any_filter(several, "doc")
+        found = repeated_places(rows, texts, shared, 1 + total // BIN_BYTES, length)
+        found = found.groupBy("doc", "digest", place_mark().alias("mark")).agg(F.collect_list("place").alias("ranges"))
+        found = stage(found, "ranges")
+    rows = beside(rows, found, texts, shared, "left")
     rows = rows.select("doc_id", F.struct("data", "ranges").alias("both"))
 
     def make(columns):
@@ -463,7 +523,7 @@ def remove_repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text", le
                 data = data.as_py()
                 mark = np.zeros(len(data) + 1, np.int64)
                 if listed.is_valid and len(listed):
-                    start, end = (listed.values.field(k).to_numpy() for k in (0, 1))
+                    start, end = ranges(listed.values.to_numpy(), length)
                     np.add.at(mark, start, 1)
                     np.add.at(mark, end, -1)
                 gone = np.cumsum(mark)[:-1] > 0

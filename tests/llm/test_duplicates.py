@@ -154,6 +154,50 @@ def test_filters_let_few_strangers_through(spark, monkeypatch):
     assert filters == 5 and (held == 1).all() and let.max() <= 1 and let.mean() < 0.04
 
 
+def test_small_filters_cost_no_more_passes_over_the_texts(spark, monkeypatch):
+    r = random.Random(13)
+    passages = ["".join(r.choice("abcdefgh ") for _ in range(150)) for _ in range(12)]
+    rows = [(i, "".join(r.choice("abcdefgh ") for _ in range(60)) + r.choice(passages) * 2) for i in range(80)]
+    read = []
+    for filter_bits in (28, 10):
+        monkeypatch.setattr(repeats, "FILTER_BITS", filter_bits)
+        seen = spark.sparkContext.accumulator(0)
+
+        def count(batches, seen=seen):
+            for batch in batches:
+                seen.add(batch.num_rows)
+                yield batch
+
+        docs = spark.createDataFrame([(i, t, "c") for i, t in rows], DOCS).mapInArrow(count, DOCS)
+        out = sorted((x.doc_id, bytes(x.kept), sum(s.end - s.start for s in x.spans)) for x in remove_repeats(docs).collect())
+        assert out == brute_repeats(rows, 100)
+        read.append(seen.value)
+    assert read[0] == read[1] <= 4 * len(rows)
+
+
+def test_repeats_of_phrases_dealt_over_many_bins(spark, monkeypatch):
+    """Also of phrases that a batch holds again, and of rows that come twice."""
+    monkeypatch.setattr(repeats, "BIN_BYTES", 50)
+    r = random.Random(17)
+    passage = "".join(r.choice("abcdé ") for _ in range(500))
+    rows = [(i, passage[r.randrange(200) : r.randrange(250, 500)] + str(i) * 30 + passage[: r.randrange(300)]) for i in range(30)]
+    docs = spark.createDataFrame([(i, t, "c") for i, t in rows * 2], DOCS).repartition(3)
+    out = {(x.doc_id, bytes(x.kept), sum(s.end - s.start for s in x.spans)) for x in remove_repeats(docs).collect()}
+    assert sorted(out) == brute_repeats(rows, 100)
+
+
+def test_packed_rows_come_back():
+    r = np.random.default_rng(3)
+    bins, columns = r.integers(0, 7, 500), r.integers(-(2**63), 2**63 - 1, (3, 500))
+    at, values = repeats.packed(bins, *columns)
+    assert at.tolist() == sorted(set(bins.tolist()))
+    order = np.argsort(bins, kind="stable")
+    assert (np.array(repeats.unpacked(values, 3)) == columns[:, order]).all()
+    assert [len(x) for x in repeats.unpacked([], 3)] == [0, 0, 0]
+    assert repeats.packed(bins[:0], *columns[:, :0])[1] == []
+    assert repeats.met_again(np.array([5, 1, 5, 2, 5, 1])).tolist() == [True, True, True, False, True, True]
+
+
 def test_equal_hashes_of_different_strings_are_told_apart(monkeypatch):
     data = np.frombuffer(random.Random(3).randbytes(400) * 2, np.uint8)
     begin = np.arange(600)

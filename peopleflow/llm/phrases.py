@@ -18,12 +18,12 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from peopleflow.llm.common import documents, ship
+from peopleflow.llm.common import documents, give_back, ship
 from peopleflow.llm.divergence import as_text
 from peopleflow.llm.perfect_hash import KEY_BYTES, PerfectHash, perfect_shards, stored_keys
 from peopleflow.llm.tokens import BORDER, GAP, PART, Cut, blocks, numbered
 from peopleflow.operators.numbering import number_rows
-from peopleflow.session import child_session, new_path, stage
+from peopleflow.session import child_session, new_path, session_conf, stage, unstage
 
 #: Words in a phrase, and the least occurrences of one.
 LONGEST, LEAST = 5, 100
@@ -43,6 +43,24 @@ ROWS = 50_000
 #: Phrases whose dense counts travel in one row.
 SEGMENT = 8192
 
+#: Bytes of rows that a Python worker gets at a time: texts, blocks of numbers, or counts of many tasks. Shuffles that a
+#: written table was made of go with the query.
+SETTINGS = {
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(1 << 22),
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+}
+
+#: A row of numbers is a block of texts, so few rows make a batch, here and in Spark's reader.
+LINES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2", "spark.sql.parquet.columnarReaderBatchSize": "4"}
+
+#: Parquet looks at the sizes of pages and row groups after 100 rows only, and packs a page in buffers outside the heap
+#: that stay; of rows this large it must look after each.
+ROW_BY_ROW = {
+    "parquet.page.size.row.check.min": "1",
+    "parquet.block.size.row.check.min": "1",
+    "parquet.block.size": str(1 << 24),
+}
+
 #: Blanks and tabs part words; stops and line ends also part phrases.
 KINDS = np.full(256, PART, np.int8)
 KINDS[list(b" \t")] = GAP
@@ -86,6 +104,13 @@ def words_of(held: Broadcast) -> dict[str, tuple[PerfectHash, np.ndarray]]:
     return _hashes[0][1]
 
 
+def forget_words() -> None:
+    """Free the hashes of words in this worker: what comes after the encoding reads numbers only."""
+    if _hashes:
+        _hashes.clear()
+        give_back()
+
+
 def packed(word: np.ndarray, keep: np.ndarray, *others: np.ndarray) -> list[np.ndarray]:
     """Arrays over text positions without those that are not to be kept; one 0 stands for a run of them."""
     keep = keep & (word > 0)
@@ -146,15 +171,18 @@ def encoded(docs: DataFrame, shards: DataFrame) -> tuple[DataFrame, DataFrame]:
     for row in shards.orderBy("group", "shard").toLocalIterator():
         own = len(row["keys"]) + KEY_BYTES * row["n"]
         if part and size + own > WORD_BYTES:
-            todo, part, size = stage(encode(todo, spark.sparkContext.broadcast(part), False), "numbers"), [], 0
+            held = spark.sparkContext.broadcast(part)
+            todo, part, size = stage(encode(todo, held, False), "numbers"), [], 0
+            held.unpersist()
         part.append(row.asDict() | {"first": first})
         size += own
         firsts.append((row["group"], row["shard"], first))
         first += row["n"]
     path = new_path(spark, "lines")
-    encode(todo, spark.sparkContext.broadcast(part), True).write.parquet(path)
-    # A row is a block of texts, so few rows make a batch.
-    lines = child_session(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": "2"}).read.parquet(path)
+    held = spark.sparkContext.broadcast(part)
+    encode(todo, held, True).write.options(**ROW_BY_ROW).parquet(path)
+    held.unpersist()
+    lines = child_session(spark, LINES).read.parquet(path)
     firsts = spark.createDataFrame(firsts, "group string, shard bigint, first bigint")
     words = stored_keys(shards).join(firsts, ["group", "shard"])
     return lines, words.select((F.col("first") + F.col("slot")).alias("number"), F.col("group").alias("lang"), "term")
@@ -273,15 +301,18 @@ def candidates(lines: DataFrame, level: int, least: int) -> DataFrame:
         keys, size = np.empty(POSITIONS, np.int64), 0
 
         def flush():
-            own = keys[:size]
-            own.sort()
-            first = np.flatnonzero(np.r_[True, own[1:] != own[:-1]]) if size else np.zeros(0, np.int64)
-            n = np.diff(np.r_[first, size])
-            for at in range(0, len(first), ROWS):
-                key = own[first[at : at + ROWS]]
-                arrays = [(key >> 32).astype(np.int32), (key & 0xFFFFFFFF).astype(np.int32), n[at : at + ROWS]]
+            keys[:size].sort()
+            at = 0
+            while at < size:
+                # Equal keys stay together; nothing as long as all keys is made beside them.
+                end = int(np.searchsorted(keys[:size], keys[min(at + ROWS, size) - 1], "right"))
+                own = keys[at:end]
+                first = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
+                key, at = own[first], end
+                arrays = [(key >> 32).astype(np.int32), (key & 0xFFFFFFFF).astype(np.int32), np.diff(np.r_[first, len(own)])]
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], names=["phrase", "word", "n"])
 
+        forget_words()
         for batch in batches:
             for _, phrase, after in lines_of(batch, level):
                 # The last words of the candidate are the phrase that begins at the next position.
@@ -324,6 +355,7 @@ def counted(lines: DataFrame, level: int, trie: Trie, size: int) -> np.ndarray:
     held = spark.sparkContext.broadcast(trie)
 
     def count(batches):
+        forget_words()
         own = np.zeros(size + 1, np.int64)
         for batch in batches:
             for _, phrase, after in lines_of(batch, level):
@@ -340,9 +372,9 @@ def counted(lines: DataFrame, level: int, trie: Trie, size: int) -> np.ndarray:
     def add(batches):
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
-            for row in batch.to_pylist():
-                own = sums.setdefault(row["at"], np.zeros(SEGMENT, np.int64))
-                own[np.frombuffer(row["place"], np.int32)] += np.frombuffer(row["n"], np.int64)
+            for at, place, n in zip(*batch.columns):
+                own = sums.setdefault(at.as_py(), np.zeros(SEGMENT, np.int64))
+                own[np.frombuffer(place.as_buffer(), np.int32)] += np.frombuffer(n.as_buffer(), np.int64)
         yield from segments(sums.items())
 
     ship(spark)
@@ -363,6 +395,7 @@ def advanced(lines: DataFrame, level: int, trie: Trie, first: int, last: bool) -
     held = lines.sparkSession.sparkContext.broadcast(trie)
 
     def move(batches):
+        forget_words()
         for batch in batches:
             rows = []
             known = batch.column("longer").to_pylist()
@@ -383,7 +416,7 @@ def advanced(lines: DataFrame, level: int, trie: Trie, first: int, last: bool) -
 
     names = ["words", "phrases", "longer"]
     ship(lines.sparkSession)
-    out = stage(lines.mapInArrow(move, "words binary, phrases binary, longer binary"), "lines")
+    out = stage(lines.mapInArrow(move, "words binary, phrases binary, longer binary"), "lines", **ROW_BY_ROW)
     held.unpersist()
     return out
 
@@ -423,8 +456,9 @@ def frequent_phrases(lines: DataFrame, words: DataFrame, least: int) -> DataFram
         if level + 1 < LONGEST:
             total, done = longer.count(), 0
             for own, trie in tries(longer):
-                lines = advanced(lines, level, trie, done, done + own.num_rows == total)
-                done += own.num_rows
+                former, done = lines, done + own.num_rows
+                lines = advanced(former, level, trie, done - own.num_rows, done == total)
+                unstage(former)
     out = levels[0]
     for more in levels[1:]:
         out = out.unionByName(more)
@@ -449,10 +483,11 @@ def mine_phrases(df: DataFrame, lang: str = "lang", text: str = "text", least: i
         F.coalesce(F.col(f"`{lang}`").cast("string"), F.lit("und")).alias("lang"),
         F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary").alias("text"),
     )
-    counts = stage(word_counts(docs), "words")
-    frequent = counts.filter(F.col("n") >= least)
-    lines, words = encoded(docs, perfect_shards(frequent, "lang", "term", F.lit(True)))
-    phrases = stage(frequent_phrases(lines, words.join(frequent, ["lang", "term"]), least), "phrases")
+    with session_conf(spark, SETTINGS):
+        counts = stage(word_counts(docs), "words")
+        frequent = counts.filter(F.col("n") >= least)
+        lines, words = encoded(docs, perfect_shards(frequent, "lang", "term", F.lit(True)))
+        phrases = stage(frequent_phrases(lines, words.join(frequent, ["lang", "term"]), least), "phrases")
 
     longer = phrases.filter(F.size("words") > 1)
     cut = F.explode(F.sequence(F.lit(1), F.size("words") - 1)).alias("k")

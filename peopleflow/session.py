@@ -58,23 +58,35 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/peopleflow-{app}/{label}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` once to the shared folder and continue from the written table.
+def stage(df: DataFrame, label: str, **options: str) -> DataFrame:
+    """Write ``df`` once to the shared folder and continue from the written table; ``options`` are the writer's.
 
     Cuts the lineage, survives the loss of executors, and keeps the columnar scan (pruning,
     pushdown) for whatever reads it next.
     """
     spark = df.sparkSession
     path = new_path(spark, label)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def drop_staged(spark: SparkSession) -> None:
     """Remove what this application staged, once no result built on it is needed."""
     app = spark.conf.get("spark.app.id", "local")
-    jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/peopleflow-{app}")
+    _delete(spark, f"{shared_dir(spark)}/peopleflow-{app}")
+
+
+def unstage(df: DataFrame) -> None:
+    """Remove the staged tables that ``df`` reads, once nothing else does; other files stay."""
+    spark = df.sparkSession
+    own = f"/peopleflow-{spark.conf.get('spark.app.id', 'local')}/"
+    for folder in {name.rpartition("/")[0] for name in df.inputFiles()}:
+        if own in folder:
+            _delete(spark, folder)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     files.delete(folder, True)
 

@@ -5,12 +5,15 @@ from __future__ import annotations
 import random
 import re
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 
 from peopleflow.llm import phrases
 from peopleflow.llm.phrases import Trie, mine_phrases
+from peopleflow.session import new_path
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -103,3 +106,60 @@ def test_other_columns_and_a_long_text(spark):
     df = spark.createDataFrame(rows, "lang string, text string")
     df = df.selectExpr("*", "1 AS words", "2 AS n", "3 AS phrase", "4 AS number", "5 AS row_number")
     assert sorted(map(tuple, mine_phrases(df).collect())) == expected(rows, 100)
+
+
+def test_workers_get_few_bytes_at_a_time_and_old_lines_go(spark, monkeypatch):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before, most, lines = spark.conf.get(key), set(), []
+
+    def noted(df, label, stage=phrases.stage, **options):
+        if label != "cuts":  # joins, without Python workers
+            most.add(int(df.sparkSession.conf.get(key).removesuffix("b")))
+        out = stage(df, label, **options)
+        if label == "lines":
+            lines.append({name.rpartition("/")[0].removeprefix("file://") for name in out.inputFiles()})
+        return out
+
+    monkeypatch.setattr(phrases, "stage", noted)
+    monkeypatch.setattr(phrases, "TRIE", 37)
+    rows = prose(seed=3, rows=60)
+    df = spark.createDataFrame(rows, "lang string, text string").repartition(4)
+    assert sorted(map(tuple, mine_phrases(df, least=4).collect())) == expected(rows, 4)
+    assert max(most) <= 1 << 23 and spark.conf.get(key) == before
+    # Of the lines, moved on once for each part of the trie, only the last are kept.
+    assert len(lines) > 3 and [any(Path(f).exists() for f in x) for x in lines] == [False] * (len(lines) - 1) + [True]
+
+
+def test_workers_forget_words_when_they_are_encoded():
+    class Held:
+        value = []
+
+    assert phrases.words_of(Held) == {} and phrases._hashes
+    phrases.forget_words()
+    assert not phrases._hashes
+
+
+@pytest.mark.parametrize(("positions", "some"), [(10**4, 10**4), (100, 7), (50, 1)])
+def test_candidates_of_small_tasks_equal_plain_python(spark, monkeypatch, positions, some):
+    """Also when a task passes its candidates on in many steps."""
+    monkeypatch.setattr(phrases, "POSITIONS", positions)
+    monkeypatch.setattr(phrases, "ROWS", some)
+    word = np.random.default_rng(8).integers(0, 9, (5, 300)).astype(np.int32)
+    path = new_path(spark, "few")
+    rows = [(bytearray(x.tobytes()), None) for x in word]
+    spark.createDataFrame(rows, "words binary, phrases binary").repartition(2).write.parquet(path)
+    found = phrases.candidates(spark.read.parquet(path), 1, 15).collect()
+    n = Counter((a, b) for x in word.tolist() for a, b in zip(x, x[1:]) if a and b)
+    assert sorted(map(tuple, found)) == sorted(k for k, v in n.items() if v >= 15)
+
+
+def test_lines_are_written_in_small_pages(spark):
+    """Twenty rows of a megabyte each, which would else be one page and one row group."""
+    words = np.random.default_rng(9).integers(1, 1 << 30, 1 << 18).astype(np.int32)
+    rows = [(bytearray(words.tobytes()), None, None)] * 20
+    df = spark.createDataFrame(rows, "words binary, phrases binary, longer binary").coalesce(1)
+    trie = Trie(np.array([1]), np.array([1]), np.array([1]))
+    (name,) = phrases.advanced(df, 1, trie, 0, False).inputFiles()
+    footer = pq.ParquetFile(name.removeprefix("file://")).metadata
+    groups = [footer.row_group(k) for k in range(footer.num_row_groups)]
+    assert footer.num_rows == 20 and max(g.total_byte_size for g in groups) <= 24 << 20 and len(groups) > 1

@@ -43,12 +43,8 @@ ROWS = 50_000
 #: Phrases whose dense counts travel in one row.
 SEGMENT = 8192
 
-#: Bytes of rows that a Python worker gets at a time: texts, blocks of numbers, or counts of many tasks. Shuffles that a
-#: written table was made of go with the query.
-SETTINGS = {
-    "spark.sql.execution.arrow.maxBytesPerBatch": str(1 << 22),
-    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
-}
+#: Bytes of rows that a Python worker gets at a time: texts, blocks of numbers, or counts of many tasks.
+SETTINGS = {"spark.sql.execution.arrow.maxBytesPerBatch": str(1 << 22)}
 
 #: A row of numbers is a block of texts, so few rows make a batch, here and in Spark's reader.
 LINES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2", "spark.sql.parquet.columnarReaderBatchSize": "4"}

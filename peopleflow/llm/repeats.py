@@ -58,11 +58,12 @@ STRINGS, STARTS = 7, 41
 #: What tells where a phrase occurs, in the order of the corpus.
 PLACE = ("doc", "digest", "place")
 
-#: What workers are given at a time; and shuffles that a written table was made of go with the query.
-SETTINGS = {
-    "spark.sql.execution.arrow.maxBytesPerBatch": str(BATCH_BYTES),
-    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
-}
+#: What workers are given at a time.
+SETTINGS = {"spark.sql.execution.arrow.maxBytesPerBatch": str(BATCH_BYTES)}
+
+#: Shuffles that a written table was made of go when it is written. Not for `toLocalIterator`, whose query counts as
+#: ended while its rows are still read.
+CLEAN = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
 
 _random = np.random.default_rng(20240817)
 _BYTE = _random.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -252,6 +253,11 @@ def unpacked(values: list[bytes], width: int) -> list[np.ndarray]:
     return [np.ascontiguousarray(x) for x in rows.T]
 
 
+def stage_clean(df: DataFrame, label: str) -> DataFrame:
+    with session_conf(df.sparkSession, CLEAN):
+        return stage(df, label)
+
+
 def met_again(found: np.ndarray) -> np.ndarray:
     """Which numbers occur more than once."""
     order = np.argsort(found)
@@ -326,7 +332,7 @@ def compared(found: DataFrame) -> DataFrame:
         return pa.RecordBatch.from_arrays([*map(pa.array, place), last], names=[*PLACE, "trigger"])
 
     rows = found.repartition("bin").sortWithinPartitions("bin")
-    return stage(rows.mapInArrow(meet, "doc bigint, digest bigint, place bigint, trigger bigint"), "phrases")
+    return stage_clean(rows.mapInArrow(meet, "doc bigint, digest bigint, place bigint, trigger bigint"), "phrases")
 
 
 def classes(data: np.ndarray, begin: np.ndarray, length: int) -> np.ndarray:
@@ -455,7 +461,7 @@ def dictionary(unclear: DataFrame, hot: Broadcast, length: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(arrays, names=["bin", *PLACE, "phrase"])
 
     schema = "bin bigint, doc bigint, digest bigint, place bigint, phrase binary"
-    return stage(unclear.select("doc", "digest", "data", "phrases").mapInArrow(find, schema), "dictionary")
+    return stage_clean(unclear.select("doc", "digest", "data", "phrases").mapInArrow(find, schema), "dictionary")
 
 
 def repeated_places(
@@ -512,7 +518,7 @@ def remove_repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text", le
         shared = None if several.isEmpty() else any_filter(several, "doc")
         found = repeated_places(rows, texts, shared, 1 + total // BIN_BYTES, length)
         found = found.groupBy("doc", "digest", place_mark().alias("mark")).agg(F.collect_list("place").alias("ranges"))
-        found = stage(found, "ranges")
+        found = stage_clean(found, "ranges")
     rows = beside(rows, found, texts, shared, "left")
     rows = rows.select("doc_id", F.struct("data", "ranges").alias("both"))
 

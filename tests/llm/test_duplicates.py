@@ -266,3 +266,17 @@ def test_links_of_short_texts_pass_the_estimate():
         apart = a ^ b
         lost += int(np.bitwise_count((apart | apart >> np.uint64(1)) & ones).sum()) > minhash.MOST_UNEQUAL
     assert lost == 0
+
+
+def test_filters_are_read_while_their_shuffles_stay(spark, monkeypatch):
+    """A query read by an iterator counts as ended before its rows are read, so its shuffles must not go then."""
+    key, seen = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", []
+
+    def noted(found, *args, make=repeats.make_filters):
+        seen.append(found.sparkSession.conf.get(key))
+        return make(found, *args)
+
+    monkeypatch.setattr(repeats, "make_filters", noted)
+    rows = [(1, "ab" * 300, "x"), (1, "cd" * 300, "x")]
+    assert remove_repeats(spark.createDataFrame(rows, DOCS)).count() == 2
+    assert seen == ["false", "false"]
